@@ -32,8 +32,8 @@ VEHICLE_POSITIONS_FIELDS = [
 SERVICE_ALERTS_FIELDS = [
     ("alert_id", S, True),
     ("alert_type", S, False),
-    ("affected_routes", T.ArrayType(S, False), False),
-    ("affected_stops", T.ArrayType(S, False), False),
+    ("affected_routes", T.ArrayType(S), False),
+    ("affected_stops", T.ArrayType(S), False),
     ("active_period_start", TS, False),
     ("active_period_end", TS, False),
     ("header_text", S, False),
