@@ -212,12 +212,14 @@ def headway_interpolated(h5: DataFrame, bin_seconds: int = BIN_SECONDS) -> DataF
     g = grid.join(h5, ["stop_id", "bin_start"], "left")
     w_prev = Window.partitionBy("stop_id").orderBy("bin_start") \
         .rowsBetween(Window.unboundedPreceding, 0)
-    w_next = Window.partitionBy("stop_id").orderBy("bin_start") \
-        .rowsBetween(0, Window.unboundedFollowing)
+    # "next present value" as a growing frame over the reversed order: an
+    # unbounded-following frame is re-aggregated per row (quadratic)
+    w_next = Window.partitionBy("stop_id").orderBy(F.col("bin_start").desc()) \
+        .rowsBetween(Window.unboundedPreceding, 0)
     present = F.when(F.col("mean_headway").isNotNull(),
                      F.struct(F.unix_seconds("bin_start").alias("t"), F.col("mean_headway").alias("v")))
     g = g.select("*", F.last(present, ignorenulls=True).over(w_prev).alias("_p"),
-                 F.first(present, ignorenulls=True).over(w_next).alias("_n"))
+                 F.last(present, ignorenulls=True).over(w_next).alias("_n"))
     t = F.unix_seconds("bin_start")
     frac = (t - F.col("_p.t")) / (F.col("_n.t") - F.col("_p.t"))
     interp = F.col("_p.v") + (F.col("_n.v") - F.col("_p.v")) * frac
