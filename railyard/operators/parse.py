@@ -131,9 +131,50 @@ def trip_update_records(ents: DataFrame, keep=()) -> DataFrame:
 
 
 def extract_positions(decoded: DataFrame, keep=()) -> DataFrame:
-    """Every record a GTFS message yields, before validation."""
+    """Every record a GTFS message yields, before validation.
+
+    One pass: each entity becomes an array of records (one for a vehicle,
+    one per kept stop update for a trip update) and the arrays are exploded
+    once, so the messages are decoded once (a union of the P3 and P4 frames
+    would decode them twice).  Rows equal ``vehicle_records`` plus
+    ``trip_update_records``."""
     ents = entities(decoded)
-    return vehicle_records(ents, keep).unionByName(trip_update_records(ents, keep))
+    veh, vtrip = F.col("ent.vehicle"), F.col("ent.vehicle.trip")
+    ttrip = F.col("ent.trip_update.trip")
+    null_s = F.lit(None).cast("string")
+    v_dir, v_path = parse_trip_id(vtrip["trip_id"])
+    t_dir, t_path = parse_trip_id(ttrip["trip_id"])
+    v_ok = (truthy(vtrip["trip_id"]) & truthy(vtrip["route_id"])
+            & truthy(veh["stop_id"]) & truthy_epoch(veh["timestamp"]))
+    t_ok = truthy(ttrip["trip_id"]) & truthy(ttrip["route_id"])
+
+    def record(entity_id, trip, direction, path, sched, actual, stop, seq, status, ts_text):
+        return F.struct(
+            entity_id.alias("entity_id"), trip["trip_id"].alias("trip_id"),
+            trip["route_id"].alias("route_id"), trip["start_time"].alias("start_time"),
+            trip["start_date"].alias("start_date"), direction.alias("direction"),
+            path.alias("path_id"), trip["train_id"].alias("train_id"),
+            trip["direction"].alias("nyct_direction"), sched.alias("scheduled_track"),
+            actual.alias("actual_track"), stop.alias("stop_id"),
+            seq.alias("current_stop_sequence"), status.alias("current_status"),
+            epoch_text_to_ts(ts_text).alias("vehicle_timestamp"))
+
+    def stop_time(u):
+        arr, dep = u["arrival"]["time"], u["departure"]["time"]
+        return F.when(truthy_epoch(arr), arr).when(truthy_epoch(dep), dep)
+
+    v_rec = record(F.col("ent.id"), vtrip, v_dir, v_path, null_s, null_s, veh["stop_id"],
+                   veh["current_stop_sequence"], veh["current_status"], veh["timestamp"])
+    kept = F.filter(F.col("ent.trip_update.stop_time_update"),
+                    lambda u: truthy(u["stop_id"]) & stop_time(u).isNotNull())
+    t_recs = F.transform(kept, lambda u: record(
+        F.concat(F.coalesce(F.col("ent.id"), F.lit("None")), F.lit("__"), u["stop_id"]),
+        ttrip, t_dir, t_path, u["scheduled_track"], u["actual_track"], u["stop_id"],
+        u["stop_sequence"], F.lit("IN_TRANSIT_TO"), stop_time(u)))
+    recs = (F.when((F.col("kind") == "vehicle") & v_ok, F.array(v_rec))
+            .when((F.col("kind") == "trip_update") & t_ok, t_recs))
+    out = ents.select(*keep, *_feed_times(), F.explode(recs).alias("r"))
+    return out.select(*keep, "r.*", "feed_timestamp", "ingest_time")
 
 
 # ---------------------------------------------------------------- V1
