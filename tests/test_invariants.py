@@ -61,3 +61,20 @@ def test_asof_equals_plain_window(spark, sf_dir):
     h1 = hw.headway(hw.arrivals(pos), bucket_seconds=60)
     h2 = hw.headway(hw.arrivals(pos), bucket_seconds=10 ** 9)
     assert sorted(map(str, h1.collect())) == sorted(map(str, h2.collect()))
+
+
+def test_wide_pivot_and_fit_before(spark, sf_dir):
+    h = hw.headway(hw.arrivals(positions(spark, sf_dir)))
+    st = hw.station_list(graph.station_index(h))
+    h5 = hw.headway_5min(h)
+    wide = hw.headway_5min_wide(h5, st)
+    assert wide.columns == ["bin_start"] + st
+    assert wide.count() == h5.select("bin_start").distinct().count()
+    cells = sum(wide.select(F.count(c).alias("n")).first().n for c in st)
+    assert cells == h5.count()
+    imp = hw.headway_imputed(h5, st)
+    lo, hi = imp.agg(F.min("bin_start"), F.max("bin_start")).first()
+    cut = lo + (hi - lo) / 2
+    z = hw.headway_normalised(imp, fit_before=cut)
+    fit = z.where(F.col("bin_start") < F.lit(cut)).groupBy("stop_id").agg(F.avg("z").alias("m"))
+    assert all(abs(r.m) < 1e-6 for r in fit.collect())
