@@ -50,17 +50,36 @@ def time_features(arr: DataFrame, time_col: str = "vehicle_timestamp") -> DataFr
 
 def arrivals_under_alert(arr: DataFrame, alerts: DataFrame) -> DataFrame:
     """L4: arrivals on a route named by an alert while it is active
-    (start <= t, and t < end unless the end is open).  Alerts are exploded
-    by route and the join runs on the route with the period as residual
-    condition; alerts are few, so AQE broadcasts them when the measured
-    size allows and sort-merges otherwise."""
-    a = alerts.select("alert_id", "alert_type", F.explode("affected_routes").alias("_route"),
-                      "active_period_start", "active_period_end")
-    t = F.col("vehicle_timestamp")
-    cond = ((arr["route_id"] == a["_route"]) & a["active_period_start"].isNotNull()
+    (start <= t, and t < end unless the end is open).
+
+    The join key is (route, day), not the route alone: a busy route holds a
+    large share of all arrivals.  Each alert is exploded over the days it
+    covers, clipped to the arrivals' first and last day (two scalars; an
+    open end runs to the last day), and the period is the residual
+    condition.  Every (alert, route, day) exists once, so no pair repeats."""
+    span = arr.agg(F.min(F.to_date("vehicle_timestamp")).alias("a"),
+                   F.max(F.to_date("vehicle_timestamp")).alias("b")).first()
+    if span is None or span.a is None:
+        return arr.limit(0).select(
+            "entity_id", "route_id", "stop_id", "vehicle_timestamp",
+            F.lit(None).cast("string").alias("alert_id"),
+            F.lit(None).cast("string").alias("alert_type"))
+    first_day, last_day = F.lit(span.a), F.lit(span.b)
+    s_day = F.greatest(F.to_date("active_period_start"), first_day)
+    e_day = F.least(F.coalesce(F.to_date("active_period_end"), last_day), last_day)
+    a = (alerts.where(F.col("active_period_start").isNotNull())
+         .select("alert_id", "alert_type", F.explode("affected_routes").alias("_route"),
+                 "active_period_start", "active_period_end",
+                 s_day.alias("_s"), e_day.alias("_e"))
+         .where(F.col("_s") <= F.col("_e"))
+         .select("*", F.explode(F.sequence("_s", "_e")).alias("_day")))
+    v = arr.select("entity_id", "route_id", "stop_id", "vehicle_timestamp",
+                   F.to_date("vehicle_timestamp").alias("_vday"))
+    t = v["vehicle_timestamp"]
+    cond = ((v["route_id"] == a["_route"]) & (v["_vday"] == a["_day"])
             & (t >= a["active_period_start"])
             & (a["active_period_end"].isNull() | (t < a["active_period_end"])))
-    return arr.join(a, cond, "inner").select(
+    return v.join(a, cond, "inner").select(
         "entity_id", "route_id", "stop_id", "vehicle_timestamp", "alert_id", "alert_type")
 
 

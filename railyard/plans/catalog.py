@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..operators import graph, headway as hw, parse, planned, reports, tracks
 from ..schemas import ALERTS_MESSAGE, VEHICLE_COLUMNS
 from ..sources import fixtures
+from ..session import materialize
 from ..sources.tables import events, positions, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,7 +76,8 @@ def _h5(spark, sf):
 
 
 def _imputed(spark, sf):
-    h = _headway(spark, sf)
+    # the headway frame feeds both the driver-side station list and the grid
+    h = materialize(_headway(spark, sf))
     st = hw.station_list(graph.station_index(h))
     return hw.headway_imputed(hw.headway_5min(h), st)
 

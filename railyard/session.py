@@ -19,6 +19,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of materialised frames are removed once unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -63,3 +65,13 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def materialize(df):
+    """Cut the lineage of ``df`` with a reliable checkpoint written to the
+    shared ``spark.checkpoint.dir`` (never a local checkpoint): a lost
+    executor then re-reads the files instead of recomputing the chain, and
+    frames used twice (a bounded list for the driver plus the main job) are
+    computed once."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
