@@ -160,15 +160,23 @@ def temporal_split(windows: DataFrame, train_ratio: float = TRAIN_RATIO,
     return windows.join(cuts.select("window_idx", split.alias("split")), "window_idx")
 
 
-def forecast_errors(split_windows: DataFrame) -> DataFrame:
+def forecast_errors(split_windows: DataFrame, stop_groups: DataFrame | None = None,
+                    group_cols: tuple = ("route_id", "direction")) -> DataFrame:
     """A10: MAE, RMSE and MAPE of the naive last-value forecast (every
-    horizon step predicted by the last input value), per split.  Targets are
-    z-scores; an imputed bin sits at the stop mean, i.e. at z = 0 up to
-    rounding noise, so MAPE leaves out targets with |y| <= 1e-9."""
+    horizon step predicted by the last input value), per split, and per
+    ``group_cols`` as well when ``stop_groups`` maps stop_id to them.
+
+    Targets are z-scores; an imputed bin sits at the stop mean, i.e. at
+    z = 0 up to rounding noise, so MAPE leaves out targets with |y| <= 1e-9."""
+    keys = ["split"]
+    w = split_windows
+    if stop_groups is not None:
+        w = w.join(stop_groups.select("stop_id", *group_cols), "stop_id")
+        keys += list(group_cols)
     last = F.element_at("x", -1)
-    e = split_windows.select("split", last.alias("pred"), F.explode("y").alias("actual"))
+    e = w.select(*keys, last.alias("pred"), F.explode("y").alias("actual"))
     err = F.col("pred") - F.col("actual")
-    return e.groupBy("split").agg(
+    return e.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
         F.avg(F.abs(err)).alias("mae"),
         F.sqrt(F.avg(err * err)).alias("rmse"),

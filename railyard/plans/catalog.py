@@ -251,6 +251,11 @@ def q_forecast_errors(spark, sf):
     return hw.forecast_errors(hw.temporal_split(_windows(spark, sf)))
 
 
+def q_forecast_errors_by_route(spark, sf):
+    groups = _headway(spark, sf).select("stop_id", "route_id", "direction").distinct()
+    return hw.forecast_errors(hw.temporal_split(_windows(spark, sf)), groups)
+
+
 def q_diffusion_transition(spark, sf):
     return _transition(spark, sf)
 

@@ -374,6 +374,18 @@ FROM (
   WHERE y."offset" >= 12)
 GROUP BY split"""
 
+ORACLE["forecast_errors_by_route"] = W(HW, H5, GRID) + """
+SELECT split, route_id, direction, count(*) AS n, avg(abs(e)) AS mae, sqrt(avg(e * e)) AS rmse,
+  avg(CASE WHEN abs(actual) > 1e-9 THEN abs(e) / abs(actual) END) AS mape
+FROM (
+  SELECT s.split, m.route_id, m.direction, y.value AS actual, p.value - y.value AS e
+  FROM win y JOIN win p ON p.window_idx = y.window_idx AND p.stop_id = y.stop_id
+    AND p."offset" = 11
+  JOIN splits s ON s.window_idx = y.window_idx
+  JOIN (SELECT DISTINCT stop_id, route_id, direction FROM hw) m ON m.stop_id = y.stop_id
+  WHERE y."offset" >= 12)
+GROUP BY split, route_id, direction"""
+
 ORACLE["diffusion_transition"] = W(HW, ADJ) + "SELECT * FROM dt"
 
 ORACLE["diffusion_features"] = W(HW, ADJ) + """,
