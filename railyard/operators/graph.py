@@ -18,6 +18,7 @@ ADJ_THRESHOLD = 0.1
 DIFFUSION_EPS = 1e-8
 DIFFUSION_STEPS = 2
 MAX_NODES = 4096          # bound on the node set of the dense similarity graph
+MAX_DIMS = 1024           # bound on the node vector length
 
 
 def station_index(h: DataFrame) -> DataFrame:
@@ -102,33 +103,48 @@ def node_vectors(embeddings: DataFrame, key: str = "label", vec: str = "embeddin
 
 def similarity_graph(nodes: DataFrame, softmax: bool = True, static: DataFrame | None = None,
                      alpha: float | None = None, eps: float = DIFFUSION_EPS,
-                     max_nodes: int = MAX_NODES) -> DataFrame:
+                     max_nodes: int = MAX_NODES, max_dims: int = MAX_DIMS) -> DataFrame:
     """Row-normalised ``relu(E . E^T)`` over a node set (softmax by
     default, else relu / (rowsum + eps)); optionally blended as
     ``alpha * static + (1 - alpha) * similarity``.
 
-    The result is dense, N x N by definition, so the node set is an
-    aggregate (one row per node) and its size is checked against
-    ``max_nodes`` before the all-nodes array is formed; the array reaches
-    each node through a window over that aggregate, not a join."""
-    n = nodes.limit(max_nodes + 1).count()
-    if n > max_nodes:
-        raise ValueError(f"{n} nodes exceed the dense similarity bound {max_nodes}")
-    allv = F.collect_list(F.struct(F.col("node").alias("o"), F.col("vec").alias("ov"))) \
-        .over(Window.partitionBy(F.lit(0)))
-    d = nodes.select("node", "vec", allv.alias("_all"))
-    d = d.select(F.col("node").alias("from_node"), F.explode("_all").alias("_o"), "vec")
-    dot = F.aggregate(F.zip_with("vec", "_o.ov", lambda a, b: a * b), F.lit(0.0),
-                      lambda acc, x: acc + x)
-    d = d.select("from_node", F.col("_o.o").alias("to_node"),
-                 F.greatest(dot, F.lit(0.0)).alias("score"))
-    w = Window.partitionBy("from_node")
-    if softmax:
-        e = F.exp(F.col("score") - F.max("score").over(w))
-        wt = e / F.sum(e).over(w)
-    else:
-        wt = F.col("score") / (F.sum("score").over(w) + eps)
-    g = d.select("from_node", "to_node", wt.alias("weight"))
+    The result is dense, N x N by definition, so the node set must be an
+    aggregate (one row per node).  Its size is checked (``max_nodes`` rows
+    of at most ``max_dims`` values, a few MB) before it is broadcast; each
+    task then scores its share of the nodes against the broadcast matrix
+    with one matrix product and emits its rows.  No join pairs the nodes."""
+    import numpy as np
+    import pandas as pd
+
+    rows = nodes.select("node", "vec").limit(max_nodes + 1).collect()
+    if len(rows) > max_nodes:
+        raise ValueError(f"more than {max_nodes} nodes: the dense similarity graph is bounded")
+    dims = {len(r.vec) for r in rows}
+    if len(dims) > 1 or (dims and max(dims) > max_dims):
+        raise ValueError(f"node vectors must share one length <= {max_dims}, got {sorted(dims)}")
+    key_type = nodes.schema["node"].dataType.simpleString()
+    ids = [r.node for r in rows]
+    mat = np.array([r.vec for r in rows], dtype=np.float64).reshape(len(rows), -1)
+    bc = nodes.sparkSession.sparkContext.broadcast((ids, mat))
+
+    def score(batches):
+        all_ids, m = bc.value
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            e1 = np.array(pdf["vec"].tolist(), dtype=np.float64).reshape(len(pdf), -1)
+            s = np.maximum(e1 @ m.T, 0.0)
+            if softmax:
+                ex = np.exp(s - s.max(axis=1, keepdims=True))
+                w = ex / ex.sum(axis=1, keepdims=True)
+            else:
+                w = s / (s.sum(axis=1, keepdims=True) + eps)
+            yield pd.DataFrame({"from_node": np.repeat(pdf["node"].to_numpy(), len(all_ids)),
+                                "to_node": np.tile(np.array(all_ids, dtype=object), len(pdf)),
+                                "weight": w.ravel()})
+
+    g = nodes.select("node", "vec").mapInPandas(
+        score, f"from_node {key_type}, to_node {key_type}, weight double")
     if static is not None and alpha is not None:
         s = static.select(F.col("from_stop").alias("from_node"), F.col("to_stop").alias("to_node"),
                           F.col("weight").alias("_s"))

@@ -31,7 +31,7 @@ TRAIN_RATIO = 0.7
 VAL_RATIO = 0.15
 NORM_EPS = 1e-8
 MAPE_MIN_ABS = 1e-9
-MAX_STATIONS = 100_000     # bound on the station list that reaches the driver
+MAX_STATIONS = 10_000      # bound on the station list that reaches the driver
 
 
 def arrivals(positions: DataFrame) -> DataFrame:
