@@ -1,5 +1,5 @@
 """Reports (R1-R8): the coverage SQL, message peek, parser comparison and
-pipeline counters, as aggregates over DataFrames."""
+job counters, as aggregates over DataFrames."""
 
 from __future__ import annotations
 
@@ -93,7 +93,7 @@ def extractor_comparison(stop_rows: DataFrame) -> DataFrame:
     return r.withColumn("pct_actual", _pct(F.col("with_actual"), F.col("extension_rows")))
 
 
-def pipeline_counters(decoded: DataFrame, ents: DataFrame, enriched: DataFrame,
+def job_counters(decoded: DataFrame, ents: DataFrame, enriched: DataFrame,
                       positions: DataFrame) -> DataFrame:
     """The job counters as ``(counter, value)`` rows, each an aggregate
     over the batch (a stream uses ``DataFrame.observe`` with the same

@@ -205,10 +205,10 @@ def q_track_frequency(spark, sf):
     return reports.track_frequency(_enriched(spark, sf))
 
 
-def q_pipeline_counters(spark, sf):
+def q_job_counters(spark, sf):
     pos = positions(spark, sf)
     dec = _decoded(spark, sf)
-    return reports.pipeline_counters(dec, parse.entities(dec),
+    return reports.job_counters(dec, parse.entities(dec),
                                      tracks.arrival_track_asof(pos), pos)
 
 

@@ -329,7 +329,7 @@ SELECT *, {_pct('with_track_data', 'total_arrivals')} AS enrichment_pct FROM (
 ORACLE["track_frequency"] = W(J2) + """
 SELECT actual_track, count(*) AS count FROM enr WHERE actual_track IS NOT NULL GROUP BY 1"""
 
-ORACLE["pipeline_counters"] = W(MSG, P3, P4, J2) + """
+ORACLE["job_counters"] = W(MSG, P3, P4, J2) + """
 SELECT 'messages_processed' AS counter, count(DISTINCT (feed, msg_id)) AS value
   FROM msg_ev WHERE msg_ok
 UNION ALL SELECT 'parse_errors', count(DISTINCT (feed, msg_id)) FROM msg_ev WHERE NOT msg_ok
