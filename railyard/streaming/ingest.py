@@ -48,6 +48,15 @@ def alert_stream(feed: DataFrame) -> DataFrame:
     return parse.alert_table(parse.decode(feed, ALERTS_MESSAGE))
 
 
+def dedupe_alert_versions(alerts: DataFrame, delay: str = "6 hours") -> DataFrame:
+    """L1 on a stream: each poll re-sends every active alert, so one version
+    of an alert (alert_id, updated_at) is kept once.  The watermark on
+    feed_timestamp bounds the dedup state; a copy arriving later than
+    ``delay`` behind the newest feed time is dropped as late."""
+    return (alerts.withWatermark("feed_timestamp", delay)
+            .dropDuplicatesWithinWatermark(["alert_id", "updated_at"]))
+
+
 def write_table(df: DataFrame, path: str, checkpoint: str, time_col: str,
                 trigger: str | None = DEFAULT_TRIGGER, available_now: bool = False,
                 query_name: str | None = None):
@@ -81,7 +90,12 @@ def start_enriched_vehicles(spark, feed_dirs: dict[str, str], table: str, checkp
 
 
 def start_alerts(spark, alerts_dir: str, table: str, checkpoint: str,
-                 max_files_per_trigger: int | None = None, **kw):
-    """S2 + T2 + S4: validated alerts appended to the alerts table."""
+                 max_files_per_trigger: int | None = None, dedupe_delay: str | None = None,
+                 **kw):
+    """S2 + T2 + S4: validated alerts appended to the alerts table;
+    ``dedupe_delay`` turns on L1 (one row per alert version)."""
     src = feed_stream(spark, alerts_dir, "alerts", max_files_per_trigger)
-    return write_table(alert_stream(src), table, checkpoint, "feed_timestamp", **kw)
+    a = alert_stream(src)
+    if dedupe_delay:
+        a = dedupe_alert_versions(a, dedupe_delay)
+    return write_table(a, table, checkpoint, "feed_timestamp", **kw)

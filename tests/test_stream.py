@@ -90,3 +90,24 @@ def test_raw_and_alert_sinks(spark, sf_dir, tmp_path):
     want = parse.alert_table(parse.decode(spark.createDataFrame(al[["msg_id", "value"]]),
                                           parse.ALERTS_MESSAGE)).count()
     assert got == want > 0
+
+
+def test_alert_versions_deduplicated(spark, sf_dir, tmp_path):
+    """Every alerts message lands twice (a re-poll); with L1 on, each alert
+    version is appended once."""
+    al = fixtures.alert_messages(events(spark, sf_dir)).toPandas()
+    d = tmp_path / "alerts"
+    os.makedirs(str(d))
+    for name, t in (("a.json", 1_000_000), ("b.json", 1_000_100)):
+        with open(str(d / name), "w") as f:
+            f.write("\n".join(al["value"]) + "\n")
+        os.utime(str(d / name), (t, t))
+    q = ingest.start_alerts(spark, str(d), str(tmp_path / "tbl"), str(tmp_path / "ck"),
+                            max_files_per_trigger=1, dedupe_delay="3650 days",
+                            available_now=True)
+    q.awaitTermination(600)
+    got = spark.read.parquet(str(tmp_path / "tbl"))
+    once = parse.alert_table(parse.decode(spark.createDataFrame(al[["msg_id", "value"]]),
+                                          parse.ALERTS_MESSAGE))
+    assert got.count() == once.select("alert_id", "updated_at").distinct().count() > 0
+    assert got.count() == got.select("alert_id", "updated_at").distinct().count()
