@@ -130,7 +130,7 @@ def trip_update_records(ents: DataFrame, keep=()) -> DataFrame:
         *_feed_times())
 
 
-def extract_positions(decoded: DataFrame, keep=()) -> DataFrame:
+def extract_positions(decoded: DataFrame, keep=(), with_kind: bool = False) -> DataFrame:
     """Every record a GTFS message yields, before validation.
 
     One pass: each entity becomes an array of records (one for a vehicle,
@@ -173,8 +173,9 @@ def extract_positions(decoded: DataFrame, keep=()) -> DataFrame:
         u["stop_sequence"], F.lit("IN_TRANSIT_TO"), stop_time(u)))
     recs = (F.when((F.col("kind") == "vehicle") & v_ok, F.array(v_rec))
             .when((F.col("kind") == "trip_update") & t_ok, t_recs))
-    out = ents.select(*keep, *_feed_times(), F.explode(recs).alias("r"))
-    return out.select(*keep, "r.*", "feed_timestamp", "ingest_time")
+    out = ents.select(*keep, "kind", *_feed_times(), F.explode(recs).alias("r"))
+    return out.select(*keep, "r.*", "feed_timestamp", "ingest_time",
+                      *(["kind"] if with_kind else []))
 
 
 # ---------------------------------------------------------------- V1

@@ -93,20 +93,17 @@ def extractor_comparison(stop_rows: DataFrame) -> DataFrame:
     return r.withColumn("pct_actual", _pct(F.col("with_actual"), F.col("extension_rows")))
 
 
-def job_counters(decoded: DataFrame, ents: DataFrame, enriched: DataFrame,
-                      positions: DataFrame) -> DataFrame:
+def job_counters(decoded: DataFrame, enriched: DataFrame, positions: DataFrame) -> DataFrame:
     """The job counters as ``(counter, value)`` rows, each an aggregate
     over the batch (a stream uses ``DataFrame.observe`` with the same
-    expressions)."""
-    from .parse import trip_update_records, vehicle_records, with_vehicle_verdict
+    expressions).  Records are extracted in one pass and counted by kind."""
+    from .parse import extract_positions, with_vehicle_verdict
     from .tracks import is_track_update
     m = decoded.agg(F.count_if(F.col("msg_ok")).alias("messages_processed"),
                     F.count_if(~F.col("msg_ok")).alias("parse_errors"))
-    veh = vehicle_records(ents).withColumn("_kind", F.lit("v"))
-    tu = trip_update_records(ents).withColumn("_kind", F.lit("t"))
-    v = with_vehicle_verdict(veh.unionByName(tu)).agg(
-        F.count_if(F.col("_kind") == "v").alias("vehicles_extracted"),
-        F.count_if(F.col("_kind") == "t").alias("trip_updates_processed"),
+    v = with_vehicle_verdict(extract_positions(decoded, with_kind=True)).agg(
+        F.count_if(F.col("kind") == "vehicle").alias("vehicles_extracted"),
+        F.count_if(F.col("kind") == "trip_update").alias("trip_updates_processed"),
         F.count_if(F.col("reject_reason").isNull()).alias("valid_records"),
         F.count_if(F.col("reject_reason").isNotNull()).alias("invalid_records"))
     e = enriched.agg(F.count_if(F.col("enrichment") == "enriched").alias("enriched_records"),

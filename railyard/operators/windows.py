@@ -67,12 +67,11 @@ def asof_last(df: DataFrame, keys: list[str], order: list[str], is_source: Colum
     w = Window.partitionBy(*keys, BUCKET).orderBy(*order) \
         .rowsBetween(Window.unboundedPreceding, -1)
     d = d.withColumn("_nb_in", F.last(pack, ignorenulls=True).over(w))
-    okey = F.struct(*[F.col(c) for c in order])
-    summ = (df.withColumn(BUCKET, bucket).where(is_source)
-            .groupBy(*keys, BUCKET).agg(F.max_by(_pack(values), okey).alias("_edge")))
-    # every (key, bucket) that holds a row needs the newest earlier edge
-    buckets = df.withColumn(BUCKET, bucket).select(*keys, BUCKET).distinct() \
-        .join(summ, [*keys, BUCKET], "left")
+    # one row per (key, bucket) that holds any row; its edge is the newest
+    # source row, NULL when it has none (max_by skips NULL orderings)
+    okey = F.when(is_source, F.struct(*[F.col(c) for c in order]))
+    buckets = (df.withColumn(BUCKET, bucket).groupBy(*keys, BUCKET)
+               .agg(F.max_by(F.when(is_source, _pack(values)), okey).alias("_edge")))
     ws = Window.partitionBy(*keys).orderBy(BUCKET) \
         .rowsBetween(Window.unboundedPreceding, -1)
     carried = buckets.select(*keys, BUCKET,

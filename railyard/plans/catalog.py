@@ -17,14 +17,15 @@ from ..operators import graph, headway as hw, parse, planned, reports, tracks
 from ..schemas import ALERTS_MESSAGE, VEHICLE_COLUMNS
 from ..sources import fixtures
 from ..session import materialize
-from ..sources.tables import events, positions, read_table
+from ..sources.tables import defined, events, positions, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 # ------------------------------------------------------------------ inputs
 def _decoded(spark, sf):
-    return parse.decode(fixtures.gtfs_messages(events(spark, sf)))
+    return defined(spark, sf, "gtfs_decoded",
+                   lambda: parse.decode(fixtures.gtfs_messages(events(spark, sf))))
 
 
 def _ents(spark, sf):
@@ -32,7 +33,9 @@ def _ents(spark, sf):
 
 
 def _alert_decoded(spark, sf):
-    return parse.decode(fixtures.alert_messages(events(spark, sf)), ALERTS_MESSAGE)
+    return defined(spark, sf, "alerts_decoded",
+                   lambda: parse.decode(fixtures.alert_messages(events(spark, sf)),
+                                        ALERTS_MESSAGE))
 
 
 def _alert_ents(spark, sf):
@@ -208,8 +211,7 @@ def q_track_frequency(spark, sf):
 def q_job_counters(spark, sf):
     pos = positions(spark, sf)
     dec = _decoded(spark, sf)
-    return reports.job_counters(dec, parse.entities(dec),
-                                     tracks.arrival_track_asof(pos), pos)
+    return reports.job_counters(dec, tracks.arrival_track_asof(pos), pos)
 
 
 def q_station_index(spark, sf):

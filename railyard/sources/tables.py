@@ -12,20 +12,45 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+_DEFINED: dict = {}
+
+
+def defined(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """Define an input frame once per session and folder, as a temp view
+    would: the lazy plan is reused, no data is cached."""
+    key = (spark, os.path.abspath(sf_dir), name)
+    if key not in _DEFINED:
+        _DEFINED[key] = build()
+    return _DEFINED[key]
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table.  Column pruning and filters reach the parquet scan
     because callers only ``select``/``where`` on the returned frame."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return defined(spark, sf_dir, f"table:{name}",
+                   lambda: spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin an under-split scan over the cluster's cores.
+
+    A file read as fewer splits than ``defaultParallelism`` (one small file,
+    one row group) would run every projection above it in a few tasks.  At
+    scale the scan is already split by files and row groups and this is a
+    no-op.  Column pruning and filters still reach the scan below it."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "events")
+    """The event fact table every fixture derives from."""
+    return defined(spark, sf_dir, "events", lambda: spread(read_table(spark, sf_dir, "events")))
 
 
 def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The vehicle_positions fixture of FIXTURES.md over the whole ``events``."""
     from .fixtures import raw_positions
-    return raw_positions(events(spark, sf_dir))
+    return defined(spark, sf_dir, "positions", lambda: raw_positions(events(spark, sf_dir)))
 
 
 def date_range(df: DataFrame, time_col: str, start: str | date | None = None,
