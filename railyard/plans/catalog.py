@@ -97,8 +97,8 @@ def _adjacency(spark, sf):
     return graph.adjacency(graph.stop_transitions(_headway(spark, sf)))
 
 
-def _transition(spark, sf):
-    h = _headway(spark, sf)
+def _transition(spark, sf, h=None):
+    h = h if h is not None else _headway(spark, sf)
     adj = graph.adjacency(graph.stop_transitions(h))
     return graph.diffusion_transition(adj, graph.station_index(h))
 
@@ -263,9 +263,11 @@ def q_diffusion_transition(spark, sf):
 
 
 def q_diffusion_features(spark, sf):
-    h = _headway(spark, sf)
+    # the headway frame and the transition matrix are each read by every
+    # diffusion step: both are checkpointed once instead of recomputed
+    h = materialize(_headway(spark, sf))
     feats = h.groupBy("stop_id").agg(F.avg("headway_seconds").alias("x"))
-    return graph.diffusion_features(_transition(spark, sf), feats)
+    return graph.diffusion_features(materialize(_transition(spark, sf, h)), feats)
 
 
 def q_similarity_graph(spark, sf):
