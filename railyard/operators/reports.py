@@ -57,9 +57,11 @@ def enrichment_recent(table: DataFrame, now=None, hours: int = 1) -> DataFrame:
 
 
 def track_frequency(table: DataFrame) -> DataFrame:
-    """Rows per actual track, most frequent first (order at the sink)."""
+    """Rows per actual track, most frequent first (ties by track); the
+    result has one row per track code, so the final sort is small."""
     return (table.where(F.col("actual_track").isNotNull())
-            .groupBy("actual_track").agg(F.count(F.lit(1)).alias("count")))
+            .groupBy("actual_track").agg(F.count(F.lit(1)).alias("count"))
+            .orderBy(F.col("count").desc(), F.col("actual_track")))
 
 
 def entity_kinds(ents: DataFrame) -> DataFrame:
@@ -68,15 +70,21 @@ def entity_kinds(ents: DataFrame) -> DataFrame:
 
 
 def snapshot_summary(tracks: DataFrame) -> DataFrame:
-    """Per snapshot, track rows, rows with actual and scheduled tracks
-    and the sorted distinct track codes."""
+    """Per snapshot and overall (``snapshot = 'ALL'``): track rows, rows
+    with actual and scheduled tracks, their percentages, and the sorted
+    distinct track codes.  A code set holds distinct track codes (a small
+    physical domain, a few dozen), not rows."""
     a, s = F.col("actual_track"), F.col("scheduled_track")
-    return tracks.groupBy("snapshot").agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(truthy(a)).alias("with_actual"),
-        F.count_if(truthy(s)).alias("with_scheduled"),
-        F.array_sort(F.collect_set(F.when(truthy(a), a))).alias("actual_codes"),
-        F.array_sort(F.collect_set(F.when(truthy(s), s))).alias("scheduled_codes"))
+    aggs = [F.count(F.lit(1)).alias("total"),
+            F.count_if(truthy(a)).alias("with_actual"),
+            F.count_if(truthy(s)).alias("with_scheduled"),
+            F.array_sort(F.collect_set(F.when(truthy(a), a))).alias("actual_codes"),
+            F.array_sort(F.collect_set(F.when(truthy(s), s))).alias("scheduled_codes")]
+    per = tracks.groupBy("snapshot").agg(*aggs)
+    total = tracks.groupBy().agg(*aggs).select(F.lit("ALL").alias("snapshot"), "*")
+    return per.unionByName(total) \
+        .withColumn("pct_actual", _pct(F.col("with_actual"), F.col("total"))) \
+        .withColumn("pct_scheduled", _pct(F.col("with_scheduled"), F.col("total")))
 
 
 def extractor_comparison(stop_rows: DataFrame) -> DataFrame:

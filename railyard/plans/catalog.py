@@ -185,7 +185,8 @@ def q_entity_kinds(spark, sf):
 def q_snapshot_summary(spark, sf):
     s = reports.snapshot_summary(parse.track_rows(_ents(spark, sf), _snapshot()))
     return s.select("snapshot", "total", "with_actual", "with_scheduled",
-                    _text("actual_codes"), _text("scheduled_codes"))
+                    _text("actual_codes"), _text("scheduled_codes"),
+                    "pct_actual", "pct_scheduled")
 
 
 def q_extractor_comparison(spark, sf):

@@ -290,13 +290,21 @@ SELECT feed, CASE WHEN is_tu THEN 'trip_update' ELSE 'vehicle' END AS kind,
   count(*) AS n_entities
 FROM msg_ev WHERE msg_ok GROUP BY 1, 2"""
 
-ORACLE["snapshot_summary"] = W(MSG, TRACKS) + """
-SELECT snapshot, count(*) AS total, count(actual_track) AS with_actual,
-  count(scheduled_track) AS with_scheduled,
-  coalesce(array_to_string(list_sort(list_distinct(list(actual_track))), ','), '') AS actual_codes,
-  coalesce(array_to_string(list_sort(list_distinct(list(scheduled_track))), ','), '')
-    AS scheduled_codes
-FROM trk WHERE scheduled_track IS NOT NULL OR actual_track IS NOT NULL GROUP BY snapshot"""
+ORACLE["snapshot_summary"] = W(MSG, TRACKS) + f"""
+SELECT *, {_pct('with_actual', 'total')} AS pct_actual,
+  {_pct('with_scheduled', 'total')} AS pct_scheduled FROM (
+  SELECT snapshot, count(*) AS total, count(actual_track) AS with_actual,
+    count(scheduled_track) AS with_scheduled,
+    coalesce(array_to_string(list_sort(list_distinct(list(actual_track))), ','), '')
+      AS actual_codes,
+    coalesce(array_to_string(list_sort(list_distinct(list(scheduled_track))), ','), '')
+      AS scheduled_codes
+  FROM trk WHERE scheduled_track IS NOT NULL OR actual_track IS NOT NULL GROUP BY snapshot
+  UNION ALL
+  SELECT 'ALL', count(*), count(actual_track), count(scheduled_track),
+    coalesce(array_to_string(list_sort(list_distinct(list(actual_track))), ','), ''),
+    coalesce(array_to_string(list_sort(list_distinct(list(scheduled_track))), ','), '')
+  FROM trk WHERE scheduled_track IS NOT NULL OR actual_track IS NOT NULL)"""
 
 ORACLE["extractor_comparison"] = W(MSG, TRACKS) + f"""
 SELECT *, {_pct('with_actual', 'extension_rows')} AS pct_actual FROM (
