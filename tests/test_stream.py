@@ -111,3 +111,20 @@ def test_alert_versions_deduplicated(spark, sf_dir, tmp_path):
                                           parse.ALERTS_MESSAGE))
     assert got.count() == once.select("alert_id", "updated_at").distinct().count() > 0
     assert got.count() == got.select("alert_id", "updated_at").distinct().count()
+
+
+def test_stream_counters_observed(spark, sf_dir, tmp_path):
+    """R8 on a stream: message counters arrive with each query progress."""
+    msgs = _messages(spark, sf_dir)
+    land = str(tmp_path / "landing")
+    _land(msgs, land)
+    feeds = {"ace": os.path.join(land, "ace"), "bdfm": os.path.join(land, "bdfm")}
+    q = ingest.start_raw_vehicles(spark, feeds, str(tmp_path / "raw"), str(tmp_path / "ck"),
+                                  available_now=True)
+    q.awaitTermination(600)
+    seen = [p["observedMetrics"]["feed_counters"] for p in q.recentProgress
+            if "feed_counters" in p.get("observedMetrics", {})]
+    ok = sum(int(m["messages_processed"]) for m in seen)
+    bad = sum(int(m["parse_errors"]) for m in seen)
+    assert ok + bad == len(msgs)
+    assert bad == int((msgs["msg_id"] % 97 == 0).sum())
