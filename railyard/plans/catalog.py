@@ -8,6 +8,8 @@ DuckDB oracle compare equal; the operators themselves return arrays.
 
 from __future__ import annotations
 
+import hashlib
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,16 +18,35 @@ from pyspark.sql import functions as F
 from ..operators import graph, headway as hw, parse, planned, reports, tracks
 from ..schemas import ALERTS_MESSAGE, VEHICLE_COLUMNS
 from ..sources import fixtures
-from ..session import materialize
+from ..session import materialize, scratch_path
 from ..sources.tables import defined, events, positions, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 # ------------------------------------------------------------------ inputs
+def _landed(spark, sf, name, build):
+    """Feed messages as landed data: derived from the driver tables by Spark
+    once per session and written under the shared checkpoint folder, the
+    way pollers land messages for the parser.  Queries read the files."""
+    def land():
+        digest = hashlib.sha1(os.path.abspath(sf).encode()).hexdigest()[:12]
+        path = scratch_path(spark, f"landing/{spark.sparkContext.applicationId}/{digest}/{name}")
+        build().write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    return defined(spark, sf, f"landed:{name}", land)
+
+
+def _gtfs_messages(spark, sf):
+    return _landed(spark, sf, "gtfs", lambda: fixtures.gtfs_messages(events(spark, sf)))
+
+
+def _alert_messages(spark, sf):
+    return _landed(spark, sf, "alerts", lambda: fixtures.alert_messages(events(spark, sf)))
+
+
 def _decoded(spark, sf):
-    return defined(spark, sf, "gtfs_decoded",
-                   lambda: parse.decode(fixtures.gtfs_messages(events(spark, sf))))
+    return defined(spark, sf, "gtfs_decoded", lambda: parse.decode(_gtfs_messages(spark, sf)))
 
 
 def _ents(spark, sf):
@@ -34,8 +55,7 @@ def _ents(spark, sf):
 
 def _alert_decoded(spark, sf):
     return defined(spark, sf, "alerts_decoded",
-                   lambda: parse.decode(fixtures.alert_messages(events(spark, sf)),
-                                        ALERTS_MESSAGE))
+                   lambda: parse.decode(_alert_messages(spark, sf), ALERTS_MESSAGE))
 
 
 def _alert_ents(spark, sf):
@@ -170,7 +190,7 @@ def q_track_rows(spark, sf):
 
 
 def q_feed_union(spark, sf):
-    msgs = fixtures.gtfs_messages(events(spark, sf))
+    msgs = _gtfs_messages(spark, sf)
     ace = parse.decode(msgs.where(F.col("feed") == "ace"))
     bdfm = parse.decode(msgs.where(F.col("feed") == "bdfm"))
     u = parse.feed_union(ace, bdfm)
