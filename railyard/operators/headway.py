@@ -109,14 +109,16 @@ def headway_normalised(imp: DataFrame, fit_before=None) -> DataFrame:
     """Per-stop z-score ``(v - mean) / (std + 1e-8)``, sample std.
 
     By default the statistics span the whole range, as in the reference;
-    ``fit_before`` (a timestamp) restricts them to earlier bins.
-    """
-    fit = imp if fit_before is None else imp.where(F.col("bin_start") < F.lit(fit_before))
-    stats = fit.groupBy("stop_id").agg(F.avg("value").alias("_mu"),
-                                       F.stddev_samp("value").alias("_sd"))
-    return (imp.join(stats, "stop_id", "left")
-            .select("bin_start", "stop_id", "value",
-                    ((F.col("value") - F.col("_mu")) / (F.col("_sd") + NORM_EPS)).alias("z")))
+    ``fit_before`` (a timestamp) restricts them to earlier bins.  They are
+    window aggregates over the stop's bins -- the partitioning the A6
+    imputation already has -- so no further shuffle or join is needed."""
+    w = Window.partitionBy("stop_id")
+    v = F.col("value")
+    if fit_before is not None:
+        v = F.when(F.col("bin_start") < F.lit(fit_before), v)
+    mu, sd = F.avg(v).over(w), F.stddev_samp(v).over(w)
+    return imp.select("bin_start", "stop_id", "value",
+                      ((F.col("value") - mu) / (sd + NORM_EPS)).alias("z"))
 
 
 def bin_ordinals(grid: DataFrame) -> DataFrame:
@@ -128,16 +130,21 @@ def bin_ordinals(grid: DataFrame) -> DataFrame:
 
 
 def training_windows(norm: DataFrame, input_window: int = INPUT_WINDOW,
-                     horizon: int = OUTPUT_HORIZON) -> DataFrame:
+                     horizon: int = OUTPUT_HORIZON, dense: bool = True) -> DataFrame:
     """Sliding windows over present bins, step 1: ``x`` the first
     ``input_window`` values, ``y`` the next ``horizon``; n - 23 windows.
 
-    One row per (window, stop); the window runs per stop over its bins.
-    """
+    One row per (window, stop); the window runs per stop over its bins.  On
+    the dense A6 grid every stop has one row per present bin, so the stop's
+    own row number is the global bin position (``dense=True``, no global
+    ordering); otherwise positions come from ``bin_ordinals``."""
     total = input_window + horizon
-    g = norm.join(bin_ordinals(norm), "bin_start")
-    w = Window.partitionBy("stop_id").orderBy("bin_idx").rowsBetween(0, total - 1)
-    seq = F.collect_list("z").over(w)
+    w = Window.partitionBy("stop_id").orderBy("bin_start")
+    if dense:
+        g = norm.withColumn("bin_idx", F.row_number().over(w) - 1)
+    else:
+        g = norm.join(bin_ordinals(norm), "bin_start")
+    seq = F.collect_list("z").over(w.rowsBetween(0, total - 1))
     out = g.select(F.col("bin_idx").alias("window_idx"), F.col("bin_start").alias("window_start"),
                    "stop_id", seq.alias("_seq"))
     return (out.where(F.size("_seq") == total)
