@@ -48,13 +48,17 @@ def get_session(master: str | None = None, app: str = "railyard",
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster names it; only when it is unset (local tests) a scratch folder
-    is created and registered.  Never a machine-local folder on a cluster.
+    The cluster names it; only when it is unset *and* the master is local
+    (tests, the bench) a scratch folder is created and registered.  On a
+    cluster an unset folder is an error, never a machine-local fallback.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder; a machine-local "
+                               "folder does not survive the loss of an executor")
         d = fallback or tempfile.mkdtemp(prefix="railyard-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
