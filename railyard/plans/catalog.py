@@ -255,14 +255,21 @@ def q_headway_imputed(spark, sf):
     return _imputed(spark, sf)
 
 
+def _z(c: str) -> F.Column:
+    """z-scores for comparison: an imputed bin sits at the stop mean, where z
+    is float noise around 0; rounded to 9 places, negative zero made 0."""
+    return (F.round(F.col(c), 9) + F.lit(0.0)).alias(c)
+
+
 def q_headway_normalised(spark, sf):
-    return _normalised(spark, sf)
+    return _normalised(spark, sf).select("bin_start", "stop_id", "value", _z("z"))
 
 
 def q_training_windows(spark, sf):
     w = _windows(spark, sf)
     return w.select("window_idx", "window_start", "stop_id",
-                    F.posexplode(F.concat("x", "y")).alias("offset", "value"))
+                    F.posexplode(F.concat("x", "y")).alias("offset", "value")) \
+        .select("window_idx", "window_start", "stop_id", "offset", _z("value"))
 
 
 def q_temporal_split(spark, sf):

@@ -365,9 +365,11 @@ ORACLE["headway_5min"] = W(HW, H5) + "SELECT * FROM h5"
 
 ORACLE["headway_imputed"] = W(HW, H5, GRID) + "SELECT * FROM imp"
 
-ORACLE["headway_normalised"] = W(HW, H5, GRID) + "SELECT * FROM norm"
+ORACLE["headway_normalised"] = W(HW, H5, GRID) + """
+SELECT bin_start, stop_id, value, round(z, 9) + 0.0 AS z FROM norm"""
 
-ORACLE["training_windows"] = W(HW, H5, GRID) + "SELECT * FROM win"
+ORACLE["training_windows"] = W(HW, H5, GRID) + """
+SELECT window_idx, window_start, stop_id, "offset", round(value, 9) + 0.0 AS value FROM win"""
 
 ORACLE["temporal_split"] = W(HW, H5, GRID) + "SELECT * FROM splits"
 
