@@ -8,8 +8,6 @@ DuckDB oracle compare equal; the operators themselves return arrays.
 
 from __future__ import annotations
 
-import hashlib
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,31 +16,21 @@ from pyspark.sql import functions as F
 from ..operators import graph, headway as hw, parse, planned, reports, tracks
 from ..schemas import ALERTS_MESSAGE, VEHICLE_COLUMNS
 from ..sources import fixtures
-from ..session import materialize, scratch_path
-from ..sources.tables import defined, events, positions, read_table
+from ..session import materialize
+from ..sources.tables import defined, events, landed, positions, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 # ------------------------------------------------------------------ inputs
-def _landed(spark, sf, name, build):
-    """Feed messages as landed data: derived from the driver tables by Spark
-    once per session and written under the shared checkpoint folder, the
-    way pollers land messages for the parser.  Queries read the files."""
-    def land():
-        digest = hashlib.sha1(os.path.abspath(sf).encode()).hexdigest()[:12]
-        path = scratch_path(spark, f"landing/{spark.sparkContext.applicationId}/{digest}/{name}")
-        build().write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
-    return defined(spark, sf, f"landed:{name}", land)
-
-
 def _gtfs_messages(spark, sf):
-    return _landed(spark, sf, "gtfs", lambda: fixtures.gtfs_messages(events(spark, sf)))
+    return landed(spark, sf, "gtfs", lambda p: fixtures.gtfs_messages(events(spark, sf))
+                  .write.mode("overwrite").parquet(p))
 
 
 def _alert_messages(spark, sf):
-    return _landed(spark, sf, "alerts", lambda: fixtures.alert_messages(events(spark, sf)))
+    return landed(spark, sf, "alerts", lambda p: fixtures.alert_messages(events(spark, sf))
+                  .write.mode("overwrite").parquet(p))
 
 
 def _decoded(spark, sf):

@@ -48,9 +48,14 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The vehicle_positions fixture of FIXTURES.md over the whole ``events``."""
+    """The ``vehicle_positions`` table (FIXTURES.md view over the whole
+    ``events``), stored day-partitioned and clustered by route, direction
+    and stop as the warehouse table is; queries read the table and can
+    prune on ``event_date``."""
     from .fixtures import raw_positions
-    return defined(spark, sf_dir, "positions", lambda: raw_positions(events(spark, sf_dir)))
+    return landed(spark, sf_dir, "vehicle_positions", lambda path: write_partitioned(
+        raw_positions(events(spark, sf_dir)), path, "vehicle_timestamp",
+        ["route_id", "direction", "stop_id"], mode="overwrite"))
 
 
 def date_range(df: DataFrame, time_col: str, start: str | date | None = None,
@@ -75,16 +80,37 @@ def date_range(df: DataFrame, time_col: str, start: str | date | None = None,
 
 
 def write_partitioned(df: DataFrame, path: str, time_col: str, cluster_by: list[str],
-                      date_col: str = "event_date", mode: str = "append") -> None:
+                      date_col: str = "event_date", mode: str = "append",
+                      num_partitions: int | None = None) -> None:
     """Day-partitioned, clustered table: one folder per date of ``time_col``,
-    rows sorted by the clustering columns inside each file so that parquet
-    min/max statistics skip row groups.  Appends are atomic per job."""
+    rows range-partitioned on (date, clustering columns) and sorted within
+    each file, so parquet min/max statistics skip row groups.  Range
+    partitioning spreads one busy day over many tasks and files instead of
+    sending a whole day to one task.  Appends are atomic per job."""
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (df.withColumn(date_col, F.to_date(F.col(time_col)))
-       .repartition(date_col)
+       .repartitionByRange(n, date_col, *cluster_by)
        .sortWithinPartitions(date_col, *cluster_by)
        .write.mode(mode).partitionBy(date_col).parquet(path))
 
 
+def landed(spark: SparkSession, sf_dir: str, name: str, write) -> DataFrame:
+    """Derived input stored once per session under the shared checkpoint
+    folder (``spark.checkpoint.dir``) and read back, the way the pipeline
+    lands messages and tables for the jobs that read them.  ``write(path)``
+    writes it."""
+    import hashlib
+
+    from ..session import scratch_path
+
+    def land():
+        digest = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
+        path = scratch_path(spark, f"landing/{spark.sparkContext.applicationId}/{digest}/{name}")
+        write(path)
+        return spark.read.parquet(path)
+    return defined(spark, sf_dir, f"landed:{name}", land)
+
+
 def expired_dates(spark: SparkSession, path: str, today: str | date, keep_days: int = 90,
                   date_col: str = "event_date") -> DataFrame:
     """Partitions older than the retention period (90 days by default).
