@@ -49,7 +49,9 @@ def headway(df: DataFrame, time_col: str = "vehicle_timestamp",
     next row's predecessor.  Ties in time are broken by trip_id, entity_id.
     """
     d = df.where(F.col(time_col).isNotNull() & F.col("route_id").isin(*routes))
-    d = date_range(d, time_col, start_date, end_date)
+    # on the stored table the range also prunes day folders (event_date)
+    part = "event_date" if "event_date" in df.columns and time_col == "vehicle_timestamp" else None
+    d = date_range(d, time_col, start_date, end_date, date_col=part)
     d = d.select("route_id", "direction", "stop_id", "trip_id", "entity_id",
                  F.col(time_col).alias("arrival_time"))
     d = ordered_neighbor(d, ["route_id", "direction", "stop_id"],

@@ -49,3 +49,17 @@ def test_csv_export(spark, sf_dir, tmp_path):
     empty = str(tmp_path / "empty_csv")
     assert not tables.export_track_csv(rows.where(F.lit(False)), empty)
     assert not os.path.exists(empty)
+
+
+def test_headway_date_range_prunes_partitions(spark, sf_dir):
+    from railyard.operators import headway as hw
+    pos = positions(spark, sf_dir)
+    assert "event_date" in pos.columns
+    day = pos.select(F.min("event_date")).first()[0]
+    h = hw.headway(hw.arrivals(pos), start_date=day, end_date=day)
+    plan = h._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+    # the range filters before the LAG: the day's first arrival has no predecessor
+    full = hw.headway(hw.arrivals(pos)).where(F.col("date") == day).count()
+    assert 0 < h.count() <= full
+    assert {r.date for r in h.select("date").distinct().collect()} <= {day}
