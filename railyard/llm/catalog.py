@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from railyard.llm import packing, simhash
+from railyard.llm import chat, licenses, packing, quality, simhash
 from railyard.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +38,23 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document (4 words, 4 bits)."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, distance=4).select(
         "doc_id", "fingerprint", "component_id")
+
+
+@query("op6_line_frequency_quality", quality.SQL)
+def op6_line_frequency_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    return quality.judged(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "removed_words")
+
+
+@query("op8_license_diagonals", licenses.SQL)
+def op8_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and template spans of every document."""
+    return licenses.license_labels(table(spark, sf_dir, "documents"))
+
+
+@query("op9_snapshot_collapse", chat.SQL)
+def op9_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every maximal conversation, rendered."""
+    return chat.formatted(table(spark, sf_dir, "conversations"))
