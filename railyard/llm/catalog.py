@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from railyard.llm import chat, licenses, packing, quality, simhash
+from railyard.llm import chat, decontam, htmltext, langid, licenses, packing, pii, quality, secrets, simhash
 from railyard.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,33 @@ def op8_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every maximal conversation, rendered."""
     return chat.formatted(table(spark, sf_dir, "conversations"))
+
+
+@query("op7_private_data_boosting")
+def op7_private_data_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document."""
+    return pii.private_report(table(spark, sf_dir, "documents"))
+
+
+@query("op10_secret_ownership")
+def op10_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document."""
+    return secrets.secret_report(table(spark, sf_dir, "documents"))
+
+
+@query("op3_latent_decontamination")
+def op3_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that documents hold."""
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op4_language_evidence")
+def op4_language_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page."""
+    return langid.identified(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
+@query("op5_html_layout")
+def op5_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visible text of every page."""
+    return htmltext.rendered(table(spark, sf_dir, "pages"))
