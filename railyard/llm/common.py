@@ -46,3 +46,11 @@ def own_columns(df: DataFrame, *names: str) -> DataFrame:
     columns of the input cannot clash with the operator's own."""
     have = set(df.columns)
     return df.select(*[df[n] if n in have else F.lit(None).alias(n) for n in names])
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

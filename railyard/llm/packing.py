@@ -226,7 +226,7 @@ def write_sequences(docs: DataFrame, packed: DataFrame, tokenizer: str, path: st
     ordered = F.sort_array(F.collect_list(F.struct("offset", "doc_id", "ids")))
     sequences = parts.groupBy("sequence_id").agg(ordered.alias("parts")).select(
         "sequence_id", F.flatten("parts.ids").alias("ids"), F.col("parts.doc_id").alias("doc_ids"),
-        F.transform("parts.ids", F.size).alias("lengths"))
+        F.transform("parts.ids", lambda x: F.size(x)).alias("lengths"))
     sequences.write.parquet(path)
     return docs.sparkSession.read.parquet(path)
 

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from railyard.llm.common import WORD_BREAK, landed, own_columns
+from railyard.llm.common import WORD_BREAK, fresh, landed, own_columns
 
 MIN_DOCS = 20
 MAX_SHARE = 0.05
@@ -41,7 +41,7 @@ def _words(text: Column) -> Column:
 def _normal_lines(text: Column) -> Column:
     """Normalised lines, one for each line of the text (blank ones empty)."""
     tidy = F.regexp_replace(F.lower(text), r"[\x20\x09\x0B-\x0D]+", " ")
-    return F.transform(F.split(tidy, "\n"), F.trim)
+    return F.transform(F.split(tidy, "\n"), lambda x: F.trim(x))
 
 
 def measured(docs: DataFrame) -> DataFrame:
@@ -120,18 +120,24 @@ def judged(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHA
 def accepted(docs: DataFrame, **limits) -> DataFrame:
     """The documents that pass, less their frequent lines; all columns stay,
     and n_chars, if there, follows the text."""
-    marks = (judged(docs, **limits).where("kept")
-             .select(F.col("doc_id").alias("_id"), F.col("source").alias("_host"),
-                     F.col("text_hash").alias("_hash"), F.col("removed").alias("_removed"))
-             .groupBy("_id", "_host", "_hash").agg(F.first("_removed").alias("_removed")))
-    same = (F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
-            & F.col("source").cast("string").eqNullSafe(F.col("_host"))
-            & (F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))) == F.col("_hash")))
-    text = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(F.array_join(F.filter(
-        F.split("text", "\n"), lambda _, i: ~F.array_contains("_removed", i)), "\n"))
-    out = docs.join(marks, same).withColumn("text", text)
+    names = ("id", "host", "hash", "removed", "kept")
+    doc_id, host, digest, removed, kept = (fresh(docs, n) for n in names)
+    marks = (judged(docs, **limits).where("not kept or removed is not null")
+             .groupBy("doc_id", "source", "text_hash").agg(F.first("removed"), F.first("kept"))
+             .toDF(doc_id, host, digest, removed, kept))
+    # most documents have no mark: these few go to the documents if they are few
+    marks = landed(marks, "marks")
+    if marks.count() <= BROADCAST_ROWS:
+        marks = F.broadcast(marks)
+    same = (F.col("doc_id").cast("long").eqNullSafe(F.col(doc_id))
+            & F.col("source").cast("string").eqNullSafe(F.col(host))
+            & (F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))) == F.col(digest)))
+    whole = F.col(removed).isNull()
+    text = F.when(whole, F.col("text")).otherwise(F.array_join(F.filter(
+        F.split("text", "\n"), lambda _, i: ~F.array_contains(removed, i)), "\n"))
+    out = docs.join(marks, same, "left").where(F.coalesce(kept, F.lit(True))).withColumn("text", text)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_removed").isNull(), F.col("n_chars"))
+        out = out.withColumn("n_chars", F.when(whole, F.col("n_chars"))
                              .otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
     return out.select(docs.columns)
 

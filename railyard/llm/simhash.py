@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from railyard.llm.common import landed, own_columns, python_batches
+from railyard.llm.common import fresh, landed, own_columns, python_batches
 
 BITS = 64
 SHINGLE = 4
@@ -383,7 +383,7 @@ def survivors(docs: DataFrame, **how) -> DataFrame:
     """The documents less all but one of each component: the one with the
     least doc_id stays.  Rows without a doc_id stay; of rows that repeat a
     doc_id one stays."""
-    ids = near_duplicates(docs, **how).where("doc_id = component_id").select(
-        F.col("doc_id").alias("_keep")).distinct()
-    named = docs.join(ids, F.col("doc_id").cast("long") == F.col("_keep")).drop("_keep")
+    keep = fresh(docs, "keep")
+    ids = near_duplicates(docs, **how).where("doc_id = component_id").select(F.col("doc_id").alias(keep)).distinct()
+    named = docs.join(ids, F.col("doc_id").cast("long") == F.col(keep)).drop(keep)
     return named.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
