@@ -43,6 +43,13 @@ def epoch_text_to_ts(c) -> Column:
         .otherwise(F.timestamp_seconds(as_double))
 
 
+def whole_number(c) -> Column:
+    """Text of a number as a long (``2``, ``2.0``); NULL if it has a fraction
+    or is not a number."""
+    n = _c(c).try_cast(T.DoubleType())
+    return F.coalesce(_c(c).try_cast(T.LongType()), F.when(n == F.floor(n), n.try_cast(T.LongType())))
+
+
 def epoch_lenient(c) -> Column:
     """Alert timestamps: NULL on NULL or bad text; 0 is a valid time."""
     return epoch_text_to_ts(c)

@@ -1,6 +1,5 @@
 """Station graph: index (A2), transitions (A3), adjacency (A4), diffusion
-transition matrices (A8), K-hop diffusion of a node feature (A9) and the
-similarity graph of given node vectors (A11).
+transition matrices (A8) and K-hop diffusion of a node feature (A9).
 
 Matrices are edge lists ``(from_stop, to_stop, weight)``; an N x N matrix is
 never materialised on the driver.
@@ -17,8 +16,6 @@ from .windows import hour_bucket, ordered_neighbor
 ADJ_THRESHOLD = 0.1
 DIFFUSION_EPS = 1e-8
 DIFFUSION_STEPS = 2
-MAX_NODES = 4096          # bound on the node set of the dense similarity graph
-MAX_DIMS = 1024           # bound on the node vector length
 
 
 def station_index(h: DataFrame) -> DataFrame:
@@ -88,68 +85,3 @@ def diffusion_features(trans: DataFrame, features: DataFrame, steps: int = DIFFU
     for o in out[1:]:
         res = res.unionByName(o)
     return res
-
-
-def node_vectors(embeddings: DataFrame, key: str = "label", vec: str = "embedding") -> DataFrame:
-    """Mean vector per node key (``node``, ``vec``): the element-wise mean,
-    computed as an aggregate over exploded positions (partial aggregation,
-    no per-node collect)."""
-    e = embeddings.select(F.col(key).alias("node"), F.posexplode(vec).alias("i", "v"))
-    m = e.groupBy("node", "i").agg(F.avg("v").alias("v"))
-    return (m.groupBy("node")
-            .agg(F.array_sort(F.collect_list(F.struct("i", "v"))).alias("_iv"))
-            .select("node", F.transform("_iv", lambda s: s["v"]).alias("vec")))
-
-
-def similarity_graph(nodes: DataFrame, softmax: bool = True, static: DataFrame | None = None,
-                     alpha: float | None = None, eps: float = DIFFUSION_EPS,
-                     max_nodes: int = MAX_NODES, max_dims: int = MAX_DIMS) -> DataFrame:
-    """Row-normalised ``relu(E . E^T)`` over a node set (softmax by
-    default, else relu / (rowsum + eps)); optionally blended as
-    ``alpha * static + (1 - alpha) * similarity``.
-
-    The result is dense, N x N by definition, so the node set must be an
-    aggregate (one row per node).  Its size is checked (``max_nodes`` rows
-    of at most ``max_dims`` values, a few MB) before it is broadcast; each
-    task then scores its share of the nodes against the broadcast matrix
-    with one matrix product and emits its rows.  No join pairs the nodes."""
-    import numpy as np
-    import pandas as pd
-
-    rows = nodes.select("node", "vec").limit(max_nodes + 1).collect()
-    if len(rows) > max_nodes:
-        raise ValueError(f"more than {max_nodes} nodes: the dense similarity graph is bounded")
-    dims = {len(r.vec) for r in rows}
-    if len(dims) > 1 or (dims and max(dims) > max_dims):
-        raise ValueError(f"node vectors must share one length <= {max_dims}, got {sorted(dims)}")
-    key_type = nodes.schema["node"].dataType.simpleString()
-    ids = [r.node for r in rows]
-    mat = np.array([r.vec for r in rows], dtype=np.float64).reshape(len(rows), -1)
-    bc = nodes.sparkSession.sparkContext.broadcast((ids, mat))
-
-    def score(batches):
-        all_ids, m = bc.value
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            e1 = np.array(pdf["vec"].tolist(), dtype=np.float64).reshape(len(pdf), -1)
-            s = np.maximum(e1 @ m.T, 0.0)
-            if softmax:
-                ex = np.exp(s - s.max(axis=1, keepdims=True))
-                w = ex / ex.sum(axis=1, keepdims=True)
-            else:
-                w = s / (s.sum(axis=1, keepdims=True) + eps)
-            yield pd.DataFrame({"from_node": np.repeat(pdf["node"].to_numpy(), len(all_ids)),
-                                "to_node": np.tile(np.array(all_ids, dtype=object), len(pdf)),
-                                "weight": w.ravel()})
-
-    g = nodes.select("node", "vec").mapInPandas(
-        score, f"from_node {key_type}, to_node {key_type}, weight double")
-    if static is not None and alpha is not None:
-        s = static.select(F.col("from_stop").alias("from_node"), F.col("to_stop").alias("to_node"),
-                          F.col("weight").alias("_s"))
-        g = g.join(s, ["from_node", "to_node"], "full").select(
-            "from_node", "to_node",
-            (F.lit(alpha) * F.coalesce("_s", F.lit(0.0))
-             + F.lit(1 - alpha) * F.coalesce("weight", F.lit(0.0))).alias("weight"))
-    return g

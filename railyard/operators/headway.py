@@ -4,9 +4,9 @@ A1 headway, A5 5-minute means, A6 imputation, A7 z-normalisation, W4 sliding
 windows, W5 temporal split, A10 forecast errors, and the planned quality
 measures L3 (regularity), L6 (bin completeness), L8 (interpolated gaps).
 
-Everything stays a DataFrame.  The only value that reaches the driver is the
-ordered station list (hundreds of stops, size-checked) that fixes the column
-set of the dense station-by-bin grid.
+Everything stays a DataFrame and nothing is collected.  Per-stop statistics
+are aggregates joined back; ordered work runs per (stop, bucket of bins) or
+per day, so that one busy stop spreads over many tasks.
 """
 
 from __future__ import annotations
@@ -31,7 +31,8 @@ TRAIN_RATIO = 0.7
 VAL_RATIO = 0.15
 NORM_EPS = 1e-8
 MAPE_MIN_ABS = 1e-9
-MAX_STATIONS = 10_000      # bound on the station list that reaches the driver
+STOP_BUCKETS = 16          # arrays of stops that a bin meets in the dense grid
+BIN_BUCKET = 1024          # bins of one stop that a window task works on
 
 
 def arrivals(positions: DataFrame) -> DataFrame:
@@ -86,24 +87,22 @@ def headway_5min_wide(h5: DataFrame, stations: list[str]) -> DataFrame:
     return h5.groupBy("bin_start").pivot("stop_id", stations).agg(F.first("mean_headway"))
 
 
-def station_list(stations: DataFrame, limit: int = MAX_STATIONS) -> list[str]:
-    """The ordered station list, the one small value allowed on the driver."""
-    rows = (stations.orderBy("station_idx").select("stop_id").limit(limit + 1).collect())
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} stations; the dense grid is not meaningful")
-    return [r[0] for r in rows]
+def headway_imputed(h5: DataFrame) -> DataFrame:
+    """The dense (present bin) x (stop) grid; a hole gets the stop's mean
+    of bin means.  Only bins with at least one value exist.
 
-
-def headway_imputed(h5: DataFrame, stations: list[str]) -> DataFrame:
-    """The dense (present bin) x (station) grid; a hole gets the stop's
-    mean of bin means.  Only bins with at least one value exist."""
-    bins = h5.select("bin_start").distinct()
-    grid = bins.select("bin_start", F.explode(F.array(*[F.lit(s) for s in stations]))
-                       .alias("stop_id"))
+    The grid is an equi-join of bins and stops on a bucket of stops; the
+    stop's mean is an aggregate of the present cells, joined back."""
+    stops = (h5.groupBy("stop_id").agg(F.avg("mean_headway").alias("stop_mean"))
+             .groupBy(F.pmod(F.xxhash64("stop_id"), F.lit(STOP_BUCKETS)).alias("_b"))
+             .agg(F.collect_list(F.struct("stop_id", "stop_mean")).alias("_stops")))
+    bins = h5.select("bin_start").distinct().withColumn("_b", F.explode(
+        F.sequence(F.lit(0).cast("bigint"), F.lit(STOP_BUCKETS - 1).cast("bigint"))))
+    grid = bins.join(stops, "_b").select("bin_start", F.explode("_stops").alias("_s")).select(
+        "bin_start", "_s.stop_id", "_s.stop_mean")
     g = grid.join(h5, ["bin_start", "stop_id"], "left")
-    stop_mean = F.avg("mean_headway").over(Window.partitionBy("stop_id"))
     return g.select("bin_start", "stop_id", "mean_headway",
-                    F.coalesce(F.col("mean_headway"), stop_mean).alias("value"),
+                    F.coalesce("mean_headway", "stop_mean").alias("value"),
                     F.col("mean_headway").isNull().alias("is_imputed"))
 
 
@@ -112,44 +111,47 @@ def headway_normalised(imp: DataFrame, fit_before=None) -> DataFrame:
 
     By default the statistics span the whole range, as in the reference;
     ``fit_before`` (a timestamp) restricts them to earlier bins.  They are
-    window aggregates over the stop's bins -- the partitioning the A6
-    imputation already has -- so no further shuffle or join is needed."""
-    w = Window.partitionBy("stop_id")
+    aggregates with a partial step before the shuffle, joined back."""
     v = F.col("value")
     if fit_before is not None:
         v = F.when(F.col("bin_start") < F.lit(fit_before), v)
-    mu, sd = F.avg(v).over(w), F.stddev_samp(v).over(w)
-    return imp.select("bin_start", "stop_id", "value",
-                      ((F.col("value") - mu) / (sd + NORM_EPS)).alias("z"))
+    fit = imp.groupBy("stop_id").agg(F.avg(v).alias("_mu"), F.stddev_samp(v).alias("_sd"))
+    return imp.join(fit, "stop_id").select(
+        "bin_start", "stop_id", "value", ((F.col("value") - F.col("_mu")) / (F.col("_sd") + NORM_EPS)).alias("z"))
 
 
 def bin_ordinals(grid: DataFrame) -> DataFrame:
-    """Position of each present bin (0-based); a global window over the
-    distinct bins only (one row per bin, never over raw rows)."""
-    bins = grid.select("bin_start").distinct()
-    return bins.select("bin_start", (F.row_number().over(Window.orderBy("bin_start")) - 1)
-                       .alias("bin_idx"))
+    """Position of each present bin (0-based): its place in its day, plus the
+    bins of earlier days (a running sum over one row per day)."""
+    bins = grid.select("bin_start").distinct().withColumn("_day", F.to_date("bin_start"))
+    days = bins.groupBy("_day").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    start = days.select("_day", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_day").orderBy("bin_start")) - 1
+    return bins.withColumn("_at", place).join(start, "_day").select(
+        "bin_start", (F.col("_at") + F.col("_before")).cast("bigint").alias("bin_idx"))
 
 
 def training_windows(norm: DataFrame, input_window: int = INPUT_WINDOW,
-                     horizon: int = OUTPUT_HORIZON, dense: bool = True) -> DataFrame:
+                     horizon: int = OUTPUT_HORIZON, bucket: int = BIN_BUCKET) -> DataFrame:
     """Sliding windows over present bins, step 1: ``x`` the first
     ``input_window`` values, ``y`` the next ``horizon``; n - 23 windows.
 
-    One row per (window, stop); the window runs per stop over its bins.  On
-    the dense A6 grid every stop has one row per present bin, so the stop's
-    own row number is the global bin position (``dense=True``, no global
-    ordering); otherwise positions come from ``bin_ordinals``."""
+    One row per (window, stop).  A stop's bins are worked on in buckets; the
+    first ``total - 1`` bins of a bucket are also copied to the one before,
+    whose last windows reach into them."""
     total = input_window + horizon
-    w = Window.partitionBy("stop_id").orderBy("bin_start")
-    if dense:
-        g = norm.withColumn("bin_idx", F.row_number().over(w) - 1)
-    else:
-        g = norm.join(bin_ordinals(norm), "bin_start")
-    seq = F.collect_list("z").over(w.rowsBetween(0, total - 1))
+    if bucket < total:
+        raise ValueError("a bucket holds at least one whole window")
+    g = norm.join(bin_ordinals(norm), "bin_start").withColumn("_own", F.floor(F.col("bin_idx") / bucket))
+    also = (F.col("bin_idx") % bucket < total - 1) & (F.col("_own") > 0)
+    g = g.withColumn("_bucket", F.explode(F.when(also, F.array(F.col("_own"), F.col("_own") - 1))
+                                          .otherwise(F.array(F.col("_own")))))
+    w = Window.partitionBy("stop_id", "_bucket").orderBy("bin_idx").rowsBetween(0, total - 1)
     out = g.select(F.col("bin_idx").alias("window_idx"), F.col("bin_start").alias("window_start"),
-                   "stop_id", seq.alias("_seq"))
-    return (out.where(F.size("_seq") == total)
+                   "stop_id", F.collect_list("z").over(w).alias("_seq"),
+                   (F.col("_own") == F.col("_bucket")).alias("_mine"))
+    return (out.where(F.col("_mine") & (F.size("_seq") == total))
             .select("window_idx", "window_start", "stop_id",
                     F.slice("_seq", 1, input_window).alias("x"),
                     F.slice("_seq", input_window + 1, horizon).alias("y")))
@@ -158,15 +160,13 @@ def training_windows(norm: DataFrame, input_window: int = INPUT_WINDOW,
 def temporal_split(windows: DataFrame, train_ratio: float = TRAIN_RATIO,
                    val_ratio: float = VAL_RATIO) -> DataFrame:
     """``train`` below int(n*0.7), ``val`` below int(n*(0.7+0.15)), else
-    ``test``; n counts windows (distinct starts).  The count runs over the
-    distinct window starts, one row each, and is joined back."""
-    idx = windows.select("window_idx").distinct()
-    n = F.count(F.lit(1)).over(Window.partitionBy(F.lit(0)))
-    cuts = idx.select("window_idx", F.floor(n * F.lit(train_ratio)).alias("_t"),
-                      F.floor(n * F.lit(train_ratio + val_ratio)).alias("_v"))
-    split = (F.when(F.col("window_idx") < F.col("_t"), F.lit("train"))
-             .when(F.col("window_idx") < F.col("_v"), F.lit("val")).otherwise(F.lit("test")))
-    return windows.join(cuts.select("window_idx", split.alias("split")), "window_idx")
+    ``test``; n counts windows (their positions run from 0).  n is a scalar
+    subquery, so no row is joined or moved for the split."""
+    n = windows.agg(F.max("window_idx") + 1).scalar()
+    split = (F.when(F.col("window_idx") < F.floor(n * F.lit(train_ratio)), F.lit("train"))
+             .when(F.col("window_idx") < F.floor(n * F.lit(train_ratio + val_ratio)), F.lit("val"))
+             .otherwise(F.lit("test")))
+    return windows.withColumn("split", split)
 
 
 def forecast_errors(split_windows: DataFrame, stop_groups: DataFrame | None = None,
@@ -219,27 +219,24 @@ def bin_completeness(h: DataFrame, bin_seconds: int = BIN_SECONDS) -> DataFrame:
                       (F.col("observed_bins") / expected).alias("completeness"))
 
 
-def headway_interpolated(h5: DataFrame, bin_seconds: int = BIN_SECONDS) -> DataFrame:
+def headway_interpolated(h5: DataFrame, bin_seconds: int = BIN_SECONDS,
+                         bucket_seconds: int = 86_400) -> DataFrame:
     """Each stop's 5-minute timeline between its first and last present
     bin; missing bins are filled linearly in time between the neighbouring
-    present values and flagged ``is_filled``."""
-    span = h5.groupBy("stop_id").agg(F.min("bin_start").alias("_a"), F.max("bin_start").alias("_b"))
+    present values and flagged ``is_filled``.
+
+    Each present bin makes the holes since the present bin before it (found
+    per day, with the last one of earlier days carried over), so no stop's
+    whole timeline meets in one task or array."""
+    p = ordered_neighbor(h5.select("bin_start", "stop_id", "mean_headway"), ["stop_id"], ["bin_start"],
+                         ["bin_start", "mean_headway"], hour_bucket("bin_start", bucket_seconds), "_prev")
     step = F.make_dt_interval(secs=F.lit(bin_seconds))
-    grid = span.select("stop_id", F.explode(F.sequence("_a", "_b", step)).alias("bin_start"))
-    g = grid.join(h5, ["stop_id", "bin_start"], "left")
-    w_prev = Window.partitionBy("stop_id").orderBy("bin_start") \
-        .rowsBetween(Window.unboundedPreceding, 0)
-    # "next present value" as a growing frame over the reversed order: an
-    # unbounded-following frame is re-aggregated per row (quadratic)
-    w_next = Window.partitionBy("stop_id").orderBy(F.col("bin_start").desc()) \
-        .rowsBetween(Window.unboundedPreceding, 0)
-    present = F.when(F.col("mean_headway").isNotNull(),
-                     F.struct(F.unix_seconds("bin_start").alias("t"), F.col("mean_headway").alias("v")))
-    g = g.select("*", F.last(present, ignorenulls=True).over(w_prev).alias("_p"),
-                 F.last(present, ignorenulls=True).over(w_next).alias("_n"))
-    t = F.unix_seconds("bin_start")
-    frac = (t - F.col("_p.t")) / (F.col("_n.t") - F.col("_p.t"))
-    interp = F.col("_p.v") + (F.col("_n.v") - F.col("_p.v")) * frac
-    return g.select("bin_start", "stop_id",
-                    F.coalesce(F.col("mean_headway"), interp).alias("mean_headway"),
-                    F.col("mean_headway").isNull().alias("is_filled"))
+    first = F.coalesce(F.col("_prev.bin_start") + step, F.col("bin_start"))
+    every = p.select("stop_id", "mean_headway", "_prev", F.col("bin_start").alias("_at"),
+                     F.explode(F.sequence(first, F.col("bin_start"), step)).alias("bin_start"))
+    filled = F.col("bin_start") < F.col("_at")
+    t0 = F.unix_seconds("_prev.bin_start")
+    frac = (F.unix_seconds("bin_start") - t0) / (F.unix_seconds("_at") - t0)
+    interp = F.col("_prev.mean_headway") + (F.col("mean_headway") - F.col("_prev.mean_headway")) * frac
+    return every.select("bin_start", "stop_id", F.when(filled, interp).otherwise(F.col("mean_headway"))
+                        .alias("mean_headway"), filled.alias("is_filled"))

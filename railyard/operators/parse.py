@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import (epoch_lenient, epoch_text_to_ts, iso_to_ts,
-                                 parse_trip_id, pick_translation, truthy, truthy_epoch)
+                                 parse_trip_id, pick_translation, truthy, truthy_epoch,
+                                 whole_number)
 from ..schemas import (ALERT_COLUMNS, ALERTS_MESSAGE, GTFS_MESSAGE, MERCURY_KEY,
                        SERVICE_ALERTS, VEHICLE_COLUMNS, VEHICLE_POSITIONS, conform)
 
@@ -21,7 +22,6 @@ from ..schemas import (ALERT_COLUMNS, ALERTS_MESSAGE, GTFS_MESSAGE, MERCURY_KEY,
 VALID_VEHICLE_ROUTES = ("A", "B", "C", "D", "E", "F", "H", "M", "S")
 ALERT_TARGET_ROUTES = ("A", "B", "C", "D", "E", "F", "M", "S")
 VALID_DIRECTIONS = ("N", "S", "U")
-CORRUPT = "_corrupt_record"
 # Required fields of V1 and V2, in the order they are checked.
 VEHICLE_REQUIRED = ("entity_id", "trip_id", "route_id", "direction", "stop_id",
                     "vehicle_timestamp", "feed_timestamp", "ingest_time")
@@ -31,15 +31,16 @@ ALERT_REQUIRED = ("alert_id", "feed_timestamp", "ingest_time")
 # ---------------------------------------------------------------- P1 decode
 def decode(messages: DataFrame, schema=GTFS_MESSAGE, value_col: str = "value") -> DataFrame:
     """Parse JSON text (or UTF-8 bytes) into column ``msg``; ``msg_ok``
-    is false for a message that is not a JSON object (kept in the corrupt
-    record column, never an error that stops the job)."""
+    is false for text that is not one JSON object (blank, an array, a lone
+    value, anything after the object), judged by syntax alone.  A field of an
+    unexpected type is null or text and costs only itself."""
     v = F.col(value_col)
     if dict(messages.dtypes).get(value_col) == "binary":
         v = F.decode(v, "UTF-8")
-    sch = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-    parsed = F.from_json(v, sch, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    ok = v.isNotNull() & parsed[CORRUPT].isNull()
-    return messages.withColumn("msg", parsed).withColumn("msg_ok", ok)
+    # the parser stops after the first value: inside brackets, more text after it fails or counts
+    ok = F.coalesce(F.schema_of_variant(F.try_parse_json(v)).startswith("OBJECT")
+                    & (F.json_array_length(F.concat(F.lit("["), v, F.lit("]"))) == 1), F.lit(False))
+    return messages.withColumn("msg", F.from_json(v, schema, {"mode": "PERMISSIVE"})).withColumn("msg_ok", ok)
 
 
 def parse_rejects(decoded: DataFrame, keys=("feed", "msg_id")) -> DataFrame:
@@ -90,7 +91,7 @@ def vehicle_records(ents: DataFrame, keep=()) -> DataFrame:
         trip["train_id"].alias("train_id"), trip["direction"].alias("nyct_direction"),
         null_s.alias("scheduled_track"), null_s.alias("actual_track"),
         veh["stop_id"].alias("stop_id"),
-        veh["current_stop_sequence"].alias("current_stop_sequence"),
+        whole_number(veh["current_stop_sequence"]).alias("current_stop_sequence"),
         veh["current_status"].alias("current_status"),
         epoch_text_to_ts(veh["timestamp"]).alias("vehicle_timestamp"),
         *_feed_times())
@@ -124,7 +125,7 @@ def trip_update_records(ents: DataFrame, keep=()) -> DataFrame:
         F.col("stu.scheduled_track").alias("scheduled_track"),
         F.col("stu.actual_track").alias("actual_track"),
         F.col("stu.stop_id").alias("stop_id"),
-        F.col("stu.stop_sequence").alias("current_stop_sequence"),
+        whole_number(F.col("stu.stop_sequence")).alias("current_stop_sequence"),
         F.lit("IN_TRANSIT_TO").alias("current_status"),
         epoch_text_to_ts("_time_text").alias("vehicle_timestamp"),
         *_feed_times())
@@ -164,13 +165,13 @@ def extract_positions(decoded: DataFrame, keep=(), with_kind: bool = False) -> D
         return F.when(truthy_epoch(arr), arr).when(truthy_epoch(dep), dep)
 
     v_rec = record(F.col("ent.id"), vtrip, v_dir, v_path, null_s, null_s, veh["stop_id"],
-                   veh["current_stop_sequence"], veh["current_status"], veh["timestamp"])
+                   whole_number(veh["current_stop_sequence"]), veh["current_status"], veh["timestamp"])
     kept = F.filter(F.col("ent.trip_update.stop_time_update"),
                     lambda u: truthy(u["stop_id"]) & stop_time(u).isNotNull())
     t_recs = F.transform(kept, lambda u: record(
         F.concat(F.coalesce(F.col("ent.id"), F.lit("None")), F.lit("__"), u["stop_id"]),
         ttrip, t_dir, t_path, u["scheduled_track"], u["actual_track"], u["stop_id"],
-        u["stop_sequence"], F.lit("IN_TRANSIT_TO"), stop_time(u)))
+        whole_number(u["stop_sequence"]), F.lit("IN_TRANSIT_TO"), stop_time(u)))
     recs = (F.when((F.col("kind") == "vehicle") & v_ok, F.array(v_rec))
             .when((F.col("kind") == "trip_update") & t_ok, t_recs))
     out = ents.select(*keep, "kind", *_feed_times(), F.explode(recs).alias("r"))

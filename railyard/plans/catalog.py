@@ -87,10 +87,8 @@ def _h5(spark, sf):
 
 
 def _imputed(spark, sf):
-    # the headway frame feeds both the driver-side station list and the grid
-    h = materialize(_headway(spark, sf))
-    st = hw.station_list(graph.station_index(h))
-    return hw.headway_imputed(hw.headway_5min(h), st)
+    # bins, stops and cells of the grid all come from the 5-minute means
+    return hw.headway_imputed(materialize(_h5(spark, sf)))
 
 
 def _normalised(spark, sf):
@@ -286,11 +284,6 @@ def q_diffusion_features(spark, sf):
     return graph.diffusion_features(materialize(_transition(spark, sf, h)), feats)
 
 
-def q_similarity_graph(spark, sf):
-    nodes = graph.node_vectors(read_table(spark, sf, "embeddings"))
-    return graph.similarity_graph(nodes)
-
-
 def q_alerts_latest(spark, sf):
     a = _alerts_latest(spark, sf)
     return a.select(*[(_text(c) if c in ("affected_routes", "affected_stops") else c)

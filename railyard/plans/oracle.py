@@ -408,17 +408,6 @@ FROM dt JOIN x0 ON x0.stop_id = dt.to_stop GROUP BY dt.direction, dt.from_stop""
 ORACLE["diffusion_features"] = ORACLE["diffusion_features"].replace(
     "\n,\nx0 AS", ",\nx0 AS")
 
-ORACLE["similarity_graph"] = """
-WITH ev AS (
-  SELECT label AS node, unnest(embedding) AS v, unnest(generate_series(1, len(embedding))) AS i
-  FROM embeddings),
-nv AS (SELECT node, i, avg(v) AS v FROM ev GROUP BY node, i),
-dots AS (
-  SELECT a.node AS from_node, b.node AS to_node, greatest(sum(a.v * b.v), 0) AS score
-  FROM nv a JOIN nv b ON a.i = b.i GROUP BY 1, 2),
-ex AS (SELECT *, exp(score - max(score) OVER (PARTITION BY from_node)) AS e FROM dots)
-SELECT from_node, to_node, e / sum(e) OVER (PARTITION BY from_node) AS weight FROM ex"""
-
 ORACLE["alerts_latest"] = W(ALERTS) + "SELECT * FROM al_latest"
 
 ORACLE["time_features"] = W() .rstrip().rstrip(",") + f"""

@@ -51,8 +51,8 @@ SERVICE_ALERTS = T.StructType(
 VEHICLE_COLUMNS = [n for n, _, _ in VEHICLE_POSITIONS_FIELDS]
 ALERT_COLUMNS = [n for n, _, _ in SERVICE_ALERTS_FIELDS]
 
-# Feed messages.  Epoch values are read as text so that int, float and numeric
-# strings all survive ``from_json``; the parsers convert them.
+# Feed messages.  Every scalar is read as text, so that a field of another type
+# than usual never spoils its message; the parsers convert them.
 _TRIP = T.StructType([
     T.StructField("trip_id", S), T.StructField("route_id", S),
     T.StructField("start_time", S), T.StructField("start_date", S),
@@ -60,7 +60,7 @@ _TRIP = T.StructType([
 ])
 _STU = T.StructType([
     T.StructField("stop_id", S),
-    T.StructField("stop_sequence", L),
+    T.StructField("stop_sequence", S),
     T.StructField("arrival", T.StructType([T.StructField("time", S)])),
     T.StructField("departure", T.StructType([T.StructField("time", S)])),
     T.StructField("scheduled_track", S),
@@ -75,7 +75,7 @@ GTFS_MESSAGE = T.StructType([
         T.StructField("id", S),
         T.StructField("vehicle", T.StructType([
             T.StructField("trip", _TRIP),
-            T.StructField("current_stop_sequence", L),
+            T.StructField("current_stop_sequence", S),
             T.StructField("stop_id", S),
             T.StructField("current_status", S),
             T.StructField("timestamp", S)])),

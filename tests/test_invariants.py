@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from railyard.operators import graph, headway as hw, parse, tracks
+from railyard.session import materialize
 from railyard.sources import fixtures
 from railyard.sources.tables import events, positions
 
@@ -19,8 +20,8 @@ def test_adjacency_row_sums_at_most_one(spark, sf_dir):
 
 def test_windows_count_and_split(spark, sf_dir):
     h = hw.headway(hw.arrivals(positions(spark, sf_dir)))
-    st = hw.station_list(graph.station_index(h))
-    norm = hw.headway_normalised(hw.headway_imputed(hw.headway_5min(h), st))
+    st = [r.stop_id for r in h.select("stop_id").distinct().collect()]
+    norm = hw.headway_normalised(hw.headway_imputed(hw.headway_5min(h)))
     n_bins = norm.select("bin_start").distinct().count()
     w = hw.training_windows(norm)
     assert w.select("window_idx").distinct().count() == n_bins - 23
@@ -65,16 +66,52 @@ def test_asof_equals_plain_window(spark, sf_dir):
 
 def test_wide_pivot_and_fit_before(spark, sf_dir):
     h = hw.headway(hw.arrivals(positions(spark, sf_dir)))
-    st = hw.station_list(graph.station_index(h))
+    st = [r.stop_id for r in graph.station_index(h).orderBy("station_idx").collect()]
     h5 = hw.headway_5min(h)
     wide = hw.headway_5min_wide(h5, st)
     assert wide.columns == ["bin_start"] + st
     assert wide.count() == h5.select("bin_start").distinct().count()
     cells = sum(wide.select(F.count(c).alias("n")).first().n for c in st)
     assert cells == h5.count()
-    imp = hw.headway_imputed(h5, st)
+    imp = hw.headway_imputed(h5)
     lo, hi = imp.agg(F.min("bin_start"), F.max("bin_start")).first()
     cut = lo + (hi - lo) / 2
     z = hw.headway_normalised(imp, fit_before=cut)
     fit = z.where(F.col("bin_start") < F.lit(cut)).groupBy("stop_id").agg(F.avg("z").alias("m"))
     assert all(abs(r.m) < 1e-6 for r in fit.collect())
+
+
+def test_one_stop_spreads_over_buckets_and_buckets_do_not_matter(spark):
+    rows = spark.range(400).select(
+        F.timestamp_seconds(F.col("id") * 300 + F.when(F.col("id") > 200, 90_000).otherwise(0)).alias("bin_start"),
+        F.when(F.col("id") % 40 == 0, "b").otherwise("a").alias("stop_id"),
+        (F.col("id") % 17).cast("double").alias("mean_headway"))
+    norm = materialize(hw.headway_normalised(hw.headway_imputed(rows)))
+    fine, coarse = hw.training_windows(norm, bucket=32), hw.training_windows(norm, bucket=10_000)
+    assert fine.count() == (400 - 23) * 2
+    assert sorted(map(str, fine.collect())) == sorted(map(str, coarse.collect()))
+    a, b = (hw.headway_interpolated(rows, bucket_seconds=s) for s in (3600, 10 ** 9))
+    assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+def test_messages_survive_odd_fields_and_odd_text_is_rejected(spark):
+    import json
+
+    from railyard.operators import parse
+
+    def message(seq):
+        ent = [{"id": str(i), "vehicle": {"trip": {"trip_id": "t"}, "current_stop_sequence": s, "stop_id": "x"}}
+               for i, s in enumerate([1, seq, 3])]
+        return json.dumps({"header": {"timestamp": 5}, "entity": ent})
+    good = [message("2"), message(2.0), message("two"), message({"a": 1}), message(None)]
+    bad = ["null", "[]", "", "  ", "3", good[0] + " x", good[0][:-1], None]
+    frame = spark.createDataFrame([("f", str(i), v) for i, v in enumerate(good + bad)],
+                                  "feed string, msg_id string, value string")
+    decoded = parse.decode(frame)
+    assert [r.msg_ok for r in decoded.orderBy(F.col("msg_id").cast("int")).collect()] == [True] * 5 + [False] * 8
+    assert parse.entities(decoded).where("kind = 'vehicle'").count() == 15
+    assert parse.parse_rejects(decoded).count() == 8
+    from railyard.functions.columns import whole_number
+    seq = whole_number(F.col("ent.vehicle.current_stop_sequence"))
+    got = [r[0] for r in parse.entities(decoded).where("ent.id = '1'").orderBy("msg_id").select(seq).collect()]
+    assert got == [2, 2, None, None, None]

@@ -4,9 +4,8 @@ import pytest
 
 import __spark_entry__ as entry_mod
 from compare import compare
-
-QUERIES = entry_mod.queries()
-ORACLE = entry_mod.oracle_sql()
+from railyard.plans.catalog import QUERIES
+from railyard.plans.oracle import ORACLE
 
 
 def test_every_query_has_an_oracle():
