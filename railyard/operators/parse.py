@@ -15,8 +15,8 @@ from pyspark.sql import types as T
 from ..functions.columns import (epoch_lenient, epoch_text_to_ts, iso_to_ts,
                                  parse_trip_id, pick_translation, truthy, truthy_epoch,
                                  whole_number)
-from ..schemas import (ALERT_COLUMNS, ALERTS_MESSAGE, GTFS_MESSAGE, MERCURY_KEY,
-                       SERVICE_ALERTS, VEHICLE_COLUMNS, VEHICLE_POSITIONS, conform)
+from ..schemas import (ALERTS_MESSAGE, GTFS_MESSAGE, MERCURY_KEY,  # noqa: F401
+                       SERVICE_ALERTS, VEHICLE_POSITIONS, conform)
 
 # Accepted routes.
 VALID_VEHICLE_ROUTES = ("A", "B", "C", "D", "E", "F", "H", "M", "S")
@@ -51,18 +51,28 @@ def parse_rejects(decoded: DataFrame, keys=("feed", "msg_id")) -> DataFrame:
 
 
 # ---------------------------------------------------------------- P2 entities
-def entities(decoded: DataFrame, keys=("feed", "msg_id")) -> DataFrame:
+def _entity_rows(decoded: DataFrame, keys, with_failed: bool) -> DataFrame:
+    """One row per entity with its place in the message; ``with_failed``
+    adds one row of NULL entity per message that is not one JSON object."""
+    ent, d = F.col("msg.entity"), decoded.where(F.col("msg_ok"))
+    if with_failed:
+        none = F.lit(None).cast(decoded.schema["msg"].dataType["entity"].dataType.elementType)
+        ent, d = F.when(F.col("msg_ok"), ent).otherwise(F.array(none)), decoded
+    return d.select(*keys, "msg_ok",
+                    F.col("msg.header.timestamp").alias("_feed_ts_text"),
+                    F.col("msg._ingest_time").alias("_ingest_text"),
+                    F.posexplode(ent).alias("ent_pos", "ent"))
+
+
+def entities(decoded: DataFrame, keys=("feed", "msg_id"), with_failed: bool = False) -> DataFrame:
     """One row per entity of every parsed message, with the feed-level
-    fields; ``kind`` is vehicle (wins), trip_update or unknown."""
-    d = decoded.where(F.col("msg_ok"))
-    e = d.select(*keys,
-                 F.col("msg.header.timestamp").alias("_feed_ts_text"),
-                 F.col("msg._ingest_time").alias("_ingest_text"),
-                 F.explode("msg.entity").alias("ent"))
-    kind = (F.when(F.col("ent.vehicle").isNotNull(), F.lit("vehicle"))
+    fields; ``kind`` is vehicle (wins), trip_update or unknown, and message
+    for the row that ``with_failed`` gives a message that failed."""
+    kind = (F.when(~F.col("msg_ok"), F.lit("message"))
+            .when(F.col("ent.vehicle").isNotNull(), F.lit("vehicle"))
             .when(F.col("ent.trip_update").isNotNull(), F.lit("trip_update"))
             .otherwise(F.lit("unknown")))
-    return e.withColumn("kind", kind)
+    return _entity_rows(decoded, keys, with_failed).withColumn("kind", kind).drop("msg_ok")
 
 
 def _feed_times() -> list[Column]:
@@ -70,86 +80,39 @@ def _feed_times() -> list[Column]:
     return [feed_ts.alias("feed_timestamp"), iso_to_ts("_ingest_text").alias("ingest_time")]
 
 
-# ---------------------------------------------------------------- P3 vehicles
-def vehicle_records(ents: DataFrame, keep=()) -> DataFrame:
-    """Vehicle entities with truthy trip_id, route_id, stop_id and
-    timestamp; tracks NULL; direction and path parsed from the trip id.
-    A timestamp that is not a number gives NULL vehicle_timestamp (the
-    validator rejects the row; only that row is lost)."""
-    v = ents.where(F.col("kind") == "vehicle")
-    veh, trip = F.col("ent.vehicle"), F.col("ent.vehicle.trip")
-    v = v.where(truthy(trip["trip_id"]) & truthy(trip["route_id"])
-                & truthy(veh["stop_id"]) & truthy_epoch(veh["timestamp"]))
-    direction, path = parse_trip_id(trip["trip_id"])
-    null_s = F.lit(None).cast("string")
-    out = v.select(
-        *keep,
-        F.col("ent.id").alias("entity_id"),
-        trip["trip_id"].alias("trip_id"), trip["route_id"].alias("route_id"),
-        trip["start_time"].alias("start_time"), trip["start_date"].alias("start_date"),
-        direction.alias("direction"), path.alias("path_id"),
-        trip["train_id"].alias("train_id"), trip["direction"].alias("nyct_direction"),
-        null_s.alias("scheduled_track"), null_s.alias("actual_track"),
-        veh["stop_id"].alias("stop_id"),
-        whole_number(veh["current_stop_sequence"]).alias("current_stop_sequence"),
-        veh["current_status"].alias("current_status"),
-        epoch_text_to_ts(veh["timestamp"]).alias("vehicle_timestamp"),
-        *_feed_times())
-    return out
+# ---------------------------------------------------------------- P3, P4 records
+def _first_missing(*checks: tuple[str, Column]) -> Column:
+    """``missing:<name>`` of the first check that fails, else NULL."""
+    return F.coalesce(*[F.when(~present, F.lit(f"missing:{name}")) for name, present in checks])
 
 
-# ---------------------------------------------------------------- P4 trip updates
-def trip_update_records(ents: DataFrame, keep=()) -> DataFrame:
-    """One row per stop update of a trip update with trip_id and
-    route_id; time = arrival.time if truthy else departure.time if truthy;
-    updates without stop or time are skipped; status IN_TRANSIT_TO and
-    vehicle_timestamp the predicted time."""
-    t = ents.where((F.col("kind") == "trip_update")
-                   & truthy(F.col("ent.trip_update.trip.trip_id"))
-                   & truthy(F.col("ent.trip_update.trip.route_id")))
-    t = t.select("*", F.explode("ent.trip_update.stop_time_update").alias("stu"))
-    arr, dep = F.col("stu.arrival.time"), F.col("stu.departure.time")
-    when_text = F.when(truthy_epoch(arr), arr).when(truthy_epoch(dep), dep)
-    t = t.withColumn("_time_text", when_text) \
-        .where(truthy(F.col("stu.stop_id")) & F.col("_time_text").isNotNull())
-    trip = F.col("ent.trip_update.trip")
-    direction, path = parse_trip_id(trip["trip_id"])
-    return t.select(
-        *keep,
-        F.concat(F.coalesce(F.col("ent.id"), F.lit("None")), F.lit("__"),
-                 F.col("stu.stop_id")).alias("entity_id"),
-        trip["trip_id"].alias("trip_id"), trip["route_id"].alias("route_id"),
-        trip["start_time"].alias("start_time"), trip["start_date"].alias("start_date"),
-        direction.alias("direction"), path.alias("path_id"),
-        trip["train_id"].alias("train_id"), trip["direction"].alias("nyct_direction"),
-        F.col("stu.scheduled_track").alias("scheduled_track"),
-        F.col("stu.actual_track").alias("actual_track"),
-        F.col("stu.stop_id").alias("stop_id"),
-        whole_number(F.col("stu.stop_sequence")).alias("current_stop_sequence"),
-        F.lit("IN_TRANSIT_TO").alias("current_status"),
-        epoch_text_to_ts("_time_text").alias("vehicle_timestamp"),
-        *_feed_times())
+def _stop_time(update: Column) -> Column:
+    arr, dep = update["arrival"]["time"], update["departure"]["time"]
+    return F.when(truthy_epoch(arr), arr).when(truthy_epoch(dep), dep)
 
 
-def extract_positions(decoded: DataFrame, keep=(), with_kind: bool = False) -> DataFrame:
-    """Every record a GTFS message yields, before validation.
-
-    One pass: each entity becomes an array of records (one for a vehicle,
-    one per kept stop update for a trip update) and the arrays are exploded
-    once, so the messages are decoded once (a union of the P3 and P4 frames
-    would decode them twice).  Rows equal ``vehicle_records`` plus
-    ``trip_update_records``."""
-    ents = entities(decoded)
+def position_candidates(ents: DataFrame, keep=()) -> DataFrame:
+    """P3 and P4 before anything is dropped: every record an entity could
+    yield, with ``extract_reason`` NULL where it does yield it.
+
+    A vehicle gives one record: tracks NULL, direction and path parsed from
+    the trip id; it needs trip_id, route_id, stop_id and timestamp.  A trip
+    update gives one record per stop update: time = arrival.time if truthy
+    else departure.time if truthy, status IN_TRANSIT_TO; it needs trip_id,
+    route_id, stop and time.  A trip update without stop updates, an entity
+    of unknown kind and a failed message give one record with a reason.  A
+    timestamp that is not a number gives NULL vehicle_timestamp (the
+    validator rejects the row; only that row is lost).
+
+    One pass: each entity becomes an array of records and the arrays are
+    exploded once, so messages are decoded once."""
     veh, vtrip = F.col("ent.vehicle"), F.col("ent.vehicle.trip")
-    ttrip = F.col("ent.trip_update.trip")
+    ttrip, updates = F.col("ent.trip_update.trip"), F.col("ent.trip_update.stop_time_update")
+    has_updates = F.coalesce(F.size(updates) > 0, F.lit(False))
     null_s = F.lit(None).cast("string")
-    v_dir, v_path = parse_trip_id(vtrip["trip_id"])
-    t_dir, t_path = parse_trip_id(ttrip["trip_id"])
-    v_ok = (truthy(vtrip["trip_id"]) & truthy(vtrip["route_id"])
-            & truthy(veh["stop_id"]) & truthy_epoch(veh["timestamp"]))
-    t_ok = truthy(ttrip["trip_id"]) & truthy(ttrip["route_id"])
 
-    def record(entity_id, trip, direction, path, sched, actual, stop, seq, status, ts_text):
+    def record(entity_id, trip, sched, actual, stop, seq, status, ts_text, reason):
+        direction, path = parse_trip_id(trip["trip_id"])
         return F.struct(
             entity_id.alias("entity_id"), trip["trip_id"].alias("trip_id"),
             trip["route_id"].alias("route_id"), trip["start_time"].alias("start_time"),
@@ -157,26 +120,59 @@ def extract_positions(decoded: DataFrame, keep=(), with_kind: bool = False) -> D
             path.alias("path_id"), trip["train_id"].alias("train_id"),
             trip["direction"].alias("nyct_direction"), sched.alias("scheduled_track"),
             actual.alias("actual_track"), stop.alias("stop_id"),
-            seq.alias("current_stop_sequence"), status.alias("current_status"),
-            epoch_text_to_ts(ts_text).alias("vehicle_timestamp"))
-
-    def stop_time(u):
-        arr, dep = u["arrival"]["time"], u["departure"]["time"]
-        return F.when(truthy_epoch(arr), arr).when(truthy_epoch(dep), dep)
-
-    v_rec = record(F.col("ent.id"), vtrip, v_dir, v_path, null_s, null_s, veh["stop_id"],
-                   whole_number(veh["current_stop_sequence"]), veh["current_status"], veh["timestamp"])
-    kept = F.filter(F.col("ent.trip_update.stop_time_update"),
-                    lambda u: truthy(u["stop_id"]) & stop_time(u).isNotNull())
-    t_recs = F.transform(kept, lambda u: record(
-        F.concat(F.coalesce(F.col("ent.id"), F.lit("None")), F.lit("__"), u["stop_id"]),
-        ttrip, t_dir, t_path, u["scheduled_track"], u["actual_track"], u["stop_id"],
-        whole_number(u["stop_sequence"]), F.lit("IN_TRANSIT_TO"), stop_time(u)))
-    recs = (F.when((F.col("kind") == "vehicle") & v_ok, F.array(v_rec))
-            .when((F.col("kind") == "trip_update") & t_ok, t_recs))
-    out = ents.select(*keep, "kind", *_feed_times(), F.explode(recs).alias("r"))
-    return out.select(*keep, "r.*", "feed_timestamp", "ingest_time",
-                      *(["kind"] if with_kind else []))
+            whole_number(seq).alias("current_stop_sequence"), status.alias("current_status"),
+            epoch_text_to_ts(ts_text).alias("vehicle_timestamp"),
+            reason.alias("extract_reason"))
+
+    v_rec = record(
+        F.col("ent.id"), vtrip, null_s, null_s, veh["stop_id"], veh["current_stop_sequence"],
+        veh["current_status"], veh["timestamp"],
+        F.when(F.col("kind") == "message", F.lit("json_parse_error"))
+        .when(F.col("kind") == "unknown", F.lit("unknown_entity"))
+        .otherwise(_first_missing(
+            ("trip_id", truthy(vtrip["trip_id"])), ("route_id", truthy(vtrip["route_id"])),
+            ("stop_id", truthy(veh["stop_id"])), ("timestamp", truthy_epoch(veh["timestamp"])))))
+
+    def t_rec(u):
+        return record(
+            F.when(truthy(u["stop_id"]), F.concat(F.coalesce(F.col("ent.id"), F.lit("None")),
+                                                  F.lit("__"), u["stop_id"]))
+            .otherwise(F.col("ent.id")),
+            ttrip, u["scheduled_track"], u["actual_track"], u["stop_id"], u["stop_sequence"],
+            F.lit("IN_TRANSIT_TO"), _stop_time(u),
+            _first_missing(
+                ("trip_id", truthy(ttrip["trip_id"])), ("route_id", truthy(ttrip["route_id"])),
+                ("stop_time_update", has_updates), ("stop_id", truthy(u["stop_id"])),
+                ("time", _stop_time(u).isNotNull())))
+
+    # without stop updates, one NULL update carries the reason
+    no_update = F.array(F.lit(None).cast(ents.schema["ent"].dataType["trip_update"].dataType
+                                         ["stop_time_update"].dataType.elementType))
+    t_recs = F.transform(F.when(has_updates, updates).otherwise(no_update), t_rec)
+    recs = F.when(F.col("kind") == "trip_update", t_recs).otherwise(F.array(v_rec))
+    return ents.select(*keep, "kind", *_feed_times(), F.explode(recs).alias("r")) \
+        .select(*keep, "kind", "r.*", "feed_timestamp", "ingest_time")
+
+
+def _extracted(ents: DataFrame, keep=()) -> DataFrame:
+    return position_candidates(ents, keep).where(F.col("extract_reason").isNull()) \
+        .drop("extract_reason")
+
+
+def vehicle_records(ents: DataFrame, keep=()) -> DataFrame:
+    """The records of vehicle entities."""
+    return _extracted(ents.where(F.col("kind") == "vehicle"), keep).drop("kind")
+
+
+def trip_update_records(ents: DataFrame, keep=()) -> DataFrame:
+    """The records of trip updates, one per kept stop update."""
+    return _extracted(ents.where(F.col("kind") == "trip_update"), keep).drop("kind")
+
+
+def extract_positions(decoded: DataFrame, keep=(), with_kind: bool = False) -> DataFrame:
+    """Every record a GTFS message yields, before validation."""
+    out = _extracted(entities(decoded), keep)
+    return out if with_kind else out.drop("kind")
 
 
 # ---------------------------------------------------------------- V1
@@ -208,6 +204,24 @@ def vehicle_rejects(records: DataFrame) -> DataFrame:
     return with_vehicle_verdict(records).where(F.col("reject_reason").isNotNull())
 
 
+def position_outcomes(decoded: DataFrame, keys=("feed", "msg_id"),
+                      with_failed: bool = False) -> DataFrame:
+    """Every candidate record with ``extract_reason`` (P1, P3, P4) and
+    ``reject_reason``: that one, else the validator's (V1), else NULL for a
+    row that reaches the table.  Accepted and rejected rows add up to the
+    candidates, and each entity and failed message has one at least."""
+    c = with_vehicle_verdict(position_candidates(entities(decoded, keys, with_failed), keys))
+    return c.withColumn("reject_reason", F.coalesce("extract_reason", "reject_reason"))
+
+
+def feed_rejects(decoded: DataFrame, keys=("feed", "msg_id")) -> DataFrame:
+    """Dead letters of a GTFS feed, in one pass: failed messages, entities
+    and stop updates that yield no record, and records that fail V1."""
+    r = position_outcomes(decoded, keys, with_failed=True)
+    return r.where(F.col("reject_reason").isNotNull()).select(
+        *keys, "kind", "entity_id", "trip_id", "route_id", "stop_id", "reject_reason")
+
+
 def vehicle_table(decoded: DataFrame) -> DataFrame:
     """P1-P6 + V1 in table schema: what the raw sink appends."""
     return conform(validate_vehicles(extract_positions(decoded)), VEHICLE_POSITIONS)
@@ -215,11 +229,7 @@ def vehicle_table(decoded: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- alerts P7-P9, V2
 def alert_entities(decoded: DataFrame, keys=("msg_id",)) -> DataFrame:
-    d = decoded.where(F.col("msg_ok"))
-    return d.select(*keys, F.col("msg.header.timestamp").alias("_feed_ts_text"),
-                    F.col("msg._ingest_time").alias("_ingest_text"),
-                    F.explode("msg.entity").alias("ent")) \
-        .where(F.col("ent.alert").isNotNull())
+    return _entity_rows(decoded, keys, False).where(F.col("ent.alert").isNotNull())
 
 
 def alert_texts(ents: DataFrame, keep=("msg_id",)) -> DataFrame:
@@ -235,10 +245,10 @@ def _nonempty_sorted(arr: Column, field: str) -> Column:
     return F.array_sort(F.array_distinct(F.filter(vals, lambda x: x.isNotNull() & (x != ""))))
 
 
-def alert_records(ents: DataFrame, target_routes=ALERT_TARGET_ROUTES, keep=()) -> DataFrame:
-    """One row per alert whose routes meet the target set; routes are
-    the sorted intersection, stops all distinct non-empty stops, sorted;
-    only the first active period is kept."""
+def alert_candidates(ents: DataFrame, target_routes=ALERT_TARGET_ROUTES, keep=()) -> DataFrame:
+    """P9 before anything is dropped: one row per alert; routes are the
+    sorted intersection with the target set, stops all distinct non-empty
+    stops, sorted; only the first active period is kept."""
     a = F.col("ent.alert")
     routes = _nonempty_sorted(a["informed_entity"], "route_id")
     target = F.array(*[F.lit(r) for r in target_routes])
@@ -246,7 +256,7 @@ def alert_records(ents: DataFrame, target_routes=ALERT_TARGET_ROUTES, keep=()) -
     first = F.get(a["active_period"], 0)
     merc = a[MERCURY_KEY]
     feed_ts = epoch_lenient("_feed_ts_text")
-    out = ents.select(
+    return ents.select(
         *keep,
         F.col("ent.id").alias("alert_id"),
         merc["alert_type"].alias("alert_type"),
@@ -260,45 +270,96 @@ def alert_records(ents: DataFrame, target_routes=ALERT_TARGET_ROUTES, keep=()) -
         epoch_lenient(merc["updated_at"]).alias("updated_at"),
         feed_ts.alias("feed_timestamp"),
         iso_to_ts("_ingest_text").alias("ingest_time"))
-    return out.where(F.size("affected_routes") > 0)
 
 
-def validate_alerts(records: DataFrame) -> DataFrame:
-    """V2: alert_id, feed_timestamp, ingest_time present; NULL arrays empty."""
-    ok = truthy(F.col("alert_id")) & F.col("feed_timestamp").isNotNull() \
-        & F.col("ingest_time").isNotNull()
+def _hits_target() -> Column:
+    return F.coalesce(F.size("affected_routes") > 0, F.lit(False))
+
+
+def alert_records(ents: DataFrame, target_routes=ALERT_TARGET_ROUTES, keep=()) -> DataFrame:
+    """The alerts whose routes meet the target set."""
+    return alert_candidates(ents, target_routes, keep).where(_hits_target())
+
+
+def _alert_missing() -> Column:
+    """V2: the first required field that is missing, else NULL."""
+    return _first_missing(*[(f, truthy(F.col(f)) if f == "alert_id" else F.col(f).isNotNull())
+                            for f in ALERT_REQUIRED])
+
+
+def _arrays_present(records: DataFrame) -> DataFrame:
     empty = F.array().cast("array<string>")
-    return (records.where(ok)
-            .withColumn("affected_routes", F.coalesce("affected_routes", empty))
+    return (records.withColumn("affected_routes", F.coalesce("affected_routes", empty))
             .withColumn("affected_stops", F.coalesce("affected_stops", empty)))
 
 
+def validate_alerts(records: DataFrame) -> DataFrame:
+    """V2: alert_id, feed_timestamp, ingest_time present; NULL arrays empty."""
+    return _arrays_present(records.where(_alert_missing().isNull()))
+
+
+def alert_outcomes(decoded: DataFrame, keys=("msg_id",), target_routes=ALERT_TARGET_ROUTES,
+                   with_failed: bool = False) -> DataFrame:
+    """Every alert entity with ``reject_reason``: ``no_alert`` (an entity of
+    another kind), ``no_target_route`` (P9), ``missing:<field>`` (V2),
+    ``json_parse_error`` (the row of a failed message), or NULL for a row
+    that reaches the table."""
+    rows = _entity_rows(decoded, keys, with_failed) \
+        .withColumn("_is_alert", F.col("ent.alert").isNotNull())
+    reason = (F.when(~F.col("msg_ok"), F.lit("json_parse_error"))
+              .when(~F.col("_is_alert"), F.lit("no_alert"))
+              .when(~_hits_target(), F.lit("no_target_route"))
+              .otherwise(_alert_missing()))
+    return alert_candidates(rows, target_routes, (*keys, "msg_ok", "_is_alert")) \
+        .withColumn("reject_reason", reason).drop("msg_ok", "_is_alert")
+
+
+def alert_rejects(decoded: DataFrame, keys=("msg_id",)) -> DataFrame:
+    """Dead letters of the alerts feed: failed messages, filtered and invalid
+    alerts, entities that hold no alert."""
+    r = alert_outcomes(decoded, keys, with_failed=True)
+    return r.where(F.col("reject_reason").isNotNull()).select(*keys, "alert_id", "reject_reason")
+
+
 def alert_table(decoded: DataFrame) -> DataFrame:
     return conform(validate_alerts(alert_records(alert_entities(decoded))), SERVICE_ALERTS)
 
 
 # ---------------------------------------------------------------- P11, P12
-def stop_update_rows(ents: DataFrame, snapshot: Column) -> DataFrame:
-    """Every stop update of every trip update with standard and
-    extension fields side by side (no track filter)."""
+def _stop_updates(ents: DataFrame, snapshot: Column) -> DataFrame:
     t = ents.where(F.col("ent.trip_update").isNotNull())
-    t = t.select(snapshot.alias("snapshot"), F.col("ent.trip_update.trip").alias("trip"),
-                 F.explode("ent.trip_update.stop_time_update").alias("stu"))
-    return t.select(
-        "snapshot", F.col("trip.trip_id").alias("trip_id"),
-        F.coalesce(F.col("trip.route_id"), F.lit("N/A")).alias("route_id"),
-        F.col("stu.stop_id").alias("stop_id"),
-        F.col("trip.train_id").alias("train_id"),
+    return t.select(snapshot.alias("snapshot"), "ent_pos", F.col("ent.trip_update.trip").alias("trip"),
+                    F.posexplode("ent.trip_update.stop_time_update").alias("stop_pos", "stu"))
+
+
+def _extract_base() -> list[Column]:
+    return [F.col("snapshot"), F.col("ent_pos"), F.col("stop_pos"),
+            F.col("trip.trip_id").alias("trip_id"),
+            F.coalesce(F.col("trip.route_id"), F.lit("N/A")).alias("route_id"),
+            F.col("stu.stop_id").alias("stop_id"),
+            F.col("stu.arrival.time").try_cast("bigint").alias("arrival_time")]
+
+
+def standard_extract(ents: DataFrame, snapshot: Column) -> DataFrame:
+    """P12, standard fields alone: one row per stop update of every trip
+    update, keyed by its places in the message; arrival and departure apart."""
+    return _stop_updates(ents, snapshot).select(
+        *_extract_base(), F.col("stu.departure.time").try_cast("bigint").alias("departure_time"))
+
+
+def extension_extract(ents: DataFrame, snapshot: Column) -> DataFrame:
+    """P12, with the extension fields: train, direction and tracks (NULL
+    where the extension is absent); no filter on tracks."""
+    return _stop_updates(ents, snapshot).select(
+        *_extract_base(), F.col("trip.train_id").alias("train_id"),
         F.col("trip.direction").alias("direction"),
         F.col("stu.scheduled_track").alias("scheduled_track"),
-        F.col("stu.actual_track").alias("actual_track"),
-        F.col("stu.arrival.time").try_cast("bigint").alias("arrival_time"),
-        F.col("stu.departure.time").try_cast("bigint").alias("departure_time"))
+        F.col("stu.actual_track").alias("actual_track"))
 
 
 def track_rows(ents: DataFrame, snapshot: Column) -> DataFrame:
     """Stop updates that carry a scheduled or an actual track."""
-    r = stop_update_rows(ents, snapshot)
+    r = extension_extract(ents, snapshot)
     return r.where(truthy(F.col("scheduled_track")) | truthy(F.col("actual_track"))).select(
         "snapshot", "trip_id", "route_id", "train_id", "direction", "stop_id",
         "scheduled_track", "actual_track")
@@ -311,5 +372,3 @@ def feed_union(*feeds: DataFrame) -> DataFrame:
         out = out.unionByName(f)
     return out
 
-
-__all__ = [n for n in dir() if not n.startswith("_")] + ["VEHICLE_COLUMNS", "ALERT_COLUMNS"]

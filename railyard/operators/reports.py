@@ -45,11 +45,14 @@ def enrichment_recent(table: DataFrame, now=None, hours: int = 1) -> DataFrame:
 
     ``now`` defaults to the newest vehicle_timestamp in the table: one
     scalar aggregate, then a literal predicate that reaches the parquet scan
-    (row-group min/max skipping) instead of a join against the aggregate."""
+    (row-group min/max skipping) instead of a join against the aggregate.  On
+    the stored table the days before are pruned."""
     if now is None:
         now = table.agg(F.max("vehicle_timestamp")).first()[0]
     since = F.lit(now).cast("timestamp") - F.make_dt_interval(hours=F.lit(hours))
     t = table.where(F.col("vehicle_timestamp") > since)
+    if "event_date" in table.columns:
+        t = t.where(F.col("event_date") >= F.to_date(since))
     r = t.groupBy().agg(
         F.count(F.lit(1)).alias("total_arrivals"),
         F.count_if(F.col("actual_track").isNotNull()).alias("with_track_data"))
@@ -80,51 +83,123 @@ def snapshot_summary(tracks: DataFrame) -> DataFrame:
             F.count_if(truthy(s)).alias("with_scheduled"),
             F.array_sort(F.collect_set(F.when(truthy(a), a))).alias("actual_codes"),
             F.array_sort(F.collect_set(F.when(truthy(s), s))).alias("scheduled_codes")]
-    per = tracks.groupBy("snapshot").agg(*aggs)
-    total = tracks.groupBy().agg(*aggs).select(F.lit("ALL").alias("snapshot"), "*")
-    return per.unionByName(total) \
+    return _with_overall(tracks, aggs) \
         .withColumn("pct_actual", _pct(F.col("with_actual"), F.col("total"))) \
         .withColumn("pct_scheduled", _pct(F.col("with_scheduled"), F.col("total")))
 
 
-def extractor_comparison(stop_rows: DataFrame) -> DataFrame:
-    """Standard against extended extraction per snapshot and overall
-    (``snapshot = 'ALL'``): rows each way, with tracks, train ids, pct."""
-    aggs = [F.count(F.lit(1)).alias("current_rows"),
-            F.count(F.lit(1)).alias("extension_rows"),
-            F.count_if(truthy(F.col("actual_track"))).alias("with_actual"),
-            F.count_if(truthy(F.col("scheduled_track"))).alias("with_scheduled"),
-            F.count_if(truthy(F.col("train_id"))).alias("with_train_id")]
-    per = stop_rows.groupBy("snapshot").agg(*aggs)
-    total = stop_rows.groupBy().agg(*aggs).select(F.lit("ALL").alias("snapshot"), "*")
-    r = per.unionByName(total)
+def _with_overall(rows: DataFrame, aggs: list[Column]) -> DataFrame:
+    """Per snapshot and overall in one pass over ``rows`` (a rollup, partially
+    aggregated before the shuffle)."""
+    r = rows.rollup("snapshot").agg(F.grouping("snapshot").alias("_all"), *aggs)
+    names = [c for c in r.columns if c not in ("snapshot", "_all")]
+    return r.select(F.when(F.col("_all") == 1, F.lit("ALL")).otherwise(F.col("snapshot"))
+                    .alias("snapshot"), *names)
+
+
+def extractor_comparison(standard: DataFrame, extension: DataFrame) -> DataFrame:
+    """Standard against extended extraction (P12) per snapshot and overall
+    (``snapshot = 'ALL'``): rows each way, rows without partner, rows with
+    tracks and train ids, pct.  Rows meet on their place in the message, which
+    is unique, so the join has no hot key."""
+    place = ["snapshot", "ent_pos", "stop_pos"]
+    s = standard.select(*place, F.lit(True).alias("_std"))
+    e = extension.select(*place, "actual_track", "scheduled_track", "train_id",
+                         F.lit(True).alias("_ext"))
+    j = s.join(e, place, "full")
+    std, ext = F.col("_std").isNotNull(), F.col("_ext").isNotNull()
+    r = _with_overall(j, [
+        F.count_if(std).alias("current_rows"), F.count_if(ext).alias("extension_rows"),
+        F.count_if(std & ~ext).alias("current_only"),
+        F.count_if(ext & ~std).alias("extension_only"),
+        F.count_if(truthy(F.col("actual_track"))).alias("with_actual"),
+        F.count_if(truthy(F.col("scheduled_track"))).alias("with_scheduled"),
+        F.count_if(truthy(F.col("train_id"))).alias("with_train_id")])
     return r.withColumn("pct_actual", _pct(F.col("with_actual"), F.col("extension_rows")))
 
 
-def job_counters(decoded: DataFrame, enriched: DataFrame, positions: DataFrame) -> DataFrame:
-    """The job counters as ``(counter, value)`` rows, each an aggregate
-    over the batch (a stream uses ``DataFrame.observe`` with the same
-    expressions).  Records are extracted in one pass and counted by kind."""
-    from .parse import extract_positions, with_vehicle_verdict
+def sample_match(standard: DataFrame, extension: DataFrame) -> DataFrame:
+    """Per snapshot the first extended row with an actual track (else the
+    first row) beside the first standard row of its trip and stop.  Both firsts
+    are ``min_by`` aggregates by place in the message; ids match NULL-safely."""
+    order = [F.col("ent_pos"), F.col("stop_pos")]
+    shown = ["trip_id", "stop_id", "route_id", "train_id", "direction", "scheduled_track",
+             "actual_track"]
+    ext = extension.groupBy("snapshot").agg(F.min_by(
+        F.struct(*shown), F.struct(~truthy(F.col("actual_track")), *order)).alias("e"))
+    e = ext.select("snapshot", "e.*").alias("e")
+    s = standard.alias("s")
+    pair = s.join(e, (F.col("s.snapshot") == F.col("e.snapshot"))
+                  & F.col("s.trip_id").eqNullSafe(F.col("e.trip_id"))
+                  & F.col("s.stop_id").eqNullSafe(F.col("e.stop_id"))) \
+        .groupBy(F.col("e.snapshot").alias("snapshot")).agg(F.min_by(
+            F.struct(F.col("s.route_id").alias("current_route_id"),
+                     F.col("s.arrival_time").alias("current_arrival_time"),
+                     F.col("s.departure_time").alias("current_departure_time")),
+            F.struct(*[F.col(f"s.{c}") for c in ("ent_pos", "stop_pos")])).alias("c"))
+    return ext.select("snapshot", "e.*").join(pair.select("snapshot", "c.*"), "snapshot", "left")
+
+
+# ---------------------------------------------------------------- R8
+def message_counters() -> list[Column]:
+    """Over decoded messages."""
+    return [F.count_if(F.col("msg_ok")).alias("messages_processed"),
+            F.count_if(~F.col("msg_ok")).alias("parse_errors")]
+
+
+def record_counters() -> list[Column]:
+    """Over ``parse.position_outcomes``."""
     from .tracks import is_track_update
-    m = decoded.agg(F.count_if(F.col("msg_ok")).alias("messages_processed"),
-                    F.count_if(~F.col("msg_ok")).alias("parse_errors"))
-    v = with_vehicle_verdict(extract_positions(decoded, with_kind=True)).agg(
-        F.count_if(F.col("kind") == "vehicle").alias("vehicles_extracted"),
-        F.count_if(F.col("kind") == "trip_update").alias("trip_updates_processed"),
-        F.count_if(F.col("reject_reason").isNull()).alias("valid_records"),
-        F.count_if(F.col("reject_reason").isNotNull()).alias("invalid_records"))
-    e = enriched.agg(F.count_if(F.col("enrichment") == "enriched").alias("enriched_records"),
-                     F.count_if(F.col("enrichment") == "no_track").alias("no_track_data"),
-                     F.count_if(F.col("enrichment") == "stale").alias("stale_track_data"))
-    c = positions.agg(F.count_if(is_track_update()).alias("track_data_cached"))
+    extracted, valid = F.col("extract_reason").isNull(), F.col("reject_reason").isNull()
+    kind = F.col("kind")
+    return [F.count_if(extracted & (kind == "vehicle")).alias("vehicles_extracted"),
+            F.count_if(extracted & (kind == "trip_update")).alias("trip_updates_processed"),
+            F.count_if(~extracted & (kind == "vehicle")).alias("invalid_vehicles"),
+            F.count_if(valid).alias("valid_records"),
+            F.count_if(extracted & ~valid).alias("invalid_records"),
+            F.count_if(valid & F.coalesce(is_track_update(), F.lit(False)))
+            .alias("track_data_cached")]
+
+
+def enrichment_counters() -> list[Column]:
+    """Over enriched arrivals."""
+    e = F.col("enrichment")
+    return [F.count_if(e == "enriched").alias("enriched_records"),
+            F.count_if(e == "no_track").alias("no_track_data"),
+            F.count_if(e == "stale").alias("stale_track_data")]
+
+
+def alert_counters() -> list[Column]:
+    """Over ``parse.alert_outcomes``."""
+    r = F.col("reject_reason")
+    dropped = F.coalesce(r.isin("no_alert", "no_target_route", "json_parse_error"), F.lit(False))
+    return [F.count_if(~dropped).alias("alerts_extracted"),
+            F.count_if(r == "no_target_route").alias("alerts_filtered"),
+            F.count_if(r.isNull()).alias("valid_alerts"),
+            F.count_if(~dropped & r.isNotNull()).alias("invalid_alerts")]
+
+
+def job_counters(decoded: DataFrame, alerts_decoded: DataFrame | None = None) -> DataFrame:
+    """The job counters as ``(counter, value)`` rows.  All come from the
+    decoded messages, so they reconcile: records = valid + invalid, and the
+    arrivals among the valid ones = enriched + no track + stale.  A stream
+    observes the same expressions (``streaming.ingest``)."""
+    from .parse import alert_outcomes, position_outcomes, vehicle_table
+    from .tracks import arrival_track_asof
+    parts = [decoded.agg(*message_counters()),
+             position_outcomes(decoded).agg(*record_counters()),
+             arrival_track_asof(vehicle_table(decoded)).agg(*enrichment_counters())]
+    if alerts_decoded is not None:
+        m = alerts_decoded.agg(*message_counters())
+        parts += [m.select([F.col(c).alias(f"alert_{c}") for c in m.columns]),
+                  alert_outcomes(alerts_decoded).agg(*alert_counters())]
 
     def longform(df: DataFrame) -> DataFrame:
         cols = df.columns
         pairs = ", ".join(f"'{c}', `{c}`" for c in cols)
         return df.selectExpr(f"stack({len(cols)}, {pairs}) AS (counter, value)")
 
-    out = longform(m)
-    for d in (v, e, c):
+    out = longform(parts[0])
+    for d in parts[1:]:
         out = out.unionByName(longform(d))
     return out

@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import graph, headway as hw, parse, planned, reports, tracks
-from ..schemas import ALERTS_MESSAGE, VEHICLE_COLUMNS
+from ..schemas import ALERTS_MESSAGE
 from ..sources import fixtures
 from ..session import materialize
-from ..sources.tables import defined, events, landed, positions, read_table
+from ..sources.tables import events, landed, positions, write_partitioned
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,8 +33,16 @@ def _alert_messages(spark, sf):
                   .write.mode("overwrite").parquet(p))
 
 
+def _store_decoded(decoded, path):
+    # the text stays with failed messages alone: their dead letters show it
+    decoded.withColumn("value", F.when(~F.col("msg_ok"), F.col("value"))) \
+        .write.mode("overwrite").parquet(path)
+
+
 def _decoded(spark, sf):
-    return defined(spark, sf, "gtfs_decoded", lambda: parse.decode(_gtfs_messages(spark, sf)))
+    """Messages decoded once; queries read the typed columns they need."""
+    return landed(spark, sf, "gtfs_decoded",
+                  lambda p: _store_decoded(parse.decode(_gtfs_messages(spark, sf)), p))
 
 
 def _ents(spark, sf):
@@ -42,8 +50,8 @@ def _ents(spark, sf):
 
 
 def _alert_decoded(spark, sf):
-    return defined(spark, sf, "alerts_decoded",
-                   lambda: parse.decode(_alert_messages(spark, sf), ALERTS_MESSAGE))
+    return landed(spark, sf, "alerts_decoded", lambda p: _store_decoded(
+        parse.decode(_alert_messages(spark, sf), ALERTS_MESSAGE), p))
 
 
 def _alert_ents(spark, sf):
@@ -70,10 +78,23 @@ def _enriched(spark, sf):
     return tracks.arrival_track_asof(positions(spark, sf))
 
 
+def _enriched_table(spark, sf):
+    """The enriched table as the stream writes it: day-partitioned, clustered;
+    the reports read it."""
+    return landed(spark, sf, "vehicle_positions_enriched", lambda p: write_partitioned(
+        _enriched(spark, sf), p, "vehicle_timestamp", ["route_id", "direction", "stop_id"],
+        mode="overwrite"))
+
+
 def _snapshot():
     return F.concat(F.col("feed"), F.lit(":"), F.col("msg_id").cast("string"))
 
 
+def _extracts(spark, sf):
+    e = _ents(spark, sf)
+    return parse.standard_extract(e, _snapshot()), parse.extension_extract(e, _snapshot())
+
+
 def _text(c: str) -> F.Column:
     return F.array_join(F.col(c), ",").alias(c)
 
@@ -171,6 +192,14 @@ def q_vehicle_rejects(spark, sf):
     return r.select("entity_id", "trip_id", "route_id", "stop_id", "reject_reason")
 
 
+def q_feed_rejects(spark, sf):
+    return parse.feed_rejects(_decoded(spark, sf))
+
+
+def q_alert_rejects(spark, sf):
+    return parse.alert_rejects(_alert_decoded(spark, sf))
+
+
 def q_track_rows(spark, sf):
     return parse.track_rows(_ents(spark, sf), _snapshot())
 
@@ -196,29 +225,31 @@ def q_snapshot_summary(spark, sf):
 
 
 def q_extractor_comparison(spark, sf):
-    return reports.extractor_comparison(parse.stop_update_rows(_ents(spark, sf), _snapshot()))
+    return reports.extractor_comparison(*_extracts(spark, sf))
+
+
+def q_sample_match(spark, sf):
+    return reports.sample_match(*_extracts(spark, sf))
 
 
 def q_latest_tracked(spark, sf):
-    return reports.latest_tracked(_enriched(spark, sf))
+    return reports.latest_tracked(_enriched_table(spark, sf))
 
 
 def q_track_coverage(spark, sf):
-    return reports.track_coverage(_enriched(spark, sf), by_day=True)
+    return reports.track_coverage(_enriched_table(spark, sf), by_day=True)
 
 
 def q_enrichment_recent(spark, sf):
-    return reports.enrichment_recent(_enriched(spark, sf))
+    return reports.enrichment_recent(_enriched_table(spark, sf))
 
 
 def q_track_frequency(spark, sf):
-    return reports.track_frequency(_enriched(spark, sf))
+    return reports.track_frequency(_enriched_table(spark, sf))
 
 
 def q_job_counters(spark, sf):
-    pos = positions(spark, sf)
-    dec = _decoded(spark, sf)
-    return reports.job_counters(dec, tracks.arrival_track_asof(pos), pos)
+    return reports.job_counters(_decoded(spark, sf), _alert_decoded(spark, sf))
 
 
 def q_station_index(spark, sf):
@@ -328,5 +359,3 @@ QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)
 }
-
-__all__ = ["QUERIES", "VEHICLE_COLUMNS"]

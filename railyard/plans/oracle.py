@@ -306,15 +306,45 @@ SELECT *, {_pct('with_actual', 'total')} AS pct_actual,
     coalesce(array_to_string(list_sort(list_distinct(list(scheduled_track))), ','), '')
   FROM trk WHERE scheduled_track IS NOT NULL OR actual_track IS NOT NULL)"""
 
-ORACLE["extractor_comparison"] = W(MSG, TRACKS) + f"""
+EXTRACTS = """
+pos AS (
+  SELECT *, row_number() OVER (PARTITION BY feed, msg_id ORDER BY event_id) - 1 AS ent_pos,
+    feed || ':' || CAST(msg_id AS VARCHAR) AS snapshot,
+    CASE WHEN k % 13 = 0 THEN NULL WHEN k % 3 = 0 THEN 0 ELSE veh_epoch END AS arr_epoch,
+    CASE WHEN k % 13 <> 0 THEN veh_epoch + 30 END AS dep_epoch
+  FROM msg_ev),
+std_x AS (SELECT snapshot, ent_pos, trip_text AS trip_id, msg_route AS route_id, stop_id,
+    arr_epoch, dep_epoch FROM pos WHERE msg_ok AND is_tu),
+ext_x AS (SELECT snapshot, ent_pos, trip_text AS trip_id, msg_route AS route_id, stop_id,
+    train_id, nyct_direction AS direction, scheduled_track, actual_track
+  FROM pos WHERE msg_ok AND is_tu)"""
+
+ORACLE["extractor_comparison"] = W(MSG, EXTRACTS) + f"""
 SELECT *, {_pct('with_actual', 'extension_rows')} AS pct_actual FROM (
-  SELECT snapshot, count(*) AS current_rows, count(*) AS extension_rows,
-    count(actual_track) AS with_actual, count(scheduled_track) AS with_scheduled,
-    count(train_id) AS with_train_id
-  FROM trk GROUP BY snapshot
-  UNION ALL
-  SELECT 'ALL', count(*), count(*), count(actual_track), count(scheduled_track), count(train_id)
-  FROM trk)"""
+  SELECT coalesce(snapshot, 'ALL') AS snapshot,
+    CAST(sum(s) AS BIGINT) AS current_rows, CAST(sum(x) AS BIGINT) AS extension_rows,
+    count(*) FILTER (x = 0) AS current_only, count(*) FILTER (s = 0) AS extension_only,
+    CAST(sum(a) AS BIGINT) AS with_actual, CAST(sum(c) AS BIGINT) AS with_scheduled,
+    CAST(sum(t) AS BIGINT) AS with_train_id
+  FROM (
+    SELECT snapshot, ent_pos, max(s) AS s, max(x) AS x, max(a) AS a, max(c) AS c, max(t) AS t
+    FROM (SELECT snapshot, ent_pos, 1 AS s, 0 AS x, 0 AS a, 0 AS c, 0 AS t FROM std_x
+          UNION ALL
+          SELECT snapshot, ent_pos, 0, 1, (actual_track IS NOT NULL)::INT,
+            (scheduled_track IS NOT NULL)::INT, (train_id IS NOT NULL)::INT FROM ext_x)
+    GROUP BY snapshot, ent_pos)
+  GROUP BY ROLLUP (snapshot))"""
+
+ORACLE["sample_match"] = W(MSG, EXTRACTS) + """,
+pick AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY snapshot
+    ORDER BY actual_track IS NULL, ent_pos) AS rn FROM ext_x) WHERE rn = 1)
+SELECT p.snapshot, p.trip_id, p.stop_id, p.route_id, p.train_id, p.direction, p.scheduled_track,
+  p.actual_track, s.route_id AS current_route_id, s.arr_epoch AS current_arrival_time,
+  s.dep_epoch AS current_departure_time
+FROM pick p LEFT JOIN std_x s ON s.snapshot = p.snapshot AND s.ent_pos = (
+  SELECT min(f.ent_pos) FROM std_x f WHERE f.snapshot = p.snapshot AND f.trip_id = p.trip_id
+    AND f.stop_id = p.stop_id)"""
+ORACLE["sample_match"] = ORACLE["sample_match"].replace("\n,\npick AS", ",\npick AS")
 
 ORACLE["latest_tracked"] = W(J2) + """
 SELECT trip_id, stop_id, actual_track, scheduled_track, train_id, nyct_direction,
@@ -337,20 +367,49 @@ SELECT *, {_pct('with_track_data', 'total_arrivals')} AS enrichment_pct FROM (
 ORACLE["track_frequency"] = W(J2) + """
 SELECT actual_track, count(*) AS count FROM enr WHERE actual_track IS NOT NULL GROUP BY 1"""
 
-ORACLE["job_counters"] = W(MSG, P3, P4, J2) + """
+VALID_ROUTE = "route_id IN ('A', 'B', 'C', 'D', 'E', 'F', 'H', 'M', 'S')"
+VMSG = f"""
+vmsg AS (SELECT {VCOLS} FROM (SELECT * FROM p3 UNION ALL SELECT * FROM p4) WHERE {VALID_ROUTE})"""
+
+ORACLE["job_counters"] = W(MSG, P3, P4, VMSG, J2.replace("raw_positions", "vmsg"), ALERTS) + f"""
 SELECT 'messages_processed' AS counter, count(DISTINCT (feed, msg_id)) AS value
   FROM msg_ev WHERE msg_ok
 UNION ALL SELECT 'parse_errors', count(DISTINCT (feed, msg_id)) FROM msg_ev WHERE NOT msg_ok
 UNION ALL SELECT 'vehicles_extracted', count(*) FROM p3
 UNION ALL SELECT 'trip_updates_processed', count(*) FROM p4
-UNION ALL SELECT 'valid_records', count(*) FROM (SELECT route_id FROM p3 UNION ALL SELECT route_id FROM p4)
-  WHERE route_id IN ('A', 'B', 'C', 'D', 'E', 'F', 'H', 'M', 'S')
-UNION ALL SELECT 'invalid_records', count(*) FROM (SELECT route_id FROM p3 UNION ALL SELECT route_id FROM p4)
-  WHERE route_id NOT IN ('A', 'B', 'C', 'D', 'E', 'F', 'H', 'M', 'S')
+UNION ALL SELECT 'invalid_vehicles', count(*) FROM msg_ev WHERE msg_ok AND NOT is_tu AND k % 11 = 0
+UNION ALL SELECT 'valid_records', count(*) FROM vmsg
+UNION ALL SELECT 'invalid_records', count(*)
+  FROM (SELECT route_id FROM p3 UNION ALL SELECT route_id FROM p4) WHERE NOT {VALID_ROUTE}
 UNION ALL SELECT 'enriched_records', count(*) FROM enr WHERE enrichment = 'enriched'
 UNION ALL SELECT 'no_track_data', count(*) FROM enr WHERE enrichment = 'no_track'
 UNION ALL SELECT 'stale_track_data', count(*) FROM enr WHERE enrichment = 'stale'
-UNION ALL SELECT 'track_data_cached', count(*) FROM rel WHERE src"""
+UNION ALL SELECT 'track_data_cached', count(*) FROM rel WHERE src
+UNION ALL SELECT 'alert_messages_processed', count(DISTINCT amsg) FROM al_ev
+UNION ALL SELECT 'alert_parse_errors', 0
+UNION ALL SELECT 'alerts_extracted', count(*) FROM al_flat
+UNION ALL SELECT 'alerts_filtered', count(*) FROM al_rows WHERE no_target
+UNION ALL SELECT 'valid_alerts', count(*) FROM al_valid
+UNION ALL SELECT 'invalid_alerts', count(*) FROM al_flat WHERE feed_timestamp IS NULL"""
+
+ORACLE["feed_rejects"] = W(MSG, P3, P4) + f"""
+SELECT DISTINCT feed, msg_id, 'message' AS kind, CAST(NULL AS VARCHAR) AS entity_id,
+  CAST(NULL AS VARCHAR) AS trip_id, CAST(NULL AS VARCHAR) AS route_id,
+  CAST(NULL AS VARCHAR) AS stop_id, 'json_parse_error' AS reject_reason
+FROM msg_ev WHERE NOT msg_ok
+UNION ALL
+SELECT feed, msg_id, CASE WHEN is_tu THEN 'trip_update' ELSE 'vehicle' END,
+  CASE WHEN is_tu THEN entity_id || '__' || stop_id ELSE entity_id END, trip_text, msg_route,
+  CASE WHEN is_tu OR k % 11 <> 0 THEN stop_id END,
+  CASE WHEN is_tu AND k % 13 = 0 THEN 'missing:time'
+       WHEN NOT is_tu AND k % 11 = 0 THEN 'missing:stop_id' ELSE 'invalid_route' END
+FROM msg_ev WHERE msg_ok AND (CASE WHEN is_tu THEN k % 13 = 0 ELSE k % 11 = 0 END
+  OR NOT {VALID_ROUTE.replace('route_id', 'msg_route')})"""
+
+ORACLE["alert_rejects"] = W(ALERTS) + """
+SELECT msg_id, alert_id, CASE WHEN no_target THEN 'no_target_route'
+  ELSE 'missing:feed_timestamp' END AS reject_reason
+FROM al_rows WHERE no_target OR feed_timestamp IS NULL"""
 
 ORACLE["station_index"] = W(HW) + """
 SELECT stop_id, count(*) AS n_rows,
