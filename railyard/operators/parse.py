@@ -194,9 +194,13 @@ def with_vehicle_verdict(records: DataFrame) -> DataFrame:
 
 def validate_vehicles(records: DataFrame) -> DataFrame:
     """V1: valid rows; a direction outside N/S/U becomes U."""
-    v = with_vehicle_verdict(records).where(F.col("reject_reason").isNull()).drop("reject_reason")
-    return v.withColumn("direction", F.when(F.col("direction").isin(*VALID_DIRECTIONS),
-                                            F.col("direction")).otherwise(F.lit("U")))
+    return _valid_direction(with_vehicle_verdict(records).where(F.col("reject_reason").isNull())
+                            .drop("reject_reason"))
+
+
+def _valid_direction(records: DataFrame) -> DataFrame:
+    return records.withColumn("direction", F.when(F.col("direction").isin(*VALID_DIRECTIONS),
+                                                  F.col("direction")).otherwise(F.lit("U")))
 
 
 def vehicle_rejects(records: DataFrame) -> DataFrame:
@@ -214,6 +218,12 @@ def position_outcomes(decoded: DataFrame, keys=("feed", "msg_id"),
     return c.withColumn("reject_reason", F.coalesce("extract_reason", "reject_reason"))
 
 
+def accepted_positions(outcomes: DataFrame) -> DataFrame:
+    """The accepted rows of ``position_outcomes`` in table schema."""
+    return conform(_valid_direction(outcomes.where(F.col("reject_reason").isNull())),
+                   VEHICLE_POSITIONS)
+
+
 def feed_rejects(decoded: DataFrame, keys=("feed", "msg_id")) -> DataFrame:
     """Dead letters of a GTFS feed, in one pass: failed messages, entities
     and stop updates that yield no record, and records that fail V1."""
@@ -314,6 +324,12 @@ def alert_outcomes(decoded: DataFrame, keys=("msg_id",), target_routes=ALERT_TAR
         .withColumn("reject_reason", reason).drop("msg_ok", "_is_alert")
 
 
+def accepted_alerts(outcomes: DataFrame) -> DataFrame:
+    """The accepted rows of ``alert_outcomes`` in table schema."""
+    return conform(_arrays_present(outcomes.where(F.col("reject_reason").isNull())),
+                   SERVICE_ALERTS)
+
+
 def alert_rejects(decoded: DataFrame, keys=("msg_id",)) -> DataFrame:
     """Dead letters of the alerts feed: failed messages, filtered and invalid
     alerts, entities that hold no alert."""

@@ -70,17 +70,19 @@ def date_range(df: DataFrame, time_col: str, start: str | date | None = None,
 
 def write_partitioned(df: DataFrame, path: str, time_col: str, cluster_by: list[str],
                       date_col: str = "event_date", mode: str = "append",
-                      num_partitions: int | None = None) -> None:
+                      num_partitions: int | None = None, replace_days: bool = False) -> None:
     """Day-partitioned, clustered table: one folder per date of ``time_col``,
     rows range-partitioned on (date, clustering columns) and sorted within
     each file, so parquet min/max statistics skip row groups.  Range
     partitioning spreads one busy day over many tasks and files instead of
-    sending a whole day to one task.  Appends are atomic per job."""
+    sending a whole day to one task.  Appends are atomic per job;
+    ``replace_days`` with mode overwrite replaces only the days in ``df``."""
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (df.withColumn(date_col, F.to_date(F.col(time_col)))
        .repartitionByRange(n, date_col, *cluster_by)
        .sortWithinPartitions(date_col, *cluster_by)
-       .write.mode(mode).partitionBy(date_col).parquet(path))
+       .write.mode(mode).partitionBy(date_col)
+       .option("partitionOverwriteMode", "dynamic" if replace_days else "static").parquet(path))
 
 
 def landed(spark: SparkSession, sf_dir: str, name: str, write) -> DataFrame:
@@ -100,18 +102,42 @@ def landed(spark: SparkSession, sf_dir: str, name: str, write) -> DataFrame:
     return defined(spark, sf_dir, f"landed:{name}", land)
 
 
+def compact_days(df: DataFrame, path: str, time_col: str, cluster_by: list[str],
+                 start: str | date, end: str | date, date_col: str = "event_date",
+                 num_partitions: int | None = None) -> None:
+    """Rewrite closed days of a streamed table (``df``, many small files per
+    day) into the clustered table at ``path``.  Only the days in the range are
+    replaced, so a repeated run gives the same table; the streamed table keeps
+    its files, whose commit log the stream owns."""
+    days = date_range(df, time_col, start, end, date_col if date_col in df.columns else None)
+    write_partitioned(days.drop(date_col), path, time_col, cluster_by, date_col,
+                      mode="overwrite", num_partitions=num_partitions, replace_days=True)
+
+
 def expired_dates(spark: SparkSession, path: str, today: str | date, keep_days: int = 90,
                   date_col: str = "event_date") -> DataFrame:
     """Partitions older than the retention period (90 days by default).
 
     Only the partition column is read, so the scan touches file metadata.
-    The caller deletes the listed folders with its storage tool.
     """
     cutoff = F.date_sub(F.lit(str(today)).cast("date"), keep_days)
     return (spark.read.parquet(path).select(date_col).distinct()
             .where(F.col(date_col) < cutoff))
 
 
+def drop_expired(spark: SparkSession, table: str, today: str | date, keep_days: int = 90,
+                 date_col: str = "event_date") -> list[str]:
+    """Drop the day partitions of a catalog table that are older than the
+    retention period and return their dates.  The driver gets the names of
+    expired days, one per day of the table."""
+    cutoff = F.date_sub(F.lit(str(today)).cast("date"), keep_days)
+    old = [str(r[0]) for r in spark.table(table).select(date_col).distinct()
+           .where(F.col(date_col) < cutoff).orderBy(date_col).collect()]
+    for day in old:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({date_col} = DATE '{day}')")
+    return old
+
+
 def retain(df: DataFrame, today: str | date, keep_days: int = 90,
            date_col: str = "event_date") -> DataFrame:
     """Rows inside the retention period; prunes partitions on ``date_col``."""
@@ -119,6 +145,7 @@ def retain(df: DataFrame, today: str | date, keep_days: int = 90,
     return df.where(F.col(date_col) >= cutoff)
 
 
+# The columns of the track extract, in order.
 TRACK_CSV_COLUMNS = ["trip_id", "route_id", "train_id", "direction", "stop_id",
                      "scheduled_track", "actual_track"]
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import parse
+from ..operators import parse, reports
 from ..schemas import ALERTS_MESSAGE
 from .enrich import enrich_tracks
 
@@ -22,7 +22,8 @@ DEFAULT_TRIGGER = "30 seconds"     # the poll interval of the feeds
 def feed_stream(spark: SparkSession, path: str, feed: str,
                 max_files_per_trigger: int | None = None) -> DataFrame:
     """Messages landing in ``path`` as ``(feed, msg_id, value)``;
-    ``msg_id`` is the source file and line, unique per message."""
+    ``msg_id`` is the file name and a hash of the text, so two equal lines
+    of one file share it."""
     r = spark.readStream.format("text")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -34,18 +35,32 @@ def feed_stream(spark: SparkSession, path: str, feed: str,
 
 
 def vehicle_stream(feeds: list[DataFrame]) -> DataFrame:
-    """Union of the GTFS feeds (O2), decoded, flattened and validated."""
-    msgs = parse.feed_union(*feeds)
-    dec = parse.decode(msgs).observe(
-        "feed_counters",
-        F.count_if(F.col("msg_ok")).alias("messages_processed"),
-        F.count_if(~F.col("msg_ok")).alias("parse_errors"))
-    return parse.vehicle_table(dec)
+    """Union of the GTFS feeds (O2), decoded, flattened and validated.
+    The R8 counters of both steps are observed on the way."""
+    dec = parse.decode(parse.feed_union(*feeds)) \
+        .observe("feed_counters", *reports.message_counters())
+    out = parse.position_outcomes(dec).observe("record_counters", *reports.record_counters())
+    return parse.accepted_positions(out)
 
 
 def alert_stream(feed: DataFrame) -> DataFrame:
-    """T2 for the alerts feed."""
-    return parse.alert_table(parse.decode(feed, ALERTS_MESSAGE))
+    """T2 for the alerts feed, with its R8 counters."""
+    dec = parse.decode(feed, ALERTS_MESSAGE).observe("feed_counters", *reports.message_counters())
+    out = parse.alert_outcomes(dec).observe("alert_counters", *reports.alert_counters())
+    return parse.accepted_alerts(out)
+
+
+def vehicle_reject_stream(feeds: list[DataFrame]) -> DataFrame:
+    """Dead letters of the GTFS feeds (``parse.feed_rejects``) with the time
+    of rejection."""
+    return parse.feed_rejects(parse.decode(parse.feed_union(*feeds))) \
+        .withColumn("rejected_at", F.current_timestamp())
+
+
+def alert_reject_stream(feed: DataFrame) -> DataFrame:
+    """Dead letters of the alerts feed (``parse.alert_rejects``)."""
+    return parse.alert_rejects(parse.decode(feed, ALERTS_MESSAGE)) \
+        .withColumn("rejected_at", F.current_timestamp())
 
 
 def dedupe_alert_versions(alerts: DataFrame, delay: str = "6 hours") -> DataFrame:
@@ -84,7 +99,8 @@ def start_enriched_vehicles(spark, feed_dirs: dict[str, str], table: str, checkp
                             timeout_ms: int | None = None, **kw):
     """T1 + T2 + T4: enriched arrivals appended to the vehicle table."""
     feeds = [feed_stream(spark, p, f, max_files_per_trigger) for f, p in feed_dirs.items()]
-    enriched = enrich_tracks(vehicle_stream(feeds), timeout_ms=timeout_ms)
+    enriched = enrich_tracks(vehicle_stream(feeds), timeout_ms=timeout_ms) \
+        .observe("enrichment_counters", *reports.enrichment_counters())
     return write_table(enriched, table, checkpoint, "vehicle_timestamp", **kw)
 
 
@@ -98,3 +114,18 @@ def start_alerts(spark, alerts_dir: str, table: str, checkpoint: str,
     if dedupe_delay:
         a = dedupe_alert_versions(a, dedupe_delay)
     return write_table(a, table, checkpoint, "feed_timestamp", **kw)
+
+
+def start_vehicle_rejects(spark, feed_dirs: dict[str, str], table: str, checkpoint: str,
+                          max_files_per_trigger: int | None = None, **kw):
+    """The reject table beside the vehicle table: a query of its own over the
+    same folders, so that a failure of one sink never holds up the other."""
+    feeds = [feed_stream(spark, p, f, max_files_per_trigger) for f, p in feed_dirs.items()]
+    return write_table(vehicle_reject_stream(feeds), table, checkpoint, "rejected_at", **kw)
+
+
+def start_alert_rejects(spark, alerts_dir: str, table: str, checkpoint: str,
+                        max_files_per_trigger: int | None = None, **kw):
+    """The reject table beside the alerts table."""
+    src = feed_stream(spark, alerts_dir, "alerts", max_files_per_trigger)
+    return write_table(alert_reject_stream(src), table, checkpoint, "rejected_at", **kw)

@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from railyard.functions.columns import parse_trip_id, pick_translation
-from railyard.operators import parse, tracks
+from railyard.operators import parse, reports, tracks
 from railyard.schemas import VEHICLE_POSITIONS, schema_string, SERVICE_ALERTS
 
 
@@ -165,3 +165,79 @@ def test_stream_enrichment_with_state_timeout(spark, tmp_path):
     finally:
         q.stop()
     assert _got(spark.table("t1_timeout").collect()) == EXPECTED
+
+
+def test_every_entity_is_accepted_or_rejected(spark):
+    """Each candidate record has one outcome, with its reason."""
+    head = '{"header": {"timestamp": 1704067200}, "_ingest_time": "2024-01-01T00:00:01+00:00",'
+    trip = '"trip": {"trip_id": "060300_A..N55R", "route_id": "A"}'
+    msgs = [
+        (1, head + ' "entity": ['
+            f'{{"id": "v1", "vehicle": {{{trip}, "stop_id": "A1N", "timestamp": 1704067200}}}},'
+            '{"id": "v2", "vehicle": {"trip": {"route_id": "A"}, "stop_id": "A1N", "timestamp": 5}},'
+            f'{{"id": "v3", "vehicle": {{{trip}, "stop_id": "A1N"}}}},'
+            f'{{"id": "v4", "vehicle": {{{trip}, "stop_id": "A1N", "timestamp": "bad"}}}},'
+            f'{{"id": "t1", "trip_update": {{{trip}, "stop_time_update": ['
+            '{"stop_id": "A1N", "arrival": {"time": 1704067300}},'
+            '{"stop_id": "A2N", "arrival": {"time": 0}}, {"departure": {"time": 7}}]}},'
+            f'{{"id": "t2", "trip_update": {{{trip}, "stop_time_update": []}}}},'
+            f'{{"id": "t3", "trip_update": {{{trip}}}}},'
+            '{"id": "t4", "trip_update": {"trip": {"trip_id": "x"}, "stop_time_update": ['
+            '{"stop_id": "A1N", "arrival": {"time": 1704067300}}]}},'
+            '{"id": "u1", "shape": {}}]}'),
+        (2, '{"header": '), (3, "null"), (4, ""), (5, None), (6, head + ' "entity": []}'),
+    ]
+    dec = parse.decode(spark.createDataFrame(msgs, "msg_id int, value string")
+                       .withColumn("feed", F.lit("ace")))
+    got = sorted((r.msg_id, r.entity_id or "", r.reject_reason) for r in
+                 parse.feed_rejects(dec).collect())
+    assert got == sorted([
+        (1, "v2", "missing:trip_id"), (1, "v3", "missing:timestamp"),
+        (1, "v4", "missing:vehicle_timestamp"), (1, "t1__A2N", "missing:time"),
+        (1, "t1", "missing:stop_id"), (1, "t2", "missing:stop_time_update"),
+        (1, "t3", "missing:stop_time_update"), (1, "t4__A1N", "missing:route_id"),
+        (1, "u1", "unknown_entity")] + [(i, "", "json_parse_error") for i in (2, 3, 4, 5)])
+    kept = sorted(r.entity_id for r in parse.vehicle_table(dec).collect())
+    assert kept == ["t1__A1N", "v1"]
+    every = parse.position_outcomes(dec, with_failed=True)
+    assert every.count() == len(got) + len(kept)
+
+
+def test_alert_rejects(spark):
+    head = '"_ingest_time": "2024-01-01T00:00:01+00:00", "entity": ['
+    alert = '"alert": {"informed_entity": [{"route_id": "A"}]}'
+    msgs = [(1, '{"header": {"timestamp": 5}, ' + head + f'{{"id": "ok", {alert}}}, {{{alert}}},'
+                ' {"id": "far", "alert": {"informed_entity": [{"route_id": "7"}]}},'
+                ' {"id": "none", "alert": {}}, {"id": "other"}]}'),
+            (2, '{"header": {}, ' + head + f'{{"id": "late", {alert}}}]}}'), (3, "[]")]
+    dec = parse.decode(spark.createDataFrame(msgs, "msg_id int, value string"),
+                       parse.ALERTS_MESSAGE)
+    got = sorted((r.msg_id, r.alert_id or "", r.reject_reason)
+                 for r in parse.alert_rejects(dec).collect())
+    assert got == [(1, "", "missing:alert_id"), (1, "far", "no_target_route"),
+                   (1, "none", "no_target_route"), (1, "other", "no_alert"),
+                   (2, "late", "missing:feed_timestamp"), (3, "", "json_parse_error")]
+    assert [r.alert_id for r in parse.alert_table(dec).collect()] == ["ok"]
+
+
+def test_extracts_without_partner_and_sample(spark):
+    """R5 counts rows that one extract lacks; J3 takes the first tracked row."""
+    std = spark.createDataFrame(
+        [("s", 0, 0, "t", "A", "x", 1, 2), ("s", 1, 0, "t", "A", "y", 3, None),
+         ("s", 2, 0, "t", "A", "y", 4, None)],
+        "snapshot string, ent_pos int, stop_pos int, trip_id string, route_id string,"
+        " stop_id string, arrival_time long, departure_time long")
+    ext = spark.createDataFrame(
+        [("s", 1, 0, "t", "A", "y", 3, None, None, None, "F1"),
+         ("s", 9, 0, "t", "A", "q", 3, "0A", "N", None, "F2"),
+         ("z", 0, 0, None, "A", "q", 3, "0A", "N", None, "")],
+        "snapshot string, ent_pos int, stop_pos int, trip_id string, route_id string,"
+        " stop_id string, arrival_time long, train_id string, direction string,"
+        " scheduled_track string, actual_track string")
+    r = {x.snapshot: x for x in reports.extractor_comparison(std, ext).collect()}
+    assert (r["s"].current_rows, r["s"].extension_rows, r["s"].current_only,
+            r["s"].extension_only, r["s"].with_actual) == (3, 2, 2, 1, 2)
+    assert (r["ALL"].current_rows, r["ALL"].extension_rows, r["ALL"].extension_only) == (3, 3, 2)
+    m = {x.snapshot: x for x in reports.sample_match(std, ext).collect()}
+    assert (m["s"].stop_id, m["s"].current_arrival_time) == ("y", 3)
+    assert m["z"].actual_track == "" and m["z"].current_route_id is None

@@ -63,3 +63,35 @@ def test_headway_date_range_prunes_partitions(spark, sf_dir):
     full = hw.headway(hw.arrivals(pos)).where(F.col("date") == day).count()
     assert 0 < h.count() <= full
     assert {r.date for r in h.select("date").distinct().collect()} <= {day}
+
+
+def test_compaction_replaces_only_its_days(spark, tmp_path):
+    """A closed day is rewritten clustered; a second run changes nothing."""
+    src = spark.range(0, 96, numPartitions=12).select(
+        (F.col("id") % 4).cast("string").alias("stop_id"),
+        F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 1800).alias("ts"))
+    streamed, out = str(tmp_path / "streamed"), str(tmp_path / "table")
+    src.withColumn("event_date", F.to_date("ts")).write.partitionBy("event_date").parquet(streamed)
+    table = spark.read.parquet(streamed)
+    for day in ("2024-01-01", "2024-01-02", "2024-01-02"):
+        tables.compact_days(table, out, "ts", ["stop_id"], day, day, num_partitions=2)
+    got = spark.read.parquet(out)
+    assert got.count() == 96 and got.distinct().count() == 96
+    assert len(got.inputFiles()) < len(table.inputFiles())
+    assert dict(got.groupBy("event_date").count().selectExpr("string(event_date)", "count")
+                .collect()) == {"2024-01-01": 48, "2024-01-02": 48}
+
+
+def test_expired_days_are_dropped(spark, tmp_path):
+    name = "railyard_retention_probe"
+    path = str(tmp_path / "t")
+    spark.sql(f"CREATE TABLE {name} (id INT, event_date DATE) USING parquet"
+              f" PARTITIONED BY (event_date) LOCATION '{path}'")
+    try:
+        spark.sql(f"INSERT INTO {name} VALUES (1, DATE'2024-01-01'), (2, DATE'2024-03-01'),"
+                  " (3, DATE'2024-03-31')")
+        assert tables.drop_expired(spark, name, "2024-03-31", 30) == ["2024-01-01"]
+        assert sorted(r.id for r in spark.table(name).collect()) == [2, 3]
+        assert tables.drop_expired(spark, name, "2024-03-31", 30) == []
+    finally:
+        spark.sql(f"DROP TABLE {name}")

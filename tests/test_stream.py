@@ -5,7 +5,7 @@ output equals the batch as-of (J2) over the same validated rows."""
 
 import os
 
-from railyard.operators import parse, tracks
+from railyard.operators import parse, reports, tracks
 from railyard.sources import fixtures
 from railyard.sources.tables import events
 from railyard.streaming import ingest
@@ -128,3 +128,73 @@ def test_stream_counters_observed(spark, sf_dir, tmp_path):
     bad = sum(int(m["parse_errors"]) for m in seen)
     assert ok + bad == len(msgs)
     assert bad == int((msgs["msg_id"] % 97 == 0).sum())
+
+
+def _observed(q, name):
+    """Sum of an observed metric set over all progress reports."""
+    total = {}
+    for p in q.recentProgress:
+        m = p.get("observedMetrics", {}).get(name)
+        for k, v in (m.asDict() if hasattr(m, "asDict") else dict(m or {})).items():
+            total[k] = total.get(k, 0) + int(v)
+    return total
+
+
+def test_all_counters_observed_equal_batch(spark, sf_dir, tmp_path):
+    """What the streams observe adds up to the batch counters."""
+    msgs = _messages(spark, sf_dir)
+    land = str(tmp_path / "landing")
+    _land(msgs, land)
+    feeds = {"ace": os.path.join(land, "ace"), "bdfm": os.path.join(land, "bdfm")}
+    q = ingest.start_enriched_vehicles(spark, feeds, str(tmp_path / "t"), str(tmp_path / "ck"),
+                                       available_now=True)
+    q.awaitTermination(600)
+    al = fixtures.alert_messages(events(spark, sf_dir)).toPandas()
+    os.makedirs(str(tmp_path / "alerts"))
+    with open(str(tmp_path / "alerts" / "a.json"), "w") as f:
+        f.write("\n".join(al["value"]) + "\n")
+    qa = ingest.start_alerts(spark, str(tmp_path / "alerts"), str(tmp_path / "ta"),
+                             str(tmp_path / "cka"), available_now=True)
+    qa.awaitTermination(600)
+    got = (_observed(q, "feed_counters") | _observed(q, "record_counters")
+           | _observed(q, "enrichment_counters")
+           | {f"alert_{k}": v for k, v in _observed(qa, "feed_counters").items()}
+           | _observed(qa, "alert_counters"))
+    want = reports.job_counters(
+        parse.decode(spark.createDataFrame(msgs[["feed", "msg_id", "value"]])),
+        parse.decode(spark.createDataFrame(al[["msg_id", "value"]]), parse.ALERTS_MESSAGE))
+    assert got == {r.counter: r.value for r in want.collect()}
+    arrivals = parse.vehicle_table(parse.decode(
+        spark.createDataFrame(msgs[["feed", "msg_id", "value"]]))) \
+        .where("current_status in ('STOPPED_AT', 'INCOMING_AT')").count()
+    assert got["enriched_records"] + got["no_track_data"] + got["stale_track_data"] == arrivals
+
+
+def test_reject_tables_equal_batch(spark, sf_dir, tmp_path):
+    """The reject tables hold what the batch rejects hold."""
+    msgs = _messages(spark, sf_dir)
+    land = str(tmp_path / "landing")
+    _land(msgs, land)
+    feeds = {"ace": os.path.join(land, "ace"), "bdfm": os.path.join(land, "bdfm")}
+    q = ingest.start_vehicle_rejects(spark, feeds, str(tmp_path / "r"), str(tmp_path / "ck"),
+                                     available_now=True)
+    q.awaitTermination(600)
+    cols = ["feed", "kind", "entity_id", "trip_id", "route_id", "stop_id", "reject_reason"]
+    got = sorted(_key(r) for r in spark.read.parquet(str(tmp_path / "r")).select(*cols).collect())
+    batch = parse.feed_rejects(parse.decode(
+        spark.createDataFrame(msgs[["feed", "msg_id", "value"]])))
+    assert got == sorted(_key(r) for r in batch.select(*cols).collect())
+    assert {k[-1] for k in got} >= {"json_parse_error", "missing:stop_id", "missing:time"}
+    os.makedirs(str(tmp_path / "alerts"))
+    al = fixtures.alert_messages(events(spark, sf_dir)).toPandas()
+    with open(str(tmp_path / "alerts" / "a.json"), "w") as f:
+        f.write("\n".join(al["value"]) + "\n{\n")
+    q = ingest.start_alert_rejects(spark, str(tmp_path / "alerts"), str(tmp_path / "ra"),
+                                   str(tmp_path / "cka"), available_now=True)
+    q.awaitTermination(600)
+    got = sorted(_key(r) for r in spark.read.parquet(str(tmp_path / "ra"))
+                 .select("alert_id", "reject_reason").collect())
+    batch = parse.alert_rejects(parse.decode(spark.createDataFrame(al[["msg_id", "value"]]),
+                                             parse.ALERTS_MESSAGE))
+    want = [_key(r) for r in batch.select("alert_id", "reject_reason").collect()]
+    assert got == sorted(want + [("", "json_parse_error")])
