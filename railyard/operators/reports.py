@@ -184,11 +184,13 @@ def job_counters(decoded: DataFrame, alerts_decoded: DataFrame | None = None) ->
     decoded messages, so they reconcile: records = valid + invalid, and the
     arrivals among the valid ones = enriched + no track + stale.  A stream
     observes the same expressions (``streaming.ingest``)."""
-    from .parse import alert_outcomes, position_outcomes, vehicle_table
+    from ..session import materialize
+    from .parse import accepted_positions, alert_outcomes, position_outcomes
     from .tracks import arrival_track_asof
-    parts = [decoded.agg(*message_counters()),
-             position_outcomes(decoded).agg(*record_counters()),
-             arrival_track_asof(vehicle_table(decoded)).agg(*enrichment_counters())]
+    # read by the record counters and by both sides of the as-of
+    outcomes = materialize(position_outcomes(decoded))
+    parts = [decoded.agg(*message_counters()), outcomes.agg(*record_counters()),
+             arrival_track_asof(accepted_positions(outcomes)).agg(*enrichment_counters())]
     if alerts_decoded is not None:
         m = alerts_decoded.agg(*message_counters())
         parts += [m.select([F.col(c).alias(f"alert_{c}") for c in m.columns]),
