@@ -262,6 +262,24 @@ def test_private_report_keeps_base_spans(odd, empty):
     assert pii.private_report(empty).count() == 0
 
 
+def test_added_spans_take_the_best_score_without_overlap():
+    class Scores:
+        def predict(self, x):
+            return x[:, 0]
+
+    rng = np.random.default_rng(11)
+    for _ in range(200):
+        base = sorted((int(a), 0, int(a + n)) for a, n in zip(rng.integers(0, 300, 8), rng.integers(1, 20, 8)))
+        found = sorted({(int(a), 4, int(a + n)) for a, n in zip(rng.integers(0, 300, 60), rng.integers(1, 20, 60))})
+        rows = [[v] for v in rng.integers(0, 8, len(found)) / 8]        # with ties
+        want, taken = [], [(a, b) for a, _, b in base]
+        for (v,), span in sorted(zip(rows, found), key=lambda t: (-t[0][0], t[1])):
+            if v >= 0.25 and not any(a < span[2] and span[0] < b for a, b in taken):
+                want.append(span)
+                taken.append((span[0], span[2]))
+        assert pii.Model(Scores(), 0.25).added(base, found, rows) == want
+
+
 def test_trees_learn_and_redaction_hides(spark, odd):
     rng = np.random.default_rng(4)
     x = rng.normal(size=(2000, 5))
