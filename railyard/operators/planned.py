@@ -48,37 +48,37 @@ def time_features(arr: DataFrame, time_col: str = "vehicle_timestamp") -> DataFr
                       (hour * 60 + F.minute(t)).alias("minute_of_day"))
 
 
-def arrivals_under_alert(arr: DataFrame, alerts: DataFrame) -> DataFrame:
+def arrivals_under_alert(arr: DataFrame, alerts: DataFrame, short_hours: int = 48,
+                         spread: int = 64) -> DataFrame:
     """L4: arrivals on a route named by an alert while it is active
     (start <= t, and t < end unless the end is open).
 
-    The join key is (route, day), not the route alone: a busy route holds a
-    large share of all arrivals.  Each alert is exploded over the days it
-    covers, clipped to the arrivals' first and last day (two scalars; an
-    open end runs to the last day), and the period is the residual
-    condition.  Every (alert, route, day) exists once, so no pair repeats."""
-    span = arr.agg(F.min(F.to_date("vehicle_timestamp")).alias("a"),
-                   F.max(F.to_date("vehicle_timestamp")).alias("b")).first()
-    if span is None or span.a is None:
-        return arr.limit(0).select(
-            "entity_id", "route_id", "stop_id", "vehicle_timestamp",
-            F.lit(None).cast("string").alias("alert_id"),
-            F.lit(None).cast("string").alias("alert_type"))
-    first_day, last_day = F.lit(span.a), F.lit(span.b)
-    s_day = F.greatest(F.to_date("active_period_start"), first_day)
-    e_day = F.least(F.coalesce(F.to_date("active_period_end"), last_day), last_day)
-    a = (alerts.where(F.col("active_period_start").isNotNull())
+    The join key is never the route alone: a busy route holds a large share
+    of all arrivals.  An alert of at most ``short_hours`` meets the arrivals
+    of the hours it covers; a longer or open one stands in ``spread`` slots of
+    its route, and each arrival looks into one of them by hash.  So an alert
+    has a bounded number of copies however long it lasts; the period is the
+    residual condition.  An arrival has one hour and one slot and an alert is
+    of one sort, so no pair repeats."""
+    def hour(t):
+        return F.floor(F.unix_seconds(t) / 3600).cast("long")
+
+    s, e = F.col("active_period_start"), F.col("active_period_end")
+    short = F.coalesce(F.unix_seconds(e) - F.unix_seconds(s) <= short_hours * 3600, F.lit(False))
+    a = (alerts.where(s.isNotNull() & (e.isNull() | (s < e)))
          .select("alert_id", "alert_type", F.explode("affected_routes").alias("_route"),
-                 "active_period_start", "active_period_end",
-                 s_day.alias("_s"), e_day.alias("_e"))
-         .where(F.col("_s") <= F.col("_e"))
-         .select("*", F.explode(F.sequence("_s", "_e")).alias("_day")))
-    v = arr.select("entity_id", "route_id", "stop_id", "vehicle_timestamp",
-                   F.to_date("vehicle_timestamp").alias("_vday"))
-    t = v["vehicle_timestamp"]
-    cond = ((v["route_id"] == a["_route"]) & (v["_vday"] == a["_day"])
-            & (t >= a["active_period_start"])
-            & (a["active_period_end"].isNull() | (t < a["active_period_end"])))
+                 "active_period_start", "active_period_end", short.alias("_short"))
+         .select("*", F.explode(F.when(F.col("_short"), F.sequence(hour(s), hour(e)))
+                                .otherwise(F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long"))))
+                 .alias("_slot")))
+    t = F.col("vehicle_timestamp")
+    slot = F.pmod(F.xxhash64("entity_id", "vehicle_timestamp"), F.lit(spread)).cast("long")
+    v = (arr.select("entity_id", "route_id", "stop_id", "vehicle_timestamp",
+                    F.explode(F.array(F.struct(F.lit(True).alias("short"), hour(t).alias("slot")),
+                                      F.struct(F.lit(False).alias("short"), slot.alias("slot")))).alias("_at")))
+    cond = ((v["route_id"] == a["_route"]) & (v["_at.short"] == a["_short"]) & (v["_at.slot"] == a["_slot"])
+            & (v["vehicle_timestamp"] >= a["active_period_start"])
+            & (a["active_period_end"].isNull() | (v["vehicle_timestamp"] < a["active_period_end"])))
     return v.join(a, cond, "inner").select(
         "entity_id", "route_id", "stop_id", "vehicle_timestamp", "alert_id", "alert_type")
 

@@ -241,3 +241,26 @@ def test_extracts_without_partner_and_sample(spark):
     m = {x.snapshot: x for x in reports.sample_match(std, ext).collect()}
     assert (m["s"].stop_id, m["s"].current_arrival_time) == ("y", 3)
     assert m["z"].actual_track == "" and m["z"].current_route_id is None
+
+
+def test_alert_periods_of_every_length(spark):
+    """L4 against every (arrival, alert) pair tried by hand: minutes, hours
+    with both ends on the hour, weeks, open, empty, reversed, no start."""
+    import datetime as dt
+
+    from railyard.operators.planned import arrivals_under_alert
+    t0 = dt.datetime(2024, 1, 1)
+    h = dt.timedelta(hours=1)
+    arr = [(f"e{i}", "AC"[i % 2], "s1", t0 + i * 7 * h) for i in range(120)] + [("n", "A", "s1", None),
+                                                                             ("m", None, "s1", t0)]
+    spans = [(0 * h, h / 2), (7 * h, 14 * h), (7 * h, 55 * h), (7 * h, 56 * h), (21 * h, 500 * h), (49 * h, None),
+             (63 * h, 63 * h), (70 * h, 63 * h), (None, 90 * h), (-900 * h, 9000 * h)]
+    alerts = [(f"a{i}", "x", ["A"] if i % 3 else ["A", "C"], None if a is None else t0 + a,
+               None if b is None else t0 + b) for i, (a, b) in enumerate(spans)]
+    want = sorted((e, a) for e, r, _, t in arr for a, _, routes, s, end in alerts
+                  if t and r in routes and s and s <= t and (end is None or t < end))
+    got = arrivals_under_alert(
+        spark.createDataFrame(arr, "entity_id string, route_id string, stop_id string, vehicle_timestamp timestamp"),
+        spark.createDataFrame(alerts, "alert_id string, alert_type string, affected_routes array<string>, "
+                                      "active_period_start timestamp, active_period_end timestamp"))
+    assert sorted((r["entity_id"], r["alert_id"]) for r in got.collect()) == want
