@@ -120,13 +120,20 @@ def _windows(spark, sf):
     return hw.training_windows(_normalised(spark, sf))
 
 
+def _graph_rows(spark, sf):
+    # rows, neighbours and station index all read the headway frame
+    return materialize(_headway(spark, sf).select(
+        "route_id", "direction", "trip_id", "stop_id", "arrival_time", "headway_seconds"))
+
+
 def _adjacency(spark, sf):
-    return graph.adjacency(graph.stop_transitions(_headway(spark, sf)))
+    return graph.adjacency(graph.stop_transitions(_graph_rows(spark, sf)))
 
 
 def _transition(spark, sf, h=None):
-    h = h if h is not None else _headway(spark, sf)
-    adj = graph.adjacency(graph.stop_transitions(h))
+    h = h if h is not None else _graph_rows(spark, sf)
+    # both directions and their row sums read the edges
+    adj = materialize(graph.adjacency(graph.stop_transitions(h)))
     return graph.diffusion_transition(adj, graph.station_index(h))
 
 
@@ -257,7 +264,7 @@ def q_station_index(spark, sf):
 
 
 def q_stop_transitions(spark, sf):
-    return graph.stop_transitions(_headway(spark, sf))
+    return graph.stop_transitions(_graph_rows(spark, sf))
 
 
 def q_adjacency(spark, sf):
@@ -310,7 +317,7 @@ def q_diffusion_transition(spark, sf):
 def q_diffusion_features(spark, sf):
     # the headway frame and the transition matrix are each read by every
     # diffusion step: both are checkpointed once instead of recomputed
-    h = materialize(_headway(spark, sf))
+    h = _graph_rows(spark, sf)
     feats = h.groupBy("stop_id").agg(F.avg("headway_seconds").alias("x"))
     return graph.diffusion_features(materialize(_transition(spark, sf, h)), feats)
 
