@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from railyard.llm.common import WORD_BREAK, fresh, landed, own_columns
+from railyard.llm.common import WORD_BREAK, landed, own_columns
 
 MIN_DOCS = 20
 MAX_SHARE = 0.05
@@ -44,10 +44,15 @@ def _normal_lines(text: Column) -> Column:
     return F.transform(F.split(tidy, "\n"), lambda x: F.trim(x))
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """Base counts per document and, in arrays, hash and words of its lines."""
-    rows = own_columns(docs, "doc_id", "source", "text").select(
-        F.col("doc_id").cast("long"), F.col("source").cast("string"),
+def measured(docs: DataFrame, whole: bool = False) -> DataFrame:
+    """Base counts per document and, in arrays, hash and words of its lines;
+    ``whole`` adds the document itself as the struct ``_doc``."""
+    beside = ["_doc"] if whole else []
+    if whole:
+        docs = docs.select(F.struct(*docs.columns).alias("_doc"), *[
+            c for c in ("doc_id", "source", "text") if c in docs.columns])
+    rows = own_columns(docs, *beside, "doc_id", "source", "text").select(
+        *beside, F.col("doc_id").cast("long"), F.col("source").cast("string"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.select("*", _words(F.col("text")).alias("w"),
                        F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("raw"),
@@ -70,7 +75,7 @@ def measured(docs: DataFrame) -> DataFrame:
     covered = F.aggregate(F.sequence(F.lit(0), F.size("p") - 1), F.lit(0), lambda acc, j: acc + F.least(
         F.lit(WINDOW), F.coalesce(F.get("p", j + 1) - F.get("p", j), F.lit(WINDOW))))
     return rows.select(
-        F.monotonically_increasing_id().alias("_row"), "doc_id", "source", F.xxhash64("text").alias("text_hash"),
+        *beside, F.monotonically_increasing_id().alias("_row"), "doc_id", "source", F.xxhash64("text").alias("text_hash"),
         n.cast("long").alias("n_words"),
         F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
@@ -92,6 +97,14 @@ def frequent_lines(rows: DataFrame, min_docs: int = MIN_DOCS, max_share: float =
     return above.where(F.col("held") > F.col("docs") * max_share).select("source", "line", "held")
 
 
+def _verdict(min_left: int, min_left_share: float) -> tuple[Column, Column]:
+    """base_failed and depleted, from n_words, n_repeat_words, removed_words."""
+    left = F.col("n_words") - F.coalesce("removed_words", F.lit(0))
+    base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+    return base, F.col("removed_words").isNotNull() & (
+        (left < min_left) | (left < F.col("n_words") * min_left_share))
+
+
 def judged(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE,
            min_left: int = MIN_LEFT, min_left_share: float = MIN_LEFT_SHARE) -> DataFrame:
     """Counts and verdict of every document, with the places of the lines
@@ -107,39 +120,44 @@ def judged(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHA
     hit = lines.join(frequent, F.col("_host").eqNullSafe(F.col("source")) & (F.col("_line") == F.col("line")))
     removed = hit.groupBy("_row").agg(F.sum("words").alias("removed_words"),
                                       F.sort_array(F.collect_list("at")).alias("removed"))
-    left = F.col("n_words") - F.coalesce("removed_words", F.lit(0))
-    base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    depleted = F.col("removed_words").isNotNull() & (
-        (left < min_left) | (left < F.col("n_words") * min_left_share))
+    base, depleted = _verdict(min_left, min_left_share)
     return (rows.drop("line_hash", "line_words").join(removed, "_row", "left")
             .withColumn("removed_words", F.coalesce("removed_words", F.lit(0)).cast("long"))
             .withColumn("base_failed", base).withColumn("depleted", depleted)
             .withColumn("kept", ~base & ~F.coalesce("depleted", F.lit(False))).drop("_row"))
 
 
-def accepted(docs: DataFrame, **limits) -> DataFrame:
+def accepted(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE,
+             min_left: int = MIN_LEFT, min_left_share: float = MIN_LEFT_SHARE) -> DataFrame:
     """The documents that pass, less their frequent lines; all columns stay,
-    and n_chars, if there, follows the text."""
-    names = ("id", "host", "hash", "removed", "kept")
-    doc_id, host, digest, removed, kept = (fresh(docs, n) for n in names)
-    marks = (judged(docs, **limits).where("not kept or removed is not null")
-             .groupBy("doc_id", "source", "text_hash").agg(F.first("removed"), F.first("kept"))
-             .toDF(doc_id, host, digest, removed, kept))
-    # most documents have no mark: these few go to the documents if they are few
-    marks = landed(marks, "marks")
-    if marks.count() <= BROADCAST_ROWS:
-        marks = F.broadcast(marks)
-    same = (F.col("doc_id").cast("long").eqNullSafe(F.col(doc_id))
-            & F.col("source").cast("string").eqNullSafe(F.col(host))
-            & (F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))) == F.col(digest)))
-    whole = F.col(removed).isNull()
-    text = F.when(whole, F.col("text")).otherwise(F.array_join(F.filter(
-        F.split("text", "\n"), lambda _, i: ~F.array_contains(removed, i)), "\n"))
-    out = docs.join(marks, same, "left").where(F.coalesce(kept, F.lit(True))).withColumn("text", text)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(whole, F.col("n_chars"))
-                             .otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return out.select(docs.columns)
+    and n_chars, if there, follows the text.
+
+    Texts are written beside their counts and meet the frequent lines of
+    their host as one array, so no text is shuffled at any size; a host has
+    at most (lines of its documents on average / ``max_share``) such lines.
+    """
+    rows = landed(measured(docs, whole=True), "measured")
+    frequent = landed(frequent_lines(rows, min_docs, max_share), "frequent-lines")
+    hosts = frequent.groupBy(F.col("source").alias("_host")).agg(F.collect_set("line").alias("frequent"))
+    if frequent.count() <= BROADCAST_ROWS:
+        hosts = F.broadcast(hosts)
+
+    def goes(line: Column) -> Column:
+        return F.coalesce(F.array_contains("frequent", line), F.lit(False))
+
+    hit = F.coalesce(F.arrays_overlap("line_hash", "frequent"), F.lit(False))
+    words = F.zip_with("line_hash", "line_words", lambda x, n: F.when(goes(x), n).otherwise(0))
+    base, depleted = _verdict(min_left, min_left_share)
+    kept = (rows.join(hosts, F.col("source").eqNullSafe(F.col("_host")), "left").withColumn("hit", hit)
+            .withColumn("removed_words", F.when(F.col("hit"), F.aggregate(words, F.lit(0), lambda x, n: x + n)))
+            .where(~base & ~F.coalesce(depleted, F.lit(False))))
+    own = {c: F.col("_doc")[c] for c in docs.columns}
+    own["text"] = F.when(F.col("hit"), F.array_join(F.filter(
+        F.split(own["text"], "\n"), lambda _, i: ~goes(F.get("line_hash", i))), "\n")).otherwise(own["text"])
+    if "n_chars" in own:
+        own["n_chars"] = F.when(F.col("hit"), F.length(own["text"]).cast(docs.schema["n_chars"].dataType)).otherwise(
+            own["n_chars"])
+    return kept.select(*[own[c].alias(c) for c in docs.columns])
 
 
 SQL = rf"""
