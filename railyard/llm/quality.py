@@ -133,8 +133,9 @@ def accepted(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_S
     and n_chars, if there, follows the text.
 
     Texts are written beside their counts and meet the frequent lines of
-    their host as one array, so no text is shuffled at any size; a host has
-    at most (lines of its documents on average / ``max_share``) such lines.
+    their host as one array, so no text is shuffled unless there are more
+    than ``BROADCAST_ROWS`` frequent lines; a host has at most (lines of its
+    documents on average / ``max_share``) of them.
     """
     rows = landed(measured(docs, whole=True), "measured")
     frequent = landed(frequent_lines(rows, min_docs, max_share), "frequent-lines")
