@@ -8,7 +8,9 @@ of the benchmark items, a stated query set taken in blocks, by cosine; what
 comes near is checked on the words: length of the longest common subsequence
 against the item's, and of its answer (the closing sentence), so that
 paraphrases with words changed, added or lost are found and passages that
-merely share vocabulary are not.
+merely share vocabulary are not.  Beside the latent search, every place that
+shares ``GRAM`` words in a row with an item (all words of a shorter one) is
+checked the same way, so a copy is found whatever its vector is worth.
 
 Words: runs without ASCII white space, lower case, outer punctuation off,
 hashed to 16 bits; the low 12 bits are the TF-IDF feature.
@@ -34,7 +36,6 @@ from pyspark.sql import functions as F
 from railyard.llm.common import landed, own_columns, python_batches
 
 FEATURES = 4096
-COMMON = 1.0            # idf below which a feature carries no weight
 RANK = 112
 OVERSAMPLE = 8
 WINDOW = 32             # words of a passage and of a query window
@@ -46,6 +47,8 @@ ANSWER = 0.6            # share of the answer in order
 SHORT = 8
 BLOCK_ITEMS = 1000      # items of one block of queries
 CHUNK = 131_072         # words worked on at once
+GRAM = 3                # words in a row that make a place a candidate
+PROBED = 1 << 20        # places of grams worked on at once
 EDGES = ".,;:!?\"'()[]{}<>*#|"
 
 
@@ -111,23 +114,26 @@ def _runs(texts: list[np.ndarray], words: int) -> Iterator[tuple[int, int]]:
 # ------------------------------------------------------------- model
 
 def inverse_frequency(words: DataFrame) -> np.ndarray:
-    """log(documents / documents with the feature), over all documents;
-    below ``COMMON`` 0, so that words of most texts cost nothing."""
+    """log(1 + passages / passages with the feature), over all passages:
+    above 0 for every feature, however common."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, docs = np.zeros(FEATURES + 1, np.int64), 0
+        held = np.zeros(FEATURES + 1, np.int64)
         for pdf in frames:
-            for x in _ids(pdf["ids"]):
-                held[np.unique(x & (FEATURES - 1))] += 1
-            docs += len(pdf)
-        held[FEATURES] = docs
+            texts = _ids(pdf["ids"])
+            for a, b in _runs(texts, CHUNK):
+                size = np.array([-(-len(x) // WINDOW) for x in texts[a:b]])
+                at = np.concatenate([np.arange(len(x)) // WINDOW for x in texts[a:b]])
+                at += np.repeat(np.cumsum(size) - size, [len(x) for x in texts[a:b]])
+                both = np.unique(at * FEATURES + (np.concatenate(texts[a:b]) & (FEATURES - 1)))
+                held[:FEATURES] += np.bincount(both & (FEATURES - 1), minlength=FEATURES)
+                held[FEATURES] += size.sum()
         yield pd.DataFrame({"f": np.arange(FEATURES + 1), "n": held})
 
     rows = (words.select("ids").mapInPandas(run, "f long, n long").groupBy("f").agg(F.sum("n").alias("n")).collect())
     n = np.zeros(FEATURES + 1)
     for r in rows:
         n[r["f"]] = r["n"]
-    idf = np.log((n[FEATURES] + 1) / (n[:FEATURES] + 1))
-    return np.where(idf >= COMMON, idf, 0).astype(np.float32)
+    return np.log1p((n[FEATURES] + 1) / (n[:FEATURES] + 1)).astype(np.float32)
 
 
 def _slots(place: np.ndarray, members: np.ndarray, width: int, none: int) -> tuple[np.ndarray, np.ndarray]:
@@ -289,6 +295,55 @@ class Items:
             self.tail_n[o] = len(tail)
             for i, c in enumerate(self.code[tail].tolist()):
                 self.tail_masks[o, c] |= np.uint64(1 << i)
+        self.grams = {}         # words in a row: keys in order, item and place of each
+        for k in range(1, GRAM + 1):
+            parts = [(self._keys(self.code[w], k), o) for o, (_, w, _) in enumerate(self.items)
+                     if k == min(GRAM, len(w))]
+            if parts:
+                key = np.concatenate([x for x, _ in parts])
+                order = np.argsort(key, kind="stable")
+                self.grams[k] = (key[order], np.concatenate([np.full(len(x), o) for x, o in parts])[order],
+                                 np.concatenate([np.arange(len(x)) for x, _ in parts])[order])
+
+    def _keys(self, codes: np.ndarray, k: int) -> np.ndarray:
+        """One number for every ``k`` codes in a row."""
+        n = max(0, len(codes) - k + 1)
+        key = np.zeros(n, np.int64)
+        for j in range(k):
+            key = key * self.masks.shape[1] + codes[j:j + n]
+        return key
+
+    def _probed(self, flat: np.ndarray, sizes: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """Document, item, place in the document and place in the item of all
+        grams that both hold, one for each pair and ``STRIDE`` diagonals."""
+        codes = self.code[flat]
+        for k, (keys, items, places) in self.grams.items():
+            at = np.flatnonzero(codes[:max(0, len(codes) - k + 1)])
+            for j in range(1, k):
+                at = at[codes[at + j] > 0]
+            key = np.zeros(len(at), np.int64)
+            for j in range(k):
+                key = key * self.masks.shape[1] + codes[at + j]
+            low = np.searchsorted(keys, key)
+            has = keys[np.minimum(low, len(keys) - 1)] == key
+            at, low, key = at[has], low[has], key[has]
+            doc = np.searchsorted(ends, at, "right")
+            has = at + k <= ends[doc]
+            at, low, doc = at[has], low[has], doc[has]
+            count = np.searchsorted(keys, key[has], "right") - low
+            batch = (np.cumsum(count) - count) // PROBED
+            for a, b in zip(*(lambda x: (x[:-1], x[1:]))(np.r_[0, np.flatnonzero(np.diff(batch)) + 1, len(at)]),
+                            strict=True):
+                n = count[a:b]
+                if not n.sum():
+                    continue
+                gram = np.repeat(low[a:b] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                d, item, place = np.repeat(doc[a:b], n), items[gram], places[gram]
+                inside = np.repeat(at[a:b], n) - ends[d] + sizes[d]
+                diagonal = (inside - place) // STRIDE
+                pair = (d * len(self.items) + item) * int(np.ptp(diagonal) + 1) + diagonal - diagonal.min()
+                one = np.unique(pair, return_index=True)[1]
+                yield d[one], item[one], inside[one], place[one]
 
     def _checked(self, flat: np.ndarray, ends: np.ndarray, doc: np.ndarray, item: np.ndarray,
                  begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -315,22 +370,36 @@ class Items:
         sizes = np.array([len(x) for x in texts])
         ends = np.cumsum(sizes)
         flat = np.concatenate(texts)
-        for a in range(0, len(windows), 2048):
-            cosine = windows[a:a + 2048] @ self.vectors.T
-            w, q = np.nonzero(cosine >= near)
-            for k in range(0, len(w), 8192):
-                wk, qk = w[k:k + 8192], q[k:k + 8192]
-                doc, item = owner[a + wk], self.owner[qk]
-                first = ends[doc] - sizes[doc]
-                begin = first + np.maximum(0, start[a + wk] - self.start[qk] - STRIDE)
+        own_window, own_query = np.searchsorted(owner, np.arange(len(texts))), np.searchsorted(
+            self.owner, np.arange(len(self.items)))
+
+        def places() -> Iterator[tuple[np.ndarray, ...]]:
+            for a in range(0, len(windows), 2048):
+                cosine = windows[a:a + 2048] @ self.vectors.T
+                w, q = np.nonzero(cosine >= near)
+                doc, item = owner[a + w], self.owner[q]
+                yield doc, item, np.maximum(0, start[a + w] - self.start[q] - STRIDE), cosine[w, q]
+            last_window = np.r_[own_window[1:], len(owner)] - 1
+            last_query = np.r_[own_query[1:], len(self.owner)] - 1
+            for doc, item, inside, place in self._probed(flat, sizes, ends):
+                w = np.minimum(own_window[doc] + inside // STRIDE, last_window[doc])
+                q = np.minimum(own_query[item] + place // STRIDE, last_query[item])
+                cosine = np.concatenate([(windows[w[k:k + 8192]] * self.vectors[q[k:k + 8192]]).sum(axis=1)
+                                         for k in range(0, len(w), 8192)])
+                yield doc, item, np.maximum(0, (inside - place) // STRIDE * STRIDE - STRIDE), cosine
+
+        for docs, items, begins, cosines in places():
+            for k in range(0, len(docs), 8192):
+                doc, item, offset = docs[k:k + 8192], items[k:k + 8192], begins[k:k + 8192]
+                begin = ends[doc] - sizes[doc] + offset
                 matched, answer = self._checked(flat, ends, doc, item, begin)
                 n = self.n[item]
                 share = matched / n
                 leak = np.where(n < SHORT, share == 1, (share >= MATCH) | ((share >= PARAPHRASE) & (answer >= ANSWER)))
                 if leak.any():
-                    yield pd.DataFrame({"doc": doc, "item": item, "start_word": begin - first,
+                    yield pd.DataFrame({"doc": doc, "item": item, "start_word": offset,
                                         "matched_words": matched, "share": share, "answer_share": answer,
-                                        "cosine": cosine[wk, qk].astype(float)})[leak]
+                                        "cosine": cosines[k:k + 8192].astype(float)})[leak]
 
     def found(self, texts: list[np.ndarray], near: float = NEAR) -> pd.DataFrame:
         """(doc, item_id, start_word, matched_words, share, answer_share,

@@ -383,6 +383,27 @@ def test_leaks_and_paraphrases_are_found_and_clean_texts_left(spark, empty):
     assert decontam.leaks(frame, bench.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("held", [2, 3])
+def test_items_of_many_rows_are_found(spark, held):
+    rng = np.random.default_rng(21)
+    words = [f"{a}{b}{c}" for a in "bdfgklmn" for b in "aeiou" for c in ("ra", "sti", "lon", "me", "v", "der")]
+    item = " ".join(f"hot{i}" for i in range(20))
+    docs = [(d, " ".join(rng.choice(words, 60)) + (f" {item} " if d % held == 0 else " ") + " ".join(
+        rng.choice(words, 40))) for d in range(240)]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = decontam.leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+    assert {r["doc_id"] for r in got} == set(range(0, 240, held)) and {r["share"] for r in got} == {1.0}
+
+
+def test_table_of_two_documents(spark):
+    item = " ".join(f"hot{i}" for i in range(20))
+    docs = spark.createDataFrame([(1, f"before it {item} and after"), (2, item)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item), (2, "hot3 hot4"), (3, "hot4 hot3"), (4, "after")],
+                                  "item_id long, text string")
+    got = sorted((r["doc_id"], r["item_id"]) for r in decontam.leaks(docs, bench).collect())
+    assert got == [(1, 1), (1, 2), (1, 4), (2, 1), (2, 2)]
+
+
 # ------------------------------------------------------------- pipeline
 
 def test_pipeline_is_its_stages_one_after_the_other(spark, sf_dir):
