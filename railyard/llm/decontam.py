@@ -8,9 +8,11 @@ of the benchmark items, a stated query set taken in blocks, by cosine; what
 comes near is checked on the words: length of the longest common subsequence
 against the item's, and of its answer (the closing sentence), so that
 paraphrases with words changed, added or lost are found and passages that
-merely share vocabulary are not.  Beside the latent search, every place that
-shares ``GRAM`` words in a row with an item (all words of a shorter one) is
-checked the same way, so a copy is found whatever its vector is worth.
+merely share vocabulary are not.  A short item fills only part of a window,
+so its cosine need only reach what that part allows.  Beside the latent
+search, every place that shares ``GRAM`` words in a row with an item (two for
+an item of at most ``WINDOW`` words, all of one of fewer) is checked the same
+way, so a copy is found whatever its vector is worth.
 
 Words: runs without ASCII white space, lower case, outer punctuation off,
 hashed to 16 bits; the low 12 bits are the TF-IDF feature.
@@ -40,7 +42,7 @@ RANK = 112
 OVERSAMPLE = 8
 WINDOW = 32             # words of a passage and of a query window
 STRIDE = 16
-NEAR = 0.4              # cosine of a candidate
+NEAR = 0.4              # cosine of a candidate, for items that fill a window
 MATCH = 0.8             # share of an item in order, alone enough
 PARAPHRASE = 0.6        # share that is enough with the answer
 ANSWER = 0.6            # share of the answer in order
@@ -281,6 +283,7 @@ class Items:
         if not self.items:
             self.vectors = self.vectors[:0]
         self.n = np.array([len(w) for w in own])
+        self.gate = np.sqrt(np.minimum(self.n, WINDOW) / WINDOW)[self.owner].astype(np.float32)
         vocabulary = np.unique(np.concatenate(own))
         self.code = np.zeros(1 << 16, np.int64)         # 0: not in any item
         self.code[vocabulary] = np.arange(1, len(vocabulary) + 1)
@@ -298,7 +301,7 @@ class Items:
         self.grams = {}         # words in a row: keys in order, item and place of each
         for k in range(1, GRAM + 1):
             parts = [(self._keys(self.code[w], k), o) for o, (_, w, _) in enumerate(self.items)
-                     if k == min(GRAM, len(w))]
+                     if k == min(2 if len(w) <= WINDOW else GRAM, len(w))]
             if parts:
                 key = np.concatenate([x for x, _ in parts])
                 order = np.argsort(key, kind="stable")
@@ -376,7 +379,7 @@ class Items:
         def places() -> Iterator[tuple[np.ndarray, ...]]:
             for a in range(0, len(windows), 2048):
                 cosine = windows[a:a + 2048] @ self.vectors.T
-                w, q = np.nonzero(cosine >= near)
+                w, q = np.nonzero(cosine >= near * self.gate)
                 doc, item = owner[a + w], self.owner[q]
                 yield doc, item, np.maximum(0, start[a + w] - self.start[q] - STRIDE), cosine[w, q]
             last_window = np.r_[own_window[1:], len(owner)] - 1

@@ -404,6 +404,42 @@ def test_table_of_two_documents(spark):
     assert got == [(1, 1), (1, 2), (1, 4), (2, 1), (2, 2)]
 
 
+def test_short_items_against_all_pairs(spark):
+    rng = np.random.default_rng(31)
+    words = [f"{a}{b}{c}" for a in "bdfgklmn" for b in "aeiou" for c in ("ra", "sti", "lon", "me", "v", "der")]
+    items = [(i, [str(x) for x in rng.choice(words, n)]) for i, n in enumerate([*range(4, 21)] * 3)]
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    docs = []
+    for d in range(400):
+        text = [str(x) for x in rng.choice(words, int(rng.integers(60, 120)))]
+        _, item = items[d % len(items)]
+        kept = list(item)
+        if len(item) >= 8:                                  # 60 to 80 % stay, the end among them
+            lost = int(len(item) * rng.uniform(.2, .4))
+            some = rng.choice(len(item) - 3, min(lost, len(item) - 3), replace=False)
+            for k in range(2, len(item), 3) if d % 2 else some:         # never three in a row, or anywhere
+                kept[k] = f"other{d}"
+        at = int(rng.integers(0, len(text)))
+        text[at:at] = kept
+        docs.append((d, text))
+    want = set()
+    for d, text in docs:
+        for i, item in items:
+            own = decontam._hash
+            word, other = [own(x) for x in item], [own(x) for x in text]
+            reach = len(word) + decontam.WINDOW
+            for a in range(0, len(other), decontam.STRIDE):
+                share = decontam.lcs(word, other[a:a + reach]) / len(word)
+                answer = decontam.lcs(word[-64:], other[a:a + reach]) / len(word)
+                if share == 1 or len(word) >= decontam.SHORT and (
+                        share >= decontam.MATCH or share >= decontam.PARAPHRASE and answer >= decontam.ANSWER):
+                    want.add((d, i))
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.leaks(
+        spark.createDataFrame([(d, " ".join(t)) for d, t in docs], "doc_id long, text string"), bench).collect()}
+    planted = {(d, d % len(items)) for d, _ in docs}
+    assert len(planted & want) > 300 and planted & want <= got
+
+
 # ------------------------------------------------------------- pipeline
 
 def test_pipeline_is_its_stages_one_after_the_other(spark, sf_dir):
