@@ -1,7 +1,7 @@
 """Secret scan with corpus-wide ownership frequency.
 
 Patterns propose candidates; each value's hash is then counted over the
-whole corpus by distinct repository (column ``repo``, or else the document)
+whole corpus by distinct repository (column ``repo``, if the input has it)
 and distinct owner (column ``source``).  A value many owners or repositories
 hold is a copied example; one that stays with its owner and looks random is
 a live credential.  Base spans always stay; further candidates become spans
@@ -10,8 +10,9 @@ only if they look live.
 Scanning is per text (Arrow batches, cheap substring tests before any
 pattern); hashes, places and counts are all that is shuffled.
 
-Null text: empty (no spans).  A null owner or repository counts as one of
-its own.  Rows without a doc_id and repeated rows are scanned like any
+Null text: empty (no spans).  A null owner counts as one owner, null
+repositories as one of each owner, so copies in documents without one do not
+make a value an example.  Rows without a doc_id and repeated rows are scanned like any
 other; an empty table gives no rows; further input columns are ignored.
 """
 
@@ -105,7 +106,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     python_batches(docs.sparkSession, 2000)
     rows = own_columns(docs, "doc_id", "source", "repo", "text")
     rows = rows.select(F.col("doc_id").cast("long"), F.col("source").cast("string").alias("owner"),
-                       F.coalesce(F.col("repo").cast("string"), F.col("doc_id").cast("string")).alias("repo"),
+                       F.col("repo").cast("string"),       # null throughout: owners alone decide
                        F.col("text").cast("string"))
     return rows.mapInArrow(run, "doc_id long, owner string, repo string, n_assign long, n_access long, n_hex long, "
                                 f"base_sha256 string, spans {SPANS}")

@@ -317,6 +317,18 @@ def test_secrets_follow_the_patterns_and_ownership(odd, empty, spark):
     assert secrets.secret_report(empty).count() == 0
 
 
+@pytest.mark.parametrize("copies", [10, 1000])
+def test_a_token_of_one_owner_is_live_in_any_number_of_copies(spark, copies):
+    frame = spark.createDataFrame([(i, "clone with ghp_a8Zk29XqLm4TvB7nW3RsYc6D here", "own") for i in range(copies)],
+                                  "doc_id long, text string, source string")
+    got = secrets.secret_report(frame).groupBy("spans", "n_live", "n_copied").count().collect()
+    assert [tuple(r) for r in got] == [("vendor:11:39", 1, 0, copies)]
+    spread = frame.withColumn("repo", F.col("doc_id").cast("string"))       # many repositories: an example
+    assert {r["spans"] for r in secrets.secret_report(spread).collect()} == {""}
+    unnamed = frame.withColumn("repo", F.lit(None).cast("string"))
+    assert {r["n_live"] for r in secrets.secret_report(unnamed).collect()} == {1}
+
+
 def test_secret_patterns_on_random_texts():
     rng = np.random.default_rng(8)
     parts = ["password", "Token", "API_KEY", "apikey", "sEcret", "=", ":", '"', " ", "'", "abc123XY", "AKIA", "0f" * 9,
