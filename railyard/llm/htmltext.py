@@ -3,7 +3,8 @@
 A small tree builder takes markup as it comes: void and raw-text elements,
 end tags that are implied (paragraphs, list items, table cells, options) or
 missing, stray end tags.  Visibility rules drop what is not shown: head,
-scripts, templates, ``hidden``, inline styles and simple style-sheet rules.
+scripts, templates, ``hidden``, inline styles and simple style-sheet rules
+(those for the screen at any size; of one selector the last one counts).
 The layout then emits all visible text: blocks on lines of their own, one
 blank line around paragraphs and headings, list items with bullets or
 numbers indented by depth, table cells aligned in columns, preformatted
@@ -29,8 +30,8 @@ from railyard.llm.common import own_columns, python_batches
 # fixed values: element classes of the HTML standard
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-HIDDEN = frozenset("head script style template noscript iframe object audio video canvas svg math datalist "
-                   "noembed noframes title meta link".split())
+HIDDEN = frozenset("head script style template noscript iframe object audio video canvas datalist "
+                   "noembed noframes title meta link desc metadata defs symbol annotation annotation-xml".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure form fieldset".split())
 BLOCK = SPACED | frozenset("html body div article section nav header footer main aside address li dt dd tr caption "
                            "thead tbody tfoot hr figcaption details summary legend option select center".split())
@@ -56,7 +57,9 @@ _TOKEN = re.compile(
     r"|<([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _HIDING = re.compile(r"(?i)display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)")
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
+_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)|\"(?:[^\"\\\n]|\\.)*\"|'(?:[^'\\\n]|\\.)*'", re.S)   # and strings
+_PART = re.compile(r"([^{};]*)([{};]|\Z)")
+_MEDIA = re.compile(r"(?i)(?:only\s+)?(?:all|screen)")
 _SIMPLE = re.compile(r"[.#]?[A-Za-z][\w-]*|[a-z][a-z0-9]*\.[\w-]+")
 _SPACE = re.compile(r"[ \t\n\f\r]+")
 
@@ -77,10 +80,48 @@ def _attributes(source: str) -> dict[str, str]:
     return out
 
 
+def _on_screen(media: str) -> bool:
+    """Whether a media query list holds for every ordinary screen."""
+    return not media.strip() or any(_MEDIA.fullmatch(x.strip()) for x in media.split(","))
+
+
+def _style_rules(css: str, states: dict[tuple[str, str], tuple[bool, bool]]) -> None:
+    """Enter what a style sheet says of simple selectors into ``states``:
+    (selector, property) to (important, hides)."""
+    open_blocks: list[tuple[bool, list[str] | None]] = []      # rules in it count; its selectors
+    for m in _PART.finditer(_COMMENT.sub(" ", css)):
+        part, mark = m[1].strip(), m[2]
+        counts, own = open_blocks[-1] if open_blocks else (True, None)
+        if mark == "{":
+            if part.startswith("@"):
+                name, _, rest = part.partition(" ")
+                name, bracket, more = name.partition("(")
+                name, rest = name.lower(), bracket + more + rest
+                inside = name == "@layer" or (name == "@media" and _on_screen(rest)) or (
+                    name == "@supports" and not rest.strip().lower().startswith("not"))
+                open_blocks.append((counts and inside, None))
+            else:
+                open_blocks.append((counts and own is None, [
+                    x for x in map(str.strip, part.split(",")) if _SIMPLE.fullmatch(x)]))
+            continue
+        if counts and own:
+            name, _, value = part.partition(":")
+            name, value = name.strip().lower(), value.strip().lower()
+            if name in ("display", "visibility") and value:
+                important = value.endswith("!important")
+                hides = bool(_HIDING.match(f"{name}:{value}"))
+                for x in own:
+                    if important or not states.get((x, name), (False, False))[0]:
+                        states[x, name] = (important, hides)
+        if mark == "}" and open_blocks:
+            open_blocks.pop()
+
+
 def tree(html: str) -> tuple[Node, set[str]]:
     """Document tree, and the simple selectors that style sheets hide."""
     root = Node("#root", {})
-    stack, at, hidden = [root], 0, set()
+    stack, at = [root], 0
+    states: dict[tuple[str, str], tuple[bool, bool]] = {}
 
     def up_to(tags, scope) -> None:
         for k in range(len(stack) - 1, 0, -1):
@@ -120,16 +161,15 @@ def tree(html: str) -> tuple[Node, set[str]]:
                 body = html[at:end.start() if end else len(html)]
                 at = end.end() if end else len(html)
                 if tag == "style":
-                    for selectors, rules in _RULE.findall(body):
-                        if _HIDING.search(rules):
-                            hidden |= {x for x in map(str.strip, selectors.split(",")) if _SIMPLE.fullmatch(x)}
+                    if _on_screen(node.attrs.get("media", "")):
+                        _style_rules(body, states)
                 elif tag in ("textarea", "title", "xmp"):
                     node.children.append(entities.unescape(body) if tag != "xmp" else body)
             elif tag not in VOID and not m[3].endswith("/"):
                 stack.append(node)
             elif tag not in VOID and tag in BLOCK:
                 stack.append(node)          # a slash does not close an HTML block
-    return root, hidden
+    return root, {x for (x, _), (_, hides) in states.items() if hides}
 
 
 def shown(node: Node, hidden: set[str]) -> bool:
@@ -302,6 +342,8 @@ def render(html: str) -> str:
             pre += 1
         elif tag == "hr":
             out.block(2)
+        elif tag == "text":
+            out.inline(" ")             # pieces of a drawing stand apart
         elif tag in BLOCK:
             out.block(2 if tag in SPACED else 1)
         if tag not in VOID:

@@ -41,6 +41,33 @@ def test_layout(html, text):
     assert htmltext.render(html) == text
 
 
+@pytest.mark.parametrize("css,text", [
+    ("@media print { nav, .toc { display:none } }", "nav toc"),
+    ("@media (max-width:600px) { .toc { display:none } } nav { display: none }", "toc"),
+    ("@media screen and (max-width:600px) { .toc { display:none } }", "nav toc"),
+    ("@media print { @media screen { .toc { display:none } } }", "nav toc"),
+    ("@media screen, print { .toc { display:none } }", "nav"), ("@media all{.toc{display:none}}", "nav"),
+    (".toc { color: red; display: none } .toc { display: block }", "nav toc"),
+    (".toc { display: none !important } .toc { display: block }", "nav"),
+    (".toc { display: none } .toc { color: red }", "nav"), (".toc { display: none; display: block }", "nav toc"),
+    (".toc { visibility: hidden } .toc { display: block }", "nav"),
+    ("/* .toc { display: none } */ @import url(x.css); nav { display: none }", "toc"),
+    ("@supports (display: grid) { .toc { display: none } }", "nav"),
+    ("@media print { nav::after { content: '}' } .toc { display: none } }", "nav toc"),
+    ("@supports not (display: grid) { .toc { display: none } }", "nav toc"), (".toc { display: none", "nav"),
+])
+def test_style_rules_of_the_ordinary_screen(css, text):
+    assert htmltext.render(f"<style>{css}</style><nav>nav </nav><b class=toc>toc</b>").split() == text.split()
+
+
+def test_formulas_drawings_and_print_sheets():
+    assert htmltext.render("<style media=print>b{display:none}</style><b>b</b>") == "b"
+    assert htmltext.render("so <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds") == (
+        "so x=2 holds")
+    assert htmltext.render("<svg><title>t</title><desc>d</desc><path d='M0'/><text>up</text><text>down</text></svg>"
+                           ) == "up down"
+
+
 def test_deep_nesting_and_long_pages():
     assert htmltext.render("<div>" * 20_000 + "x" + "</div>" * 20_000) == "x"
     assert htmltext.render("<b>" * 5000 + "<table>" * 300 + "y").strip() == "y"
