@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from railyard.llm import chat, decontam, htmltext, langid, licenses, packing, pii, quality, secrets, simhash
+from railyard.llm import (
+    audit, chat, decontam, htmltext, langid, levels, licenses, packing, pii, quality, secrets, simhash, subvectors,
+)
 from railyard.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +90,21 @@ def op4_language_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Visible text of every page."""
     return htmltext.rendered(table(spark, sf_dir, "pages"))
+
+
+@query("op11_online_levels")
+def op11_online_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces and their places in windows of 2048 ids."""
+    return levels.pack_online(table(spark, sf_dir, "documents"), word_vocabulary())
+
+
+@query("op12_filter_audit", audit.SQL)
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove at each step of all 120 orders, by source."""
+    return audit.audited(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op13_subvector_clusters", subvectors.SQL)
+def op13_subvector_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector after three rounds from 16 centroids."""
+    return subvectors.clustered(table(spark, sf_dir, "embeddings"))

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +38,23 @@ def python_batches(spark: SparkSession, rows: int) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
+def small_batches(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``most`` bytes, none of them empty.
+
+    This bounds what a task holds without touching the session's settings; a
+    row above the bound is a batch of its own.
+    """
+    for batch in batches:
+        todo = [batch]
+        while todo:
+            b = todo.pop()
+            if b.num_rows > 1 and b.nbytes > most:
+                half = b.num_rows // 2
+                todo += [b.slice(half), b.slice(0, half)]
+            elif b.num_rows:
+                yield b
+
+
 def ascii_lower(c: Column) -> Column:
     """A-Z to a-z; every other character stays."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
