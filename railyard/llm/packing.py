@@ -18,6 +18,8 @@ gives no rows; further input columns are ignored.
 from __future__ import annotations
 
 import os
+import string
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -33,7 +35,7 @@ from railyard.llm.common import landed, own_columns, python_batches
 SEQUENCE = 2048
 END_ID = 0
 SHARD_PIECES = 32_768
-WORDS_KEPT = 300_000          # words remembered by a worker, then forgotten
+WORDS_KEPT = 600_000          # words, and runs of letters, remembered by a worker, then forgotten
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -42,8 +44,9 @@ class WordTokenizer:
     """Ids of whole columns of texts under a word-level BPE file.
 
     No token of such a file spans white space, so the ids of a text are those
-    of its words in order.  Each distinct word of a batch is encoded once and
-    the batch is put together from them by index.
+    of its words in order.  Each distinct word of a batch is encoded once, by
+    its letters where it is of the common form, and the batch is put together
+    from them by index.
     """
 
     def __init__(self, path: str):
@@ -60,10 +63,14 @@ class WordTokenizer:
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in shown]
         self.byte_char = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
+        marks = {c: self.tok.encode(c, add_special_tokens=False).ids for c in string.punctuation}
+        self.marks = {c: ids[0] for c, ids in marks.items() if len(ids) == 1}
+        self.easy = f"^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+[{regex.escape(''.join(self.marks))}]?$"
 
     def _part(self, part: str) -> bytes:
         text = part if part.isascii() else "".join([self.byte_char[b] for b in part.encode()])
-        return np.array([t.id for t in self.tok.model.tokenize(text)], "<u4").tobytes()
+        ids = [t.id for t in self.tok.model.tokenize(text)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _learn(self, words: list[str]) -> None:
         plain = [w for w in words if self.plain(w)]
@@ -84,20 +91,52 @@ class WordTokenizer:
         if plain:
             self.words[plain[at]] = b"".join(out)
 
-    def batch(self, texts: pa.Array) -> Iterator[bytes]:
-        """Little-endian 32-bit ids of each text (null: empty)."""
-        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
-        coded = pc.dictionary_encode(split.flatten())
-        words = coded.dictionary.to_pylist()
+    def _cores(self, words: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """Ids of distinct cores, each word's core, and the id after it (-1: none).
+
+        A run of Latin letters with at most one mark behind it, by far the
+        most common word, is its lower-case letters and the mark's own id;
+        words that differ in capitals and marks share a core.
+        """
+        easy = pc.match_substring_regex(words, self.easy)
+        mask = easy.to_numpy(zero_copy_only=False)
+        lower = pc.utf8_lower(words.filter(easy))
+        ends = pc.dictionary_encode(pc.utf8_slice_codeunits(lower, -1))
+        marks = np.array([self.marks.get(c, -1) for c in ends.dictionary.to_pylist()], np.int64)
+        stems = pc.dictionary_encode(pc.utf8_rtrim(lower, "".join(self.marks)))
+        others = words.filter(pc.invert(easy)).to_pylist()
         for known in (self.words, self.parts):
             if len(known) > WORDS_KEPT:
                 known.clear()
-        if missing := [w for w in words if w not in self.words]:
+        cores = []
+        for part in stems.dictionary.to_pylist():
+            ids = self.parts.get(part)
+            if ids is None:
+                ids = self.parts[part] = self._part(part)
+            cores.append(ids)
+        core, after = np.empty(len(words), np.int64), np.full(len(words), -1, np.int64)
+        core[mask] = stems.indices.to_numpy(zero_copy_only=False)
+        after[mask] = marks[ends.indices.to_numpy(zero_copy_only=False)]
+        core[~mask] = len(cores) + np.arange(len(others))
+        if missing := [w for w in others if w not in self.words]:
             self._learn(missing)
-        ids = [self.words[w] for w in words]
-        size = np.fromiter((len(x) >> 2 for x in ids), np.int64, len(ids))
-        flat = np.frombuffer(b"".join(ids), "<u4")
+        return cores + [self.words[w] for w in others], core, after
+
+    def batch(self, texts: pa.Array) -> Iterator[bytes]:
+        """Little-endian 32-bit ids of each text (null: empty)."""
+        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        coded = pc.dictionary_encode(split.flatten())
+        cores, core, after = self._cores(coded.dictionary)
+        n_core = np.fromiter((len(x) >> 2 for x in cores), np.int64, len(cores))
+        at_core = np.cumsum(n_core) - n_core
+        n = n_core[core]
+        size = n + (after >= 0)
         first = np.cumsum(size) - size
+        flat, begin = np.empty(int(size.sum()), "<u4"), np.cumsum(n) - n
+        step = np.arange(int(n.sum()))
+        flat[step + np.repeat(first - begin, n)] = np.frombuffer(b"".join(cores), "<u4")[
+            step + np.repeat(at_core[core] - begin, n)]
+        flat[(first + n)[after >= 0]] = after[after >= 0]
         codes = coded.indices.to_numpy(zero_copy_only=False)
         bounds = split.offsets.to_numpy() - split.offsets[0].as_py()
         for a, b in zip(bounds[:-1], bounds[1:], strict=True):
