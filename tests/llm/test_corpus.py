@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -69,6 +70,16 @@ def test_pieces_match_the_tokenizer_and_fill_sequences(odd, empty):
     assert packing.pack_documents(empty, catalog.word_vocabulary()).count() == 0
 
 
+def test_word_tokenizer_equals_the_tokenizer_on_odd_words():
+    rng = np.random.default_rng(7)
+    letters = list("abzAZÀÖ×ØößÿĀİıſ'’.,!?<|>endoftxsrvm0½漢̀ \n\t\x85\xa0_-")
+    texts = ["".join(rng.choice(letters, n)) for n in rng.integers(0, 60, 1500)]
+    texts += ["don't <|endoftext|> it's. I'LL' É. é", "", None, "word. Word! WORD word's wörd? <|startoftext|>a"]
+    tok = packing.WordTokenizer(catalog.word_vocabulary())
+    for text, ids in zip(texts, tok.batch(pa.array(texts, pa.string())), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == tok.tok.encode(text or "", add_special_tokens=False).ids
+
+
 def test_placement_takes_the_least_sum_of_squares():
     rng = np.random.default_rng(3)
     lengths = np.sort(rng.integers(1, 33, 300))[::-1]
