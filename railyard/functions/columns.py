@@ -15,17 +15,27 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def truthy(c, kind: str = "string") -> Column:
-    """Python truthiness of a feed value: NULL, "" and 0 are all false.
-
-    ``kind`` is ``"string"`` or ``"number"``.
-    """
+def truthy(c) -> Column:
+    """Python truthiness of a feed text: NULL and "" are false."""
     c = _c(c)
-    if kind == "number":
-        return c.isNotNull() & (c != 0)
     return c.isNotNull() & (c != "")
 
 
+def typed(v: Column, dt: T.DataType, path: str = "$") -> Column:
+    """The value at ``path`` of a VARIANT in type ``dt`` (structs, arrays and
+    text), field by field: what is absent, null or of another type is NULL and
+    costs only itself.  An object of the schema given as another value is a
+    struct of NULLs; an array given as another value is NULL."""
+    if isinstance(dt, T.StructType):
+        there = F.try_variant_get(v, path, "variant")
+        return F.when(there.isNotNull() & ~F.is_variant_null(there), F.struct(*[
+            typed(v, f.dataType, f"{path}['{f.name}']").alias(f.name) for f in dt.fields]))
+    if isinstance(dt, T.ArrayType):
+        return F.transform(F.try_variant_get(v, path, "array<variant>"),
+                           lambda e: typed(e, dt.elementType))
+    return F.try_variant_get(v, path, "string")
+
+
 def truthy_epoch(c) -> Column:
     """Truthiness of an epoch read as text: NULL, "", 0 and "0" are false."""
     c = _c(c)
@@ -33,14 +43,20 @@ def truthy_epoch(c) -> Column:
     return c.isNotNull() & (c != "") & (F.coalesce(num, F.lit(1.0)) != 0)
 
 
+# Epoch seconds of the first second of year 1 and the last of year 9999.
+FIRST_SECOND, LAST_SECOND = -62135596800, 253402300799
+
+
 def epoch_text_to_ts(c) -> Column:
     """Epoch seconds held as text (int, float or numeric string) to a UTC
-    timestamp; NULL when the text is not a number."""
+    timestamp; NULL when the text is not a number, or one outside the years
+    1 to 9999 (micro- and nanoseconds sent as seconds are)."""
     c = _c(c)
     as_long = c.try_cast(T.LongType())
     as_double = c.try_cast(T.DoubleType())
-    return F.when(as_long.isNotNull(), F.timestamp_seconds(as_long)) \
-        .otherwise(F.timestamp_seconds(as_double))
+    return F.when(as_long.between(FIRST_SECOND, LAST_SECOND), F.timestamp_seconds(as_long)) \
+        .when(as_long.isNull() & as_double.between(float(FIRST_SECOND), float(LAST_SECOND)),
+              F.timestamp_seconds(as_double))
 
 
 def whole_number(c) -> Column:

@@ -1,9 +1,9 @@
 """Feed decoding, flattening, projection and validation.
 
 Plain ``DataFrame -> DataFrame`` functions usable with ``df.transform`` on
-batch and streaming frames alike.  JSON is decoded with ``from_json`` against
-explicit schemas; flattening is ``explode``; every rule is a built-in
-expression, so a message is never handled by Python.
+batch and streaming frames alike.  JSON is parsed into a VARIANT and read
+from it field by field against explicit schemas; flattening is ``explode``;
+every rule is a built-in expression, so a message is never handled by Python.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import (epoch_lenient, epoch_text_to_ts, iso_to_ts,
                                  parse_trip_id, pick_translation, truthy, truthy_epoch,
-                                 whole_number)
+                                 typed, whole_number)
 from ..schemas import (ALERTS_MESSAGE, GTFS_MESSAGE, MERCURY_KEY,  # noqa: F401
                        SERVICE_ALERTS, VEHICLE_POSITIONS, conform)
 
@@ -30,17 +30,29 @@ ALERT_REQUIRED = ("alert_id", "feed_timestamp", "ingest_time")
 
 # ---------------------------------------------------------------- P1 decode
 def decode(messages: DataFrame, schema=GTFS_MESSAGE, value_col: str = "value") -> DataFrame:
-    """Parse JSON text (or UTF-8 bytes) into column ``msg``; ``msg_ok``
-    is false for text that is not one JSON object (blank, an array, a lone
-    value, anything after the object), judged by syntax alone.  A field of an
-    unexpected type is null or text and costs only itself."""
+    """Parse JSON text (or UTF-8 bytes) once into a VARIANT and read the
+    typed column ``msg`` from it field by field, so that a field, a stop
+    update or an entity of an unexpected type costs only itself.  ``msg_ok``
+    is false for text that is not one JSON object and nothing else (blank, an
+    array, a lone value, anything after the object); ``list_ok`` is false if
+    the message has an ``entity`` that is no list.  Of a repeated key the last
+    value counts where ``spark.sql.variant.allowDuplicateKeys`` is on, as in
+    the package's sessions; else such a message fails."""
     v = F.col(value_col)
     if dict(messages.dtypes).get(value_col) == "binary":
         v = F.decode(v, "UTF-8")
-    # the parser stops after the first value: inside brackets, more text after it fails or counts
-    ok = F.coalesce(F.schema_of_variant(F.try_parse_json(v)).startswith("OBJECT")
-                    & (F.json_array_length(F.concat(F.lit("["), v, F.lit("]"))) == 1), F.lit(False))
-    return messages.withColumn("msg", F.from_json(v, schema, {"mode": "PERMISSIVE"})).withColumn("msg_ok", ok)
+    # both parsers stop after the first value; text that is one value within braces and
+    # within brackets has nothing behind it
+    doc = F.try_parse_json(F.concat(F.lit('{"m":'), v, F.lit("}")))
+    alone = F.json_array_length(F.concat(F.lit("["), v, F.lit("]"))) == 1
+    ok = F.coalesce(v.rlike(r"^[ \t\r\n]*\{") & alone & F.col("_doc").isNotNull(), F.lit(False))
+    root = "$['m']"
+    listed = F.try_variant_get("_doc", f"{root}['entity']", "variant").isNull() \
+        | F.try_variant_get("_doc", f"{root}['entity']", "array<variant>").isNotNull()
+    return (messages.withColumn("_doc", doc).withColumn("msg_ok", ok)
+            .withColumn("list_ok", F.when(F.col("msg_ok"), F.coalesce(listed, F.lit(True))))
+            .withColumn("msg", F.when(F.col("msg_ok"), typed(F.col("_doc"), schema, root)))
+            .drop("_doc"))
 
 
 def parse_rejects(decoded: DataFrame, keys=("feed", "msg_id")) -> DataFrame:
@@ -53,12 +65,17 @@ def parse_rejects(decoded: DataFrame, keys=("feed", "msg_id")) -> DataFrame:
 # ---------------------------------------------------------------- P2 entities
 def _entity_rows(decoded: DataFrame, keys, with_failed: bool) -> DataFrame:
     """One row per entity with its place in the message; ``with_failed``
-    adds one row of NULL entity per message that is not one JSON object."""
-    ent, d = F.col("msg.entity"), decoded.where(F.col("msg_ok"))
+    adds one row of NULL entity, with ``failure``, per message that is not one
+    JSON object or whose ``entity`` is no list."""
+    failure = F.when(~F.col("msg_ok"), F.lit("json_parse_error")) \
+        .when(~F.col("list_ok"), F.lit("entity_not_a_list"))
+    ent, d = F.col("msg.entity"), decoded.withColumn("failure", failure)
     if with_failed:
         none = F.lit(None).cast(decoded.schema["msg"].dataType["entity"].dataType.elementType)
-        ent, d = F.when(F.col("msg_ok"), ent).otherwise(F.array(none)), decoded
-    return d.select(*keys, "msg_ok",
+        ent = F.when(F.col("failure").isNull(), ent).otherwise(F.array(none))
+    else:
+        d = d.where(F.col("failure").isNull())
+    return d.select(*keys, "failure",
                     F.col("msg.header.timestamp").alias("_feed_ts_text"),
                     F.col("msg._ingest_time").alias("_ingest_text"),
                     F.posexplode(ent).alias("ent_pos", "ent"))
@@ -66,13 +83,14 @@ def _entity_rows(decoded: DataFrame, keys, with_failed: bool) -> DataFrame:
 
 def entities(decoded: DataFrame, keys=("feed", "msg_id"), with_failed: bool = False) -> DataFrame:
     """One row per entity of every parsed message, with the feed-level
-    fields; ``kind`` is vehicle (wins), trip_update or unknown, and message
-    for the row that ``with_failed`` gives a message that failed."""
-    kind = (F.when(~F.col("msg_ok"), F.lit("message"))
+    fields; ``kind`` is vehicle (wins), trip_update or unknown (also for an
+    entity that is no object), and message for the row that ``with_failed``
+    gives a message that failed (``failure`` says why)."""
+    kind = (F.when(F.col("failure").isNotNull(), F.lit("message"))
             .when(F.col("ent.vehicle").isNotNull(), F.lit("vehicle"))
             .when(F.col("ent.trip_update").isNotNull(), F.lit("trip_update"))
             .otherwise(F.lit("unknown")))
-    return _entity_rows(decoded, keys, with_failed).withColumn("kind", kind).drop("msg_ok")
+    return _entity_rows(decoded, keys, with_failed).withColumn("kind", kind)
 
 
 def _feed_times() -> list[Column]:
@@ -127,7 +145,7 @@ def position_candidates(ents: DataFrame, keep=()) -> DataFrame:
     v_rec = record(
         F.col("ent.id"), vtrip, null_s, null_s, veh["stop_id"], veh["current_stop_sequence"],
         veh["current_status"], veh["timestamp"],
-        F.when(F.col("kind") == "message", F.lit("json_parse_error"))
+        F.when(F.col("kind") == "message", F.col("failure"))
         .when(F.col("kind") == "unknown", F.lit("unknown_entity"))
         .otherwise(_first_missing(
             ("trip_id", truthy(vtrip["trip_id"])), ("route_id", truthy(vtrip["route_id"])),
@@ -312,16 +330,16 @@ def alert_outcomes(decoded: DataFrame, keys=("msg_id",), target_routes=ALERT_TAR
                    with_failed: bool = False) -> DataFrame:
     """Every alert entity with ``reject_reason``: ``no_alert`` (an entity of
     another kind), ``no_target_route`` (P9), ``missing:<field>`` (V2),
-    ``json_parse_error`` (the row of a failed message), or NULL for a row
-    that reaches the table."""
+    ``json_parse_error`` or ``entity_not_a_list`` (the row of a failed
+    message), or NULL for a row that reaches the table."""
     rows = _entity_rows(decoded, keys, with_failed) \
         .withColumn("_is_alert", F.col("ent.alert").isNotNull())
-    reason = (F.when(~F.col("msg_ok"), F.lit("json_parse_error"))
+    reason = (F.when(F.col("failure").isNotNull(), F.col("failure"))
               .when(~F.col("_is_alert"), F.lit("no_alert"))
               .when(~_hits_target(), F.lit("no_target_route"))
               .otherwise(_alert_missing()))
-    return alert_candidates(rows, target_routes, (*keys, "msg_ok", "_is_alert")) \
-        .withColumn("reject_reason", reason).drop("msg_ok", "_is_alert")
+    return alert_candidates(rows, target_routes, (*keys, "failure", "_is_alert")) \
+        .withColumn("reject_reason", reason).drop("failure", "_is_alert")
 
 
 def accepted_alerts(outcomes: DataFrame) -> DataFrame:

@@ -172,7 +172,7 @@ def enrichment_counters() -> list[Column]:
 def alert_counters() -> list[Column]:
     """Over ``parse.alert_outcomes``."""
     r = F.col("reject_reason")
-    dropped = F.coalesce(r.isin("no_alert", "no_target_route", "json_parse_error"), F.lit(False))
+    dropped = F.coalesce(r.isin("no_alert", "no_target_route", "json_parse_error", "entity_not_a_list"), F.lit(False))
     return [F.count_if(~dropped).alias("alerts_extracted"),
             F.count_if(r == "no_target_route").alias("alerts_filtered"),
             F.count_if(r.isNull()).alias("valid_alerts"),

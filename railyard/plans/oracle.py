@@ -19,51 +19,78 @@ def W(*ctes: str) -> str:
 
 # ---------------------------------------------------------------- shared CTEs
 MSG = """
-msg_ev AS (
+msg_ev0 AS (
   SELECT *,
     CASE WHEN route IN ('A', 'C', 'E') THEN 'ace' ELSE 'bdfm' END AS feed,
-    msg_id % 97 <> 0 AS msg_ok,
-    CASE WHEN user_id % 23 = 0 THEN 'G' ELSE route END AS msg_route,
-    CASE WHEN user_id % 37 = 0 THEN '060300_' || route || dir || '55R'
+    event_id % 31 AS d, msg_id % 97 AS m,
+    CASE WHEN event_id % 31 IN (0, 1, 5) THEN 'unknown'
+         WHEN st = 'IN_TRANSIT_TO' THEN 'trip_update' ELSE 'vehicle' END AS kind
+  FROM ev_rows),
+msg_ev AS (
+  SELECT * EXCLUDE (feed_timestamp),
+    m > 5 AS msg_ok, m > 5 AND m <> 7 AS list_ok,
+    CASE WHEN m <> 8 THEN feed_timestamp END AS feed_timestamp,
+    CASE WHEN d NOT IN (0, 7) THEN entity_id END AS e_id,
+    CASE WHEN d = 4 AND kind = 'vehicle' THEN NULL
+         WHEN user_id % 23 = 0 THEN 'G' ELSE route END AS msg_route,
+    CASE WHEN d = 2 OR d = 4 AND kind = 'vehicle' THEN NULL
+         WHEN user_id % 37 = 0 THEN '060300_' || route || dir || '55R'
          WHEN user_id % 19 = 0 THEN '060300_' || route || '..X55R'
          ELSE trip_id END AS trip_text,
     CASE WHEN user_id % 37 = 0 OR user_id % 19 = 0 THEN 'U' ELSE dir END AS p_dir,
     CASE WHEN user_id % 37 = 0 THEN NULL ELSE '55R' END AS p_path,
-    coalesce(st = 'IN_TRANSIT_TO', false) AS is_tu
-  FROM ev_rows)"""
+    CASE WHEN d NOT IN (3, 6) THEN 1 END AS sane
+  FROM msg_ev0),
+stops AS (
+  SELECT * EXCLUDE (stop_id, current_stop_sequence), 0 AS stop_pos, stop_id, current_stop_sequence,
+    CASE WHEN k % 13 = 0 THEN NULL WHEN k % 3 = 0 THEN 0 ELSE veh_epoch END AS arr,
+    CASE WHEN k % 13 <> 0 THEN veh_epoch + 30 END AS dep
+  FROM msg_ev WHERE kind = 'trip_update' AND list_ok AND d <> 4
+  UNION ALL BY NAME
+  SELECT * EXCLUDE (stop_id, current_stop_sequence), 1 AS stop_pos,
+    route || CAST((k + 1) % 4 AS VARCHAR) || dir AS stop_id,
+    current_stop_sequence + 1 AS current_stop_sequence, veh_epoch + 120 AS arr, NULL AS dep
+  FROM msg_ev WHERE kind = 'trip_update' AND list_ok AND d <> 4 AND k % 4 = 1)"""
 
 P3 = """
 p3 AS (
-  SELECT entity_id, trip_text AS trip_id, msg_route AS route_id,
+  SELECT e_id AS entity_id, trip_text AS trip_id, msg_route AS route_id,
     CAST(NULL AS VARCHAR) AS start_time, CAST(NULL AS VARCHAR) AS start_date,
     p_dir AS direction, p_path AS path_id, CAST(NULL AS VARCHAR) AS train_id,
     CAST(NULL AS VARCHAR) AS nyct_direction, CAST(NULL AS VARCHAR) AS scheduled_track,
     CAST(NULL AS VARCHAR) AS actual_track, stop_id, current_stop_sequence, current_status,
-    vehicle_timestamp, feed_timestamp, ingest_time
-  FROM msg_ev WHERE msg_ok AND NOT is_tu AND k % 11 <> 0)"""
+    CASE WHEN sane = 1 THEN vehicle_timestamp END AS vehicle_timestamp, feed_timestamp, ingest_time
+  FROM msg_ev WHERE list_ok AND kind = 'vehicle' AND trip_text IS NOT NULL AND k % 11 <> 0)"""
 
 P4 = f"""
 p4 AS (
-  SELECT entity_id || '__' || stop_id AS entity_id, trip_text AS trip_id, msg_route AS route_id,
+  SELECT coalesce(e_id, 'None') || '__' || stop_id AS entity_id, trip_text AS trip_id, msg_route AS route_id,
     start_time, start_date, p_dir AS direction, p_path AS path_id, train_id, nyct_direction,
     scheduled_track, actual_track, stop_id, current_stop_sequence,
     'IN_TRANSIT_TO' AS current_status,
-    {ts('CASE WHEN k % 3 = 0 THEN veh_epoch + 30 ELSE veh_epoch END')} AS vehicle_timestamp,
+    CASE WHEN sane = 1 THEN {ts('CASE WHEN arr = 0 THEN dep ELSE arr END')} END AS vehicle_timestamp,
     feed_timestamp, ingest_time
-  FROM msg_ev WHERE msg_ok AND is_tu AND k % 13 <> 0)"""
+  FROM stops WHERE trip_text IS NOT NULL AND arr IS NOT NULL)"""
 
 TRACKS = """
 trk AS (
   SELECT feed || ':' || CAST(msg_id AS VARCHAR) AS snapshot, trip_text AS trip_id,
     msg_route AS route_id, train_id, nyct_direction AS direction, stop_id,
     scheduled_track, actual_track
-  FROM msg_ev WHERE msg_ok AND is_tu)"""
+  FROM stops)"""
+
+# V1 over extracted rows: the first check that fails
+V1_REASON = """CASE WHEN entity_id IS NULL THEN 'missing:entity_id'
+  WHEN vehicle_timestamp IS NULL THEN 'missing:vehicle_timestamp'
+  WHEN feed_timestamp IS NULL THEN 'missing:feed_timestamp'
+  WHEN route_id NOT IN ('A', 'B', 'C', 'D', 'E', 'F', 'H', 'M', 'S') THEN 'invalid_route' END"""
 
 ALERTS = f"""
 al_ev AS (
   SELECT *, event_id // 120 AS amsg, 'a' || CAST(user_id AS VARCHAR) AS alert_id,
     route || CAST(k % 4 AS VARCHAR) || dir AS a_stop,
-    substr('ACEBDFMS7G', CAST(k % 10 AS INTEGER) + 1, 1) AS extra
+    substr('ACEBDFMS7G', CAST(k % 10 AS INTEGER) + 1, 1) AS extra,
+    event_id % 17 AS d, (event_id // 120) % 13 NOT IN (1, 2) AS msg_ok
   FROM ev_b WHERE event_type = 'signup'),
 al_rows AS (
   SELECT amsg AS msg_id, alert_id,
@@ -82,12 +109,12 @@ al_rows AS (
          WHEN k % 2 = 0 THEN 'Alert ' || CAST(event_id AS VARCHAR)
          ELSE 'Avis ' || CAST(event_id AS VARCHAR) END AS header_text,
     CASE WHEN k % 3 = 0 THEN NULL ELSE 'Delays on ' || route END AS description_text,
-    {ts('feed_epoch - 600')} AS created_at,
+    CASE WHEN d <> 2 THEN {ts('feed_epoch - 600')} END AS created_at,
     {ts('feed_epoch - 60')} AS updated_at,
     CASE WHEN amsg % 11 = 0 THEN NULL ELSE {ts('1704067200 + amsg * 3600')} END AS feed_timestamp,
     {ts('1704067200 + amsg * 3600 + 2')} AS ingest_time,
-    user_id % 5 = 0 AS no_target
-  FROM al_ev),
+    user_id % 5 = 0 OR d = 3 AS no_target
+  FROM al_ev WHERE msg_ok AND d NOT IN (0, 1)),
 al_flat AS (
   SELECT alert_id, alert_type, affected_routes, affected_stops, active_period_start,
     active_period_end, header_text, description_text, created_at, updated_at,
@@ -260,7 +287,7 @@ ORACLE["trip_update_flatten"] = W(MSG, P4) + "SELECT * FROM p4"
 
 ORACLE["trip_id_parse"] = W(MSG) + """
 SELECT DISTINCT trip_text AS trip_id, p_dir AS direction, p_path AS path_id
-FROM msg_ev WHERE msg_ok"""
+FROM msg_ev WHERE list_ok AND kind <> 'unknown' AND trip_text IS NOT NULL"""
 
 ORACLE["alert_text_pick"] = W(ALERTS) + """
 SELECT msg_id, alert_id, header_text, description_text FROM al_rows"""
@@ -270,25 +297,23 @@ ORACLE["alert_flatten"] = W(ALERTS) + "SELECT * FROM al_flat"
 ORACLE["alert_validate"] = W(ALERTS) + "SELECT * FROM al_valid"
 
 ORACLE["vehicle_validate"] = W(MSG, P3, P4) + f"""
-SELECT {VCOLS} FROM (SELECT * FROM p3 UNION ALL SELECT * FROM p4)
-WHERE route_id IN ('A', 'B', 'C', 'D', 'E', 'F', 'H', 'M', 'S')"""
+SELECT {VCOLS} FROM (SELECT * FROM p3 UNION ALL SELECT * FROM p4) WHERE {V1_REASON} IS NULL"""
 
-ORACLE["vehicle_rejects"] = W(MSG, P3, P4) + """
-SELECT entity_id, trip_id, route_id, stop_id, 'invalid_route' AS reject_reason
-FROM (SELECT * FROM p3 UNION ALL SELECT * FROM p4)
-WHERE route_id NOT IN ('A', 'B', 'C', 'D', 'E', 'F', 'H', 'M', 'S')"""
+ORACLE["vehicle_rejects"] = W(MSG, P3, P4) + f"""
+SELECT * FROM (
+  SELECT entity_id, trip_id, route_id, stop_id, {V1_REASON} AS reject_reason
+  FROM (SELECT * FROM p3 UNION ALL SELECT * FROM p4))
+WHERE reject_reason IS NOT NULL"""
 
 ORACLE["track_rows"] = W(MSG, TRACKS) + """
 SELECT * FROM trk WHERE scheduled_track IS NOT NULL OR actual_track IS NOT NULL"""
 
 ORACLE["feed_union"] = W(MSG) + """
-SELECT feed, msg_id, msg_ok, CASE WHEN msg_ok THEN CAST(count(*) AS INTEGER) END AS n_entities
-FROM msg_ev GROUP BY feed, msg_id, msg_ok"""
+SELECT feed, msg_id, msg_ok, CASE WHEN list_ok THEN CAST(count(*) AS INTEGER) END AS n_entities
+FROM msg_ev GROUP BY feed, msg_id, msg_ok, list_ok"""
 
 ORACLE["entity_kinds"] = W(MSG) + """
-SELECT feed, CASE WHEN is_tu THEN 'trip_update' ELSE 'vehicle' END AS kind,
-  count(*) AS n_entities
-FROM msg_ev WHERE msg_ok GROUP BY 1, 2"""
+SELECT feed, kind, count(*) AS n_entities FROM msg_ev WHERE list_ok GROUP BY 1, 2"""
 
 ORACLE["snapshot_summary"] = W(MSG, TRACKS) + f"""
 SELECT *, {_pct('with_actual', 'total')} AS pct_actual,
@@ -307,17 +332,18 @@ SELECT *, {_pct('with_actual', 'total')} AS pct_actual,
   FROM trk WHERE scheduled_track IS NOT NULL OR actual_track IS NOT NULL)"""
 
 EXTRACTS = """
+ent_at AS (
+  SELECT event_id, row_number() OVER (PARTITION BY feed, msg_id ORDER BY event_id) - 1 AS ent_pos FROM msg_ev),
 pos AS (
-  SELECT *, row_number() OVER (PARTITION BY feed, msg_id ORDER BY event_id) - 1 AS ent_pos,
-    feed || ':' || CAST(msg_id AS VARCHAR) AS snapshot,
-    CASE WHEN k % 13 = 0 THEN NULL WHEN k % 3 = 0 THEN 0 ELSE veh_epoch END AS arr_epoch,
-    CASE WHEN k % 13 <> 0 THEN veh_epoch + 30 END AS dep_epoch
-  FROM msg_ev),
-std_x AS (SELECT snapshot, ent_pos, trip_text AS trip_id, msg_route AS route_id, stop_id,
-    arr_epoch, dep_epoch FROM pos WHERE msg_ok AND is_tu),
-ext_x AS (SELECT snapshot, ent_pos, trip_text AS trip_id, msg_route AS route_id, stop_id,
+  SELECT *, feed || ':' || CAST(msg_id AS VARCHAR) AS snapshot,
+    CASE WHEN arr = 0 THEN 0 WHEN d = 6 THEN NULL WHEN d = 3 THEN arr * 1000000 ELSE arr END AS arr_epoch,
+    CASE WHEN d = 6 THEN NULL WHEN d = 3 THEN dep * 1000000 ELSE dep END AS dep_epoch
+  FROM stops JOIN ent_at USING (event_id)),
+std_x AS (SELECT snapshot, ent_pos, stop_pos, trip_text AS trip_id, msg_route AS route_id, stop_id,
+    arr_epoch, dep_epoch FROM pos),
+ext_x AS (SELECT snapshot, ent_pos, stop_pos, trip_text AS trip_id, msg_route AS route_id, stop_id,
     train_id, nyct_direction AS direction, scheduled_track, actual_track
-  FROM pos WHERE msg_ok AND is_tu)"""
+  FROM pos)"""
 
 ORACLE["extractor_comparison"] = W(MSG, EXTRACTS) + f"""
 SELECT *, {_pct('with_actual', 'extension_rows')} AS pct_actual FROM (
@@ -327,23 +353,23 @@ SELECT *, {_pct('with_actual', 'extension_rows')} AS pct_actual FROM (
     CAST(sum(a) AS BIGINT) AS with_actual, CAST(sum(c) AS BIGINT) AS with_scheduled,
     CAST(sum(t) AS BIGINT) AS with_train_id
   FROM (
-    SELECT snapshot, ent_pos, max(s) AS s, max(x) AS x, max(a) AS a, max(c) AS c, max(t) AS t
-    FROM (SELECT snapshot, ent_pos, 1 AS s, 0 AS x, 0 AS a, 0 AS c, 0 AS t FROM std_x
+    SELECT snapshot, ent_pos, stop_pos, max(s) AS s, max(x) AS x, max(a) AS a, max(c) AS c, max(t) AS t
+    FROM (SELECT snapshot, ent_pos, stop_pos, 1 AS s, 0 AS x, 0 AS a, 0 AS c, 0 AS t FROM std_x
           UNION ALL
-          SELECT snapshot, ent_pos, 0, 1, (actual_track IS NOT NULL)::INT,
+          SELECT snapshot, ent_pos, stop_pos, 0, 1, (actual_track IS NOT NULL)::INT,
             (scheduled_track IS NOT NULL)::INT, (train_id IS NOT NULL)::INT FROM ext_x)
-    GROUP BY snapshot, ent_pos)
+    GROUP BY snapshot, ent_pos, stop_pos)
   GROUP BY ROLLUP (snapshot))"""
 
 ORACLE["sample_match"] = W(MSG, EXTRACTS) + """,
 pick AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY snapshot
-    ORDER BY actual_track IS NULL, ent_pos) AS rn FROM ext_x) WHERE rn = 1)
+    ORDER BY actual_track IS NULL, ent_pos, stop_pos) AS rn FROM ext_x) WHERE rn = 1)
 SELECT p.snapshot, p.trip_id, p.stop_id, p.route_id, p.train_id, p.direction, p.scheduled_track,
   p.actual_track, s.route_id AS current_route_id, s.arr_epoch AS current_arrival_time,
   s.dep_epoch AS current_departure_time
-FROM pick p LEFT JOIN std_x s ON s.snapshot = p.snapshot AND s.ent_pos = (
-  SELECT min(f.ent_pos) FROM std_x f WHERE f.snapshot = p.snapshot AND f.trip_id = p.trip_id
-    AND f.stop_id = p.stop_id)"""
+FROM pick p LEFT JOIN std_x s ON s.snapshot = p.snapshot AND s.ent_pos * 2 + s.stop_pos = (
+  SELECT min(f.ent_pos * 2 + f.stop_pos) FROM std_x f WHERE f.snapshot = p.snapshot
+    AND f.trip_id IS NOT DISTINCT FROM p.trip_id AND f.stop_id = p.stop_id)"""
 ORACLE["sample_match"] = ORACLE["sample_match"].replace("\n,\npick AS", ",\npick AS")
 
 ORACLE["latest_tracked"] = W(J2) + """
@@ -367,9 +393,8 @@ SELECT *, {_pct('with_track_data', 'total_arrivals')} AS enrichment_pct FROM (
 ORACLE["track_frequency"] = W(J2) + """
 SELECT actual_track, count(*) AS count FROM enr WHERE actual_track IS NOT NULL GROUP BY 1"""
 
-VALID_ROUTE = "route_id IN ('A', 'B', 'C', 'D', 'E', 'F', 'H', 'M', 'S')"
 VMSG = f"""
-vmsg AS (SELECT {VCOLS} FROM (SELECT * FROM p3 UNION ALL SELECT * FROM p4) WHERE {VALID_ROUTE})"""
+vmsg AS (SELECT {VCOLS} FROM (SELECT * FROM p3 UNION ALL SELECT * FROM p4) WHERE {V1_REASON} IS NULL)"""
 
 ORACLE["job_counters"] = W(MSG, P3, P4, VMSG, J2.replace("raw_positions", "vmsg"), ALERTS) + f"""
 SELECT 'messages_processed' AS counter, count(DISTINCT (feed, msg_id)) AS value
@@ -377,39 +402,62 @@ SELECT 'messages_processed' AS counter, count(DISTINCT (feed, msg_id)) AS value
 UNION ALL SELECT 'parse_errors', count(DISTINCT (feed, msg_id)) FROM msg_ev WHERE NOT msg_ok
 UNION ALL SELECT 'vehicles_extracted', count(*) FROM p3
 UNION ALL SELECT 'trip_updates_processed', count(*) FROM p4
-UNION ALL SELECT 'invalid_vehicles', count(*) FROM msg_ev WHERE msg_ok AND NOT is_tu AND k % 11 = 0
+UNION ALL SELECT 'invalid_vehicles', count(*) FROM msg_ev
+  WHERE list_ok AND kind = 'vehicle' AND (trip_text IS NULL OR k % 11 = 0)
 UNION ALL SELECT 'valid_records', count(*) FROM vmsg
 UNION ALL SELECT 'invalid_records', count(*)
-  FROM (SELECT route_id FROM p3 UNION ALL SELECT route_id FROM p4) WHERE NOT {VALID_ROUTE}
+  FROM (SELECT * FROM p3 UNION ALL SELECT * FROM p4) WHERE {V1_REASON} IS NOT NULL
 UNION ALL SELECT 'enriched_records', count(*) FROM enr WHERE enrichment = 'enriched'
 UNION ALL SELECT 'no_track_data', count(*) FROM enr WHERE enrichment = 'no_track'
 UNION ALL SELECT 'stale_track_data', count(*) FROM enr WHERE enrichment = 'stale'
 UNION ALL SELECT 'track_data_cached', count(*) FROM rel WHERE src
-UNION ALL SELECT 'alert_messages_processed', count(DISTINCT amsg) FROM al_ev
-UNION ALL SELECT 'alert_parse_errors', 0
+UNION ALL SELECT 'alert_messages_processed', count(DISTINCT amsg) FROM al_ev WHERE msg_ok
+UNION ALL SELECT 'alert_parse_errors', count(DISTINCT amsg) FROM al_ev WHERE NOT msg_ok
 UNION ALL SELECT 'alerts_extracted', count(*) FROM al_flat
 UNION ALL SELECT 'alerts_filtered', count(*) FROM al_rows WHERE no_target
 UNION ALL SELECT 'valid_alerts', count(*) FROM al_valid
 UNION ALL SELECT 'invalid_alerts', count(*) FROM al_flat WHERE feed_timestamp IS NULL"""
 
-ORACLE["feed_rejects"] = W(MSG, P3, P4) + f"""
+ORACLE["feed_rejects"] = W(MSG) + """
 SELECT DISTINCT feed, msg_id, 'message' AS kind, CAST(NULL AS VARCHAR) AS entity_id,
   CAST(NULL AS VARCHAR) AS trip_id, CAST(NULL AS VARCHAR) AS route_id,
-  CAST(NULL AS VARCHAR) AS stop_id, 'json_parse_error' AS reject_reason
-FROM msg_ev WHERE NOT msg_ok
+  CAST(NULL AS VARCHAR) AS stop_id,
+  CASE WHEN msg_ok THEN 'entity_not_a_list' ELSE 'json_parse_error' END AS reject_reason
+FROM msg_ev WHERE NOT list_ok
+UNION ALL
+SELECT feed, msg_id, kind, e_id, NULL, NULL, NULL, 'unknown_entity' FROM msg_ev
+WHERE list_ok AND kind = 'unknown'
 UNION ALL
-SELECT feed, msg_id, CASE WHEN is_tu THEN 'trip_update' ELSE 'vehicle' END,
-  CASE WHEN is_tu THEN entity_id || '__' || stop_id ELSE entity_id END, trip_text, msg_route,
-  CASE WHEN is_tu OR k % 11 <> 0 THEN stop_id END,
-  CASE WHEN is_tu AND k % 13 = 0 THEN 'missing:time'
-       WHEN NOT is_tu AND k % 11 = 0 THEN 'missing:stop_id' ELSE 'invalid_route' END
-FROM msg_ev WHERE msg_ok AND (CASE WHEN is_tu THEN k % 13 = 0 ELSE k % 11 = 0 END
-  OR NOT {VALID_ROUTE.replace('route_id', 'msg_route')})"""
+SELECT feed, msg_id, kind, e_id, trip_text, msg_route, NULL, 'missing:' ||
+  CASE WHEN trip_text IS NULL THEN 'trip_id' ELSE 'stop_time_update' END
+FROM msg_ev WHERE list_ok AND kind = 'trip_update' AND d = 4
+UNION ALL
+SELECT * FROM (
+  SELECT feed, msg_id, kind,
+    CASE WHEN kind = 'vehicle' THEN e_id ELSE coalesce(e_id, 'None') || '__' || stop_id END AS entity_id,
+    trip_text AS trip_id, msg_route AS route_id, stop_id,
+    CASE WHEN trip_text IS NULL THEN 'missing:trip_id'
+         WHEN stop_id IS NULL THEN 'missing:stop_id'
+         WHEN no_time THEN 'missing:time'
+         WHEN kind = 'vehicle' AND e_id IS NULL THEN 'missing:entity_id'
+         WHEN sane IS NULL THEN 'missing:vehicle_timestamp'
+         WHEN feed_timestamp IS NULL THEN 'missing:feed_timestamp'
+         WHEN msg_route = 'G' THEN 'invalid_route' END AS reject_reason
+  FROM (
+    SELECT * REPLACE (CASE WHEN k % 11 <> 0 THEN stop_id END AS stop_id), false AS no_time
+    FROM msg_ev WHERE list_ok AND kind = 'vehicle'
+    UNION ALL BY NAME
+    SELECT * EXCLUDE (stop_pos, arr, dep), arr IS NULL AS no_time FROM stops))
+WHERE reject_reason IS NOT NULL"""
 
 ORACLE["alert_rejects"] = W(ALERTS) + """
 SELECT msg_id, alert_id, CASE WHEN no_target THEN 'no_target_route'
   ELSE 'missing:feed_timestamp' END AS reject_reason
-FROM al_rows WHERE no_target OR feed_timestamp IS NULL"""
+FROM al_rows WHERE no_target OR feed_timestamp IS NULL
+UNION ALL
+SELECT amsg, CASE WHEN d = 0 THEN alert_id END, 'no_alert' FROM al_ev WHERE msg_ok AND d IN (0, 1)
+UNION ALL
+SELECT DISTINCT amsg, CAST(NULL AS VARCHAR), 'json_parse_error' FROM al_ev WHERE NOT msg_ok"""
 
 ORACLE["station_index"] = W(HW) + """
 SELECT stop_id, count(*) AS n_rows,

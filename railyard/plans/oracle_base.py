@@ -14,9 +14,6 @@ def ts_us(micros_expr: str) -> str:
     return f"(TIMESTAMP '1970-01-01 00:00:00' + to_microseconds({micros_expr}))"
 
 
-def epoch_s(ts_expr: str) -> str:
-    return f"epoch({ts_expr})"
-
 
 EVENT_BASE = f"""
 ev_k AS (
@@ -67,9 +64,3 @@ raw_positions AS (
          current_stop_sequence, current_status, vehicle_timestamp, feed_timestamp,
          ingest_time
   FROM ev_rows)"""
-
-
-def with_ctes(*ctes: str) -> str:
-    """``WITH`` clause of the fixture CTEs plus extra named CTEs."""
-    parts = [EVENT_BASE.strip()] + [c.strip() for c in ctes]
-    return "WITH " + ",\n".join(parts) + "\n"

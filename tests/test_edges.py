@@ -264,3 +264,71 @@ def test_alert_periods_of_every_length(spark):
         spark.createDataFrame(alerts, "alert_id string, alert_type string, affected_routes array<string>, "
                                       "active_period_start timestamp, active_period_end timestamp"))
     assert sorted((r["entity_id"], r["alert_id"]) for r in got.collect()) == want
+
+
+HEAD = '{"header": {"timestamp": 1704067200}, "_ingest_time": "2024-01-01T00:00:01+00:00", "entity": '
+
+
+def vehicle(i, **over):
+    import json
+    v = {"trip": {"trip_id": "060300_A..N55R", "route_id": "A"}, "stop_id": "A1N", "timestamp": 1704067200} | over
+    return json.dumps({"id": i, "vehicle": v})
+
+
+def feed(spark, msgs):
+    df = spark.createDataFrame(list(enumerate(msgs)), "msg_id int, value string")
+    return parse.decode(df.withColumn("feed", F.lit("ace")))
+
+
+def test_an_entity_of_the_wrong_type_costs_only_itself(spark):
+    stops = '"stop_time_update": [7, {"stop_id": "A1N", "arrival": {"time": 1704067300}}, null,' \
+            ' {"stop_id": "A2N", "arrival": "soon", "departure": {"time": "1704067300"}}]'
+    dec = feed(spark, [
+        HEAD + f'["x", {vehicle("v1")}, 7, null, [1], {vehicle("v2")}]}}',
+        HEAD + f'{{"id": "o", "vehicle": {vehicle("v")}}}}}', HEAD + "null}", HEAD + '"text"}', HEAD + "[]}",
+        '{"header": 3, "_ingest_time": {}, "entity": [' + vehicle("v3") + "]}", "{}",
+        HEAD + f'[{vehicle("v4", trip="A")}, {vehicle("v5", stop_id=None)}, {{"id": "v6", "vehicle": "here"}},'
+               f' {{"id": "v7", "vehicle": null}}, {vehicle("v8", current_stop_sequence="2.5")}]}}',
+        HEAD + '[{"id": "t1", "trip_update": {"trip": {"trip_id": "x_A..N1", "route_id": "A"}, ' + stops + "}},"
+               ' {"id": "t2", "trip_update": {"trip": {"trip_id": "x", "route_id": "A"}, "stop_time_update": {}}}]}',
+    ])
+    rejects = sorted((r.msg_id, r.kind, r.entity_id or "", r.reject_reason) for r in parse.feed_rejects(dec).collect())
+    assert rejects == sorted(
+        [(0, "unknown", "", "unknown_entity")] * 4
+        + [(i, "message", "", "entity_not_a_list") for i in (1, 2, 3)]
+        + [(5, "vehicle", "v3", "missing:feed_timestamp"), (7, "vehicle", "v4", "missing:trip_id"),
+           (7, "vehicle", "v5", "missing:stop_id"), (7, "vehicle", "v6", "missing:trip_id"),
+           (7, "unknown", "v7", "unknown_entity"), (8, "trip_update", "t1", "missing:stop_id"),
+           (8, "trip_update", "t1", "missing:stop_id"), (8, "trip_update", "t2", "missing:stop_time_update")])
+    kept = {r.entity_id: r.current_stop_sequence for r in parse.vehicle_table(dec).collect()}
+    assert kept == {"v1": None, "v2": None, "v8": None, "t1__A1N": None, "t1__A2N": None}
+    every = parse.position_outcomes(dec, with_failed=True)
+    assert every.count() == len(rejects) + len(kept)
+
+
+def test_a_message_is_one_object_and_nothing_else(spark):
+    doc = HEAD + f'[{vehicle("v")}]}}'
+    bad = [doc + " x", doc + "]", doc + "]{}", doc + "}", doc + "," + doc, doc + ', "m": {}', doc + ', "z": 1}',
+           f"[{doc}]", f'"{"a"}"', "null", "7", "", "  ", None, doc[:-1], doc[:-2], "{", "NaN", "{'a': 1}"]
+    good = [doc, f" \t\r\n{doc}\n ", '{"header": {"timestamp": 1}, "header": {"timestamp": 1704067200}, ' + doc[1:]]
+    dec = feed(spark, bad + good)
+    assert [r.msg_id for r in dec.where("msg_ok").orderBy("msg_id").collect()] == [*range(len(bad), len(bad + good))]
+    assert {r.feed_timestamp for r in parse.vehicle_table(dec).collect()} == {datetime(2024, 1, 1)}
+    twice = '{"header": {"timestamp": 1704067200}, "entity": [], "entity": [' + vehicle("w") + "]}"
+    assert feed(spark, [twice]).selectExpr("size(msg.entity)").first()[0] == 1
+
+
+def test_epochs_outside_the_calendar_are_null(spark):
+    from railyard.functions.columns import epoch_text_to_ts
+    cases = {"1704067200": True, "1704067200.25": True, "-62135596800": True, "-62135596801": False,
+             "253402300799": True, "253402300800": False, "1704067200000000": False, "9999999999999999": False,
+             "1704067200000000000": False, "99999999999999999999": False, "1e300": False, "-1e300": False,
+             "1.7e9": True, "NaN": False, "Infinity": False, "soon": False, "": False, "-5": True, "0": True}
+    df = spark.createDataFrame([(c,) for c in [*cases, None]], "t string")
+    got = {r.t: r.ok for r in df.select("t", epoch_text_to_ts("t").isNotNull().alias("ok")).collect()}
+    assert got == cases | {None: False}
+    dec = feed(spark, [HEAD + f'[{vehicle("big", timestamp=9999999999999999)}, {vehicle("ok")}]}}',
+                       (HEAD + f'[{vehicle("w")}]}}').replace("1704067200}", "1704067200000000}", 1)])
+    assert [r.entity_id for r in parse.vehicle_table(dec).collect()] == ["ok"]
+    assert sorted((r.entity_id, r.reject_reason) for r in parse.feed_rejects(dec).collect()) == [
+        ("big", "missing:vehicle_timestamp"), ("w", "missing:feed_timestamp")]
