@@ -31,8 +31,7 @@ TRAIN_RATIO = 0.7
 VAL_RATIO = 0.15
 NORM_EPS = 1e-8
 MAPE_MIN_ABS = 1e-9
-STOP_BUCKETS = 16          # arrays of stops that a bin meets in the dense grid
-BIN_BUCKET = 1024          # bins of one stop that a window task works on
+BIN_BUCKET = 1024          # bins of one series that a row of the chain holds
 
 
 def arrivals(positions: DataFrame) -> DataFrame:
@@ -75,10 +74,11 @@ def bin_start(ts: Column, bin_seconds: int = BIN_SECONDS) -> Column:
     return F.timestamp_micros(F.floor(F.unix_micros(ts) / us) * us)
 
 
-def headway_5min(h: DataFrame) -> DataFrame:
-    """A5: mean headway per (5-minute bin, stop), long form.  Bins with no
+def headway_5min(h: DataFrame, keys=("stop_id",)) -> DataFrame:
+    """A5: mean headway per 5-minute bin and series, long form; a series is a
+    stop, or what ``keys`` name (a route's direction at a stop).  Bins with no
     row are absent.  Partial aggregation runs before the shuffle."""
-    return (h.groupBy(bin_start(F.col("arrival_time")).alias("bin_start"), "stop_id")
+    return (h.groupBy(bin_start(F.col("arrival_time")).alias("bin_start"), *keys)
             .agg(F.avg("headway_seconds").alias("mean_headway")))
 
 
@@ -87,43 +87,10 @@ def headway_5min_wide(h5: DataFrame, stations: list[str]) -> DataFrame:
     return h5.groupBy("bin_start").pivot("stop_id", stations).agg(F.first("mean_headway"))
 
 
-def headway_imputed(h5: DataFrame) -> DataFrame:
-    """The dense (present bin) x (stop) grid; a hole gets the stop's mean
-    of bin means.  Only bins with at least one value exist.
-
-    The grid is an equi-join of bins and stops on a bucket of stops; the
-    stop's mean is an aggregate of the present cells, joined back."""
-    stops = (h5.groupBy("stop_id").agg(F.avg("mean_headway").alias("stop_mean"))
-             .groupBy(F.pmod(F.xxhash64("stop_id"), F.lit(STOP_BUCKETS)).alias("_b"))
-             .agg(F.collect_list(F.struct("stop_id", "stop_mean")).alias("_stops")))
-    bins = h5.select("bin_start").distinct().withColumn("_b", F.explode(
-        F.sequence(F.lit(0).cast("bigint"), F.lit(STOP_BUCKETS - 1).cast("bigint"))))
-    grid = bins.join(stops, "_b").select("bin_start", F.explode("_stops").alias("_s")).select(
-        "bin_start", "_s.stop_id", "_s.stop_mean")
-    g = grid.join(h5, ["bin_start", "stop_id"], "left")
-    return g.select("bin_start", "stop_id", "mean_headway",
-                    F.coalesce("mean_headway", "stop_mean").alias("value"),
-                    F.col("mean_headway").isNull().alias("is_imputed"))
-
-
-def headway_normalised(imp: DataFrame, fit_before=None) -> DataFrame:
-    """Per-stop z-score ``(v - mean) / (std + 1e-8)``, sample std.
-
-    By default the statistics span the whole range, as in the reference;
-    ``fit_before`` (a timestamp) restricts them to earlier bins.  They are
-    aggregates with a partial step before the shuffle, joined back."""
-    v = F.col("value")
-    if fit_before is not None:
-        v = F.when(F.col("bin_start") < F.lit(fit_before), v)
-    fit = imp.groupBy("stop_id").agg(F.avg(v).alias("_mu"), F.stddev_samp(v).alias("_sd"))
-    return imp.join(fit, "stop_id").select(
-        "bin_start", "stop_id", "value", ((F.col("value") - F.col("_mu")) / (F.col("_sd") + NORM_EPS)).alias("z"))
-
-
-def bin_ordinals(grid: DataFrame) -> DataFrame:
+def bin_ordinals(h5: DataFrame) -> DataFrame:
     """Position of each present bin (0-based): its place in its day, plus the
     bins of earlier days (a running sum over one row per day)."""
-    bins = grid.select("bin_start").distinct().withColumn("_day", F.to_date("bin_start"))
+    bins = h5.select("bin_start").distinct().withColumn("_day", F.to_date("bin_start"))
     days = bins.groupBy("_day").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
     start = days.select("_day", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
@@ -132,60 +99,146 @@ def bin_ordinals(grid: DataFrame) -> DataFrame:
         "bin_start", (F.col("_at") + F.col("_before")).cast("bigint").alias("bin_idx"))
 
 
-def training_windows(norm: DataFrame, input_window: int = INPUT_WINDOW,
-                     horizon: int = OUTPUT_HORIZON, bucket: int = BIN_BUCKET) -> DataFrame:
-    """Sliding windows over present bins, step 1: ``x`` the first
-    ``input_window`` values, ``y`` the next ``horizon``; n - 23 windows.
+def _n_bins(h5: DataFrame) -> Column:
+    """Number of present bins, as a scalar subquery."""
+    return h5.agg(F.countDistinct("bin_start")).scalar()
 
-    One row per (window, stop).  A stop's bins are worked on in buckets; the
-    first ``total - 1`` bins of a bucket are also copied to the one before,
-    whose last windows reach into them."""
+
+def series_fit(h5: DataFrame, keys=("stop_id",), fit_before=None) -> DataFrame:
+    """A6, A7 per series, from its present cells alone: ``stop_mean`` (the
+    mean of its bin means, which fills its holes) and ``mu``, ``sd`` of the
+    filled series over all present bins.
+
+    With n cells of mean m in N bins and holes filled with c, the mean is
+    mu = (n m + (N - n) c) / N and the sum of squares about it is that of the
+    cells about m, plus n (m - mu)^2 + (N - n) (c - mu)^2.  ``fit_before`` (a
+    timestamp) restricts mu and sd to earlier bins; the holes are filled over
+    the whole range either way."""
+    v, early = F.col("mean_headway"), h5
+    if fit_before is not None:
+        early = h5.where(F.col("bin_start") < F.lit(fit_before))
+        v = F.when(F.col("bin_start") < F.lit(fit_before), v)
+    fit = h5.groupBy(*keys).agg(F.avg("mean_headway").alias("stop_mean"), F.count(v).alias("_n"),
+                                F.avg(v).alias("_m"), F.var_pop(v).alias("_var")).withColumn("_bins", _n_bins(early).cast("double"))
+    n, N, c = F.col("_n"), F.col("_bins"), F.col("stop_mean")
+    m = F.coalesce("_m", c)
+    mu = F.when(n == N, m).when(m == c, c).otherwise((n * m + (N - n) * c) / N)
+    square = (n * F.coalesce("_var", F.lit(0.0)) + n * (m - F.col("mu")) ** 2 + (N - n) * (c - F.col("mu")) ** 2)
+    return fit.withColumn("mu", mu).withColumn("sd", F.sqrt(square / F.when(N > 1, N - 1))) \
+        .select(*keys, "stop_mean", "mu", "sd")
+
+
+def _timelines(h5: DataFrame, keys, fit_before=None, bucket: int = BIN_BUCKET, overlap: int = 0) -> DataFrame:
+    """One row per series and ``bucket`` of present bins: ``starts`` of the
+    bucket's own bins and ``values`` of these and the next ``overlap`` bins,
+    NULL in holes, with the series' fit.
+
+    Only present cells are moved; the holes are made in the row.  A row holds
+    ``bucket + overlap`` values at most, so a busy series spreads over rows."""
+    idx, n_bins = bin_ordinals(h5), _n_bins(h5)
+    own = F.floor(F.col("bin_idx") / bucket)
+    starts = idx.groupBy(own.alias("_bucket")).agg(
+        F.sort_array(F.collect_list("bin_start")).alias("starts")).withColumn("_total", n_bins)
+    also = (F.col("bin_idx") % bucket < overlap) & (F.col("_own") > 0)
+    cells = h5.join(idx, "bin_start").withColumn("_own", own).withColumn("_bucket", F.explode(
+        F.when(also, F.array(F.col("_own"), F.col("_own") - 1)).otherwise(F.array(F.col("_own")))))
+    cells = cells.groupBy(*keys, "_bucket").agg(F.sort_array(F.collect_list(F.struct(
+        (F.col("bin_idx") - F.col("_bucket") * bucket).cast("int").alias("at"), "mean_headway"))).alias("_cells"))
+    rows = (series_fit(h5, keys, fit_before)
+            .withColumn("_bucket", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((n_bins - 1) / bucket))))
+            .join(starts, "_bucket").join(cells, [*keys, "_bucket"], "left"))
+    # a few rows of cells become very many windows: keep them on all cores
+    spark = h5.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = rows.repartition(tasks, *keys, "_bucket")
+    hole, seen = F.lit(None).cast("double"), F.coalesce("_cells", F.array().cast("array<struct<at:int,mean_headway:double>>"))
+    reach = F.least(F.lit(bucket + overlap), F.col("_total") - F.col("_bucket") * bucket).cast("int")
+    at = lambda i: F.coalesce(F.get("_cells", i)["at"], F.lit(-1))                          # noqa: E731
+    filled = F.flatten(F.transform(seen, lambda c, i: F.concat(
+        F.array_repeat(hole, c["at"] - F.when(i == 0, F.lit(-1)).otherwise(at(i - 1)) - 1), F.array(c["mean_headway"]))))
+    rest = F.array_repeat(hole, F.col("_reach") - 1 - F.when(F.size(seen) == 0, F.lit(-1)).otherwise(at(F.size(seen) - 1)))
+    return rows.withColumn("_reach", reach).withColumn("values", F.concat(filled, rest)) \
+        .drop("_cells", "_reach", "_total")
+
+
+def _grid(h5: DataFrame, fit_before=None) -> DataFrame:
+    """The dense (present bin) x (stop) rows, made from the timelines."""
+    t = _timelines(h5, ("stop_id",), fit_before)
+    return t.select("stop_id", "stop_mean", "mu", "sd", F.explode(F.arrays_zip("starts", "values")).alias("c")).select(
+        "c.starts", "stop_id", F.col("c.values").alias("mean_headway"),
+        F.coalesce("c.values", "stop_mean").alias("value"), "mu", "sd").withColumnRenamed("starts", "bin_start")
+
+
+def headway_imputed(h5: DataFrame) -> DataFrame:
+    """The dense (present bin) x (stop) grid; a hole gets the stop's mean
+    of bin means.  Only bins with at least one value exist."""
+    return _grid(h5).select("bin_start", "stop_id", "mean_headway", "value",
+                            F.col("mean_headway").isNull().alias("is_imputed"))
+
+
+def _z(value: Column) -> Column:
+    return (value - F.col("mu")) / (F.col("sd") + NORM_EPS)
+
+
+def headway_normalised(h5: DataFrame, fit_before=None) -> DataFrame:
+    """Per-stop z-score ``(v - mean) / (std + 1e-8)`` of the filled grid,
+    sample std.
+
+    By default the statistics span the whole range, as in the reference;
+    ``fit_before`` (a timestamp) restricts them to earlier bins."""
+    return _grid(h5, fit_before).select("bin_start", "stop_id", "value", _z(F.col("value")).alias("z"))
+
+
+def training_windows(h5: DataFrame, input_window: int = INPUT_WINDOW, horizon: int = OUTPUT_HORIZON,
+                     bucket: int = BIN_BUCKET, keys=("stop_id",), fit_before=None) -> DataFrame:
+    """Sliding windows of z-scores (A7) over present bins, step 1: ``x``
+    the first ``input_window`` values, ``y`` the next ``horizon``; n - 23
+    windows.
+
+    One row per (window, series), cut from the series' timelines, whose last
+    windows reach into the bins of the next bucket."""
     total = input_window + horizon
     if bucket < total:
         raise ValueError("a bucket holds at least one whole window")
-    g = norm.join(bin_ordinals(norm), "bin_start").withColumn("_own", F.floor(F.col("bin_idx") / bucket))
-    also = (F.col("bin_idx") % bucket < total - 1) & (F.col("_own") > 0)
-    g = g.withColumn("_bucket", F.explode(F.when(also, F.array(F.col("_own"), F.col("_own") - 1))
-                                          .otherwise(F.array(F.col("_own")))))
-    w = Window.partitionBy("stop_id", "_bucket").orderBy("bin_idx").rowsBetween(0, total - 1)
-    out = g.select(F.col("bin_idx").alias("window_idx"), F.col("bin_start").alias("window_start"),
-                   "stop_id", F.collect_list("z").over(w).alias("_seq"),
-                   (F.col("_own") == F.col("_bucket")).alias("_mine"))
-    return (out.where(F.col("_mine") & (F.size("_seq") == total))
-            .select("window_idx", "window_start", "stop_id",
-                    F.slice("_seq", 1, input_window).alias("x"),
-                    F.slice("_seq", input_window + 1, horizon).alias("y")))
-
-
-def temporal_split(windows: DataFrame, train_ratio: float = TRAIN_RATIO,
-                   val_ratio: float = VAL_RATIO) -> DataFrame:
+    t = _timelines(h5, keys, fit_before, bucket, total - 1).withColumn(
+        "_z", F.transform("values", lambda v: _z(F.coalesce(v, F.col("stop_mean")))))
+    last = F.least(F.size("starts"), F.size("_z") - total + 1) - 1
+    t = t.where(last >= 0).withColumn("_w", F.explode(F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(
+        (F.col("_bucket") * bucket + i).alias("window_idx"), F.get("starts", i).alias("window_start"),
+        F.slice("_z", i + 1, input_window).alias("x"), F.slice("_z", i + 1 + input_window, horizon).alias("y")))))
+    return t.select("_w.window_idx", "_w.window_start", *keys, "_w.x", "_w.y")
+
+
+def window_starts(h5: DataFrame, total: int = INPUT_WINDOW + OUTPUT_HORIZON) -> DataFrame:
+    """Position and first bin of every window, from the bins alone."""
+    idx = bin_ordinals(h5)
+    return idx.where(F.col("bin_idx") < _n_bins(h5) - (total - 1)).select(
+        F.col("bin_idx").alias("window_idx"), F.col("bin_start").alias("window_start"))
+
+
+def temporal_split(windows: DataFrame, h5: DataFrame, train_ratio: float = TRAIN_RATIO,
+                   val_ratio: float = VAL_RATIO, total: int = INPUT_WINDOW + OUTPUT_HORIZON) -> DataFrame:
     """``train`` below int(n*0.7), ``val`` below int(n*(0.7+0.15)), else
-    ``test``; n counts windows (their positions run from 0).  n is a scalar
-    subquery, so no row is joined or moved for the split."""
-    n = windows.agg(F.max("window_idx") + 1).scalar()
+    ``test``; n counts window positions, which the bins of ``h5`` give: a
+    scalar subquery over them, so no window is joined, moved or made twice."""
+    n = _n_bins(h5) - (total - 1)
     split = (F.when(F.col("window_idx") < F.floor(n * F.lit(train_ratio)), F.lit("train"))
              .when(F.col("window_idx") < F.floor(n * F.lit(train_ratio + val_ratio)), F.lit("val"))
              .otherwise(F.lit("test")))
     return windows.withColumn("split", split)
 
 
-def forecast_errors(split_windows: DataFrame, stop_groups: DataFrame | None = None,
-                    group_cols: tuple = ("route_id", "direction")) -> DataFrame:
+def forecast_errors(split_windows: DataFrame, group_cols: tuple = ()) -> DataFrame:
     """A10: MAE, RMSE and MAPE of the naive last-value forecast (every
     horizon step predicted by the last input value), per split, and per
-    ``group_cols`` as well when ``stop_groups`` maps stop_id to them.
+    ``group_cols`` as well.  Windows of series by (route, direction, stop)
+    give the cut by route and direction in which each error counts once.
 
     Targets are z-scores; an imputed bin sits at the stop mean, i.e. at
     z = 0 up to rounding noise, so MAPE leaves out targets with |y| <= 1e-9."""
-    keys = ["split"]
-    w = split_windows
-    if stop_groups is not None:
-        w = w.join(stop_groups.select("stop_id", *group_cols), "stop_id")
-        keys += list(group_cols)
-    last = F.element_at("x", -1)
-    e = w.select(*keys, last.alias("pred"), F.explode("y").alias("actual"))
+    e = split_windows.select("split", *group_cols, F.element_at("x", -1).alias("pred"), F.explode("y").alias("actual"))
     err = F.col("pred") - F.col("actual")
-    return e.groupBy(*keys).agg(
+    return e.groupBy("split", *group_cols).agg(
         F.count(F.lit(1)).alias("n"),
         F.avg(F.abs(err)).alias("mae"),
         F.sqrt(F.avg(err * err)).alias("rmse"),

@@ -107,17 +107,14 @@ def _h5(spark, sf):
     return hw.headway_5min(_headway(spark, sf))
 
 
-def _imputed(spark, sf):
-    # bins, stops and cells of the grid all come from the 5-minute means
-    return hw.headway_imputed(materialize(_h5(spark, sf)))
+def _means(spark, sf, keys=("stop_id",)):
+    # bins, series and cells of the training chain all come from the 5-minute means
+    return materialize(hw.headway_5min(_headway(spark, sf), keys))
 
 
-def _normalised(spark, sf):
-    return hw.headway_normalised(_imputed(spark, sf))
-
-
-def _windows(spark, sf):
-    return hw.training_windows(_normalised(spark, sf))
+def _split_windows(spark, sf, keys=("stop_id",)):
+    h5 = _means(spark, sf, keys)
+    return hw.temporal_split(hw.training_windows(h5, keys=keys), h5)
 
 
 def _graph_rows(spark, sf):
@@ -276,7 +273,7 @@ def q_headway_5min(spark, sf):
 
 
 def q_headway_imputed(spark, sf):
-    return _imputed(spark, sf)
+    return hw.headway_imputed(_means(spark, sf))
 
 
 def _z(c: str) -> F.Column:
@@ -286,28 +283,28 @@ def _z(c: str) -> F.Column:
 
 
 def q_headway_normalised(spark, sf):
-    return _normalised(spark, sf).select("bin_start", "stop_id", "value", _z("z"))
+    return hw.headway_normalised(_means(spark, sf)).select("bin_start", "stop_id", "value", _z("z"))
 
 
 def q_training_windows(spark, sf):
-    w = _windows(spark, sf)
+    w = hw.training_windows(_means(spark, sf))
     return w.select("window_idx", "window_start", "stop_id",
                     F.posexplode(F.concat("x", "y")).alias("offset", "value")) \
         .select("window_idx", "window_start", "stop_id", "offset", _z("value"))
 
 
 def q_temporal_split(spark, sf):
-    s = hw.temporal_split(_windows(spark, sf))
-    return s.select("window_idx", "window_start", "split").distinct()
+    h5 = _means(spark, sf)
+    return hw.temporal_split(hw.window_starts(h5), h5)
 
 
 def q_forecast_errors(spark, sf):
-    return hw.forecast_errors(hw.temporal_split(_windows(spark, sf)))
+    return hw.forecast_errors(_split_windows(spark, sf))
 
 
 def q_forecast_errors_by_route(spark, sf):
-    groups = _headway(spark, sf).select("stop_id", "route_id", "direction").distinct()
-    return hw.forecast_errors(hw.temporal_split(_windows(spark, sf)), groups)
+    return hw.forecast_errors(_split_windows(spark, sf, ("route_id", "direction", "stop_id")),
+                              ("route_id", "direction"))
 
 
 def q_diffusion_transition(spark, sf):

@@ -145,33 +145,36 @@ hw AS (
   FROM hw_o WHERE prev_t IS NOT NULL
     AND epoch(arrival_time) - epoch(prev_t) > 0 AND epoch(arrival_time) - epoch(prev_t) < 3600)"""
 
-H5 = """
+def h5_sql(keys: str = "stop_id") -> str:
+    return f"""
 h5 AS (
   SELECT TIMESTAMP '1970-01-01' + to_microseconds((epoch_us(arrival_time) // 300000000) * 300000000)
-      AS bin_start, stop_id, avg(headway_seconds) AS mean_headway
-  FROM hw GROUP BY 1, 2)"""
+      AS bin_start, {keys}, avg(headway_seconds) AS mean_headway
+  FROM hw GROUP BY ALL)"""
 
-GRID = """
+
+def grid_sql(keys: str = "stop_id") -> str:
+    return f"""
 imp AS (
-  SELECT b.bin_start, s.stop_id, h.mean_headway,
-    coalesce(h.mean_headway, avg(h.mean_headway) OVER (PARTITION BY s.stop_id)) AS value,
+  SELECT b.bin_start, s.*, h.mean_headway,
+    coalesce(h.mean_headway, avg(h.mean_headway) OVER (PARTITION BY {keys})) AS value,
     h.mean_headway IS NULL AS is_imputed
   FROM (SELECT DISTINCT bin_start FROM h5) b
-  CROSS JOIN (SELECT DISTINCT stop_id FROM hw) s
-  LEFT JOIN h5 h ON h.bin_start = b.bin_start AND h.stop_id = s.stop_id),
+  CROSS JOIN (SELECT DISTINCT {keys} FROM hw) s
+  LEFT JOIN h5 h USING (bin_start, {keys})),
 norm AS (
-  SELECT bin_start, stop_id, value,
-    (value - avg(value) OVER (PARTITION BY stop_id))
-      / (stddev_samp(value) OVER (PARTITION BY stop_id) + 1e-8) AS z
+  SELECT bin_start, {keys}, value,
+    (value - avg(value) OVER (PARTITION BY {keys}))
+      / (stddev_samp(value) OVER (PARTITION BY {keys}) + 1e-8) AS z
   FROM imp),
 nb AS (
   SELECT bin_start, CAST(row_number() OVER (ORDER BY bin_start) - 1 AS INTEGER) AS bin_idx
   FROM (SELECT DISTINCT bin_start FROM norm)),
 g AS (SELECT n.*, nb.bin_idx FROM norm n JOIN nb USING (bin_start)),
 win AS (
-  SELECT s.bin_idx AS window_idx, s.bin_start AS window_start, s.stop_id,
+  SELECT s.bin_idx AS window_idx, s.bin_start AS window_start, {', '.join('s.' + k for k in keys.split(', '))},
     CAST(x.bin_idx - s.bin_idx AS INTEGER) AS "offset", x.z AS value
-  FROM g s JOIN g x ON x.stop_id = s.stop_id
+  FROM g s JOIN g x ON {' AND '.join(f'x.{k} = s.{k}' for k in keys.split(', '))}
     AND x.bin_idx BETWEEN s.bin_idx AND s.bin_idx + 23
   WHERE s.bin_idx + 23 <= (SELECT max(bin_idx) FROM nb)),
 splits AS (
@@ -182,6 +185,10 @@ splits AS (
   FROM (SELECT DISTINCT window_idx, window_start FROM win),
        (SELECT count(DISTINCT window_idx) AS n FROM win))"""
 
+
+H5, GRID = h5_sql(), grid_sql()
+BY_ROUTE = "route_id, direction, stop_id"
+
 ADJ = """
 tr AS (
   SELECT stop_id AS from_stop,
@@ -491,15 +498,14 @@ FROM (
   WHERE y."offset" >= 12)
 GROUP BY split"""
 
-ORACLE["forecast_errors_by_route"] = W(HW, H5, GRID) + """
+ORACLE["forecast_errors_by_route"] = W(HW, h5_sql(BY_ROUTE), grid_sql(BY_ROUTE)) + f"""
 SELECT split, route_id, direction, count(*) AS n, avg(abs(e)) AS mae, sqrt(avg(e * e)) AS rmse,
   avg(CASE WHEN abs(actual) > 1e-9 THEN abs(e) / abs(actual) END) AS mape
 FROM (
-  SELECT s.split, m.route_id, m.direction, y.value AS actual, p.value - y.value AS e
-  FROM win y JOIN win p ON p.window_idx = y.window_idx AND p.stop_id = y.stop_id
-    AND p."offset" = 11
-  JOIN splits s ON s.window_idx = y.window_idx
-  JOIN (SELECT DISTINCT stop_id, route_id, direction FROM hw) m ON m.stop_id = y.stop_id
+  SELECT s.split, route_id, direction, y.value AS actual, p.value - y.value AS e
+  FROM win y JOIN (SELECT window_idx, {BY_ROUTE}, value FROM win WHERE "offset" = 11) p
+    USING (window_idx, {BY_ROUTE})
+  JOIN splits s USING (window_idx)
   WHERE y."offset" >= 12)
 GROUP BY split, route_id, direction"""
 

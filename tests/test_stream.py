@@ -127,7 +127,7 @@ def test_stream_counters_observed(spark, sf_dir, tmp_path):
     ok = sum(int(m["messages_processed"]) for m in seen)
     bad = sum(int(m["parse_errors"]) for m in seen)
     assert ok + bad == len(msgs)
-    assert bad == int((msgs["msg_id"] % 97 == 0).sum())
+    assert bad == int((msgs["msg_id"] % 97 <= 5).sum()) > 0
 
 
 def _observed(q, name):
