@@ -31,6 +31,7 @@ TRAIN_RATIO = 0.7
 VAL_RATIO = 0.15
 NORM_EPS = 1e-8
 MAPE_MIN_ABS = 1e-9
+STOP_BUCKETS = 16          # arrays of stops that a bin meets in the dense grid
 BIN_BUCKET = 1024          # bins of one series that a row of the chain holds
 
 
@@ -130,8 +131,8 @@ def series_fit(h5: DataFrame, keys=("stop_id",), fit_before=None) -> DataFrame:
 
 def _timelines(h5: DataFrame, keys, fit_before=None, bucket: int = BIN_BUCKET, overlap: int = 0) -> DataFrame:
     """One row per series and ``bucket`` of present bins: ``starts`` of the
-    bucket's own bins and ``values`` of these and the next ``overlap`` bins,
-    NULL in holes, with the series' fit.
+    bucket's own bins and ``values`` of these and the next ``overlap`` bins
+    (``reach`` in all), NULL in holes, with the series' fit.
 
     Only present cells are moved; the holes are made in the row.  A row holds
     ``bucket + overlap`` values at most, so a busy series spreads over rows."""
@@ -150,23 +151,26 @@ def _timelines(h5: DataFrame, keys, fit_before=None, bucket: int = BIN_BUCKET, o
     # a few rows of cells become very many windows: keep them on all cores
     spark = h5.sparkSession
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = rows.repartition(tasks, *keys, "_bucket")
+    rows = rows.repartition(tasks, F.xxhash64(*keys, "_bucket"))
     hole, seen = F.lit(None).cast("double"), F.coalesce("_cells", F.array().cast("array<struct<at:int,mean_headway:double>>"))
     reach = F.least(F.lit(bucket + overlap), F.col("_total") - F.col("_bucket") * bucket).cast("int")
     at = lambda i: F.coalesce(F.get("_cells", i)["at"], F.lit(-1))                          # noqa: E731
     filled = F.flatten(F.transform(seen, lambda c, i: F.concat(
         F.array_repeat(hole, c["at"] - F.when(i == 0, F.lit(-1)).otherwise(at(i - 1)) - 1), F.array(c["mean_headway"]))))
-    rest = F.array_repeat(hole, F.col("_reach") - 1 - F.when(F.size(seen) == 0, F.lit(-1)).otherwise(at(F.size(seen) - 1)))
-    return rows.withColumn("_reach", reach).withColumn("values", F.concat(filled, rest)) \
-        .drop("_cells", "_reach", "_total")
+    rest = F.array_repeat(hole, F.col("reach") - 1 - F.when(F.size(seen) == 0, F.lit(-1)).otherwise(at(F.size(seen) - 1)))
+    return rows.withColumn("reach", reach).withColumn("values", F.concat(filled, rest)).drop("_cells", "_total")
 
 
 def _grid(h5: DataFrame, fit_before=None) -> DataFrame:
-    """The dense (present bin) x (stop) rows, made from the timelines."""
-    t = _timelines(h5, ("stop_id",), fit_before)
-    return t.select("stop_id", "stop_mean", "mu", "sd", F.explode(F.arrays_zip("starts", "values")).alias("c")).select(
-        "c.starts", "stop_id", F.col("c.values").alias("mean_headway"),
-        F.coalesce("c.values", "stop_mean").alias("value"), "mu", "sd").withColumnRenamed("starts", "bin_start")
+    """The dense (present bin) x (stop) rows with each stop's fit: an
+    equi-join of bins and stops on a bucket of stops, then the cells."""
+    stops = series_fit(h5, fit_before=fit_before).groupBy(
+        F.pmod(F.xxhash64("stop_id"), F.lit(STOP_BUCKETS)).alias("_b")).agg(
+        F.collect_list(F.struct("stop_id", "stop_mean", "mu", "sd")).alias("_stops"))
+    bins = h5.select("bin_start").distinct().withColumn("_b", F.explode(
+        F.sequence(F.lit(0).cast("bigint"), F.lit(STOP_BUCKETS - 1).cast("bigint"))))
+    grid = bins.join(stops, "_b").select("bin_start", F.explode("_stops").alias("_s")).select("bin_start", "_s.*")
+    return grid.join(h5, ["bin_start", "stop_id"], "left").withColumn("value", F.coalesce("mean_headway", "stop_mean"))
 
 
 def headway_imputed(h5: DataFrame) -> DataFrame:
@@ -202,7 +206,7 @@ def training_windows(h5: DataFrame, input_window: int = INPUT_WINDOW, horizon: i
         raise ValueError("a bucket holds at least one whole window")
     t = _timelines(h5, keys, fit_before, bucket, total - 1).withColumn(
         "_z", F.transform("values", lambda v: _z(F.coalesce(v, F.col("stop_mean")))))
-    last = F.least(F.size("starts"), F.size("_z") - total + 1) - 1
+    last = F.least(F.size("starts"), F.col("reach") - total + 1) - 1
     t = t.where(last >= 0).withColumn("_w", F.explode(F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(
         (F.col("_bucket") * bucket + i).alias("window_idx"), F.get("starts", i).alias("window_start"),
         F.slice("_z", i + 1, input_window).alias("x"), F.slice("_z", i + 1 + input_window, horizon).alias("y")))))
