@@ -354,9 +354,22 @@ def q_headway_interpolated(spark, sf):
 
 
 def q_alert_lifecycle(spark, sf):
-    a = _alerts_latest(spark, sf)
-    at = a.agg(F.max("feed_timestamp")).first()[0]
-    return planned.alert_lifecycle(a, at)
+    a = _alerts(spark, sf)
+    last = a.agg(F.max("feed_timestamp")).scalar()
+    return planned.alert_states(planned.alert_history(a), F.array(last))
+
+
+def q_alert_states(spark, sf):
+    """States at every sixth hour of the feed."""
+    a = _alerts(spark, sf)
+    times = a.agg(F.sequence(F.min("feed_timestamp"), F.max("feed_timestamp"), F.expr("interval 6 hours"))).scalar()
+    return planned.alert_states(planned.alert_history(a), times)
+
+
+def q_alert_history(spark, sf):
+    """When which routes were named, by type."""
+    h = planned.alert_history(_alerts(spark, sf), ("alert_type", "affected_routes"))
+    return h.select("alert_id", "valid_from", "valid_to", "alert_type", _text("affected_routes"))
 
 
 QUERIES: dict[str, Query] = {

@@ -603,3 +603,31 @@ SELECT alert_id, alert_type, active_period_start, active_period_end, as_of,
        WHEN active_period_end IS NULL OR as_of < active_period_end THEN 'active'
        ELSE 'ended' END AS state
 FROM al_latest, (SELECT max(feed_timestamp) AS as_of FROM al_latest)"""
+
+AL_HISTORY = """
+al_one AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY alert_id, feed_timestamp ORDER BY
+      coalesce(updated_at, TIMESTAMP '1970-01-01') DESC,
+      coalesce(ingest_time, TIMESTAMP '1970-01-01') DESC,
+      coalesce(header_text, '') DESC, coalesce(description_text, '') DESC,
+      coalesce(alert_type, '') DESC, coalesce(affected_stops, '') DESC) AS rn
+    FROM al_valid) WHERE rn = 1)"""
+
+ORACLE["alert_history"] = W(ALERTS, AL_HISTORY) + """
+SELECT alert_id, feed_timestamp AS valid_from,
+  LEAD(feed_timestamp) OVER (PARTITION BY alert_id ORDER BY feed_timestamp) AS valid_to, alert_type, affected_routes
+FROM (SELECT *, row_number() OVER w AS n, LAG(alert_type) OVER w AS was_type, LAG(affected_routes) OVER w AS was_routes
+  FROM al_one WINDOW w AS (PARTITION BY alert_id ORDER BY feed_timestamp))
+WHERE n = 1 OR alert_type IS DISTINCT FROM was_type OR affected_routes IS DISTINCT FROM was_routes"""
+
+ORACLE["alert_states"] = W(ALERTS, AL_HISTORY) + """
+SELECT alert_id, alert_type, active_period_start, active_period_end, as_of,
+  CASE WHEN active_period_start IS NULL THEN 'unknown'
+       WHEN as_of < active_period_start THEN 'future'
+       WHEN active_period_end IS NULL OR as_of < active_period_end THEN 'active'
+       ELSE 'ended' END AS state
+FROM (SELECT unnest(generate_series((SELECT min(feed_timestamp) FROM al_valid),
+        (SELECT max(feed_timestamp) FROM al_valid), INTERVAL 6 HOUR)) AS as_of) t
+JOIN (SELECT *, LEAD(feed_timestamp) OVER (PARTITION BY alert_id ORDER BY feed_timestamp) AS until FROM al_one) v
+  ON v.feed_timestamp <= as_of AND (until IS NULL OR as_of < until)"""

@@ -332,3 +332,62 @@ def test_epochs_outside_the_calendar_are_null(spark):
     assert [r.entity_id for r in parse.vehicle_table(dec).collect()] == ["ok"]
     assert sorted((r.entity_id, r.reject_reason) for r in parse.feed_rejects(dec).collect()) == [
         ("big", "missing:vehicle_timestamp"), ("w", "missing:feed_timestamp")]
+
+
+def test_dyadic_blocks_compare_little_more_than_they_match(spark):
+    """L4 over three years: alerts of hours, days, years and without an end;
+    the pairs compared and the blocks of an alert stay few."""
+    import math
+    import random
+    from railyard.operators import planned
+    rng, t0, h = random.Random(8), datetime(2022, 1, 1), timedelta(hours=1)
+    arr = [(f"e{i}", rng.choice("AACD"), "s", t0 + timedelta(seconds=rng.randrange(3 * 365 * 86_400)))
+           for i in range(3000)]
+    spans = [(i * 700 * h + timedelta(seconds=rng.randrange(3600)), n * h) for i, n in
+             enumerate([3, 3, 3, 72, 72, 72, 24 * 400, 24 * 1095, 24 * 2000, 0.25, 1 / 3600, 700])]
+    alerts = [(f"a{i}", "x", ["A", "C"] if i % 2 else ["A"], t0 + s, t0 + s + n) for i, (s, n) in enumerate(spans)]
+    alerts += [("open", "x", ["C"], t0 + 9000 * h, None), ("early", "x", ["A"], t0 - 9000 * h, t0 - h),
+               ("late", "x", ["A"], t0 + 99_999 * h, None), ("wide", "x", ["D"], datetime(1960, 1, 1), datetime(9999, 1, 1))]
+    v = spark.createDataFrame(arr, "entity_id string, route_id string, stop_id string, vehicle_timestamp timestamp")
+    a = spark.createDataFrame(alerts, "alert_id string, alert_type string, affected_routes array<string>, "
+                                      "active_period_start timestamp, active_period_end timestamp")
+    want = sorted((e, i) for e, r, _, t in arr for i, _, routes, s, end in alerts
+                  if r in routes and s <= t and (end is None or t < end))
+    assert sorted((r.entity_id, r.alert_id) for r in planned.arrivals_under_alert(v, a).collect()) == want
+    compared = planned.alert_candidates(v, a)
+    assert len(want) <= compared.count() <= 1.01 * len(want) + 20
+    assert compared.select("entity_id", "alert_id").distinct().count() == compared.count()
+    lo, hi = (F.lit(x) for x in (min(t for *_, t in arr), max(t for *_, t in arr)))
+    cells = 3 * 365 * 96
+    per = planned.alert_blocks(a, lo, hi).groupBy("alert_id", "_route").count().collect()
+    assert max(r["count"] for r in per) <= 2 * math.log2(cells) + cells / 2 ** planned.TOP_LEVEL
+    assert planned.arrivals_under_alert(v.limit(0), a).count() == 0
+    assert planned.arrivals_under_alert(v, a.limit(0)).count() == 0
+
+
+def test_alert_history_merges_equal_versions(spark):
+    from railyard.operators import planned
+    from railyard.schemas import SERVICE_ALERTS
+    t0, h = datetime(2024, 1, 1), timedelta(hours=1)
+
+    def version(i, at, kind, start=None, end=None, header="x"):
+        return (i, kind, ["A"], [], start, end, header, None, None, t0 + at, t0 + at, t0 + at)
+    rows = [version("p", n * h, "Delays", t0 + 5 * h, None) for n in range(0, 60)]
+    rows += [version("p", n * h, "Delays", t0 + 5 * h, t0 + 70 * h) for n in range(60, 62)]
+    rows += [version("p", 62 * h, "Delays", t0 + 5 * h, None), version("q", 3 * h, None), version("q", 4 * h, "Notice"),
+             version("q", 4 * h, "Notice", header="a"), version("q", 4 * h, "Notice")]
+    a = spark.createDataFrame(rows, SERVICE_ALERTS)
+    hist = planned.alert_history(a)
+    got = sorted(((r.alert_id, r.valid_from, r.valid_to, r.alert_type, r.active_period_end) for r in hist.collect()),
+                 key=str)
+    assert got == sorted([
+        ("p", t0, t0 + 60 * h, "Delays", None), ("p", t0 + 60 * h, t0 + 62 * h, "Delays", t0 + 70 * h),
+        ("p", t0 + 62 * h, None, "Delays", None), ("q", t0 + 3 * h, t0 + 4 * h, None, None),
+        ("q", t0 + 4 * h, None, "Notice", None)], key=str)
+    times = [t0 - h, t0, t0 + 5 * h, t0 + 60 * h, t0 + 61.5 * h, t0 + 100 * h]
+    states = sorted((r.as_of, r.alert_id, r.state) for r in planned.alert_states(
+        hist, F.array(*[F.lit(t) for t in times])).collect())
+    assert states == sorted(
+        [(times[1], "p", "future"), (times[2], "p", "active"), (times[3], "p", "active"), (times[4], "p", "active"),
+         (times[5], "p", "active")] + [(t, "q", "unknown") for t in times[2:]])
+    assert planned.alert_history(a.limit(0)).count() == 0
