@@ -179,6 +179,12 @@ def alert_counters() -> list[Column]:
             F.count_if(~dropped & r.isNotNull()).alias("invalid_alerts")]
 
 
+def longform(df: DataFrame) -> DataFrame:
+    """A row of counters as ``(counter, value)`` rows."""
+    pairs = ", ".join(f"'{c}', `{c}`" for c in df.columns)
+    return df.selectExpr(f"stack({len(df.columns)}, {pairs}) AS (counter, value)")
+
+
 def job_counters(decoded: DataFrame, alerts_decoded: DataFrame | None = None) -> DataFrame:
     """The job counters as ``(counter, value)`` rows.  All come from the
     decoded messages, so they reconcile: records = valid + invalid, and the
@@ -196,11 +202,6 @@ def job_counters(decoded: DataFrame, alerts_decoded: DataFrame | None = None) ->
         parts += [m.select([F.col(c).alias(f"alert_{c}") for c in m.columns]),
                   alert_outcomes(alerts_decoded).agg(*alert_counters())]
 
-    def longform(df: DataFrame) -> DataFrame:
-        cols = df.columns
-        pairs = ", ".join(f"'{c}', `{c}`" for c in cols)
-        return df.selectExpr(f"stack({len(cols)}, {pairs}) AS (counter, value)")
-
     out = longform(parts[0])
     for d in parts[1:]:
         out = out.unionByName(longform(d))

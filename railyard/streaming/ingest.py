@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators import parse, reports
 from ..schemas import ALERTS_MESSAGE
-from .enrich import enrich_tracks
+from .enrich import KEEP_MINUTES, enrich_tracks
 
 DEFAULT_TRIGGER = "30 seconds"     # the poll interval of the feeds
 
@@ -96,10 +96,10 @@ def start_raw_vehicles(spark, feed_dirs: dict[str, str], table: str, checkpoint:
 
 def start_enriched_vehicles(spark, feed_dirs: dict[str, str], table: str, checkpoint: str,
                             max_files_per_trigger: int | None = None,
-                            timeout_ms: int | None = None, **kw):
+                            keep_minutes: float | None = KEEP_MINUTES, **kw):
     """T1 + T2 + T4: enriched arrivals appended to the vehicle table."""
     feeds = [feed_stream(spark, p, f, max_files_per_trigger) for f, p in feed_dirs.items()]
-    enriched = enrich_tracks(vehicle_stream(feeds), timeout_ms=timeout_ms) \
+    enriched = enrich_tracks(vehicle_stream(feeds), keep_minutes=keep_minutes) \
         .observe("enrichment_counters", *reports.enrichment_counters())
     return write_table(enriched, table, checkpoint, "vehicle_timestamp", **kw)
 
@@ -129,3 +129,49 @@ def start_alert_rejects(spark, alerts_dir: str, table: str, checkpoint: str,
     """The reject table beside the alerts table."""
     src = feed_stream(spark, alerts_dir, "alerts", max_files_per_trigger)
     return write_table(alert_reject_stream(src), table, checkpoint, "rejected_at", **kw)
+
+
+# ---------------------------------------------------------------- one decode, many sinks
+def _put(df: DataFrame, path: str, time_col: str, batch_id: int) -> None:
+    """Write one micro-batch's rows under event_date=.../batch_id=...: only
+    these folders are replaced, so a batch that runs again leaves the table as
+    if it had run once."""
+    (df.withColumn("event_date", F.to_date(F.col(time_col))).withColumn("batch_id", F.lit(batch_id))
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy("event_date", "batch_id").parquet(path))
+
+
+def write_feed_batch(messages: DataFrame, batch_id: int, accepted: str, rejects: str, counters: str,
+                     alerts: bool = False) -> None:
+    """One micro-batch of raw messages to three tables, decoded
+    once: accepted rows, dead letters, and the R8 counters as (counter,
+    value).  ``observed_at`` of dead letters and counters is the time of the
+    batch, which is not the same when a batch runs again."""
+    decoded = parse.decode(messages, *([ALERTS_MESSAGE] if alerts else [])).persist()
+    try:
+        now = F.current_timestamp()
+        if alerts:
+            out, count = parse.alert_outcomes(decoded), reports.alert_counters()
+            _put(parse.accepted_alerts(out), accepted, "feed_timestamp", batch_id)
+            lost = parse.alert_rejects(decoded)
+        else:
+            out, count = parse.position_outcomes(decoded), reports.record_counters()
+            _put(parse.accepted_positions(out), accepted, "vehicle_timestamp", batch_id)
+            lost = parse.feed_rejects(decoded)
+        _put(lost.withColumn("observed_at", now), rejects, "observed_at", batch_id)
+        rows = [reports.longform(decoded.agg(*reports.message_counters())), reports.longform(out.agg(*count))]
+        _put(rows[0].unionByName(rows[1]).withColumn("observed_at", now), counters, "observed_at", batch_id)
+    finally:
+        decoded.unpersist()
+
+
+def start_feed_tables(spark, feed_dirs: dict[str, str], accepted: str, rejects: str, counters: str,
+                      checkpoint: str, alerts: bool = False, max_files_per_trigger: int | None = None,
+                      trigger: str | None = DEFAULT_TRIGGER, available_now: bool = False):
+    """Accepted rows, dead letters and counters of the feeds from one query
+    (``foreachBatch``), each message decoded once.  Tables are day-partitioned;
+    a batch that a failure interrupted is written again over itself."""
+    feeds = [feed_stream(spark, p, f, max_files_per_trigger) for f, p in feed_dirs.items()]
+    w = parse.feed_union(*feeds).writeStream.option("checkpointLocation", checkpoint).foreachBatch(
+        lambda df, batch_id: write_feed_batch(df, batch_id, accepted, rejects, counters, alerts))
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)).start()

@@ -14,10 +14,7 @@ SF_DIR = os.environ.get("RAILYARD_TEST_SF", "/root/testdata/sf0.001")
 @pytest.fixture(scope="session")
 def spark():
     from railyard.session import checkpoint_dir, get_session
-    s = get_session("local[4]", shuffle_partitions=8,
-                    extra={"spark.sql.streaming.stateStore.providerClass":
-                           "org.apache.spark.sql.execution.streaming.state."
-                           "HDFSBackedStateStoreProvider"})
+    s = get_session("local[4]", shuffle_partitions=8)
     s.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(s, tempfile.mkdtemp(prefix="railyard-test-ckpt-"))
     yield s

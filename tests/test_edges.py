@@ -143,28 +143,18 @@ def test_stream_enrichment_rules(spark, tmp_path):
     assert _got(spark.table("t1_rules").collect()) == EXPECTED
 
 
-def test_stream_enrichment_with_state_timeout(spark, tmp_path):
-    """The optional state timeout (ProcessingTimeTimeout) leaves results
-    unchanged while no key has been idle past it."""
+def test_one_group_of_keys_folds_like_many(spark, tmp_path):
+    """The rules again with all keys in one state row."""
     from railyard.streaming.enrich import enrich_tracks
     src = str(tmp_path / "src")
     for r in enrichment_rows():
         spark.createDataFrame([r], VEHICLE_POSITIONS).coalesce(1).write.mode("append").parquet(src)
-    stream = spark.readStream.schema(VEHICLE_POSITIONS).parquet(src)
-    # with a state timeout the query keeps running (timer) batches to expire
-    # state, so it runs on a processing-time trigger until the rows are out
-    import time
-    q = (enrich_tracks(stream, timeout_ms=3_600_000).writeStream.format("memory")
-         .queryName("t1_timeout").outputMode("append")
-         .option("checkpointLocation", str(tmp_path / "ck"))
-         .trigger(processingTime="1 second").start())
-    try:
-        deadline = time.time() + 90
-        while time.time() < deadline and spark.table("t1_timeout").count() < len(EXPECTED):
-            time.sleep(1)
-    finally:
-        q.stop()
-    assert _got(spark.table("t1_timeout").collect()) == EXPECTED
+    stream = spark.readStream.schema(VEHICLE_POSITIONS).option("maxFilesPerTrigger", 2).parquet(src)
+    q = (enrich_tracks(stream, keep_minutes=None, key_groups=1).writeStream.format("memory")
+         .queryName("t1_one").outputMode("append").option("checkpointLocation", str(tmp_path / "ck"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination(180)
+    assert _got(spark.table("t1_one").collect()) == EXPECTED
 
 
 def test_every_entity_is_accepted_or_rejected(spark):

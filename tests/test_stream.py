@@ -198,3 +198,129 @@ def test_reject_tables_equal_batch(spark, sf_dir, tmp_path):
                                              parse.ALERTS_MESSAGE))
     want = [_key(r) for r in batch.select("alert_id", "reject_reason").collect()]
     assert got == sorted(want + [("", "json_parse_error")])
+
+
+def _positions_stream(spark, rows, tmp_path, name, **kw):
+    """T1 over one file per feed hour; returns output rows and checkpoint."""
+    from pyspark.sql import functions as F
+    from railyard.schemas import VEHICLE_POSITIONS
+    from railyard.streaming.enrich import enrich_tracks
+    src, ck = str(tmp_path / f"{name}-src"), str(tmp_path / f"{name}-ck")
+    hours = sorted(r[0] for r in rows.select(F.date_trunc("hour", "feed_timestamp")).distinct().collect())
+    for i, h in enumerate(hours):
+        d = os.path.join(src, f"{i:04d}")
+        rows.where(F.date_trunc("hour", "feed_timestamp") == F.lit(h)).coalesce(1).write.parquet(d)
+        for f in os.listdir(d):
+            os.utime(os.path.join(d, f), (1_000_000 + i, 1_000_000 + i))
+    stream = spark.readStream.schema(VEHICLE_POSITIONS).option("maxFilesPerTrigger", 1) \
+        .option("recursiveFileLookup", True).parquet(src)
+    q = (enrich_tracks(stream, **kw).writeStream.format("memory").queryName(name).outputMode("append")
+         .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q.awaitTermination(600)
+    return spark.table(name), ck
+
+
+def test_state_as_a_table_is_the_last_update_of_each_key(spark, sf_dir, tmp_path):
+    """The checkpoint read by the state source."""
+    from pyspark.sql import functions as F
+    from railyard.sources.tables import positions
+    from railyard.streaming.enrich import held_tracks
+    pos = positions(spark, sf_dir)
+    _, ck = _positions_stream(spark, pos, tmp_path, "t3_all", keep_minutes=None, key_groups=16)
+    cols = ["scheduled_track", "actual_track", "train_id", "nyct_direction", F.col("vehicle_timestamp").alias("cached_at"),
+            F.col("feed_timestamp").alias("seen_at")]
+    want = pos.where(tracks.is_track_update()).groupBy("trip_id", "stop_id").agg(F.max_by(
+        F.struct(*cols), F.struct("feed_timestamp", "entity_id")).alias("s")).select("trip_id", "stop_id", "s.*")
+    got = held_tracks(spark, ck)
+    assert sorted(_key(r) for r in got.select(*want.columns).collect()) == sorted(_key(r) for r in want.collect())
+    assert 1 < got.select("key_group").distinct().count() <= 16
+
+
+def test_state_is_bounded_by_event_time(spark, sf_dir, tmp_path):
+    """Old tracks leave the state; rows come out as without the bound, but for
+    the label of arrivals that only had a stale one."""
+    from pyspark.sql import functions as F
+    from railyard.sources.tables import positions
+    from railyard.streaming.enrich import held_tracks
+    pos = positions(spark, sf_dir)
+    out, ck = _positions_stream(spark, pos, tmp_path, "t1_kept", keep_minutes=30, key_groups=4)
+    held = held_tracks(spark, ck)
+    newest = pos.agg(F.max("feed_timestamp")).first()[0]
+    every = pos.where(tracks.is_track_update()).select("trip_id", "stop_id").distinct().count()
+    assert 0 < held.count() < every
+    assert held.where(F.greatest("cached_at", "seen_at") < F.lit(newest) - F.expr("interval 60 minutes")).count() == 0
+    want = tracks.arrival_track_asof(pos)
+    cols = [c for c in want.columns if c != "enrichment"]
+    assert sorted(_key(r) for r in out.select(*cols).collect()) == sorted(_key(r) for r in want.select(*cols).collect())
+    label = {r.entity_id: r.enrichment for r in want.collect()}
+    pairs = {(label[r.entity_id], r.enrichment) for r in out.collect()}
+    assert pairs == {("enriched", "enriched"), ("stale", "stale"), ("stale", "no_track"), ("no_track", "no_track")}
+
+
+def test_newest_before_by_hand():
+    import numpy as np
+    from railyard.streaming.enrich import newest_before
+    rng = np.random.default_rng(6)
+    for n in (0, 1, 2, 40, 300):
+        code, update = rng.integers(0, 7, n), rng.random(n) < 0.4
+        at, final = newest_before(code, update)
+        for i in range(n):
+            before = [j for j in range(i) if code[j] == code[i] and update[j]]
+            assert at[i] == (before[-1] if before else -1)
+        last = {c: max([j for j in range(n) if code[j] == c and update[j]], default=-1) for c in set(code.tolist())}
+        assert sorted(final.tolist()) == sorted(last.values())
+
+
+def _tables(spark, paths, drop=("observed_at", "event_date")):
+    return [sorted(_key(r) for r in spark.read.parquet(p).drop(*drop).collect()) for p in paths]
+
+
+def test_one_decode_many_sinks_and_a_batch_that_runs_twice(spark, sf_dir, tmp_path):
+    msgs = _messages(spark, sf_dir)
+    land = str(tmp_path / "landing")
+    _land(msgs, land)
+    feeds = {f: os.path.join(land, f) for f in ("ace", "bdfm")}
+    paths, ck = [str(tmp_path / x) for x in ("ok", "lost", "counted")], str(tmp_path / "ck")
+
+    def run():
+        q = ingest.start_feed_tables(spark, feeds, *paths, ck, max_files_per_trigger=3, available_now=True)
+        assert q.awaitTermination(600)
+    run()
+    dec = parse.decode(spark.createDataFrame(msgs[["feed", "msg_id", "value"]]))
+    want = parse.vehicle_table(dec)
+    ok = spark.read.parquet(paths[0])
+    assert sorted(_key(r) for r in ok.select(*want.columns).collect()) == sorted(_key(r) for r in want.collect())
+    lost = ["feed", "kind", "entity_id", "trip_id", "route_id", "stop_id", "reject_reason"]
+    assert sorted(_key(r) for r in spark.read.parquet(paths[1]).select(*lost).collect()) == \
+        sorted(_key(r) for r in parse.feed_rejects(dec).select(*lost).collect())
+    total = {r.counter: r.n for r in spark.read.parquet(paths[2]).groupBy("counter").agg({"value": "sum"})
+             .toDF("counter", "n").collect()}
+    batch = {r.counter: r.value for r in reports.job_counters(dec).collect()}
+    assert total == {c: batch[c] for c in total} and len(total) == 8
+    before, batches = _tables(spark, paths), ok.select("batch_id").distinct().count()
+    assert batches > 1
+    # the driver fails between the writes and the commit: the last batch runs again
+    commits = sorted((int(f) for f in os.listdir(os.path.join(ck, "commits")) if f.isdigit()))
+    for f in (f"{commits[-1]}", f".{commits[-1]}.crc"):
+        if os.path.exists(os.path.join(ck, "commits", f)):
+            os.remove(os.path.join(ck, "commits", f))
+    run()
+    assert _tables(spark, paths) == before
+
+
+def test_alert_tables_from_one_decode(spark, sf_dir, tmp_path):
+    al = fixtures.alert_messages(events(spark, sf_dir)).toPandas()
+    os.makedirs(str(tmp_path / "alerts"))
+    with open(str(tmp_path / "alerts" / "a.json"), "w") as f:
+        f.write("\n".join(al["value"]) + "\n{\n")
+    paths = [str(tmp_path / x) for x in ("ok", "lost", "counted")]
+    q = ingest.start_feed_tables(spark, {"alerts": str(tmp_path / "alerts")}, *paths, str(tmp_path / "ck"),
+                                 alerts=True, available_now=True)
+    assert q.awaitTermination(600)
+    dec = parse.decode(spark.createDataFrame(al[["msg_id", "value"]]), parse.ALERTS_MESSAGE)
+    want = parse.alert_table(dec)
+    assert sorted(_key(r) for r in spark.read.parquet(paths[0]).select(*want.columns).collect()) == \
+        sorted(_key(r) for r in want.collect())
+    assert spark.read.parquet(paths[1]).count() == parse.alert_rejects(dec).count() + 1
+    counted = {r.counter: r.value for r in spark.read.parquet(paths[2]).collect()}
+    assert counted["valid_alerts"] == want.count() and counted["parse_errors"] > 1
