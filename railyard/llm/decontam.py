@@ -1,9 +1,11 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Passages are TF-IDF vectors over hashed words.  A randomised SVD of all
-passages (random test matrix, one power step; every product with the passage
-matrix is a pass over the corpus whose per-task sums Spark adds up) gives
-latent coordinates.  Overlapping windows of every document meet the windows
+passages gives latent coordinates: one pass over the corpus multiplies the
+Gram matrix of the passages with a random test matrix (per-task sums that
+Spark adds up), and the small matrix that this leaves gives the leading
+directions (single-pass, Nystrom form); passages with a feature are counted
+while the words are written.  Overlapping windows of every document meet the windows
 of the benchmark items, a stated query set taken in blocks, by cosine; what
 comes near is checked on the words: length of the longest common subsequence
 against the item's, and of its answer (the closing sentence), so that
@@ -15,7 +17,8 @@ an item of at most ``WINDOW`` words, all of one of fewer) is checked the same
 way, so a copy is found whatever its vector is worth.
 
 Words: runs without ASCII white space, lower case, outer punctuation off,
-hashed to 16 bits; the low 12 bits are the TF-IDF feature.
+hashed to 32 bits, which is what the checks compare; the low 12 bits are the
+TF-IDF feature.
 
 Null texts hold no passage; null, wordless items match nothing; items of
 fewer than ``SHORT`` words match only whole.  Rows without a doc_id and
@@ -35,11 +38,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from railyard.llm.common import landed, own_columns, python_batches
+from railyard.llm.common import landed, own_columns, small_batches
 
 FEATURES = 4096
 RANK = 112
-OVERSAMPLE = 8
+OVERSAMPLE = 16
 WINDOW = 32             # words of a passage and of a query window
 STRIDE = 16
 NEAR = 0.4              # cosine of a candidate, for items that fill a window
@@ -51,54 +54,66 @@ BLOCK_ITEMS = 1000      # items of one block of queries
 CHUNK = 131_072         # words worked on at once
 GRAM = 3                # words in a row that make a place a candidate
 PROBED = 1 << 20        # places of grams worked on at once
+PAIRS = 8192            # candidate places checked at once
+MASK_BYTES = 64 << 20   # of a block's match masks as one table; looked up by key beyond
+BATCH_BYTES = 8 << 20
 EDGES = ".,;:!?\"'()[]{}<>*#|"
 
 
 # ------------------------------------------------------------- words
 
-_HASHES: dict[str, int] = {}
-WORDS_KEPT = 300_000
-
-
-def _hash(word: str) -> int:
-    """16-bit hash of a word, -1 if nothing is left of it."""
-    import xxhash
-    plain = word.lower().strip(EDGES)
-    return xxhash.xxh32_intdigest(plain) & 0xFFFF if plain else -1
-
-
 def _word_ids(texts: pa.Array) -> Iterator[np.ndarray]:
-    """16-bit word hashes of each text, in order."""
-    if len(_HASHES) > WORDS_KEPT:
-        _HASHES.clear()
+    """32-bit word hashes of each text, in order; words of which nothing is
+    left are dropped."""
     split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
     coded = pc.dictionary_encode(split.flatten())
-    words = coded.dictionary.to_pylist()
-    for w in words:
-        if w not in _HASHES:
-            _HASHES[w] = _hash(w)
-    known = np.fromiter((_HASHES[w] for w in words), np.int32, len(words))
-    every = known[coded.indices.to_numpy(zero_copy_only=False)] if len(words) else np.zeros(0, np.int32)
+    plain = pc.dictionary_encode(pc.utf8_trim(pc.utf8_lower(coded.dictionary), EDGES))
+    names = plain.dictionary.to_numpy(zero_copy_only=False)
+    hashes = pd.util.hash_array(names, categorize=False).astype(np.uint32) if len(names) else np.zeros(0, np.uint32)
+    at = plain.indices.to_numpy(zero_copy_only=False)[coded.indices.to_numpy(zero_copy_only=False)]
+    every, left = hashes[at], (names != "")[at]
     bounds = split.offsets.to_numpy() - split.offsets[0].as_py()
     for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-        own = every[a:b]
-        yield own[own >= 0].astype(np.uint16)
+        yield every[a:b] if left[a:b].all() else every[a:b][left[a:b]]
+
+
+def _hash(word: str) -> int:
+    """32-bit hash of a word, -1 if nothing is left of it."""
+    own = next(_word_ids(pa.array([word])))
+    return int(own[0]) if len(own) else -1
+
+
+def passages_with(texts: list[np.ndarray]) -> np.ndarray:
+    """How many passages of the texts hold each feature, and how many there are."""
+    size = np.array([len(x) for x in texts], np.int64)
+    rows = -(-size // WINDOW)
+    flat = np.concatenate([*texts, np.zeros(0, np.uint32)])
+    table = np.full(int(rows.sum()) * WINDOW, FEATURES, np.uint16)
+    shift = (np.cumsum(rows) - rows) * WINDOW - (np.cumsum(size) - size)
+    table[np.arange(len(flat)) + np.repeat(shift, size)] = flat & (FEATURES - 1)
+    table = np.sort(table.reshape(-1, WINDOW), axis=1)
+    once = np.ones(table.shape, bool)
+    once[:, 1:] = table[:, 1:] != table[:, :-1]
+    return np.append(np.bincount(table[once], minlength=FEATURES + 1)[:FEATURES], len(table))
 
 
 def tokens(docs: DataFrame) -> DataFrame:
-    """doc_id and the word hashes of every whole text."""
+    """doc_id and the word hashes of every whole text; beside the first row
+    of a batch, what ``passages_with`` says of the batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = pa.array([x.tobytes() for x in _word_ids(batch.column(1))], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "ids"])
+        for batch in small_batches(batches, BATCH_BYTES):
+            texts = list(_word_ids(batch.column(1)))
+            held = sum(passages_with(texts[a:b]) for a, b in _runs(texts, CHUNK)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([x.tobytes() for x in texts], pa.binary()),
+                 pa.array([held.tobytes()] + [None] * (len(texts) - 1), pa.binary())], ["doc_id", "ids", "held"])
 
-    python_batches(docs.sparkSession, 2000)
     rows = own_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id long, ids binary")
+    return rows.mapInArrow(run, "doc_id long, ids binary, held binary")
 
 
 def _ids(column) -> list[np.ndarray]:
-    return [np.frombuffer(x, np.uint16) for x in column]
+    return [np.frombuffer(x, np.uint32) for x in column]
 
 
 def _runs(texts: list[np.ndarray], words: int) -> Iterator[tuple[int, int]]:
@@ -119,19 +134,14 @@ def inverse_frequency(words: DataFrame) -> np.ndarray:
     """log(1 + passages / passages with the feature), over all passages:
     above 0 for every feature, however common."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = np.zeros(FEATURES + 1, np.int64)
+        total = np.zeros(FEATURES + 1, np.int64)
         for pdf in frames:
-            texts = _ids(pdf["ids"])
-            for a, b in _runs(texts, CHUNK):
-                size = np.array([-(-len(x) // WINDOW) for x in texts[a:b]])
-                at = np.concatenate([np.arange(len(x)) // WINDOW for x in texts[a:b]])
-                at += np.repeat(np.cumsum(size) - size, [len(x) for x in texts[a:b]])
-                both = np.unique(at * FEATURES + (np.concatenate(texts[a:b]) & (FEATURES - 1)))
-                held[:FEATURES] += np.bincount(both & (FEATURES - 1), minlength=FEATURES)
-                held[FEATURES] += size.sum()
-        yield pd.DataFrame({"f": np.arange(FEATURES + 1), "n": held})
+            for held in pdf["held"]:
+                total += np.frombuffer(held, np.int64)
+        yield pd.DataFrame({"f": np.arange(FEATURES + 1), "n": total})
 
-    rows = (words.select("ids").mapInPandas(run, "f long, n long").groupBy("f").agg(F.sum("n").alias("n")).collect())
+    rows = (words.where(F.col("held").isNotNull()).select("held").mapInPandas(run, "f long, n long")
+            .groupBy("f").agg(F.sum("n").alias("n")).collect())
     n = np.zeros(FEATURES + 1)
     for r in rows:
         n[r["f"]] = r["n"]
@@ -228,16 +238,26 @@ class Latent:
         return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-6), owner, k * STRIDE
 
 
+def leading(product: np.ndarray, test: np.ndarray, rank: int) -> tuple[np.ndarray, np.ndarray]:
+    """Leading eigenvectors and values of a positive matrix G from G test
+    alone (``test`` with orthonormal columns): those of the matrix of low rank
+    (G test) (test' G test)^-1 (G test)', by a Cholesky factor of the middle,
+    slightly shifted so that it has one."""
+    shift = 1e-7 * max(float(np.linalg.norm(product)), 1e-12)
+    product = product + shift * test
+    middle = test.T @ product
+    factor = np.linalg.cholesky((middle + middle.T) / 2)
+    vectors, sizes, _ = np.linalg.svd(np.linalg.solve(factor, product.T).T, full_matrices=False)
+    return vectors[:, :rank], np.maximum(sizes[:rank] ** 2 - shift, 0)
+
+
 def latent_model(words: DataFrame, rank: int = RANK, seed: int = 7) -> Latent:
-    """Randomised SVD of the TF-IDF matrix of all passages."""
+    """Randomised SVD of the TF-IDF matrix of all passages, in one pass."""
     idf = inverse_frequency(words)
-    test = np.random.default_rng(seed).standard_normal((FEATURES, rank + OVERSAMPLE))
-    q, _ = np.linalg.qr(_product(words, idf, test))
-    again = _product(words, idf, q)
-    values, vectors = np.linalg.eigh(q.T @ again)
-    best = np.argsort(-values)[:rank]
-    scale = 1 / np.sqrt(np.maximum(values[best], 1e-9 * max(values.max(), 1e-9)))
-    return Latent((q @ vectors[:, best]) * scale[None, :] * idf[:, None])
+    test, _ = np.linalg.qr(np.random.default_rng(seed).standard_normal((FEATURES, rank + OVERSAMPLE)))
+    vectors, values = leading(_product(words, idf, test), test, rank)
+    scale = 1 / np.sqrt(np.maximum(values, 1e-9 * max(values.max(), 1e-9)))
+    return Latent(vectors * scale[None, :] * idf[:, None])
 
 
 # ------------------------------------------------------------- queries
@@ -245,16 +265,40 @@ def latent_model(words: DataFrame, rank: int = RANK, seed: int = 7) -> Latent:
 LANE = 64               # words whose matches one machine word holds
 
 
-def _lanes(masks: np.ndarray, slices: np.ndarray, owner: np.ndarray) -> np.ndarray:
+def _lanes(masks: np.ndarray) -> np.ndarray:
     """Longest common subsequence of many (item lane, slice) pairs at once,
-    by bit-parallel addition; lanes shorter than 64 words leave ones."""
-    row = np.full(len(owner), ~np.uint64(0))
-    for k in range(slices.shape[1]):
-        u = row & masks[owner, slices[:, k]]
+    by bit-parallel addition; ``masks[k]`` has, per pair, the item's words
+    equal to the slice's word k.  Lanes shorter than 64 words leave ones."""
+    row = np.full(masks.shape[1], ~np.uint64(0))
+    for own in masks:
+        u = row & own
         row = (row + u) | (row - u)
     return LANE - np.bitwise_count(row).astype(np.int64)
 
 
+class Matches:
+    """Which of a lane's words each word code stands for: one table where it
+    is small, else looked up by (lane, code)."""
+
+    def __init__(self, lane: np.ndarray, code: np.ndarray, place: np.ndarray, lanes: int, codes: int):
+        self.lanes, self.codes = lanes, codes
+        self.keys, first = np.unique(lane.astype(np.int64) * codes + code, return_inverse=True)
+        self.bits = np.zeros(len(self.keys), np.uint64)
+        np.bitwise_or.at(self.bits, first, np.uint64(1) << place.astype(np.uint64))
+        self.table = None                               # made where it is used, never sent
+
+    def of(self, lane: np.ndarray, slices: np.ndarray) -> np.ndarray:
+        """Masks of slices (words x pairs) against each pair's lane."""
+        if self.lanes * self.codes * 8 > MASK_BYTES:
+            key = lane[None, :] * self.codes + slices
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            return np.where(self.keys[at] == key, self.bits[at], np.uint64(0))
+        if self.table is None:
+            self.table = np.zeros(self.lanes * self.codes, np.uint64)
+            self.table[self.keys] = self.bits
+        return self.table[lane[None, :] * self.codes + slices]
+
+
 def lcs(words: list[int], other: list[int]) -> int:
     """Longest common subsequence for items beyond one lane."""
     masks: dict[int, int] = {}
@@ -278,29 +322,30 @@ class Items:
         words = list(_word_ids(pa.array(texts, pa.string())))
         tails = list(_word_ids(pa.array(closing, pa.string())))
         self.items = [(r[0], w, t) for r, w, t in zip(rows, words, tails, strict=True) if len(w)]
-        own = [w for _, w, _ in self.items] or [np.zeros(0, np.uint16)]
+        own = [w for _, w, _ in self.items] or [np.zeros(0, np.uint32)]
         self.vectors, self.owner, self.start = model.windows(own)
         if not self.items:
             self.vectors = self.vectors[:0]
         self.n = np.array([len(w) for w in own])
         self.gate = np.sqrt(np.minimum(self.n, WINDOW) / WINDOW)[self.owner].astype(np.float32)
-        vocabulary = np.unique(np.concatenate(own))
-        self.code = np.zeros(1 << 16, np.int64)         # 0: not in any item
-        self.code[vocabulary] = np.arange(1, len(vocabulary) + 1)
+        self.vocabulary = np.unique(np.concatenate(own))
+        self.codes = len(self.vocabulary) + 1           # 0: not in any item
+        self.tables = self._by_low_bits()
         self.lane_of = np.cumsum(-(-self.n // LANE)) - -(-self.n // LANE)
-        self.masks = np.zeros((int((-(-self.n // LANE)).sum()), len(vocabulary) + 1), np.uint64)
-        self.tail_masks = np.zeros((len(own), len(vocabulary) + 1), np.uint64)
-        self.tail_n = np.ones(len(own))
+        self.tail_n, parts, tails = np.ones(len(own)), [], []
         for o, (_, w, t) in enumerate(self.items):
-            for i, c in enumerate(self.code[w].tolist()):
-                self.masks[self.lane_of[o] + i // LANE, c] |= np.uint64(1 << i % LANE)
-            tail = t[-LANE:] if len(t) else w[-LANE:]
+            code, tail = self.code(w), self.code(t[-LANE:] if len(t) else w[-LANE:])
             self.tail_n[o] = len(tail)
-            for i, c in enumerate(self.code[tail].tolist()):
-                self.tail_masks[o, c] |= np.uint64(1 << i)
+            at = np.arange(len(code))
+            parts.append((self.lane_of[o] + at // LANE, code, at % LANE))
+            tails.append((np.full(len(tail), o), tail, np.arange(len(tail))))
+        none = [(np.zeros(0, np.int64),) * 3]
+        self.matches, self.tail_matches = (
+            Matches(*map(np.concatenate, zip(*(x or none), strict=True)), lanes, self.codes)
+            for x, lanes in ((parts, int((-(-self.n // LANE)).sum())), (tails, len(own))))
         self.grams = {}         # words in a row: keys in order, item and place of each
         for k in range(1, GRAM + 1):
-            parts = [(self._keys(self.code[w], k), o) for o, (_, w, _) in enumerate(self.items)
+            parts = [(self._keys(self.code(w), k), o) for o, (_, w, _) in enumerate(self.items)
                      if k == min(2 if len(w) <= WINDOW else GRAM, len(w))]
             if parts:
                 key = np.concatenate([x for x, _ in parts])
@@ -308,25 +353,46 @@ class Items:
                 self.grams[k] = (key[order], np.concatenate([np.full(len(x), o) for x, o in parts])[order],
                                  np.concatenate([np.arange(len(x)) for x, _ in parts])[order])
 
+    def _by_low_bits(self) -> list[np.ndarray]:
+        """Codes of the vocabulary by the low 16 bits of the hash; words that
+        share them stand in further tables."""
+        tables, left = [], np.arange(len(self.vocabulary))
+        while len(left) or not tables:
+            table = np.zeros(1 << 16, np.int32)
+            low, first = np.unique(self.vocabulary[left] & 0xFFFF, return_index=True)
+            table[low] = left[first] + 1
+            tables.append(table)
+            left = np.delete(left, first)
+        return tables
+
+    def code(self, words: np.ndarray) -> np.ndarray:
+        """Place of each word in the block's vocabulary, from 1; 0 if it is
+        in no item.  All 32 bits are compared."""
+        out, low = np.zeros(len(words), np.int32), words & 0xFFFF
+        if len(self.vocabulary):
+            for table in self.tables:
+                found = table[low]
+                out += np.where((found > 0) & (self.vocabulary[found - 1] == words), found, 0)
+        return out
+
     def _keys(self, codes: np.ndarray, k: int) -> np.ndarray:
         """One number for every ``k`` codes in a row."""
         n = max(0, len(codes) - k + 1)
         key = np.zeros(n, np.int64)
         for j in range(k):
-            key = key * self.masks.shape[1] + codes[j:j + n]
+            key = key * self.codes + codes[j:j + n]
         return key
 
-    def _probed(self, flat: np.ndarray, sizes: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    def _probed(self, codes: np.ndarray, sizes: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
         """Document, item, place in the document and place in the item of all
         grams that both hold, one for each pair and ``STRIDE`` diagonals."""
-        codes = self.code[flat]
         for k, (keys, items, places) in self.grams.items():
             at = np.flatnonzero(codes[:max(0, len(codes) - k + 1)])
             for j in range(1, k):
                 at = at[codes[at + j] > 0]
             key = np.zeros(len(at), np.int64)
             for j in range(k):
-                key = key * self.masks.shape[1] + codes[at + j]
+                key = key * self.codes + codes[at + j]
             low = np.searchsorted(keys, key)
             has = keys[np.minimum(low, len(keys) - 1)] == key
             at, low, key = at[has], low[has], key[has]
@@ -348,23 +414,26 @@ class Items:
                 one = np.unique(pair, return_index=True)[1]
                 yield d[one], item[one], inside[one], place[one]
 
-    def _checked(self, flat: np.ndarray, ends: np.ndarray, doc: np.ndarray, item: np.ndarray,
+    def _checked(self, flat: np.ndarray, codes: np.ndarray, ends: np.ndarray, doc: np.ndarray, item: np.ndarray,
                  begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Matched words and answer share of candidate places, many at once."""
-        span = int(self.n[item].max()) + WINDOW + STRIDE
-        at = begin[:, None] + np.arange(span)[None, :]
-        inside = (at < ends[doc][:, None]) & (np.arange(span)[None, :] < (self.n[item] + WINDOW + STRIDE)[:, None])
-        slices = np.where(inside, self.code[flat[np.minimum(at, len(flat) - 1)]], 0)
+        reach = self.n[item] + WINDOW + STRIDE
+        span = int(reach.max())
+        rows = np.lib.stride_tricks.sliding_window_view(np.append(codes, np.zeros(span, codes.dtype)), span)[begin]
+        rows[np.arange(span)[None, :] >= np.minimum(reach, ends[doc] - begin)[:, None]] = 0
+        slices = np.ascontiguousarray(rows.T)
         matched = np.zeros(len(item), np.int64)
         for lane in range(int(-(-self.n[item].max() // LANE))):
-            has = self.n[item] > lane * LANE
-            matched[has] += _lanes(self.masks, slices[has], self.lane_of[item[has]] + lane)
+            has = np.flatnonzero(self.n[item] > lane * LANE)
+            own = slices if len(has) == len(item) else slices[:, has]
+            matched[has] += _lanes(self.matches.of(self.lane_of[item[has]] + lane, own))
         answer = np.zeros(len(item))
-        near = matched >= PARAPHRASE * self.n[item]
-        answer[near] = _lanes(self.tail_masks, slices[near], item[near]) / self.tail_n[item[near]]
+        near = np.flatnonzero(matched >= PARAPHRASE * self.n[item])
+        if len(near):
+            answer[near] = _lanes(self.tail_matches.of(item[near], slices[:, near])) / self.tail_n[item[near]]
         # the sum over lanes bounds a long item's match; what passes is counted exactly
-        for k in np.flatnonzero(near & (self.n[item] > LANE)).tolist():
-            own = flat[begin[k]:min(ends[doc[k]], begin[k] + self.n[item[k]] + WINDOW + STRIDE)]
+        for k in near[self.n[item[near]] > LANE].tolist():
+            own = flat[begin[k]:min(ends[doc[k]], begin[k] + reach[k])]
             matched[k] = lcs(self.items[item[k]][1].tolist(), own.tolist())
         return matched, answer
 
@@ -373,6 +442,7 @@ class Items:
         sizes = np.array([len(x) for x in texts])
         ends = np.cumsum(sizes)
         flat = np.concatenate(texts)
+        codes = self.code(flat)
         own_window, own_query = np.searchsorted(owner, np.arange(len(texts))), np.searchsorted(
             self.owner, np.arange(len(self.items)))
 
@@ -384,7 +454,7 @@ class Items:
                 yield doc, item, np.maximum(0, start[a + w] - self.start[q] - STRIDE), cosine[w, q]
             last_window = np.r_[own_window[1:], len(owner)] - 1
             last_query = np.r_[own_query[1:], len(self.owner)] - 1
-            for doc, item, inside, place in self._probed(flat, sizes, ends):
+            for doc, item, inside, place in self._probed(codes, sizes, ends):
                 w = np.minimum(own_window[doc] + inside // STRIDE, last_window[doc])
                 q = np.minimum(own_query[item] + place // STRIDE, last_query[item])
                 cosine = np.concatenate([(windows[w[k:k + 8192]] * self.vectors[q[k:k + 8192]]).sum(axis=1)
@@ -392,17 +462,19 @@ class Items:
                 yield doc, item, np.maximum(0, (inside - place) // STRIDE * STRIDE - STRIDE), cosine
 
         for docs, items, begins, cosines in places():
-            for k in range(0, len(docs), 8192):
-                doc, item, offset = docs[k:k + 8192], items[k:k + 8192], begins[k:k + 8192]
+            order = np.argsort(self.n[items], kind="stable")        # items of like length together
+            docs, items, begins, cosines = docs[order], items[order], begins[order], cosines[order]
+            for k in range(0, len(docs), PAIRS):
+                doc, item, offset = docs[k:k + PAIRS], items[k:k + PAIRS], begins[k:k + PAIRS]
                 begin = ends[doc] - sizes[doc] + offset
-                matched, answer = self._checked(flat, ends, doc, item, begin)
+                matched, answer = self._checked(flat, codes, ends, doc, item, begin)
                 n = self.n[item]
                 share = matched / n
                 leak = np.where(n < SHORT, share == 1, (share >= MATCH) | ((share >= PARAPHRASE) & (answer >= ANSWER)))
                 if leak.any():
                     yield pd.DataFrame({"doc": doc, "item": item, "start_word": offset,
                                         "matched_words": matched, "share": share, "answer_share": answer,
-                                        "cosine": cosines[k:k + 8192].astype(float)})[leak]
+                                        "cosine": cosines[k:k + PAIRS].astype(float)})[leak]
 
     def found(self, texts: list[np.ndarray], near: float = NEAR) -> pd.DataFrame:
         """(doc, item_id, start_word, matched_words, share, answer_share,
@@ -437,32 +509,36 @@ FOUND = ("doc_id long, item_id long, start_word long, matched_words long, share
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, near: float = NEAR, rank: int = RANK) -> DataFrame:
-    """Every (document, item) pair that passes the checks, at its best place."""
+    """Every (document, item) pair that passes the checks, at its best place;
+    all blocks of items are searched in one pass."""
     words = landed(tokens(docs), "words")
-    out = None
-    for items in item_blocks(benchmark, latent_model(words, rank)):
-        def run(frames: Iterator[pd.DataFrame], items: Items = items) -> Iterator[pd.DataFrame]:
-            for pdf in frames:
-                hits = items.found(_ids(pdf["ids"]), near)
+    blocks = list(item_blocks(benchmark, latent_model(words, rank)))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            texts = _ids(pdf["ids"])
+            for items in blocks:
+                hits = items.found(texts, near)
                 doc_ids = pdf["doc_id"].astype("Int64").to_numpy()[hits["doc"].to_numpy(np.int64)]
                 yield hits.drop(columns="doc").assign(doc_id=pd.array(doc_ids, "Int64")).astype({"item_id": "Int64"})[
                     [c.split()[0] for c in FOUND.split(", ")]]
 
-        own = words.mapInPandas(run, FOUND)
-        out = own if out is None else out.unionByName(own)
-    return out
+    return words.select("doc_id", "ids").mapInPandas(run, FOUND)
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, near: float = NEAR, rank: int = RANK) -> DataFrame:
-    """The documents that hold no benchmark item, all columns unchanged."""
-    at, out = docs.columns.index("text"), docs
-    for items in item_blocks(benchmark, latent_model(landed(tokens(docs), "words"), rank)):
-        def run(batches: Iterator[pa.RecordBatch], items: Items = items) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                texts = list(_word_ids(batch.column(at).cast(pa.string())))
-                keep = np.ones(len(texts), bool)
-                keep[items.found(texts, near)["doc"].to_numpy(np.int64)] = False
-                yield batch.filter(pa.array(keep))
-
-        out = out.mapInArrow(run, docs.schema)
-    return out
+    """The documents that hold no benchmark item, all columns unchanged;
+    words are made once for all blocks of items."""
+    at = docs.columns.index("text")
+    blocks = list(item_blocks(benchmark, latent_model(landed(tokens(docs), "words"), rank)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, BATCH_BYTES):
+            texts = list(_word_ids(batch.column(at).cast(pa.string())))
+            keep = np.ones(len(texts), bool)
+            for items in blocks:
+                left = np.flatnonzero(keep)
+                keep[left[items.found([texts[i] for i in left], near)["doc"].to_numpy(np.int64)]] = False
+            yield batch.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)

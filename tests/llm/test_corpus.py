@@ -367,10 +367,8 @@ def test_lane_matching_is_longest_common_subsequence():
                 table[i + 1, j + 1] = table[i, j] + 1 if a[i] == b[j] else max(table[i, j + 1], table[i + 1, j])
         assert decontam.lcs(a, b) == table[-1, -1]
         if n <= 64:
-            masks = np.zeros((1, 10), np.uint64)
-            for i, x in enumerate(a):
-                masks[0, x] |= np.uint64(1 << i)
-            assert decontam._lanes(masks, np.array([b]), np.array([0]))[0] == table[-1, -1]
+            own = decontam.Matches(np.zeros(n, int), np.array(a), np.arange(n), 1, 10)
+            assert decontam._lanes(own.of(np.array([0]), np.array(b)[:, None]))[0] == table[-1, -1]
 
 
 def test_leaks_and_paraphrases_are_found_and_clean_texts_left(spark, empty):
@@ -461,6 +459,62 @@ def test_short_items_against_all_pairs(spark):
         spark.createDataFrame([(d, " ".join(t)) for d, t in docs], "doc_id long, text string"), bench).collect()}
     planted = {(d, d % len(items)) for d, _ in docs}
     assert len(planted & want) > 300 and planted & want <= got
+    # against every place of every pair: nothing else is found, little is missed
+    every, some = set(), [(d, t) for d, t in docs if d % 8 == 0]
+    for d, text in some:
+        other = [decontam._hash(x) for x in text]
+        for i, item in items:
+            word, reach = [decontam._hash(x) for x in item], len(item) + decontam.WINDOW + decontam.STRIDE
+            best = max(decontam.lcs(word, other[a:a + reach]) for a in range(0, len(other), 8)) / len(word)
+            if best == 1 or len(word) >= decontam.SHORT and best >= decontam.PARAPHRASE:
+                every.add((d, i))
+    mine, want = {g for g in got if g[0] % 8 == 0}, {w for w in want if w[0] % 8 == 0}
+    assert mine <= every | want and len(mine) >= 0.9 * len(every & planted | want)
+
+
+def test_words_are_compared_in_full(spark):
+    """Items of one to three words among thousands of other words."""
+    docs = spark.createDataFrame([(d, " ".join(f"w{d}x{i}" for i in range(400))) for d in range(300)]
+                                 + [(900, "the word180 word242 word7 end")], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, f"word{i}") for i in range(150, 250)] + [(1000, "word180 word242"),
+                                  (1001, "word180 word242 word7"), (1002, "word242 word180")], "item_id long, text string")
+    got = sorted((r["doc_id"], r["item_id"]) for r in decontam.leaks(docs, bench).collect())
+    assert got == [(900, 180), (900, 242), (900, 1000), (900, 1001)]
+
+
+def test_masks_by_key_equal_the_table_and_words_that_share_low_bits_differ(monkeypatch):
+    rng = np.random.default_rng(3)
+    words = [f"v{i}" for i in range(3000)]
+    rows = [(i, " ".join(rng.choice(words, int(rng.integers(4, 150))))) for i in range(120)]
+    texts = []
+    for i, (_, item) in enumerate(rows):
+        kept = [w for w in item.split() if rng.random() < 0.85]
+        texts.append(" ".join([*rng.choice(words, 80), *kept, *rng.choice(words, 50)]))
+    texts = list(decontam._word_ids(pa.array(texts)))
+    model = decontam.Latent(rng.standard_normal((decontam.FEATURES, 64)))
+    one, two = decontam.Items(rows, model), decontam.Items(rows, model)
+    a = one.found(texts)
+    monkeypatch.setattr(decontam, "MASK_BYTES", 0)
+    b = two.found(texts)
+    assert one.matches.table is not None and two.matches.table is None and len(a) > 60
+    pd.testing.assert_frame_equal(a, b)
+    one.vocabulary = np.sort(np.array([5, 5 + (1 << 16), 5 + (7 << 16), 9], np.uint32))
+    one.tables = one._by_low_bits()
+    assert len(one.tables) == 3
+    assert one.code(np.array([5, 9, 5 + (7 << 16), 5 + (2 << 16), 5 + (1 << 16)], np.uint32)).tolist() == [1, 2, 4, 0, 3]
+
+
+def test_one_pass_finds_the_leading_directions():
+    rng = np.random.default_rng(1)
+    basis, _ = np.linalg.qr(rng.standard_normal((300, 300)))
+    values = 100.0 * 0.8 ** np.arange(300)
+    gram = (basis * values) @ basis.T
+    test, _ = np.linalg.qr(rng.standard_normal((300, 40)))
+    vectors, found = decontam.leading(gram @ test, test, 20)
+    assert np.allclose(found, values[:20], rtol=0.05)
+    assert (np.linalg.norm(basis[:, :12].T @ vectors, axis=1) > 0.99).all()
+    zero = decontam.leading(np.zeros((300, 40)), test, 20)
+    assert np.isfinite(zero[0]).all() and (zero[1] < 1e-20).all()
 
 
 # ------------------------------------------------------------- pipeline
