@@ -42,7 +42,7 @@ from railyard.llm.common import landed, own_columns, small_batches
 
 FEATURES = 4096
 RANK = 112
-OVERSAMPLE = 16
+OVERSAMPLE = 8
 WINDOW = 32             # words of a passage and of a query window
 STRIDE = 16
 NEAR = 0.4              # cosine of a candidate, for items that fill a window
@@ -51,7 +51,7 @@ PARAPHRASE = 0.6        # share that is enough with the answer
 ANSWER = 0.6            # share of the answer in order
 SHORT = 8
 BLOCK_ITEMS = 1000      # items of one block of queries
-CHUNK = 131_072         # words worked on at once
+CHUNK = 65_536          # words worked on at once
 GRAM = 3                # words in a row that make a place a candidate
 PROBED = 1 << 20        # places of grams worked on at once
 PAIRS = 8192            # candidate places checked at once
@@ -182,7 +182,7 @@ def _product(words: DataFrame, idf: np.ndarray, right: np.ndarray) -> np.ndarray
         rows = np.zeros((len(slots) + 1, width), np.float32)
         rows[:-1] = _row_sums(base, slots) / np.maximum(square[slots].sum(axis=1), 1e-6)[:, None]
         passage = np.cumsum(np.r_[0, place[1:] != place[:-1]])
-        order = np.argsort(f, kind="stable")
+        order = np.argsort(f.astype(np.uint16), kind="stable")
         back, feature = _slots(f[order], passage[order], 8, len(slots))
         seg = np.flatnonzero(np.r_[True, feature[1:] != feature[:-1]])
         at = feature[seg]
@@ -265,11 +265,12 @@ def latent_model(words: DataFrame, rank: int = RANK, seed: int = 7) -> Latent:
 LANE = 64               # words whose matches one machine word holds
 
 
-def _lanes(masks: np.ndarray) -> np.ndarray:
+def _lanes(masks: Iterator[np.ndarray], pairs: int) -> np.ndarray:
     """Longest common subsequence of many (item lane, slice) pairs at once,
-    by bit-parallel addition; ``masks[k]`` has, per pair, the item's words
-    equal to the slice's word k.  Lanes shorter than 64 words leave ones."""
-    row = np.full(masks.shape[1], ~np.uint64(0))
+    by bit-parallel addition; the masks of word k of the slices say, per
+    pair, which of the item's words equal it.  Lanes shorter than 64 words
+    leave ones."""
+    row = np.full(pairs, ~np.uint64(0))
     for own in masks:
         u = row & own
         row = (row + u) | (row - u)
@@ -287,16 +288,22 @@ class Matches:
         np.bitwise_or.at(self.bits, first, np.uint64(1) << place.astype(np.uint64))
         self.table = None                               # made where it is used, never sent
 
-    def of(self, lane: np.ndarray, slices: np.ndarray) -> np.ndarray:
-        """Masks of slices (words x pairs) against each pair's lane."""
-        if self.lanes * self.codes * 8 > MASK_BYTES:
-            key = lane[None, :] * self.codes + slices
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            return np.where(self.keys[at] == key, self.bits[at], np.uint64(0))
-        if self.table is None:
+    def of(self, lane: np.ndarray, slices: np.ndarray) -> Iterator[np.ndarray]:
+        """Masks of slices (words x pairs) against each pair's lane, word by word."""
+        small, row = self.lanes * self.codes * 8 <= MASK_BYTES, lane * self.codes
+        if small and self.table is None:
             self.table = np.zeros(self.lanes * self.codes, np.uint64)
             self.table[self.keys] = self.bits
-        return self.table[lane[None, :] * self.codes + slices]
+        for words in slices:
+            key = row + words
+            if small:
+                yield self.table.take(key)
+            else:
+                at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+                yield np.where(self.keys[at] == key, self.bits[at], np.uint64(0))
+
+    def lcs(self, lane: np.ndarray, slices: np.ndarray) -> np.ndarray:
+        return _lanes(self.of(lane, slices), len(lane))
 
 
 def lcs(words: list[int], other: list[int]) -> int:
@@ -426,11 +433,11 @@ class Items:
         for lane in range(int(-(-self.n[item].max() // LANE))):
             has = np.flatnonzero(self.n[item] > lane * LANE)
             own = slices if len(has) == len(item) else slices[:, has]
-            matched[has] += _lanes(self.matches.of(self.lane_of[item[has]] + lane, own))
+            matched[has] += self.matches.lcs(self.lane_of[item[has]] + lane, own)
         answer = np.zeros(len(item))
         near = np.flatnonzero(matched >= PARAPHRASE * self.n[item])
         if len(near):
-            answer[near] = _lanes(self.tail_matches.of(item[near], slices[:, near])) / self.tail_n[item[near]]
+            answer[near] = self.tail_matches.lcs(item[near], slices[:, near]) / self.tail_n[item[near]]
         # the sum over lanes bounds a long item's match; what passes is counted exactly
         for k in near[self.n[item[near]] > LANE].tolist():
             own = flat[begin[k]:min(ends[doc[k]], begin[k] + reach[k])]

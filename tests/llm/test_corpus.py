@@ -368,7 +368,7 @@ def test_lane_matching_is_longest_common_subsequence():
         assert decontam.lcs(a, b) == table[-1, -1]
         if n <= 64:
             own = decontam.Matches(np.zeros(n, int), np.array(a), np.arange(n), 1, 10)
-            assert decontam._lanes(own.of(np.array([0]), np.array(b)[:, None]))[0] == table[-1, -1]
+            assert own.lcs(np.array([0]), np.array(b)[:, None])[0] == table[-1, -1]
 
 
 def test_leaks_and_paraphrases_are_found_and_clean_texts_left(spark, empty):
@@ -443,11 +443,11 @@ def test_short_items_against_all_pairs(spark):
         at = int(rng.integers(0, len(text)))
         text[at:at] = kept
         docs.append((d, text))
+    number = {x: decontam._hash(x) for x in {x for _, t in docs for x in t} | {x for _, w in items for x in w}}
     want = set()
     for d, text in docs:
         for i, item in items:
-            own = decontam._hash
-            word, other = [own(x) for x in item], [own(x) for x in text]
+            word, other = [number[x] for x in item], [number[x] for x in text]
             reach = len(word) + decontam.WINDOW
             for a in range(0, len(other), decontam.STRIDE):
                 share = decontam.lcs(word, other[a:a + reach]) / len(word)
@@ -462,9 +462,9 @@ def test_short_items_against_all_pairs(spark):
     # against every place of every pair: nothing else is found, little is missed
     every, some = set(), [(d, t) for d, t in docs if d % 8 == 0]
     for d, text in some:
-        other = [decontam._hash(x) for x in text]
+        other = [number[x] for x in text]
         for i, item in items:
-            word, reach = [decontam._hash(x) for x in item], len(item) + decontam.WINDOW + decontam.STRIDE
+            word, reach = [number[x] for x in item], len(item) + decontam.WINDOW + decontam.STRIDE
             best = max(decontam.lcs(word, other[a:a + reach]) for a in range(0, len(other), 8)) / len(word)
             if best == 1 or len(word) >= decontam.SHORT and best >= decontam.PARAPHRASE:
                 every.add((d, i))
