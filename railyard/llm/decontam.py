@@ -107,6 +107,7 @@ def tokens(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([x.tobytes() for x in texts], pa.binary()),
                  pa.array([held.tobytes()] + [None] * (len(texts) - 1), pa.binary())], ["doc_id", "ids", "held"])
+        pa.default_memory_pool().release_unused()
 
     rows = own_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return rows.mapInArrow(run, "doc_id long, ids binary, held binary")

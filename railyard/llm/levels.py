@@ -158,6 +158,7 @@ def _packed(docs: DataFrame, tokenizer: str, window: int, most: int, names: dict
             done = levels.take()
             yield batch_of(done, at)
             at += len(done)
+        tok.forget()
         levels.close()
         yield batch_of(levels.take(), at)
 

@@ -35,7 +35,7 @@ from railyard.llm.common import landed, own_columns, python_batches
 SEQUENCE = 2048
 END_ID = 0
 SHARD_PIECES = 32_768
-WORDS_KEPT = 600_000          # words, and runs of letters, remembered by a worker, then forgotten
+WORDS_KEPT = 400_000          # words, and runs of letters, remembered by a task, then forgotten
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -67,6 +67,11 @@ class WordTokenizer:
         self.marks = {c: ids[0] for c, ids in marks.items() if len(ids) == 1}
         self.easy = f"^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+[{regex.escape(''.join(self.marks))}]?$"
 
+    def forget(self) -> None:
+        """Give back what a task has remembered: its worker lives on."""
+        self.words, self.parts = {}, {}
+        pa.default_memory_pool().release_unused()
+
     def _part(self, part: str) -> bytes:
         text = part if part.isascii() else "".join([self.byte_char[b] for b in part.encode()])
         ids = [t.id for t in self.tok.model.tokenize(text)]
@@ -174,6 +179,7 @@ def pieces(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE) -> DataFra
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)],
                                              ["doc_id", "piece", "start", "length", "ids_crc32"])
+        tok.forget()
 
     python_batches(docs.sparkSession, 4000)
     texts = own_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long"),
