@@ -8,12 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import day_of_week
+from ..sources.tables import date_range
 from .windows import hour_bucket, ordered_neighbor
 
 # Fixed values of our definitions.
 PEAK_HOURS = ((7, 10), (16, 19))     # [start, end) on weekdays
 ALERT_CONTENT = ("alert_type", "affected_routes", "affected_stops", "active_period_start", "active_period_end",
                  "header_text", "description_text", "created_at")
+SKETCH_SIZE = 400                    # k of the stored lag sketches
 CELL_SECONDS = 900                   # smallest dyadic block of L4
 TOP_LEVEL = 12                       # largest: 2^12 cells, 42 days
 
@@ -152,13 +154,38 @@ def alert_states(history: DataFrame, times: Column) -> DataFrame:
         "alert_id", "alert_type", s, e, F.explode(here).alias("as_of")).withColumn("state", state)
 
 
+def _lag_seconds() -> Column:
+    return (F.unix_micros("ingest_time") - F.unix_micros("feed_timestamp")) / 1e6
+
+
 def ingest_lag(table: DataFrame) -> DataFrame:
     """Feed-to-ingest lag in seconds per feed date: min, mean, max and
     approximate p50/p95 (``percentile_approx``, mergeable sketches)."""
-    lag = (F.unix_micros("ingest_time") - F.unix_micros("feed_timestamp")) / 1e6
-    d = table.select(F.to_date("feed_timestamp").alias("date"), lag.alias("lag_s"))
+    d = table.select(F.to_date("feed_timestamp").alias("date"), _lag_seconds().alias("lag_s"))
     return d.groupBy("date").agg(
         F.count(F.lit(1)).alias("n"), F.min("lag_s").alias("min_lag_s"),
         F.avg("lag_s").alias("avg_lag_s"), F.max("lag_s").alias("max_lag_s"),
         F.percentile_approx("lag_s", 0.5, 100000).alias("p50_lag_s"),
         F.percentile_approx("lag_s", 0.95, 100000).alias("p95_lag_s"))
+
+
+def lag_sketches(table: DataFrame, k: int = SKETCH_SIZE) -> DataFrame:
+    """L5, stored: one row per feed date with count, sum, bounds and a
+    mergeable quantile sketch (KLL) of the lag.  A few kB a day, whatever the
+    day holds, so a day is scanned once and any range is answered from here."""
+    d = table.select(F.to_date("feed_timestamp").alias("date"), _lag_seconds().alias("lag_s")).where("lag_s IS NOT NULL")
+    return d.groupBy("date").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("lag_s").alias("sum_lag_s"), F.min("lag_s").alias("min_lag_s"),
+        F.max("lag_s").alias("max_lag_s"), F.kll_sketch_agg_double("lag_s", F.lit(k)).alias("sketch"))
+
+
+def lag_over(sketches: DataFrame, start=None, end=None, quantiles=(0.5, 0.95)) -> DataFrame:
+    """L5 for the dates from ``start`` to ``end`` (inclusive) as one row, by
+    merging their sketches; no position is read.  A sketch of size k is off by
+    about 1.7 / k^0.9 of the rows in rank, merged or not."""
+    d = date_range(sketches, "date", start, end, date_col="date")
+    at = [F.kll_sketch_get_quantile_double("_s", F.lit(float(q))).alias(f"p{round(q * 100)}_lag_s") for q in quantiles]
+    return d.agg(F.sum("n").alias("n"), F.min("min_lag_s").alias("min_lag_s"),
+                 (F.sum("sum_lag_s") / F.sum("n")).alias("avg_lag_s"), F.max("max_lag_s").alias("max_lag_s"),
+                 F.kll_merge_agg_double("sketch").alias("_s")).where(F.col("n") > 0).select(
+        "n", "min_lag_s", "avg_lag_s", "max_lag_s", *at)

@@ -139,6 +139,15 @@ def q_headway(spark, sf):
     return _headway(spark, sf)
 
 
+#: The dates of the queries that take a range (S5): the first two of the feed.
+FIRST_DAYS = ("2024-01-01", "2024-01-02")
+
+
+def q_headway_range(spark, sf):
+    """A1 over a date range of the stored table: day folders are pruned."""
+    return hw.headway(_arrivals(spark, sf), start_date=FIRST_DAYS[0], end_date=FIRST_DAYS[1])
+
+
 def q_latest_prediction(spark, sf):
     return tracks.latest_prediction(positions(spark, sf))
 
@@ -341,6 +350,16 @@ def q_ingest_lag(spark, sf):
     return planned.ingest_lag(positions(spark, sf))
 
 
+def _lag_sketches(spark, sf):
+    return landed(spark, sf, "lag_sketches", lambda p: planned.lag_sketches(positions(spark, sf))
+                  .write.mode("overwrite").parquet(p))
+
+
+def q_ingest_lag_range(spark, sf):
+    """L5 over a date range, from the stored sketches alone."""
+    return planned.lag_over(_lag_sketches(spark, sf), *FIRST_DAYS)
+
+
 def q_bin_completeness(spark, sf):
     return hw.bin_completeness(_headway(spark, sf))
 

@@ -631,3 +631,15 @@ FROM (SELECT unnest(generate_series((SELECT min(feed_timestamp) FROM al_valid),
         (SELECT max(feed_timestamp) FROM al_valid), INTERVAL 6 HOUR)) AS as_of) t
 JOIN (SELECT *, LEAD(feed_timestamp) OVER (PARTITION BY alert_id ORDER BY feed_timestamp) AS until FROM al_one) v
   ON v.feed_timestamp <= as_of AND (until IS NULL OR as_of < until)"""
+
+FIRST_DAYS = "BETWEEN DATE '2024-01-01' AND DATE '2024-01-02'"
+ORACLE["headway_range"] = W(HW.replace(
+    "WHERE {ARR} AND".format(ARR=ARR), f"WHERE {ARR} AND CAST(vehicle_timestamp AS DATE) {FIRST_DAYS} AND")) + """
+SELECT * FROM hw"""
+
+ORACLE["ingest_lag_range"] = W().rstrip().rstrip(",") + f"""
+SELECT count(*) AS n, min(lag_s) AS min_lag_s, avg(lag_s) AS avg_lag_s, max(lag_s) AS max_lag_s,
+  quantile_disc(lag_s, 0.5) AS p50_lag_s, quantile_disc(lag_s, 0.95) AS p95_lag_s
+FROM (SELECT (epoch_us(ingest_time) - epoch_us(feed_timestamp)) / 1e6 AS lag_s FROM raw_positions
+      WHERE CAST(feed_timestamp AS DATE) {FIRST_DAYS})
+HAVING count(*) > 0"""

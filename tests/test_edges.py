@@ -381,3 +381,27 @@ def test_alert_history_merges_equal_versions(spark):
         [(times[1], "p", "future"), (times[2], "p", "active"), (times[3], "p", "active"), (times[4], "p", "active"),
          (times[5], "p", "active")] + [(t, "q", "unknown") for t in times[2:]])
     assert planned.alert_history(a.limit(0)).count() == 0
+
+
+def test_lag_sketches_answer_any_range(spark, tmp_path):
+    """Merged daily sketches against the exact quantiles of the range;
+    a day that comes later is added without reading the others again."""
+    import random
+    from railyard.operators import planned
+    rng, t0 = random.Random(2), datetime(2024, 1, 1)
+    rows = [(t0 + timedelta(days=d, seconds=i), t0 + timedelta(days=d, seconds=i + rng.expovariate(1 / (5 + 20 * d))))
+            for d in range(5) for i in range(4000)] + [(t0, None), (None, t0)]
+    df = spark.createDataFrame(rows, "feed_timestamp timestamp, ingest_time timestamp")
+    early = F.col("feed_timestamp") < F.lit(t0 + timedelta(days=3))
+    path = str(tmp_path / "sketches")
+    planned.lag_sketches(df.where(early)).write.parquet(path)
+    planned.lag_sketches(df.where(~early)).write.mode("append").parquet(path)
+    stored = spark.read.parquet(path)
+    assert stored.count() == 5
+    for a, b in ((0, 4), (1, 2), (3, 3)):
+        lags = sorted((i - f).total_seconds() for f, i in rows if f and i and a <= (f - t0).days <= b)
+        r = planned.lag_over(stored, (t0 + timedelta(days=a)).date(), (t0 + timedelta(days=b)).date(), (0.1, 0.5, 0.95)).first()
+        assert (r.n, r.min_lag_s, r.max_lag_s) == (len(lags), lags[0], lags[-1])
+        for q, got in ((0.1, r.p10_lag_s), (0.5, r.p50_lag_s), (0.95, r.p95_lag_s)):
+            assert abs(sum(x <= got for x in lags) / len(lags) - q) < 0.015
+    assert planned.lag_over(stored, "2030-01-01", "2030-01-02").count() == 0
