@@ -30,14 +30,31 @@ def track_coverage(table: DataFrame, day=None, by_day: bool = False) -> DataFram
     t = table
     if day is not None:
         t = t.where(F.to_date("vehicle_timestamp") == F.lit(str(day)).cast("date"))
-    aggs = [F.count(F.lit(1)).alias("total_records"),
-            F.count_if(F.col("actual_track").isNotNull()).alias("with_actual_track"),
-            F.count_if(F.col("scheduled_track").isNotNull()).alias("with_scheduled_track"),
-            F.count_if(F.col("train_id").isNotNull()).alias("with_train_id")]
     g = t.groupBy(F.to_date("vehicle_timestamp").alias("date")) if by_day else t.groupBy()
-    r = g.agg(*aggs)
-    return r.withColumn("track_coverage_pct", _pct(F.col("with_actual_track"),
-                                                   F.col("total_records")))
+    return _coverage(g)
+
+
+def _coverage(grouped) -> DataFrame:
+    return grouped.agg(
+        F.count(F.lit(1)).alias("total_records"),
+        F.count_if(F.col("actual_track").isNotNull()).alias("with_actual_track"),
+        F.count_if(F.col("scheduled_track").isNotNull()).alias("with_scheduled_track"),
+        F.count_if(F.col("train_id").isNotNull()).alias("with_train_id")
+    ).withColumn("track_coverage_pct", _pct(F.col("with_actual_track"), F.col("total_records")))
+
+
+def windowed_coverage(table: DataFrame, window: str = "1 hour", delay: str | None = None) -> DataFrame:
+    """R2, R3 per event-time window, of a table or of a stream: the counts and
+    percentage of every window of ``vehicle_timestamp``.
+
+    On a stream ``delay`` sets the watermark: a window is given out once
+    (append mode), when the newest time seen lies ``delay`` behind its end;
+    rows that come later than that are dropped and counted by the query
+    (``numRowsDroppedByWatermark``).  State is one row per open window."""
+    t = table.withWatermark("vehicle_timestamp", delay) if delay else table
+    return _coverage(t.groupBy(F.window("vehicle_timestamp", window).alias("_w"))).select(
+        F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), "total_records",
+        "with_actual_track", "with_scheduled_track", "with_train_id", "track_coverage_pct")
 
 
 def enrichment_recent(table: DataFrame, now=None, hours: int = 1) -> DataFrame:

@@ -253,6 +253,10 @@ def q_track_coverage(spark, sf):
     return reports.track_coverage(_enriched_table(spark, sf), by_day=True)
 
 
+def q_hourly_coverage(spark, sf):
+    return reports.windowed_coverage(_enriched_table(spark, sf))
+
+
 def q_enrichment_recent(spark, sf):
     return reports.enrichment_recent(_enriched_table(spark, sf))
 

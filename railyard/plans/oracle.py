@@ -643,3 +643,11 @@ SELECT count(*) AS n, min(lag_s) AS min_lag_s, avg(lag_s) AS avg_lag_s, max(lag_
 FROM (SELECT (epoch_us(ingest_time) - epoch_us(feed_timestamp)) / 1e6 AS lag_s FROM raw_positions
       WHERE CAST(feed_timestamp AS DATE) {FIRST_DAYS})
 HAVING count(*) > 0"""
+
+ORACLE["hourly_coverage"] = W(J2) + f"""
+SELECT *, {_pct('with_actual_track', 'total_records')} AS track_coverage_pct FROM (
+  SELECT date_trunc('hour', vehicle_timestamp) AS window_start,
+    date_trunc('hour', vehicle_timestamp) + INTERVAL 1 HOUR AS window_end, count(*) AS total_records,
+    count(actual_track) AS with_actual_track, count(scheduled_track) AS with_scheduled_track,
+    count(train_id) AS with_train_id
+  FROM enr GROUP BY 1, 2)"""

@@ -175,3 +175,16 @@ def start_feed_tables(spark, feed_dirs: dict[str, str], accepted: str, rejects:
     w = parse.feed_union(*feeds).writeStream.option("checkpointLocation", checkpoint).foreachBatch(
         lambda df, batch_id: write_feed_batch(df, batch_id, accepted, rejects, counters, alerts))
     return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)).start()
+
+
+def start_coverage(records: DataFrame, table: str, checkpoint: str, window: str = "1 hour",
+                   delay: str = "30 minutes", **kw):
+    """R2 / R3 live: the coverage of each closed window of a stream of
+    (enriched) rows, appended to a table."""
+    return write_table(reports.windowed_coverage(records, window, delay), table, checkpoint, "window_start", **kw)
+
+
+def late_rows(query) -> int:
+    """Rows that a query has dropped for being behind its watermark, over the
+    progress reports it still holds."""
+    return sum(int(op["numRowsDroppedByWatermark"]) for p in query.recentProgress for op in p["stateOperators"])

@@ -324,3 +324,35 @@ def test_alert_tables_from_one_decode(spark, sf_dir, tmp_path):
     assert spark.read.parquet(paths[1]).count() == parse.alert_rejects(dec).count() + 1
     counted = {r.counter: r.value for r in spark.read.parquet(paths[2]).collect()}
     assert counted["valid_alerts"] == want.count() and counted["parse_errors"] > 1
+
+
+def test_hourly_coverage_on_the_stream_equals_the_batch(spark, sf_dir, tmp_path):
+    """Closed windows equal the batch report; a row behind the watermark is
+    dropped and counted, one within the delay is not."""
+    from pyspark.sql import functions as F
+    from railyard.schemas import VEHICLE_POSITIONS
+    from railyard.sources.tables import positions
+    pos = positions(spark, sf_dir).where("current_status <> 'IN_TRANSIT_TO'").select(*VEHICLE_POSITIONS.names)
+    src = str(tmp_path / "src")
+    hours = sorted(r[0] for r in pos.select(F.date_trunc("hour", "vehicle_timestamp")).distinct().collect())
+    in_hour = lambda h: F.date_trunc("hour", "vehicle_timestamp") == F.lit(h)                # noqa: E731
+    late = pos.where(in_hour(hours[0])).limit(3).withColumn("entity_id", F.lit("late"))
+    soon = pos.where(in_hour(hours[-2])).limit(2).withColumn("entity_id", F.lit("soon"))
+    for i, h in enumerate(hours):
+        part = pos.where(in_hour(h))
+        if h == hours[-1]:
+            part = part.unionByName(late).unionByName(soon)
+        d = os.path.join(src, f"{i:04d}")
+        part.coalesce(1).write.parquet(d)
+        for f in os.listdir(d):
+            os.utime(os.path.join(d, f), (1_000_000 + i, 1_000_000 + i))
+    stream = spark.readStream.schema(VEHICLE_POSITIONS).option("maxFilesPerTrigger", 1) \
+        .option("recursiveFileLookup", True).parquet(src)
+    q = ingest.start_coverage(stream, str(tmp_path / "t"), str(tmp_path / "ck"), delay="90 minutes", available_now=True)
+    assert q.awaitTermination(600)
+    assert ingest.late_rows(q) > 0
+    got = sorted(_key(r) for r in spark.read.parquet(str(tmp_path / "t")).drop("event_date").collect())
+    newest = pos.agg(F.max("vehicle_timestamp")).first()[0]
+    want = reports.windowed_coverage(pos.unionByName(soon)).where(
+        F.col("window_end") <= F.lit(newest) - F.expr("interval 90 minutes"))
+    assert got == sorted(_key(r) for r in want.collect()) and len(got) >= len(hours) - 3
