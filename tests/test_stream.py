@@ -356,3 +356,34 @@ def test_hourly_coverage_on_the_stream_equals_the_batch(spark, sf_dir, tmp_path)
     want = reports.windowed_coverage(pos.unionByName(soon)).where(
         F.col("window_end") <= F.lit(newest) - F.expr("interval 90 minutes"))
     assert got == sorted(_key(r) for r in want.collect()) and len(got) >= len(hours) - 3
+
+
+def test_ghost_trains_of_the_stream_equal_the_batch(spark, sf_dir, tmp_path):
+    """L7 once the watermark has passed: rows of three days, then one far
+    ahead that closes them."""
+    from pyspark.sql import functions as F
+    from railyard.schemas import VEHICLE_POSITIONS
+    from railyard.sources.tables import positions
+    from railyard.streaming.ghosts import ghost_train_stream
+    pos = positions(spark, sf_dir).select(*VEHICLE_POSITIONS.names)
+    days = [pos.withColumn("vehicle_timestamp", F.col("vehicle_timestamp") + F.expr(f"interval {d * 17} hours"))
+            .withColumn("entity_id", F.concat("entity_id", F.lit(f"d{d}"))) for d in range(3)]
+    far = pos.orderBy("entity_id").limit(1).withColumn("vehicle_timestamp", F.lit("2024-02-01").cast("timestamp")) \
+        .withColumn("current_status", F.lit("STOPPED_AT"))
+    src = str(tmp_path / "src")
+    for i, part in enumerate([*days, far]):
+        d = os.path.join(src, f"{i:04d}")
+        part.coalesce(1).write.parquet(d)
+        for f in os.listdir(d):
+            os.utime(os.path.join(d, f), (1_000_000 + i, 1_000_000 + i))
+    stream = spark.readStream.schema(VEHICLE_POSITIONS).option("maxFilesPerTrigger", 1) \
+        .option("recursiveFileLookup", True).parquet(src)
+    q = ingest.write_table(ghost_train_stream(stream, delay="20 hours"), str(tmp_path / "t"), str(tmp_path / "ck"),
+                           "predicted_arrival", available_now=True)
+    assert q.awaitTermination(600)
+    assert ingest.late_rows(q) == 0
+    every = days[0].unionByName(days[1]).unionByName(days[2])
+    want = tracks.ghost_trains(every)
+    got = spark.read.parquet(str(tmp_path / "t")).select(*want.columns)
+    assert sorted(_key(r) for r in got.collect()) == sorted(_key(r) for r in want.collect())
+    assert 0 < got.count() < tracks.latest_prediction(every).count()
