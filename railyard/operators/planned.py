@@ -76,14 +76,20 @@ def alert_blocks(alerts: DataFrame, lo: Column, hi: Column, cell_seconds: int =
     a = alerts.where(s.isNotNull() & (e.isNull() | (s < e))).select(
         "alert_id", "alert_type", F.explode("affected_routes").alias("_route"),
         "active_period_start", "active_period_end", first.alias("_a"), (last + 1).alias("_b"))
+
+    def at(level: int, block: Column) -> Column:
+        return F.struct(F.lit(level).alias("level"), block.alias("block"))
+
     found = []
     for level in range(top + 1):
         left, right = F.shiftright(F.col("_a") + (1 << level) - 1, level), F.shiftright("_b", level)
-        some, at = left < right, lambda b, n=level: F.struct(F.lit(n).alias("level"), b.alias("block"))
+        some = left < right
         if level < top:
-            found += [F.array(F.when(some & (left % 2 != 0), at(left)), F.when(some & (right % 2 != 0), at(right - 1)))]
+            found += [F.array(F.when(some & (left % 2 != 0), at(level, left)),
+                              F.when(some & (right % 2 != 0), at(level, right - 1)))]
         else:
-            found += [F.when(some, F.transform(F.sequence(left, F.greatest(left, right - 1)), at))]
+            runs = F.sequence(left, F.greatest(left, right - 1))
+            found += [F.when(some, F.transform(runs, lambda block: at(top, block)))]
     none = F.array().cast("array<struct<level:int,block:bigint>>")
     blocks = F.array_compact(F.concat(*[F.coalesce(f, none) for f in found]))
     return a.select("*", F.explode(blocks).alias("_at")).select(
