@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from railyard.session import scratch_path
 
@@ -67,6 +68,24 @@ def own_columns(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[df[n] if n in have else F.lit(None).alias(n) for n in names])
 
 
+def quoted(name: str) -> Column:
+    """The column of exactly this name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`").alias(name)
+
+
+def map_rows(df: DataFrame, fn, schema: T.StructType) -> DataFrame:
+    """``mapInArrow`` for columns of any name: batches come and go by position."""
+    def numbered(fields):
+        return T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(fields)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in fn(batches):
+            yield pa.RecordBatch.from_arrays(batch.columns, [f"c{i}" for i in range(batch.num_columns)])
+
+    into = numbered(schema.fields)
+    return df.toDF(*numbered(df.schema.fields).names).mapInArrow(run, into).toDF(*schema.names)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, made longer until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

@@ -38,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from railyard.llm.common import landed, own_columns, small_batches
+from railyard.llm.common import landed, map_rows, own_columns, small_batches
 
 FEATURES = 4096
 RANK = 112
@@ -549,4 +549,4 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, near: float = NEAR, ra
                 keep[left[items.found([texts[i] for i in left], near)["doc"].to_numpy(np.int64)]] = False
             yield batch.filter(pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_rows(docs, run, docs.schema)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from railyard.llm.common import landed, own_columns, python_batches
+from railyard.llm.common import landed, map_rows, own_columns, python_batches
 
 # fixed values: the base kinds in order, then this scan's own
 KINDS = ("email", "ip", "card", "phone", "number", "spelled", "account")
@@ -324,4 +324,4 @@ def redacted(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
             yield pa.RecordBatch.from_arrays(cols, schema=batch.schema)
 
     python_batches(docs.sparkSession, 2000)
-    return docs.mapInArrow(run, schema)
+    return map_rows(docs, run, schema)

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from railyard.llm.common import WORD_BREAK, landed, own_columns
+from railyard.llm.common import WORD_BREAK, landed, own_columns, quoted
 
 MIN_DOCS = 20
 MAX_SHARE = 0.05
@@ -49,7 +49,7 @@ def measured(docs: DataFrame, whole: bool = False) -> DataFrame:
     ``whole`` adds the document itself as the struct ``_doc``."""
     beside = ["_doc"] if whole else []
     if whole:
-        docs = docs.select(F.struct(*docs.columns).alias("_doc"), *[
+        docs = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("_doc"), *[
             c for c in ("doc_id", "source", "text") if c in docs.columns])
     rows = own_columns(docs, *beside, "doc_id", "source", "text").select(
         *beside, F.col("doc_id").cast("long"), F.col("source").cast("string"),

@@ -530,3 +530,20 @@ def test_pipeline_is_its_stages_one_after_the_other(spark, sf_dir):
     out = corpus_pipeline.run(spark, sf_dir)
     ids = {r["doc_id"] for r in out.select("doc_id").distinct().collect()}
     assert ids and ids <= {d for d, _ in texts}
+
+
+def test_pipeline_stages_on_odd_tables(spark, sf_dir, odd):
+    """Null and repeated rows, very long texts, columns with dots and clashing
+    names through every stage; an empty table stays empty."""
+    docs = odd.withColumn("a.b", F.lit(1)).withColumn("n_chars", F.lit(3).cast("long"))
+    for frame in (docs, docs.limit(0)):
+        kept = frame
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            kept = stage(spark, kept, sf_dir)
+            assert sorted(kept.columns) == sorted(docs.columns), name
+        texts = [(r["doc_id"], r["text"]) for r in kept.collect()]
+        packed = corpus_pipeline.STAGES[-1][1](spark, kept, sf_dir)
+        got = packed.groupBy("doc_id").agg(F.sum("length").alias("n")).collect()
+        assert {r["doc_id"] for r in got} == {d for d, _ in texts}
+        assert {d for d, _ in texts} <= {d for d, _ in ODD}
+    assert not texts and packed.count() == 0
