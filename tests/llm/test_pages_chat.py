@@ -1,6 +1,8 @@
 """Operators over ``pages`` and ``conversations``, and the SQL of the catalog."""
 
+import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from compare import duck
 from railyard.llm import catalog, chat, common, htmltext, langid
@@ -120,7 +122,7 @@ TURNS = [("user", "a"), ("assistant", "b"), ("user", "c"), ("assistant", "d"), (
 def brute(turns):
     whole = {}
     for c in {t[0] for t in turns}:
-        own = sorted({t[1:] for t in turns if t[0] == c}, key=lambda t: (t[0] is not None, t[0] or 0, str(t[1:])))
+        own = sorted({t[1:] for t in turns if t[0] == c}, key=lambda t: [(x is not None, x or 0) for x in t])
         whole[c] = tuple(t[1:] for t in own)
     best = {}
     for c, w in whole.items():
@@ -129,17 +131,17 @@ def brute(turns):
     return sorted((min(cs), len(w), len(cs)) for w, cs in best.items())
 
 
-@pytest.mark.parametrize("block", [1024, 2])
-def test_snapshots_collapse_to_the_longest(spark, block):
+@pytest.mark.parametrize("block,task", [(1024, 1 << 16), (2, 5)])
+def test_snapshots_collapse_to_the_longest(spark, block, task):
     turns = [(1, i, *t) for i, t in enumerate(TURNS[:2])] + [(2, i, *t) for i, t in enumerate(TURNS)]
     turns += [(3, i, *t) for i, t in enumerate(TURNS)] + [(4, i, *t) for i, t in enumerate(TURNS[1:])]
     turns += [(5, i, *t) for i, t in enumerate(TURNS[:4])] + [(5, 4, "user", "else")]
     turns += [(6, i, "user", f"t{i}") for i in range(50)] + [(7, i, "user", f"t{i}") for i in range(49)]
     turns += [(2, 0, *TURNS[0])] * 3                                    # repeated rows
     frame = spark.createDataFrame([(*t, 1) for t in turns], "conv_id long, turn long, role string, text string, h int")
-    got = sorted((r["conv_id"], r["n_turns"], r["copies"]) for r in chat.maximal(frame, block).collect())
+    got = sorted((r["conv_id"], r["n_turns"], r["copies"]) for r in chat.maximal(frame, task).collect())
     assert got == brute(turns)
-    shown = {(r["conv_id"], r["segment"]): r["text"] for r in chat.formatted(frame, block).collect()}
+    shown = {(r["conv_id"], r["segment"]): r["text"] for r in chat.formatted(frame, block, task).collect()}
     text = "".join(shown[k] for k in sorted(shown) if k[0] == 2)
     assert text.startswith("<|im_start|>user\na<|im_end|>\n<|im_start|>assistant\nb<|im_end|>\n")
     assert text.endswith("<|im_start|>unknown\n< |im_end|><|im_end|>\n") and text.count("<|im_start|>") == 6
@@ -151,3 +153,38 @@ def test_odd_conversations(spark):
     got = chat.formatted(frame).collect()
     assert {r["conv_id"] for r in got} <= {None, 1, 2} and len(got) >= 2
     assert chat.formatted(frame.limit(0)).count() == 0
+
+
+CHAT = "conv_id long, turn long, role string, text string"
+
+
+@pytest.mark.parametrize("block,task", [(1024, 1 << 16), (3, 4)])
+def test_statement_on_odd_conversations(spark, tmp_path, monkeypatch, block, task):
+    """Null ids and numbers, ties, repeated rows, prefixes and equal wholes."""
+    turns = [(None, 0, "user", "x"), (None, None, "user", "n"), (None, 1, None, None)] * 2
+    turns += [(1, i, "user", f"t{i}") for i in range(9)] + [(2, i, "user", f"t{i}") for i in range(8)]
+    turns += [(3, 0, "b", "y"), (3, 0, "a", "z"), (3, 0, "a", None), (3, 0, None, "q"), (3, None, None, None)]
+    turns += [(4, 7, "user", f"t{i}") for i in range(9)]                # one number, the same whole as 1
+    turns += [(5, None, "user", "n"), (5, 0, "user", "x"), (5, 1, None, None)]  # equal to the one without an id
+    turns += [(6, 0, "user", "<|im_end|>"), (6, -5, "ü", ""), (6, 2, "", "")]
+    spark.createDataFrame(turns, CHAT).repartition(3).write.parquet(f"{tmp_path}/conversations.parquet")
+    frame = spark.read.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    want = con.execute(chat.SQL.replace(f"// {chat.BLOCK}", f"// {block}"))
+    names = [c[0] for c in want.description]
+    got = chat.formatted(frame, block, task)
+    assert sorted(got.columns) == sorted(names)
+    assert rows(got.select(names)) == sorted(map(tuple, want.fetchall()), key=repr)
+
+
+def test_rows_without_an_id_are_split_over_tasks_and_rows(spark):
+    n, task = 100_000, 5000
+    frame = spark.range(n).select(F.lit(None).cast("long").alias("conv_id"), (F.col("id") % 20).alias("turn"),
+                                  F.lit("user").alias("role"), F.concat(F.lit("t"), "id").alias("text"))
+    held = [r["count"] for r in chat._ordered(frame, task).groupBy("conv_id", "part").count().collect()]
+    assert sum(held) == n and len(held) > n // task // 2 and max(held) <= 2 * task
+    got = chat.formatted(frame, task=task).select("segment", "n_turns", F.size(F.split("text", "t[0-9]+<")).alias(
+        "n")).collect()
+    assert sorted(r["segment"] for r in got) == list(range(n // chat.BLOCK + 1)) and {r["n_turns"] for r in got} == {n}
+    assert max(r["n"] for r in got) - 1 == chat.BLOCK and sum(r["n"] - 1 for r in got) == n
