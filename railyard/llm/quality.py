@@ -2,10 +2,12 @@
 
 Every non-blank line is normalised (lower case, single spaces) and hashed;
 for each host (column ``source``) the distinct documents that hold a line
-are counted, documents of one host with the same text counting once.  A line
-above both limits (``min_docs`` documents and ``max_share`` of the host's
-documents) is removed; a document is depleted, and rejected, when fewer than
-``min_left`` words or less than ``min_left_share`` of its words stay.
+are counted, documents of one host with the same text counting once (copies
+are the near-duplicate operator's matter).  A line in at least ``min_docs``
+texts is removed if it is in more than ``max_share`` of the host's texts or in
+``many`` of them, so that hosts of every size lose their boilerplate; a
+document is depleted, and rejected, when fewer than ``min_left`` words or less
+than ``min_left_share`` of its words stay.
 
 DataFrame functions only.  Each text is read once; the lines go on as hashes
 in arrays beside the document's counts, in a written table.
@@ -23,15 +25,16 @@ from pyspark.sql import functions as F
 
 from railyard.llm.common import WORD_BREAK, landed, own_columns, quoted
 
-MIN_DOCS = 20
+MIN_DOCS = 5
 MAX_SHARE = 0.05
+MANY = 1000
 MIN_LEFT = 10
 MIN_LEFT_SHARE = 0.5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 WINDOW = 5
 SYMBOLS = "#*$%&|<>"
-BROADCAST_ROWS = 50_000     # lines of 16 bytes and a host name; beyond it the join shuffles
+BROADCAST_ROWS = 50_000     # lines of 16 bytes and a host name; beyond it line hashes are shuffled
 
 
 def _words(text: Column) -> Column:
@@ -86,7 +89,8 @@ def measured(docs: DataFrame, whole: bool = False) -> DataFrame:
                                               + 1).otherwise(0)).alias("line_words"))
 
 
-def frequent_lines(rows: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
+def frequent_lines(rows: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE,
+                   many: int = MANY) -> DataFrame:
     """(source, line) above the limits, from the rows of :func:`measured`."""
     texts = rows.groupBy("source", "text_hash").agg(F.first(F.array_distinct("line_hash")).alias("lines"))
     texts = landed(texts, "host-texts")
@@ -94,7 +98,17 @@ def frequent_lines(rows: DataFrame, min_docs: int = MIN_DOCS, max_share: float =
     lines = (texts.select("source", F.explode("lines").alias("line")).where("line is not null")
              .groupBy("source", "line").agg(F.count("*").alias("held")).where(F.col("held") >= min_docs))
     above = lines.join(hosts.withColumnRenamed("source", "_host"), F.col("source").eqNullSafe(F.col("_host")))
-    return above.where(F.col("held") > F.col("docs") * max_share).select("source", "line", "held")
+    return above.where((F.col("held") > F.col("docs") * max_share) | (F.col("held") >= many)).select(
+        "source", "line", "held")
+
+
+def _hits(rows: DataFrame, frequent: DataFrame) -> DataFrame:
+    """_row, place, hash and words of the lines that go; hashes alone move."""
+    lines = (rows.select("_row", "source", F.posexplode("line_hash").alias("at", "line"), "line_words")
+             .where("line is not null")
+             .select("_row", F.col("source").alias("_host"), "at", F.col("line").alias("_line"),
+                     F.get("line_words", F.col("at")).alias("words")))
+    return lines.join(frequent, F.col("_host").eqNullSafe(F.col("source")) & (F.col("_line") == F.col("line")))
 
 
 def _verdict(min_left: int, min_left_share: float) -> tuple[Column, Column]:
@@ -105,20 +119,15 @@ def _verdict(min_left: int, min_left_share: float) -> tuple[Column, Column]:
         (left < min_left) | (left < F.col("n_words") * min_left_share))
 
 
-def judged(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE,
+def judged(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, many: int = MANY,
            min_left: int = MIN_LEFT, min_left_share: float = MIN_LEFT_SHARE) -> DataFrame:
     """Counts and verdict of every document, with the places of the lines
     that go (``removed``, from 0, null if none) and the words in them."""
     rows = landed(measured(docs), "measured")
-    frequent = landed(frequent_lines(rows, min_docs, max_share), "frequent-lines")
+    frequent = landed(frequent_lines(rows, min_docs, max_share, many), "frequent-lines")
     if frequent.count() <= BROADCAST_ROWS:
         frequent = F.broadcast(frequent)
-    lines = (rows.select("_row", "source", F.posexplode("line_hash").alias("at", "line"), "line_words")
-             .where("line is not null")
-             .select("_row", F.col("source").alias("_host"), "at", F.col("line").alias("_line"),
-                     F.get("line_words", F.col("at")).alias("words")))
-    hit = lines.join(frequent, F.col("_host").eqNullSafe(F.col("source")) & (F.col("_line") == F.col("line")))
-    removed = hit.groupBy("_row").agg(F.sum("words").alias("removed_words"),
+    removed = _hits(rows, frequent).groupBy("_row").agg(F.sum("words").alias("removed_words"),
                                       F.sort_array(F.collect_list("at")).alias("removed"))
     base, depleted = _verdict(min_left, min_left_share)
     return (rows.drop("line_hash", "line_words").join(removed, "_row", "left")
@@ -127,21 +136,24 @@ def judged(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHA
             .withColumn("kept", ~base & ~F.coalesce("depleted", F.lit(False))).drop("_row"))
 
 
-def accepted(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE,
+def accepted(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, many: int = MANY,
              min_left: int = MIN_LEFT, min_left_share: float = MIN_LEFT_SHARE) -> DataFrame:
     """The documents that pass, less their frequent lines; all columns stay,
     and n_chars, if there, follows the text.
 
     Texts are written beside their counts and meet the frequent lines of
     their host as one array, so no text is shuffled unless there are more
-    than ``BROADCAST_ROWS`` frequent lines; a host has at most (lines of its
-    documents on average / ``max_share``) of them.
+    than ``BROADCAST_ROWS`` frequent lines.  Then line hashes find the lines
+    of each row that go, and texts meet those by row, never by host.
     """
     rows = landed(measured(docs, whole=True), "measured")
-    frequent = landed(frequent_lines(rows, min_docs, max_share), "frequent-lines")
-    hosts = frequent.groupBy(F.col("source").alias("_host")).agg(F.collect_set("line").alias("frequent"))
+    frequent = landed(frequent_lines(rows, min_docs, max_share, many), "frequent-lines")
     if frequent.count() <= BROADCAST_ROWS:
-        hosts = F.broadcast(hosts)
+        hosts = frequent.groupBy(F.col("source").alias("_host")).agg(F.collect_set("line").alias("frequent"))
+        rows = rows.join(F.broadcast(hosts), F.col("source").eqNullSafe(F.col("_host")), "left")
+    else:
+        own = _hits(rows, frequent).groupBy("_row").agg(F.collect_set("line").alias("frequent"))
+        rows = rows.join(own, "_row", "left")
 
     def goes(line: Column) -> Column:
         return F.coalesce(F.array_contains("frequent", line), F.lit(False))
@@ -149,7 +161,7 @@ def accepted(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_S
     hit = F.coalesce(F.arrays_overlap("line_hash", "frequent"), F.lit(False))
     words = F.zip_with("line_hash", "line_words", lambda x, n: F.when(goes(x), n).otherwise(0))
     base, depleted = _verdict(min_left, min_left_share)
-    kept = (rows.join(hosts, F.col("source").eqNullSafe(F.col("_host")), "left").withColumn("hit", hit)
+    kept = (rows.withColumn("hit", hit)
             .withColumn("removed_words", F.when(F.col("hit"), F.aggregate(words, F.lit(0), lambda x, n: x + n)))
             .where(~base & ~F.coalesce(depleted, F.lit(False))))
     own = {c: F.col("_doc")[c] for c in docs.columns}
@@ -183,7 +195,8 @@ hosts AS (SELECT source, count(DISTINCT text) AS docs FROM d GROUP BY source),
 frequent AS (
   SELECT lines.source, l FROM lines JOIN hosts ON lines.source IS NOT DISTINCT FROM hosts.source
   GROUP BY lines.source, l, docs
-  HAVING count(DISTINCT text) >= {MIN_DOCS} AND count(DISTINCT text) > docs * {MAX_SHARE}),
+  HAVING count(DISTINCT text) >= {MIN_DOCS}
+    AND (count(DISTINCT text) > docs * {MAX_SHARE} OR count(DISTINCT text) >= {MANY})),
 gone AS (
   SELECT r, sum(len(string_split(lines.l, ' '))) AS n
   FROM lines JOIN frequent ON lines.source IS NOT DISTINCT FROM frequent.source AND lines.l = frequent.l

@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -220,6 +221,38 @@ def test_frequent_lines_go_and_depleted_documents_with_them(spark, monkeypatch,
     assert quality.accepted(frame).count() == 30 + 1 + 50
 
 
+@pytest.mark.parametrize("broadcast", [50_000, 0])
+def test_small_and_hot_hosts_lose_their_lines_as_the_statement_says(spark, tmp_path, monkeypatch, broadcast):
+    """Five texts of a small host, a thousand of a hot one below the share,
+    and just less of both; null host, copies and depleted documents beside."""
+    monkeypatch.setattr(quality, "BROADCAST_ROWS", broadcast)
+
+    def text(host, i, *more):
+        return "\n".join([" ".join(f"{host}{i}w{j}" for j in range(14)), *more])
+
+    docs = [(text("s", i, "Site  FOOTER of the small host" if i < 5 else "", "four hold this" if i < 4 else ""), "small")
+            for i in range(12)]
+    docs += [(text("h", i, *["hot footer here"] * (i < 1000), *["not quite as hot"] * (1 <= i < 1000)), "hot")
+             for i in range(20_400)]
+    docs += [(text("n", i, "a line of no host"), None) for i in range(6)]
+    docs += [(text("c", 0, "copied line"), "copies")] * 40 + [(text("c", 1), "copies")]
+    docs += [(f"z{i} only\nSite footer of the small host", "small") for i in range(2)] + [(None, "small"), ("", None)]
+    frame = spark.createDataFrame([(i, *d) for i, d in enumerate(docs)], "doc_id long, text string, source string")
+    frame.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    frame = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.execute(quality.SQL)
+    names = [c[0] for c in want.description]
+    got = quality.judged(frame).select(names)
+    assert rows(got) == sorted(map(tuple, want.fetchall()), key=repr)
+    lost = got.where("removed_words > 0").count()
+    assert lost == 5 + 2 + 1000 + 6
+    kept = {r["doc_id"]: r["text"] for r in quality.accepted(frame).collect()}
+    assert set(kept) == {r["doc_id"] for r in got.where("kept").select("doc_id").collect()}
+    assert kept[0] == text("s", 0, "four hold this") and kept[12 + 5] == text("h", 5, "not quite as hot")
+
+
 # ------------------------------------------------------------- licenses
 
 def test_license_spans_and_base_places(odd, empty, spark):
