@@ -3,18 +3,25 @@
 Generators of high recall propose spans, overlapping ones included: the four
 base kinds, looser numbers, spelled-out addresses, account codes.  Base
 spans always stay.  Gradient-boosted trees score the others by format and
-context; they are trained on a bounded sample (``SAMPLE`` candidates, lowest
-hash first) whose labels are the base rules' own verdicts, and a threshold is
-calibrated on held-out candidates to ``PRECISION``.  Of overlapping accepted
-spans the best score wins.
+context, and a threshold for each kind is calibrated on held-out examples to
+``PRECISION``.  Of overlapping accepted spans the best score wins.
+
+The tables hold no labels, so examples come from two places, at most
+``SAMPLE`` of each:
+
+* the corpus: base spans are personal, the number of a base phone without its
+  ``+`` too; candidates are impersonal when the word before says so (order,
+  version, ...), when they are amounts or dates, or when they lie inside a
+  longer run of letters and digits.  All others are unclear and left out.
+* written examples of each format and of its decoys, with and without a word
+  that names them, drawn with a fixed seed (``examples``).
 
 Texts never move: one pass writes the candidates, and redaction is another
 pass over the texts with the finished model.
 
-Null text: empty (no spans; it stays null when redacted).  Without both kinds
-of label in the sample nothing is added to the base spans.  Rows without a
-doc_id and repeated rows are scanned like any other; an empty table gives no
-rows; further columns are ignored, and kept by ``redacted``.
+Null text: empty (no spans; it stays null when redacted).  An empty table
+gives no rows.  Rows without a doc_id and repeated rows are scanned like any
+other; further columns are ignored, and kept by ``redacted``.
 """
 
 from __future__ import annotations
@@ -23,6 +30,7 @@ import hashlib
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -36,23 +44,31 @@ from railyard.llm.common import landed, map_rows, own_columns, python_batches
 KINDS = ("email", "ip", "card", "phone", "number", "spelled", "account")
 BASE = 4
 
-SAMPLE = 20_000             # candidates the trees are trained and calibrated on
+SAMPLE = 20_000             # corpus examples the trees are trained and calibrated on
 PRECISION = 0.95
 TREES, DEPTH, RATE = 40, 3, 0.2
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
 _NUMBER = re.compile(r"[+(]?[0-9](?:[\x20().,/:-]{0,2}[0-9]){5,}")
 _PLAIN = re.compile(r"[0-9]{6,}")
-_SPELLED = re.compile(r"[A-Za-z0-9._%+-]+\x20?(?:\(at\)|\[at\]|\{at\})\x20?[A-Za-z0-9-]+"
-                      r"(?:\x20?(?:\.|\(dot\)|\[dot\]|\{dot\})\x20?[A-Za-z0-9-]+)+")
-_ACCOUNT = re.compile(r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?\b")
-# fixed values: words beside personal numbers
-_HINTS = ("tel", "phone", "call", "fax", "mobile", "card", "visa", "account", "iban", "ssn", "passport", "mail", "ip")
+_AT = re.compile(r"\x20?(?:\(at\)|\[at\]|\{at\})\x20?[A-Za-z0-9-]+"
+                 r"(?:\x20?(?:\.|\(dot\)|\[dot\]|\{dot\})\x20?[A-Za-z0-9-]+)+")
+_ACCOUNT = re.compile(r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?\b"
+                      r"|\b[A-Z]{1,2}[0-9]{6,9}\b")
+_GROUPS = re.compile("[0-9]+")
+_WORD = re.compile("[a-z]+")
+_DATE = re.compile(r"(?:(?:19|20)[0-9]{2}[./-][0-9]{1,2}[./-][0-9]{1,2}|[0-9]{1,2}[./-][0-9]{1,2}[./-](?:19|20)[0-9]{2})"
+                   r"(?:[\x20:0-9-]*)")
+# fixed values: words beside personal numbers, and words before impersonal ones
+_HINTS = frozenset("tel telephone phone call calls fax mobile cell contact card visa account iban bank ssn security "
+                   "passport mail email write".split())
+_OTHERS = frozenset("order invoice item version build release serial model part sku isbn issn page pages chapter "
+                    "section line lines ticket case batch lot id ref reference total price sum about year years usd "
+                    "eur token password secret key hash commit tracking row rows record records count".split())
 
 
 def luhn(digits: str) -> bool:
@@ -67,6 +83,21 @@ def _digits(s: str) -> str:
     return "".join(c for c in s if "0" <= c <= "9")
 
 
+def _addresses(text: str) -> Iterator[tuple[int, int]]:
+    """Four numbers with dots between, each at most 255, from left to right."""
+    runs = [m.span() for m in _GROUPS.finditer(text)] if "." in text else []
+    i = 0
+    while i + 3 < len(runs):
+        four = runs[i:i + 4]
+        if any(b[0] - a[1] != 1 or text[a[1]] != "." for a, b in zip(four, four[1:], strict=False)):
+            i += 1
+            continue
+        parts = [text[a:b].lstrip("0") for a, b in four]
+        if all(len(p) <= 3 and int(p or 0) <= 255 for p in parts):
+            yield four[0][0], four[3][1]
+        i += 4
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of the base kinds, by start and kind."""
     found, done = [], 0
@@ -79,9 +110,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
                 found.append((a, 0, m.end()))
                 done = m.end()
     if _DIGIT.search(text):
-        for m in _IP.finditer(text):
-            if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m[0].split(".")):
-                found.append((m.start(), 1, m.end()))
+        found += [(a, 1, b) for a, b in _addresses(text)]
         for m in _CARD.finditer(text):
             d = _digits(m[0])
             if 12 <= len(d) <= 19 and luhn(d):
@@ -100,24 +129,124 @@ def proposals(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, in
         for pattern, kind in ((_NUMBER, 4), (_PLAIN, 4), (_ACCOUNT, 6)):
             found |= {(m.start(), kind, m.end()) for m in pattern.finditer(text)}
     if "at)" in text or "at]" in text or "at}" in text:
-        found |= {(m.start(), 5, m.end()) for m in _SPELLED.finditer(text)}
+        done = 0
+        for m in _AT.finditer(text):
+            a = m.start()
+            while a > done and text[a - 1] in _LOCAL:
+                a -= 1
+            if a < m.start():
+                found.add((a, 5, m.end()))
+                done = m.end()
     taken = {(a, b) for a, _, b in base}
     return sorted(s for s in found if (s[0], s[2]) not in taken)
 
 
+def _iban(s: str) -> bool:
+    """Check digits of an account number: remainder 1 modulo 97."""
+    s = s.replace(" ", "")
+    return 15 <= len(s) <= 34 and s[:2].isalpha() and int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
+
+
+def _named(before: str, after: str) -> tuple[bool, bool]:
+    """Whether the nearest words name a personal number, or another one."""
+    words = _WORD.findall(before.lower())[-3:]
+    near = words + _WORD.findall(after.lower())[:1]
+    return any(w in _HINTS for w in near), any(w in _OTHERS for w in words)
+
+
 def features(text: str, start: int, kind: int, end: int) -> list[float]:
+    """Format and context of a span; a leading ``+`` is not looked at, as it
+    tells no more than the base rule."""
     s = text[start:end]
-    digits = sum(c.isdigit() for c in s)
-    groups = [len(g) for g in re.findall(r"[0-9]+", s)] or [0]
+    digits = _digits(s)
+    groups = [len(g) for g in _GROUPS.findall(s)] or [0]
     before, after = text[max(0, start - 24):start], text[end:end + 24]
-    around = (before + " " + after).lower()
+    hint, other = _named(before, after)
+    last = groups[-4:]
     return [float(x) for x in (
-        len(s), digits, len(groups), max(groups), min(groups), digits / max(1, len(s)), s.startswith("+"),
+        len(s), len(digits), len(groups), max(groups), min(groups), len(digits) / max(1, len(s)),
         "(" in s, s.count("-"), s.count("."), s.count(" "), s.count(",") + s.count("/") + s.count(":"),
-        sum(c.isalpha() for c in s), "@" in s or "at" in s.lower(), s[:1] in "3456", kind == 5, kind == 6,
-        bool(before) and not before[-1].isspace(), bool(after) and not after[0].isspace(),
-        bool(before) and before[-1].isalnum(), sum(h in around for h in _HINTS),
-        sum(c.isdigit() for c in around), before.rstrip()[-1:] in ("=", ":", "#"))]
+        sum(c.isalpha() for c in s), kind == 5, kind == 6, groups[-2:] == [3, 4], groups == [3, 2, 4],
+        len(last) == 4 and set(last) == {4}, s.lstrip("+(")[:1] == "0", luhn(digits) and len(digits) >= 12,
+        kind == 6 and _iban(s), bool(_DATE.fullmatch(s)), hint, other,
+        before[-1:].isalnum() or before[-1:] == "_", after[:1].isalnum() or after[:1] == "_",
+        before.rstrip()[-1:] in ("=", "#", "$", "€", "£"), after.lstrip()[:1] in ("%", "$", "€", "£"))]
+
+
+def _impersonal(text: str, start: int, end: int) -> bool:
+    """Clearly not personal: part of a longer code, an amount, a date, or
+    named as something else and not as personal."""
+    before, after = text[max(0, start - 24):start], text[end:end + 24]
+    hint, other = _named(before, after)
+    return (before[-1:].isalpha() or after[:1].isalpha() or before.rstrip()[-1:] in ("$", "€", "£")
+            or bool(_DATE.fullmatch(text[start:end])) or (other and not hint))
+
+
+def _random_iban(rng: np.random.Generator) -> str:
+    country, digits = str(rng.choice(["DE", "GB", "FR", "ES"])), "".join(map(str, rng.integers(0, 10, 18)))
+    rest = int("".join(str(int(c, 36)) for c in f"{digits}{country}00")) % 97
+    s = f"{country}{98 - rest:02d}{digits}"
+    return " ".join(s[i:i + 4] for i in range(0, len(s), 4)) if rng.random() < 0.5 else s
+
+
+#: formats of written examples: N a digit, A a capital, and the words before
+PERSONAL = [("NNN-NNN-NNNN", 4, ("phone", "call", "tel:", "mobile", "")), ("(NNN) NNN NNNN", 4, ("call", "fax", "")),
+            ("(NNN) NNN-NNNN", 4, ("phone", "contact", "")), ("0NNNN NNNNNN", 4, ("mobile", "tel", "")),
+            ("NNN.NNN.NNNN", 4, ("phone", "cell", "")), ("NNN-NN-NNNN", 4, ("ssn", "security", "")),
+            ("0NN NNNN NNNN", 4, ("phone", "call", "")), ("NNNNNNNNN", 4, ("passport no", "passport", "account")),
+            ("AANNNNNNN", 6, ("passport", "passport no")), ("ANNNNNNNN", 6, ("passport", "passport number"))]
+IMPERSONAL = [("NNNNNNNN", 4, ("order", "invoice", "item", "")), ("NNN-NNN-NNNN", 4, ("order", "part", "serial")),
+              ("N.NN.NNNN", 4, ("version", "build", "")), ("20NN-0N-1N", 4, ("", "since", "year")),
+              ("1N.0N.20NN", 4, ("", "on")), ("N,NNN,NNN", 4, ("total", "about", "$", "")),
+              ("97NNNNNNNNNNN", 4, ("isbn", "")), ("NNNNNN-NNNNNN", 4, ("pages", "lines", "")),
+              ("NNNNNNNNNNNNNNNN", 4, ("id", "record", "tracking", "")), ("20NN/20NN", 4, ("year", "")),
+              ("AANNNNNNN", 6, ("model", "part", "order", "")), ("ANNNNNNNN", 6, ("sku", "serial", "")),
+              ("AANN NNNN NNNN NNNN NNNN", 6, ("serial", "key", "")), ("NNN-NN-NNNN", 4, ("item", "sku", "part")),
+              ("(NNN) NNN NNNN", 4, ("order", "row")), ("0NNNN NNNNNN", 4, ("serial", "batch", "lot"))]
+
+
+@cache
+def examples(n: int = 3000, seed: int = 1) -> list[tuple[int, int, list[float]]]:
+    """(kind, label, features) of written examples, ``n`` of each label.
+
+    The span found by the generators is scored, so that training sees what
+    scanning sees.
+    """
+    rng = np.random.default_rng(seed)
+    letters, filler = list("abcdefghijklmnopqrstuvwxyz"), ["the", "and", "of", "is", "it", "in", "der", "la", "que", "et"]
+
+    def word():
+        return str(rng.choice(filler)) if rng.random() < 0.5 else "".join(rng.choice(letters, rng.integers(3, 9)))
+
+    def one(y):
+        sort = rng.random()
+        if sort < 0.15:
+            mark = str(rng.choice(["(at)", "[at]", "{at}"]))
+            if y:
+                dot = str(rng.choice([" (dot) ", "[dot]", ".", " [dot] ", "(dot)"]))
+                return f"{word()} {mark} {word()}{dot}{rng.choice(['com', 'org', 'net', 'de'])}", 5, (
+                    "mail", "write", "")
+            return f"{word()} {mark} {word()}. {word().title()}", 5, ("met", "price", "")
+        if y and sort < 0.3:
+            return _random_iban(rng), 6, ("iban", "account", "bank", "")
+        form, kind, names = (PERSONAL if y else IMPERSONAL)[rng.integers(len(PERSONAL if y else IMPERSONAL))]
+        while True:
+            s = "".join(str(rng.integers(10)) if c == "N" else chr(65 + rng.integers(26)) if c == "A" else c
+                        for c in form)
+            if y or not _iban(s):
+                return s, kind, names
+
+    out = []
+    for y in (1, 0):
+        for _ in range(n):
+            span, kind, names = one(y)
+            left = " ".join([word() for _ in range(3)] + [str(rng.choice(names))]).rstrip()
+            if left[-1].isalpha() and rng.random() < 0.3 and not left.endswith(tuple(filler)):
+                left += str(rng.choice([":", " is", " number"]))
+            left += "" if left.endswith("$") else " "
+            right = str(rng.choice([" ", ". ", ", ", ") "])) + word()
+            out.append((kind, y, features(left + span + right, len(left), kind, len(left) + len(span))))
+    return out
 
 
 # ------------------------------------------------------------- boosted trees
@@ -185,10 +314,10 @@ def calibrated(score: np.ndarray, y: np.ndarray, precision: float = PRECISION) -
 
 
 class Model:
-    """Scores, threshold and the choice among overlapping spans."""
+    """Scores, a threshold for each kind and the choice among overlapping spans."""
 
-    def __init__(self, trees: BoostedTrees | None, threshold: float):
-        self.trees, self.threshold = trees, threshold
+    def __init__(self, trees: BoostedTrees | None, thresholds: dict[int, float]):
+        self.trees, self.thresholds = trees, thresholds
 
     def added(self, base, found, rows) -> list[tuple[int, int, int]]:
         if not found or self.trees is None:
@@ -203,8 +332,8 @@ class Model:
                 starts.append(a)
                 ends.append(b)
         for score, span in sorted(zip(scores.tolist(), found, strict=True), key=lambda t: (-t[0], t[1])):
-            if score < self.threshold:
-                break
+            if score < self.thresholds.get(span[1], 2.0):
+                continue
             at = bisect_left(starts, span[2])
             if not at or ends[at - 1] <= span[0]:
                 out.append(span)
@@ -227,12 +356,28 @@ def joined(spans) -> str:
 
 ROWS = ("doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, "
         "found array<struct<start:long,kind:int,stop:long,x:array<float>>>, "
-        "known array<struct<y:int,x:array<float>>>")
+        "known array<struct<kind:int,y:int,x:array<float>>>")
+
+
+def _known(text: str, base, found) -> list[dict]:
+    """Examples of clear label in one text."""
+    out = [{"kind": 4, "y": 1, "x": features(text, a, 4, b)} for a, k, b in base if k in (2, 3)]
+    for a, k, b in base:
+        if k == 3:          # the same number without its country
+            at = text.find(" ", a, b) + 1
+            if at and len(_digits(text[at:b])) >= 7:
+                out.append({"kind": 4, "y": 1, "x": features(text[at:b + 24], 0, 4, b - at)})
+    spans = sorted((a, b) for a, _, b in base)
+    for a, k, b in found:
+        at = bisect_left(spans, (b,))
+        if not (at and spans[at - 1][1] > a) and _impersonal(text, a, b):
+            out.append({"kind": k, "y": 0, "x": features(text, a, k, b)})
+    return out
 
 
 def candidates(docs: DataFrame) -> DataFrame:
     """Per document: base counts, digest and spans; further candidates with
-    features; and base spans with features, as positive examples."""
+    features; and the examples of clear label."""
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             out = []
@@ -244,7 +389,7 @@ def candidates(docs: DataFrame) -> DataFrame:
                 out.append((doc_id, *[sum(s[1] == k for s in base) for k in range(BASE)],
                             hashlib.sha256(text_base.encode()).hexdigest(), text_base,
                             [{"start": a, "kind": k, "stop": b, "x": features(text, a, k, b)} for a, k, b in found],
-                            [{"y": 1, "x": features(text, a, 4, b)} for a, k, b in base]))
+                            _known(text, base, found)))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in re.split(r",\s(?=\w+\s)", ROWS)]).astype(
                 {"doc_id": "Int64"})
 
@@ -254,28 +399,23 @@ def candidates(docs: DataFrame) -> DataFrame:
 
 
 def trained(rows: DataFrame, sample: int = SAMPLE, precision: float = PRECISION) -> Model:
-    """Trees and threshold from at most ``sample`` candidates.
-
-    Positive examples are base spans; negative ones number-like candidates
-    that hold six digits or more and that no base rule accepts in any part.
-    """
-    examples = (rows.select("doc_id", F.explode("known").alias("e")).select("doc_id", "e.y", "e.x")
-                .unionByName(rows.where("base = ''").select("doc_id", F.explode("found").alias("e"))
-                             .where("e.kind = 4").select("doc_id", F.lit(0).alias("y"), "e.x"))
-                .withColumn("at", F.xxhash64("doc_id", "y", "x")))
+    """Trees, and a threshold for each kind, from written examples and at most
+    ``sample`` examples of the corpus, lowest hash first."""
+    known = (rows.select("doc_id", F.explode("known").alias("e")).select("doc_id", "e.kind", "e.y", "e.x")
+             .withColumn("at", F.xxhash64("doc_id", "kind", "y", "x")))
     # tasks hand on about twice the sample between them, however many they are
-    share = min(1.0, 2 * sample / max(1, examples.count()))
+    share = min(1.0, 2 * sample / max(1, known.count()))
     near = F.pmod("at", F.lit(1 << 20)) < int(share * (1 << 20)) + 1
-    got = examples.where(near).orderBy("at", "doc_id", "y").limit(sample).select("y", "x").toPandas()
-    y = got["y"].to_numpy(float)
-    if len(y) < 40 or y.min() == y.max():
-        return Model(None, 2.0)
-    x = np.array(got["x"].tolist(), float)
+    got = known.where(near).orderBy("at", "doc_id", "kind", "y").limit(sample).select("kind", "y", "x").toPandas()
+    every = [*examples(), *zip(got["kind"], got["y"], got["x"], strict=True)]
+    kind, y = np.array([e[0] for e in every]), np.array([e[1] for e in every], float)
+    # as precise as stored features, wherever the example comes from
+    x = np.array([list(e[2]) for e in every], np.float32).astype(float)
     held = np.arange(len(y)) % 3 == 0
-    if len(set(y[~held])) < 2:
-        return Model(None, 2.0)
     trees = BoostedTrees().fit(x[~held], y[~held])
-    return Model(trees, calibrated(trees.predict(x[held]), y[held], precision))
+    score = trees.predict(x)
+    return Model(trees, {int(k): max(0.5, calibrated(score[held & (kind == k)], y[held & (kind == k)], precision))
+                         for k in np.unique(kind[held])})
 
 
 def private_report(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:

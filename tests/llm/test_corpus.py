@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -321,7 +322,7 @@ def test_added_spans_take_the_best_score_without_overlap():
             if v >= 0.25 and not any(a < span[2] and span[0] < b for a, b in taken):
                 want.append(span)
                 taken.append((span[0], span[2]))
-        assert pii.Model(Scores(), 0.25).added(base, found, rows) == want
+        assert pii.Model(Scores(), {4: 0.25}).added(base, found, rows) == want
 
 
 def test_trees_learn_and_redaction_hides(spark, odd):
@@ -340,6 +341,56 @@ def test_trees_learn_and_redaction_hides(spark, odd):
     assert {r["text"] for r in pii.redacted(odd).where("doc_id = 1").collect()} == {None}
 
 
+#: a span (personal or not), and what stands around it
+PLANTED = [("988-555-{:04d}", "you can phone {} any day"), ("(988) 555 {:04d}", "just call {} after six"),
+           ("123-45-{:04d}", "social security {} was given"), ("DE89 3704 0044 0532 0130 00", "send it to {} soon"),
+           ("X1234{:04d}", "her passport {} expired"), ("07700 90{:04d}", "reach us, mobile {} or so"),
+           ("john{} (at) mail (dot) org", "please contact {} about this"), ("988 555 {:04d}", "telephone {} rings")]
+DECOYS = [("2034{:04d}", "the order {} was shipped"), ("1.{:02d}.3344", "since version {} it works"),
+          ("2024-0{}-12", "it was on {} that"), ("1,{:03d},567", "a total of {} people"),
+          ("97831614{:05d}", "see isbn {} there"), ("988-555-{:04d}", "we need part {} again"),
+          ("X1234{:04d}", "the model {} is new"), ("87301{:011d}", "with id {} in it")]
+
+
+def test_planted_numbers_are_found_and_decoys_left(spark):
+    docs, spans = [], {}
+    for personal, forms in ((True, PLANTED), (False, DECOYS)):
+        for form, around in forms:
+            for i in range(20):
+                span = form.format(i % 9 + 1 if form.endswith("-12") else i)
+                text = "Some words first and " + around.format(span) + " and others after it."
+                if personal:
+                    spans[len(docs)] = (text.index(span), text.index(span) + len(span))
+                docs.append((len(docs), text))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: [tuple(map(int, s.split(":")[1:])) for s in r["spans"].split(",") if s]
+           for r in pii.private_report(frame).collect()}
+    right = sum(s in got[d] for d, s in spans.items())
+    said = sum(len(s) for s in got.values())
+    assert right >= 0.9 * len(spans) and right >= 0.95 * said, (right, said, len(spans))
+
+
+def test_linear_generators_match_the_patterns():
+    spelled = re.compile(r"[A-Za-z0-9._%+-]+\x20?(?:\(at\)|\[at\]|\{at\})\x20?[A-Za-z0-9-]+"
+                         r"(?:\x20?(?:\.|\(dot\)|\[dot\]|\{dot\})\x20?[A-Za-z0-9-]+)+")
+    rng = np.random.default_rng(2)
+    parts = ["a", "b-", "(at)", "[at]", " ", ".", "(dot)", "x.y", "\n", "é", "{dot}"]
+    for _ in range(20_000):
+        text = "".join(rng.choice(parts, 14))
+        want = [(m.start(), 5, m.end()) for m in spelled.finditer(text)]
+        assert [s for s in pii.proposals(text, []) if s[1] == 5] == want
+        text = "".join(rng.choice(["1", "25", ".", "256", "07", " ", ".."], 16))
+        assert pii.base_spans(text) == plain_private(text)
+
+
+@pytest.mark.parametrize("text", ["1" * 1_000_000, "a" * 1_000_000 + " at)", "1." * 500_000, "a@" * 500_000,
+                                  "a" * 500_000 + "(at)" + "b" * 500_000, "1 " * 500_000, "AB12" * 250_000])
+def test_words_of_a_megabyte(text):
+    start = time.time()
+    pii.proposals(text, pii.base_spans(text))
+    assert time.time() - start < 5
+
+
 def test_secrets_follow_the_patterns_and_ownership(odd, empty, spark):
     r = secrets.secret_report(odd).where("doc_id = 14").first()
     assert (r["n_assign"], r["n_access"], r["n_hex"]) == (1, 1, 1)
