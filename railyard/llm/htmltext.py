@@ -123,13 +123,21 @@ def tree(html: str) -> tuple[Node, set[str]]:
     stack, at = [root], 0
     states: dict[tuple[str, str], tuple[bool, bool]] = {}
 
+    places: dict[str, list[int]] = {}       # open elements of each name in the stack
+
     def up_to(tags, scope) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].tag in tags:
-                del stack[k:]
-                return
-            if stack[k].tag in scope:
-                return
+        def last(names) -> int:
+            return max((places[x][-1] for x in names if places.get(x)), default=0)
+
+        k = last(tags)
+        if k and k >= last(scope):
+            for node in reversed(stack[k:]):
+                places[node.tag].pop()
+            del stack[k:]
+
+    def push(node: Node) -> None:
+        places.setdefault(node.tag, []).append(len(stack))
+        stack.append(node)
 
     def text(s: str) -> None:
         if s:
@@ -166,9 +174,9 @@ def tree(html: str) -> tuple[Node, set[str]]:
                 elif tag in ("textarea", "title", "xmp"):
                     node.children.append(entities.unescape(body) if tag != "xmp" else body)
             elif tag not in VOID and not m[3].endswith("/"):
-                stack.append(node)
+                push(node)
             elif tag not in VOID and tag in BLOCK:
-                stack.append(node)          # a slash does not close an HTML block
+                push(node)          # a slash does not close an HTML block
     return root, {x for (x, _), (_, hides) in states.items() if hides}
 
 

@@ -36,9 +36,12 @@ BUCKETS = 1 << 14
 WEIGHT = 60             # trigrams of one page that count as independent
 STRENGTH = 10.0         # pages that a parent level's prior is worth
 
-_RAW = re.compile(r"(?is)<(script|style|template|noscript)\b.*?</\1\s*>|<!--.*?-->")
+_RAW = re.compile(r"(?i)<(?:(script|style|template|noscript)\b|!--)")
+_RAW_END = {name: re.compile(rf"(?i)</{name}\s*>") for name in ("script", "style", "template", "noscript")}
+_RAW_END[None] = re.compile("-->")
 _TAG = re.compile(r"<[^<>]*>")
-_DECLARED = re.compile(r"""(?is)<html\b[^>]*?\s(?:xml:)?lang\s*=\s*["']?\s*([a-z]{2,3})(?![a-z])""")
+_ROOT = re.compile(r"(?i)<html\b")
+_LANG = re.compile(r"""(?i)\s(?:xml:)?lang\s*=\s*(?:["']\s*)?([a-z]{2,3})(?![a-z])""")
 
 
 def _buckets(text: str) -> np.ndarray:
@@ -90,7 +93,32 @@ def text_model(docs: DataFrame) -> TextModel:
 
 
 def visible(html: str) -> str:
-    return entities.unescape(_TAG.sub(" ", _RAW.sub(" ", html)))
+    """The text outside tags, comments and raw elements that are closed."""
+    out, at, open_ended = [], 0, set()
+    for m in _RAW.finditer(html):
+        name = m[1] and m[1].lower()
+        if m.start() < at or name in open_ended:
+            continue
+        end = _RAW_END[name].search(html, m.end())
+        if end:
+            out.append(html[at:m.start()])
+            at = end.end()
+        else:
+            open_ended.add(name)        # no end from here on
+    return entities.unescape(_TAG.sub(" ", " ".join([*out, html[at:]])))
+
+
+def declared_language(html: str) -> str | None:
+    """Language of the first html tag that has one."""
+    done = 0
+    for m in _ROOT.finditer(html):
+        if m.start() >= done:
+            done = html.find(">", m.end())
+            done = len(html) if done < 0 else done
+            lang = _LANG.search(html, m.end(), done)
+            if lang:
+                return lang[1].lower()
+    return None
 
 
 def evidence(pages: DataFrame, model: TextModel) -> DataFrame:
@@ -99,8 +127,7 @@ def evidence(pages: DataFrame, model: TextModel) -> DataFrame:
         for batch in batches:
             declared, scores = [], []
             for html in batch.column(2).to_pylist():
-                m = _DECLARED.search(html or "")
-                declared.append(m and m[1].lower())
+                declared.append(declared_language(html or ""))
                 scores.append(model.scores(visible(html or "")).tolist())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(declared, pa.string()),
                                               pa.array(scores, pa.list_(pa.float64()))],

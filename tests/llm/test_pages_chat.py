@@ -1,6 +1,10 @@
 """Operators over ``pages`` and ``conversations``, and the SQL of the catalog."""
 
+import re
+import time
+
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -76,6 +80,50 @@ def test_deep_nesting_and_long_pages():
     assert htmltext.render("<p>w " * 30_000).count("w") == 30_000
 
 
+def test_stray_end_tags_cost_nothing():
+    start = time.time()
+    assert htmltext.render("<b>" * 20_000 + "x" + "</i></li></td>" * 20_000) == "x"
+    assert htmltext.render("<li><ul>" + "<b>" * 20_000 + "x" + "</li>" * 20_000).strip(" -") == "x"
+    assert time.time() - start < 5
+
+
+def test_end_tags_close_what_a_walk_up_the_stack_closes():
+    """Random tag soup against a tree builder that walks the whole stack."""
+    rng = np.random.default_rng(3)
+    names = ["p", "li", "ul", "td", "tr", "table", "b", "div", "dt", "dd", "dl"]
+
+    def walked(tokens):
+        root = ("#root", [])
+        stack = [root]
+
+        def up_to(tags, scope):
+            for k in range(len(stack) - 1, 0, -1):
+                if stack[k][0] in tags:
+                    del stack[k:]
+                    return
+                if stack[k][0] in scope:
+                    return
+        for closing, tag in tokens:
+            if closing:
+                up_to({tag}, htmltext.END_SCOPE.get(tag, ()))
+                continue
+            if tag in htmltext.CLOSES_P and any(n[0] == "p" for n in stack[-8:]):
+                up_to({"p"}, htmltext.P_SCOPE)
+            if tag in htmltext.IMPLIED:
+                up_to(*htmltext.IMPLIED[tag])
+            stack[-1][1].append((tag, []))
+            stack.append(stack[-1][1][-1])
+        return root
+
+    def plain(node):
+        return node.tag, [plain(c) for c in node.children]
+
+    for _ in range(500):
+        tokens = [(bool(rng.random() < 0.4), names[rng.integers(len(names))]) for _ in range(40)]
+        html = "".join(f"</{t}>" if c else f"<{t}>" for c, t in tokens)
+        assert plain(htmltext.tree(html)[0]) == walked(tokens)
+
+
 def test_rendered_pages(spark):
     pages = spark.createDataFrame([(1, "u", None, 5), (None, None, "<p>x", 5), (2, "u", "", 5), (2, "u", "", 5)],
                                   "page_id long, url string, html string, text int")
@@ -114,6 +162,28 @@ def test_place_and_declaration_decide_when_the_text_does_not(spark):
     assert langid.identified(frame.limit(0), docs).count() == 0
 
 
+def test_language_hints_match_the_patterns_on_random_pages():
+    raw = re.compile(r"(?is)<(script|style|template|noscript)\b.*?</\1\s*>|<!--.*?-->")
+    declared = re.compile(r"""(?is)<html\b[^>]*?\s(?:xml:)?lang\s*=\s*["']?\s*([a-z]{2,3})(?![a-z])""")
+    rng = np.random.default_rng(5)
+    parts = ["<html", " lang=", "xml:", "lang", "=", "'", '"', "de", "en ", "abcd", ">", "<", " ", "\n", "<script", "</script",
+             "</SCRIPT >", "<style>", "</style>", "<!--", "-->", "<!-->", "x", "<template ", "</template>", "-"]
+    for _ in range(20_000):
+        html = "".join(rng.choice(parts, 14))
+        m = declared.search(html)
+        assert langid.declared_language(html) == (m and m[1].lower())
+        assert langid.visible(html) == langid.entities.unescape(langid._TAG.sub(" ", raw.sub(" ", html)))
+
+
+@pytest.mark.parametrize("part", ["<html ", "<script ", "<!--", " lang=", "<html lang= ", "<", "</script "])
+def test_language_hints_of_a_page_of_one_megabyte(part):
+    start = time.time()
+    page = part * (1_000_000 // len(part))
+    langid.declared_language(page + " " * 100_000)
+    langid.visible(page)
+    assert time.time() - start < 5
+
+
 # ------------------------------------------------------------- chat
 
 TURNS = [("user", "a"), ("assistant", "b"), ("user", "c"), ("assistant", "d"), ("user", None), (None, "<|im_end|>")]
