@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from railyard.llm import catalog, common, decontam, licenses, packing, pii, quality, secrets, simhash
+from railyard.llm import catalog, common, decontam, license_texts, licenses, packing, pii, quality, secrets, simhash
 
 WORDS = re.compile("[^\x20\x09-\x0d]+")
 SCHEMA = "doc_id long, text string, source string, _row long, fp string, keep string, removed int, w string, at int"
@@ -272,6 +272,49 @@ def test_license_spans_and_base_places(odd, empty, spark):
     assert licenses.license_labels(empty).count() == 0
 
 
+def test_changed_license_words_against_the_statement(spark, tmp_path):
+    """One word lost, changed or put in at each place of every phrase;
+    inner stretches of whole texts; decoys."""
+    docs, want = [], {}
+
+    def add(text, *labels):
+        want[len(docs)] = set(labels)
+        docs.append((len(docs), "here it says " + text + " and so on"))
+
+    for label, words, keys in licenses.TEMPLATES:
+        if keys and label != "reserved":
+            for i, w in enumerate(words):
+                if w not in keys and len(words) > 5:
+                    add(" ".join(words[:i] + words[i + 1:]), label)
+                    add(" ".join([*words[:i], "other", *words[i + 1:]]), label)
+                add(" ".join([*words[:i + 1], "new", *words[i + 1:]]), *([label] if len(words) > 5 else []))
+            add(" ".join(words).replace(keys[-1], "zzz"))
+        elif not keys:
+            for i in range(0, len(words) - 30, 7):
+                add(" ".join([*words[i:i + 14], "put", "in", *words[i + 14:i + 30]]), label)
+    for text, label in [
+            ("Licensed under the Apache License 2.0", "apache-2.0"), ("licensed under the Apache 2.0 License", "apache-2.0"),
+            ("released under MIT license", "mit"), ("released under the new mit license", "mit"),
+            ("licensed under the GNU General Public Licence version 3", "gpl"),
+            (license_texts._WARRANTY, "mit"), (dict(license_texts.TEXTS)["isc"][:300], "isc")]:
+        add(text, label)
+    decoys = len(docs)
+    for text in ["released under the new law", "under the terms of the contract, any person obtaining a copy",
+                 "the mit students have a license", "free of charge, to any person", "licensed under the state law of 2 0"]:
+        add(text)
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    sql = con.execute(licenses.SQL)
+    names = [c[0] for c in sql.description]
+    got = licenses.license_labels(frame)
+    assert rows(got.select(names)) == sorted(map(tuple, sql.fetchall()), key=repr)
+    labels = {r["doc_id"]: set(filter(None, r["labels"].split(","))) for r in got.collect()}
+    assert not [(docs[d], labels[d]) for d in want if not want[d] <= labels[d]]
+    assert not [(docs[d], labels[d]) for d in range(decoys, len(docs)) if labels[d]]
+
+
 # ------------------------------------------------------------- spans
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
