@@ -6,15 +6,21 @@ spans always stay.  Gradient-boosted trees score the others by format and
 context, and a threshold for each kind is calibrated on held-out examples to
 ``PRECISION``.  Of overlapping accepted spans the best score wins.
 
-The tables hold no labels, so examples come from two places, at most
-``SAMPLE`` of each:
+The tables hold no labels, so examples come from two places:
 
-* the corpus: base spans are personal, the number of a base phone without its
-  ``+`` too; candidates are impersonal when the word before says so (order,
-  version, ...), when they are amounts or dates, or when they lie inside a
-  longer run of letters and digits.  All others are unclear and left out.
+* the corpus, every clear one: base spans are personal, the number of a base
+  phone without its ``+`` too; candidates are impersonal when the word before
+  says so (order, version, ...), when they are amounts or dates, or when they
+  lie inside a longer run of letters and digits.  All others are unclear and
+  left out.
 * written examples of each format and of its decoys, with and without a word
-  that names them, drawn with a fixed seed (``examples``).
+  that names them, drawn with a fixed seed (``examples``).  They weigh more
+  as the corpus grows, as if it held about ``BALANCE`` examples.
+
+Cuts, trees and thresholds come from all of them, a third held out for the
+thresholds.  Equal examples are counted, and Spark adds up the counts by
+node, feature and bin for each level of a tree; the sums are whole numbers,
+so the model does not depend on how the rows are spread.
 
 Texts never move: one pass writes the candidates, and redaction is another
 pass over the texts with the finished model.
@@ -29,13 +35,13 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from railyard.llm.common import landed, map_rows, own_columns, python_batches
@@ -44,9 +50,14 @@ from railyard.llm.common import landed, map_rows, own_columns, python_batches
 KINDS = ("email", "ip", "card", "phone", "number", "spelled", "account")
 BASE = 4
 
-SAMPLE = 20_000             # corpus examples the trees are trained and calibrated on
+BALANCE = 20_000            # corpus examples that weigh one each; more weigh about as much together
 PRECISION = 0.95
 TREES, DEPTH, RATE = 40, 3, 0.2
+SHARES = np.linspace(0.05, 0.95, 16)    # quantiles between which a feature is cut into bins
+BINS = len(SHARES) + 1
+ONE = 1 << 20               # gradients are whole multiples of 1 / ONE
+HERE_ROWS = 1 << 16         # distinct rows of bins whose sums the driver makes itself
+CELLS = 1 << 14             # of scores, each of which is taken or left whole
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -252,65 +263,114 @@ def examples(n: int = 3000, seed: int = 1) -> list[tuple[int, int, list[float]]]
 # ------------------------------------------------------------- boosted trees
 
 class BoostedTrees:
-    """Logistic gradient boosting of shallow trees on binned features."""
+    """Logistic gradient boosting of shallow trees on binned features.
+
+    Node i of a tree asks whether the bin of ``feature[i]`` is above
+    ``cut[i]`` and leads to node 2i + 1 (no) or 2i + 2 (yes); one that does
+    not split leads all to 2i + 1.  Examples are rows of bins that stand for
+    ``yes`` personal and ``no`` impersonal ones.
+    """
 
     def __init__(self, trees: int = TREES, depth: int = DEPTH, rate: float = RATE):
         self.trees, self.depth, self.rate = trees, depth, rate
-        self.start, self.forest = 0.0, []
+        self.start, self.cuts = 0.0, []
+        self.feature = np.zeros((0, 2 ** depth - 1), np.int64)
+        self.cut = np.zeros((0, 2 ** depth - 1), np.int64)
+        self.leaf = np.zeros((0, 2 ** depth))
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> BoostedTrees:
-        p = np.clip(y.mean(), 1e-3, 1 - 1e-3)
-        self.start = float(np.log(p / (1 - p)))
-        score = np.full(len(y), self.start)
-        cuts = [np.unique(np.quantile(x[:, f], np.linspace(0.05, 0.95, 16))) for f in range(x.shape[1])]
-        for _ in range(self.trees):
-            p = 1 / (1 + np.exp(-score))
-            tree = self._grow(x, y - p, p * (1 - p), np.arange(len(y)), cuts, self.depth)
-            self.forest.append(tree)
-            score += self.rate * self._walk(tree, x)
-        return self
+        self.cuts = [np.unique(np.quantile(x[:, f], SHARES)) for f in range(x.shape[1])]
+        yes = y.astype(np.int64)
+        return self.grown(int(yes.sum()), len(yes), self.summed_here(self.binned(x), yes, 1 - yes))
+
+    def binned(self, x: np.ndarray) -> np.ndarray:
+        """Bin k of a feature: above k of its cuts."""
+        return np.stack([np.searchsorted(c, x[:, f]) for f, c in enumerate(self.cuts)], axis=1).astype(np.uint8)
+
+    def margin(self, bins: np.ndarray, score: np.ndarray | None = None, first: int = 0) -> np.ndarray:
+        """Log odds; ``score`` holds those of the trees before ``first``."""
+        score = np.full(len(bins), self.start) if score is None else score
+        tree, row = np.arange(len(self.leaf) - first), np.arange(len(bins))[:, None]
+        at = np.zeros((len(bins), len(tree)), np.int64)
+        for _ in range(self.depth):
+            at = 2 * at + 1 + (bins[row, self.feature[first + tree, at]] > self.cut[first + tree, at])
+        for t in tree:                          # one after the other, so that parts give the same
+            score = score + self.rate * self.leaf[first + t, at[:, t] - (2 ** self.depth - 1)]
+        return score
 
-    def _grow(self, x, g, h, rows, cuts, depth):
+    def predict(self, x: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-self.margin(self.binned(x))))
+
+    def sums(self, bins: np.ndarray, yes: np.ndarray, no: np.ndarray, score: np.ndarray, feature: np.ndarray,
+             cut: np.ndarray, level: int) -> np.ndarray:
+        """Gradients and curvatures (in 1 / ONE) and numbers of examples, by
+        node of the level, feature and bin, for the tree begun."""
+        p = 1 / (1 + np.exp(-score))
+        n, q = yes + no, np.rint(p * ONE).astype(np.int64)
+        node, row = np.zeros(len(bins), np.int64), np.arange(len(bins))
+        for _ in range(level):
+            node = 2 * node + 1 + (bins[row, feature[node]] > cut[node])
+        width = bins.shape[1]
+        slot = ((node - (2 ** level - 1))[:, None] * width + np.arange(width)) * BINS + bins
+        size = 2 ** level * width * BINS
+        # whole numbers, exact up to 2^33 examples in one call
+        return np.stack([np.bincount(slot.ravel(), np.repeat(v, width), size) for v in (
+            (ONE - q) * yes - q * no, np.rint(p * (1 - p) * ONE).astype(np.int64) * n, n)]).astype(np.int64)
+
+    def summed_here(self, bins: np.ndarray, yes: np.ndarray, no: np.ndarray) -> Callable[..., np.ndarray]:
+        """Sums over rows that are all here; scores are kept from tree to tree."""
+        kept = {"score": None, "first": 0}
+
+        def level_sums(feature, cut, level):
+            if kept["score"] is None or kept["first"] < len(self.leaf):
+                kept.update(score=self.margin(bins, kept["score"], kept["first"]), first=len(self.leaf))
+            return self.sums(bins, yes, no, kept["score"], feature, cut, level)
+
+        return level_sums
+
+    def grown(self, yes: int, total: int, level_sums: Callable[..., np.ndarray], unit: int = 1) -> BoostedTrees:
+        """All trees, level by level, from the sums that ``level_sums``
+        gives; ``unit`` examples weigh as much as one."""
         def gain(a, b):
             return a * a / (b + 1.0)
-        total_g, total_h = g[rows].sum(), h[rows].sum()
-        best = (1e-6, None, None)
-        if depth and len(rows) >= 8:
-            for f, edges in enumerate(cuts):
-                v = x[rows, f]
-                for c in edges:
-                    left = v <= c
-                    a, b = g[rows][left].sum(), h[rows][left].sum()
-                    won = gain(a, b) + gain(total_g - a, total_h - b) - gain(total_g, total_h)
-                    if won > best[0] and 4 <= left.sum() <= len(rows) - 4:
-                        best = (won, f, c)
-        if best[1] is None:
-            return float(total_g / (total_h + 1.0))
-        left = x[rows, best[1]] <= best[2]
-        return (best[1], float(best[2]), self._grow(x, g, h, rows[left], cuts, depth - 1),
-                self._grow(x, g, h, rows[~left], cuts, depth - 1))
-
-    def _walk(self, tree, x):
-        if not isinstance(tree, tuple):
-            return np.full(len(x), tree)
-        f, c, low, high = tree
-        return np.where(x[:, f] <= c, self._walk(low, x), self._walk(high, x))
 
-    def predict(self, x: np.ndarray) -> np.ndarray:
-        score = np.full(len(x), self.start)
-        for tree in self.forest:
-            score += self.rate * self._walk(tree, x)
-        return 1 / (1 + np.exp(-score))
+        p = min(max(yes / total, 1e-3), 1 - 1e-3)
+        self.start = float(np.log(p / (1 - p)))
+        for _ in range(self.trees):
+            feature, cut = np.zeros(2 ** self.depth - 1, np.int64), np.full(2 ** self.depth - 1, BINS)
+            leaf = np.zeros((2 ** (self.depth - 1), 2))
+            for level in range(self.depth):
+                found = level_sums(feature, cut, level).reshape(3, 2 ** level, -1, BINS)
+                low = np.cumsum(found, axis=3) / (np.array([ONE, ONE, 1]) * float(unit))[:, None, None, None]
+                whole = low[:, :, :1, -1:]
+                high = whole - low
+                won = gain(low[0], low[1]) + gain(high[0], high[1]) - gain(whole[0], whole[1])
+                won = np.where((whole[2] >= 8) & (low[2] >= 4) & (high[2] >= 4), won, 0).reshape(2 ** level, -1)
+                best = won.argmax(axis=1)
+                for i, (k, node) in enumerate(zip(best, range(2 ** level - 1, 2 ** (level + 1) - 1), strict=True)):
+                    sides = [whole[:2, i, 0, 0], np.zeros(2)]
+                    if won[i, k] > 1e-6:
+                        feature[node], cut[node] = divmod(int(k), BINS)
+                        sides = [side[:2, i, feature[node], cut[node]] for side in (low, high)]
+                    if level == self.depth - 1:
+                        leaf[i] = [g / (h + 1.0) for g, h in sides]
+            self.feature = np.vstack([self.feature, feature])
+            self.cut = np.vstack([self.cut, cut])
+            self.leaf = np.vstack([self.leaf, leaf.ravel()])
+        return self
 
 
-def calibrated(score: np.ndarray, y: np.ndarray, precision: float = PRECISION) -> float:
+def calibrated(score: np.ndarray, y: np.ndarray, precision: float = PRECISION, n: np.ndarray | None = None) -> float:
     """The least threshold from which held-out precision reaches the target
-    (Laplace-smoothed); above 1 if none does."""
+    (Laplace-smoothed), just above the first score that would spoil it; above
+    1 if none does.  Of ``n`` examples (one) of a score, ``y`` are personal."""
     order = np.argsort(-score, kind="stable")
-    hits = np.cumsum(y[order])
-    smooth = (hits + 1) / (np.arange(1, len(y) + 1) + 2)
-    ok = np.flatnonzero(smooth >= precision)
-    return float(score[order][ok[-1]]) if len(ok) else 2.0
+    hits, seen = np.cumsum(y[order]), np.cumsum((np.ones(len(y)) if n is None else n)[order])
+    ok = np.flatnonzero((hits + 1) / (seen + 2) >= precision)
+    if not len(ok):
+        return 2.0
+    below = score[order][ok[-1] + 1:]
+    return float(np.nextafter(below[0], 2)) if len(below) else float(score[order][-1])
 
 
 class Model:
@@ -398,30 +458,120 @@ def candidates(docs: DataFrame) -> DataFrame:
     return rows.mapInPandas(run, ROWS)
 
 
-def trained(rows: DataFrame, sample: int = SAMPLE, precision: float = PRECISION) -> Model:
-    """Trees, and a threshold for each kind, from written examples and at most
-    ``sample`` examples of the corpus, lowest hash first."""
+def weighed(rows: DataFrame, balance: int = BALANCE) -> tuple[DataFrame, int]:
+    """All examples of the corpus and all written ones, equal ones counted
+    (held, kind, x, yes, no), and how many of the corpus weigh as much as one
+    below ``balance``; a written one counts as that many.
+
+    Every third is held out, by place in the order of hashes: places within
+    a range of hashes, and what stands before the range (4,096 numbers).
+    """
     known = (rows.select("doc_id", F.explode("known").alias("e")).select("doc_id", "e.kind", "e.y", "e.x")
              .withColumn("at", F.xxhash64("doc_id", "kind", "y", "x")))
-    # tasks hand on about twice the sample between them, however many they are
-    share = min(1.0, 2 * sample / max(1, known.count()))
-    near = F.pmod("at", F.lit(1 << 20)) < int(share * (1 << 20)) + 1
-    got = known.where(near).orderBy("at", "doc_id", "kind", "y").limit(sample).select("kind", "y", "x").toPandas()
-    every = [*examples(), *zip(got["kind"], got["y"], got["x"], strict=True)]
-    kind, y = np.array([e[0] for e in every]), np.array([e[1] for e in every], float)
-    # as precise as stored features, wherever the example comes from
-    x = np.array([list(e[2]) for e in every], np.float32).astype(float)
-    held = np.arange(len(y)) % 3 == 0
-    trees = BoostedTrees().fit(x[~held], y[~held])
-    score = trees.predict(x)
-    return Model(trees, {int(k): max(0.5, calibrated(score[held & (kind == k)], y[held & (kind == k)], precision))
-                         for k in np.unique(kind[held])})
-
-
-def private_report(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    known = landed(known.groupBy("at", "doc_id", "kind", "y", "x").agg(F.count("*").alias("n"))
+                   .withColumn("part", F.shiftright("at", 52)), "private-examples")
+    parts = known.groupBy("part").agg(F.sum("n").alias("size"))
+    upto = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
+    parts = parts.select("part", (F.sum("size").over(upto) - F.col("size")).alias("before"))
+    own = Window.partitionBy("part").orderBy("at", "doc_id", "kind", "y", "x").rowsBetween(Window.unboundedPreceding, 0)
+    last = F.col("before") + F.sum("n").over(own)
+    third = F.ceil(last / 3) - F.ceil((last - F.col("n")) / 3)
+    split = known.join(F.broadcast(parts), "part").select("kind", "y", "x", "n", third.alias("third")).select(
+        "kind", "y", "x", F.explode(F.array(F.struct(F.lit(True).alias("held"), F.col("third").alias("n")), F.struct(
+            F.lit(False).alias("held"), (F.col("n") - F.col("third")).alias("n")))).alias("e"))
+    corpus = landed(split.where("e.n > 0").groupBy("e.held", "kind", "x").agg(
+        F.sum(F.col("e.n") * F.col("y")).alias("yes"), F.sum(F.col("e.n") * (1 - F.col("y"))).alias("no")),
+        "private-corpus")
+    unit = max(1, round((corpus.agg(F.sum(F.col("yes") + F.col("no"))).first()[0] or 0) / balance))
+    kind, y, x = zip(*examples(), strict=True)
+    yes = np.array(y, np.int64) * unit
+    written = rows.sparkSession.createDataFrame(pa.table({
+        "held": np.arange(len(y)) % 3 == 0, "kind": np.array(kind, np.int32), "x": pa.array(x, pa.list_(pa.float32())),
+        "yes": yes, "no": unit - yes}))
+    return corpus.unionByName(written), unit
+
+
+def feature_cuts(every: DataFrame) -> list[np.ndarray]:
+    """Quantiles of each feature over all examples that are not held out."""
+    values = (every.where("not held").select(F.posexplode("x").alias("f", "v"), (F.col("yes") + F.col("no")).alias("n"))
+              .groupBy("f", F.col("v").cast("double").alias("v")).agg(F.sum("n").alias("n")))
+    cuts = values.groupBy("f").agg(F.percentile("v", SHARES.tolist(), F.col("n")).alias("cuts")).orderBy("f").collect()
+    return [np.unique(r["cuts"]) for r in cuts]
+
+
+def _bins(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.uint8).reshape(len(column), -1)
+
+
+def summed_by_spark(trees: BoostedTrees, train: DataFrame) -> Callable[..., np.ndarray]:
+    """Sums over rows of any number: each task adds up its own, Spark theirs."""
+    def level_sums(feature, cut, level):
+        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total = None
+            for pdf in frames:
+                bins = _bins(pdf["bins"])
+                own = trees.sums(bins, pdf["yes"].to_numpy(), pdf["no"].to_numpy(), trees.margin(bins),
+                                 feature, cut, level)
+                total = own if total is None else total + own
+            if total is not None:
+                slot = np.flatnonzero(total[2])
+                yield pd.DataFrame({"slot": slot, **dict(zip("ghn", total[:, slot], strict=True))})
+
+        got = (train.select("bins", "yes", "no").mapInPandas(run, "slot long, g long, h long, n long")
+               .groupBy("slot").agg(*[F.sum(c).alias(c) for c in "ghn"]).collect())
+        out = np.zeros((3, 2 ** level * len(trees.cuts) * BINS), np.int64)
+        for r in got:
+            out[:, r["slot"]] = r["g"], r["h"], r["n"]
+        return out
+
+    return level_sums
+
+
+def trained(rows: DataFrame, precision: float = PRECISION, balance: int = BALANCE, here: int = HERE_ROWS) -> Model:
+    """Trees, and a threshold for each kind, from all written examples and
+    all of the corpus.  Up to ``here`` distinct rows of bins are summed on the
+    driver, more by Spark, with the same result."""
+    every, unit = weighed(rows, balance)
+    trees = BoostedTrees()
+    trees.cuts = feature_cuts(every)
+
+    def bins(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            if len(pdf):
+                own = trees.binned(np.stack(pdf["x"]).astype(float))
+                yield pdf.drop(columns="x").assign(bins=[r.tobytes() for r in own])
+
+    python_batches(rows.sparkSession, 1 << 14)
+    binned = landed(every.mapInPandas(bins, "held boolean, kind int, yes long, no long, bins binary")
+                    .groupBy("held", "kind", "bins").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no")),
+                    "private-bins")
+    train = binned.where("not held")
+    n, yes, no = train.agg(F.count("*"), F.sum("yes"), F.sum("no")).first()
+    if n <= here:
+        pdf = train.toPandas()
+        sums = trees.summed_here(_bins(pdf["bins"]), pdf["yes"].to_numpy(), pdf["no"].to_numpy())
+    else:
+        sums = summed_by_spark(trees, train)
+    trees.grown(yes, yes + no, sums, unit)
+
+    def scores(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            if len(pdf):
+                score = 1 / (1 + np.exp(-trees.margin(_bins(pdf["bins"]))))
+                yield pdf.drop(columns="bins").assign(score=score, cell=np.floor(score * CELLS).astype(np.int64))
+
+    held = (binned.where("held").drop("held").mapInPandas(scores, "kind int, yes long, no long, score double, cell long")
+            .groupBy("kind", "cell").agg(F.max("score").alias("score"), F.sum("yes").alias("yes"),
+                                         F.sum(F.col("yes") + F.col("no")).alias("n"))).toPandas()
+    python_batches(rows.sparkSession, 2000)
+    return Model(trees, {int(k): max(0.5, calibrated(own["score"].to_numpy(), own["yes"].to_numpy() / unit, precision,
+                                                     own["n"].to_numpy() / unit)) for k, own in held.groupby("kind")})
+
+
+def private_report(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, base counts and digest, and all spans."""
     rows = landed(candidates(docs), "private")
-    model = trained(rows, sample)
+    model = trained(rows)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
@@ -446,9 +596,9 @@ def redact(text: str, spans: list[tuple[int, int, int]]) -> str:
     return "".join([*out, text[at:]])
 
 
-def redacted(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def redacted(docs: DataFrame) -> DataFrame:
     """The documents with their spans redacted; n_chars, if there, follows."""
-    model = trained(landed(candidates(docs), "private"), sample)
+    model = trained(landed(candidates(docs), "private"))
     schema, at = docs.schema, docs.columns.index("text")
     chars = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 

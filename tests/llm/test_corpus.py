@@ -413,6 +413,45 @@ def test_planted_numbers_are_found_and_decoys_left(spark):
     assert right >= 0.9 * len(spans) and right >= 0.95 * said, (right, said, len(spans))
 
 
+def test_training_counts_every_example(spark):
+    rng = np.random.default_rng(12)
+    shown = [([float(v) for v in rng.integers(0, 9, 26)] + [float(rng.random() < 0.02)]) for _ in range(1500)]
+    made = [(int(d), 4, int(x[26] == 1 or x[0] > 4), x) for d, x in zip(rng.integers(0, 900, 30_000),
+                                                                    (shown[i] for i in rng.integers(0, 1500, 30_000)))]
+    rows = spark.createDataFrame(pd.DataFrame(made, columns=["doc_id", "kind", "y", "x"]),
+                                 "doc_id long, kind int, y int, x array<float>").select(
+        "doc_id", F.array(F.struct("kind", "y", "x")).alias("known")).unionAll(
+        spark.createDataFrame([(None, [])], "doc_id long, known array<struct<kind:int,y:int,x:array<float>>>"))
+    every, unit = pii.weighed(rows, balance=10_000)
+    assert unit == 3
+    n, yes, written = every.agg(F.sum(F.col("yes") + F.col("no")), F.sum("yes"), F.count("*")).first()
+    assert n == 30_000 + 3 * len(pii.examples()) and yes == sum(m[2] for m in made) + 3 * 3000
+    assert every.where("held").agg(F.sum(F.col("yes") + F.col("no"))).first()[0] == 10_000 + 3 * 2000
+    # brute force: every example a row of its own
+    flat = every.where("not held").toPandas()
+    x = np.stack(flat["x"]).astype(float)
+    cuts = pii.feature_cuts(every)
+    for f in range(27):
+        want = np.unique(np.quantile(np.repeat(x[:, f], flat["yes"] + flat["no"]), pii.SHARES))
+        assert len(want) == len(cuts[f]) and np.allclose(want, cuts[f])
+    one, two = (pii.trained(rows, balance=10_000, here=here) for here in (1 << 20, 0))
+    assert one.thresholds == two.thresholds
+    assert all(np.array_equal(getattr(one.trees, c), getattr(two.trees, c)) for c in ("feature", "cut", "leaf"))
+    trees = pii.BoostedTrees()
+    trees.cuts = cuts
+    labels = np.concatenate([np.ones(len(flat), np.int64), np.zeros(len(flat), np.int64)])
+    number = np.concatenate([flat["yes"], flat["no"]])
+    rowwise, y = np.repeat(np.tile(x, (2, 1)), number, axis=0), np.repeat(labels, number)
+    trees.grown(int(y.sum()), len(y), trees.summed_here(trees.binned(rowwise), y, 1 - y), unit)
+    assert np.array_equal(one.trees.leaf, trees.leaf) and one.trees.start == trees.start
+
+
+def test_thresholds_take_equal_scores_together():
+    score, yes, n = np.array([0.9, 0.7, 0.6]), np.array([98.0, 1.0, 0.0]), np.array([98.0, 60.0, 5.0])
+    assert 0.7 < pii.calibrated(score, yes, n=n) <= 0.9
+    assert pii.calibrated(score, n, n=n) == 0.6
+
+
 def test_linear_generators_match_the_patterns():
     spelled = re.compile(r"[A-Za-z0-9._%+-]+\x20?(?:\(at\)|\[at\]|\{at\})\x20?[A-Za-z0-9-]+"
                          r"(?:\x20?(?:\.|\(dot\)|\[dot\]|\{dot\})\x20?[A-Za-z0-9-]+)+")
